@@ -43,5 +43,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_sharding, op6_token_files)}
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.simhash import simhash_components
+
+    found = simhash_components(documents(spark, sf_dir), width=4, distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op5_sharding, op6_token_files, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
