@@ -23,6 +23,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.imatch import fingerprint_neighbours
+
+    return fingerprint_neighbours(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.sharding import shuffle_to_shards
 
@@ -50,5 +56,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_sharding, op6_token_files, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_imatch_fingerprints, op5_sharding, op6_token_files, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}

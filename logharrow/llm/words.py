@@ -40,9 +40,10 @@ def prefix_hash(values: np.ndarray, base: np.uint64) -> np.ndarray:
     return out
 
 
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64, top: int) -> np.ndarray:
-    """Rabin-Karp hashes of spans, brought to one common power of the base (position-free)."""
-    return (prefix[ends] - prefix[starts]) * powers(base, top + 1)[top - starts]
+def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Rabin-Karp hashes of spans, brought down to power 0 of the base, so that they don't depend on the place."""
+    down = np.uint64(pow(int(base), -1, 1 << 64))
+    return (prefix[ends] - prefix[starts]) * powers(down, len(prefix))[starts]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +53,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate(([1], gap.view(np.int8))))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     prefix = prefix_hash(joined.astype(np.uint64) + np.uint64(1), BYTE_BASE)
-    hashes = mix(span_hash(prefix, starts, ends, BYTE_BASE, len(joined)))
+    hashes = mix(span_hash(prefix, starts, ends, BYTE_BASE))
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=bounds[1:])
     return hashes, np.searchsorted(starts, bounds)
@@ -65,7 +66,7 @@ def window_hashes(hashes: np.ndarray, width: int, base: np.uint64 = WORD_BASE) -
         return np.empty(0, np.uint64)
     prefix = prefix_hash(hashes, base)
     at = np.arange(n)
-    return mix(span_hash(prefix, at, at + width, base, len(hashes)))
+    return mix(span_hash(prefix, at, at + width, base))
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
