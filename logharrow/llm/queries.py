@@ -29,6 +29,13 @@ def op3_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(documents(spark, sf_dir))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.substrings import remove_repeats
+
+    found = remove_repeats(documents(spark, sf_dir), width=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.sharding import shuffle_to_shards
 
@@ -56,5 +63,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_imatch_fingerprints, op5_sharding, op6_token_files, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
