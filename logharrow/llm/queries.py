@@ -56,6 +56,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def held_out() -> "F.Column":
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.toxicity import fit, score
+
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit(docs, labels.where(~held_out()))
+    found = score(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.simhash import simhash_components
 
@@ -63,5 +76,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
