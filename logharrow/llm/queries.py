@@ -16,6 +16,39 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.lines import remove_repeated_lines
+
+    found = remove_repeated_lines(documents(spark, sf_dir), min_lines=2)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP1_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
+  FROM documents
+), seq AS (
+  SELECT doc_id, k, line, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS pos FROM lines WHERE trim(line) <> ''
+), pairs AS (
+  SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM seq
+), ranked AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, pos) AS copy FROM pairs WHERE nxt IS NOT NULL
+), late AS (
+  SELECT doc_id, pos FROM ranked WHERE copy > 1 UNION SELECT doc_id, pos + 1 FROM ranked WHERE copy > 1
+), flagged AS (
+  SELECT l.doc_id, l.k, l.line, t.pos IS NOT NULL AS gone
+  FROM lines l LEFT JOIN seq s ON s.doc_id = l.doc_id AND s.k = l.k LEFT JOIN late t ON t.doc_id = s.doc_id AND t.pos = s.pos
+), found AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS kept
+  FROM flagged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN sha256(kept) END AS kept_sha256
+FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
+"""
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.packing import pack, tokenise
 
@@ -76,5 +109,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op10_simhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op10_simhash_near_dedup)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
