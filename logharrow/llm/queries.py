@@ -102,6 +102,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Key of the queries' surrogates; a real run passes a secret.
+SURROGATE_KEY = "surrogate key of the queries"
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.surrogates import replace_entities
+
+    found = replace_entities(documents(spark, sf_dir).select("doc_id", "text"), SURROGATE_KEY)
+    return found.select("doc_id", "n_entities", F.array_join("kinds", ",").alias("kinds"), "text")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.simhash import simhash_components
 
@@ -109,5 +120,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op9_pii_surrogates, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
