@@ -102,6 +102,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.decontamination import mark
+
+    found = mark(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", F.array_join("item_ids", ",").alias("item_ids"), "best_share")
+
+
 #: Key of the queries' surrogates; a real run passes a secret.
 SURROGATE_KEY = "surrogate key of the queries"
 
@@ -120,5 +127,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op9_pii_surrogates, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
