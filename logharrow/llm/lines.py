@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logharrow.llm.columns import let
 from logharrow.llm.scratch import materialise
 
 
@@ -77,7 +78,7 @@ def remove_repeated_lines(df: DataFrame, min_lines: int = 2, id_col: str = "doc_
     gone = gone.groupBy("doc").agg(F.collect_set("at").alias("gone"))
     cut = F.split(text, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col("gone"))
-    whole = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(cut, i)), "\n"))
+    whole = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(let(cut, lambda c: F.transform(kept, lambda i: F.get(c, i))), "\n"))
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(cut)).cast("long")
     n_removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
     others = [F.col(f"row.`{c}`") for c in df.columns if c not in (text_col, "n_lines", "n_removed")]

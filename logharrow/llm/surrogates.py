@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logharrow.llm.columns import let
 from logharrow.llm.scratch import materialise
 
 #: Detection patterns, tried in this order at each place of a text.
@@ -36,9 +37,9 @@ ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "greek": "αβγδεζηθι
 GIVEN = {"m": ["Adam", "Boris", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Marco", "Nico", "Oscar", "Paul"], "f": ["Anna", "Berta", "Clara", "Diana", "Elena", "Frida", "Greta", "Helena", "Irene", "Julia", "Karin", "Laura", "Maria", "Nina", "Olga", "Paula"]}
 
 
-def _each(value: Column, f) -> Column:
-    """Map each character by its number in the string and join again."""
-    return F.array_join(F.transform(F.split(value, ""), f), "")
+def _bound(stream: Column, value: Column, f) -> Column:
+    """Map each character by its number in the string and the stream, and join again."""
+    return let(stream, lambda s: F.array_join(F.transform(F.split(value, ""), lambda c, i: f(c, i, s)), ""))
 
 
 def _draw(stream: Column, i: Column, n: int) -> Column:
@@ -50,16 +51,16 @@ def _draw(stream: Column, i: Column, n: int) -> Column:
 def _letters(value: Column, stream: Column) -> Column:
     """Letters for letters of the same script, digits for digits, all else as it is."""
 
-    def one(c, i):
+    def one(c, i, stream):
         pick = lambda alphabet: F.substring(F.lit(alphabet), _draw(stream, i, len(alphabet)) + 1, F.lit(1))
         out = F.when(c.rlike(r"^\p{IsGreek}$"), pick(ALPHABETS["greek"])).when(c.rlike(r"^\p{IsCyrillic}$"), pick(ALPHABETS["cyrillic"]))
         return out.when(c.rlike(r"^\p{L}$"), pick(ALPHABETS["latin"])).when(c.rlike(r"^\d$"), pick("0123456789")).otherwise(c)
 
-    return _each(value, one)
+    return _bound(stream, value, one)
 
 
 def _digits(value: Column, stream: Column, keep: int) -> Column:
-    return _each(value, lambda c, i: F.when(i < keep, c).otherwise(_draw(stream, i, 10).cast("string")))
+    return _bound(stream, value, lambda c, i, s: F.when(i < keep, c).otherwise(_draw(s, i, 10).cast("string")))
 
 
 def _sha(key: str, *parts: Column) -> Column:
@@ -87,7 +88,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     top = F.substring_index(domain, ".", -1)
     inner = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
     email = F.concat(_letters(host, stream), F.lit("@"), _letters(inner, _sha(key, F.lit("domain"), inner, attempt)), top)  # one domain keeps one surrogate
-    secret = _each(value, lambda c, i: F.substring(F.lit("0123456789abcdef"), _draw(stream, i, 16) + 1, F.lit(1)))
+    secret = _bound(stream, value, lambda c, i, s: F.substring(F.lit("0123456789abcdef"), _draw(s, i, 16) + 1, F.lit(1)))
     ip = F.concat_ws(".", *[_draw(stream, F.lit(i), 256 if i else 223).cast("string") for i in range(4)])
     given = F.when(value.startswith("m:"), F.get(F.array(*map(F.lit, GIVEN["m"])), _draw(stream, F.lit(60), len(GIVEN["m"])))).otherwise(F.get(F.array(*map(F.lit, GIVEN["f"])), _draw(stream, F.lit(60), len(GIVEN["f"]))))
     name = F.substring(value, F.lit(3), F.length(value))

@@ -12,12 +12,23 @@ CHUNKS = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: For vocabularies that drop white space: split at plain blanks and line ends only.
 PLAIN_SPACE = re.compile(r"[ \n]+")
-CACHE_ENTRIES = 400_000
+ANY_SPACE = re.compile(r"\s")
+CACHE_ENTRIES = 1_200_000
 LONGEST_CACHED = 64
+#: Pieces that are encoded in one call, joined.
+JOINED = 4000
 
 _encoders: dict[tuple[str, bool], "PieceEncoder"] = {}
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; equal to encoding each text whole.
 
@@ -32,24 +43,56 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.drops_space = drops_space
         self.cache: dict[str, bytes] = {}
-
-    def _raw(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        vocabulary = self.tokenizer.get_vocab()
+        #: bytes of text that each id stands for: one a character of the byte-level alphabet
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.width[i] = len(token.removesuffix("</w>") if drops_space else token)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _joined(self, pieces: list[str], glue: str) -> list[bytes]:
+        """Ids of each piece from one call over all, cut where the ids' byte widths add up to a piece's."""
+        text = glue.join(pieces)
+        ids, plain = self._ids(text), pieces
+        if self.drops_space:
+            plain, glue = self.tokenizer.normalizer.normalize_str(text).split(" "), ""
+        sizes = np.array([len(x.encode()) for x in plain])
+        ends = np.cumsum(sizes + len(glue)) - len(glue)
+        stops = np.cumsum(self.width[ids])
+        last = np.searchsorted(stops, ends)
+        if len(plain) != len(pieces) or not len(stops) or last[-1] != len(stops) - 1 or (stops[last] != ends).any():
+            return [self._ids(p).tobytes() for p in pieces]
+        first = np.concatenate(([0], last[:-1] + 1 + len(glue)))
+        return [ids[a : b + 1].tobytes() for a, b in zip(first, last)]
+
+    def _raw(self, pieces: list[str]) -> dict[str, bytes]:
+        kinds: dict[str, list[str]] = {"": [], "\n": [], "alone": []}
+        for p in pieces:
+            body = p[1:] if p[:1] == " " and not self.drops_space else p
+            simple = body and not ANY_SPACE.search(body)
+            kinds["alone" if not simple else "" if body is not p else "\n"].append(p)
+        out = {p: self._ids(p).tobytes() for p in kinds["alone"]}
+        for glue in ("", "\n"):
+            for at in range(0, len(kinds[glue]), JOINED):
+                part = kinds[glue][at : at + JOINED]
+                out.update(zip(part, self._joined(part, " " if self.drops_space else glue)))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.drops_space:  # lower case comes first in such a vocabulary; for these letters it is Python's
+            texts = [t.lower() if _latin(t) else t for t in texts]
         cut = [None if ODD_SPACE.search(t) else PLAIN_SPACE.split(t) if self.drops_space else CHUNKS.findall(t) for t in texts]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache = {}
-        new = list({p for pieces in cut if pieces for p in pieces}.difference(self.cache))
-        once: dict[str, bytes] = {}
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for p, raw in zip(part, self._raw(part)):
-                (self.cache if len(p) <= LONGEST_CACHED else once)[p] = raw
+        new = self._raw(list({p for pieces in cut if pieces for p in pieces}.difference(self.cache)))
+        once = {p: raw for p, raw in new.items() if len(p) > LONGEST_CACHED}
+        self.cache.update((p, raw) for p, raw in new.items() if len(p) <= LONGEST_CACHED)
         known, out = self.cache, []
         for t, pieces in zip(texts, cut):
             if pieces is None:
-                out.append(self._raw([t])[0])
+                out.append(self._ids(t).tobytes())
             elif once:
                 out.append(b"".join([known[p] if p in known else once[p] for p in pieces]))
             else:
