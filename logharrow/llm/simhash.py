@@ -2,7 +2,7 @@
 
 Fingerprints have 64 bits. Two that differ in at most `distance` bits agree in some block of bits up to
 distance // blocks bits, if the bits are cut into `blocks` blocks. Each block gets a covering code as its anchors: the
-perfect Hamming code of length 15 on its first bits (covering radius 1) and every pattern of the rest. A fingerprint is
+perfect Hamming code of length 15 (7 in a shorter block) on its first bits, of covering radius 1, and every pattern of the rest. A fingerprint is
 at home at the anchor that its block decodes to, and is replicated to every anchor that a block within
 distance // blocks flips would be at home at; so of two near fingerprints, one's home is among the other's anchors.
 Only fingerprints that meet at an anchor are compared.
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from logharrow.llm.components import components
 from logharrow.llm.scratch import materialise
+from logharrow.llm.words import mix
 
-HAMMING = 15
+HAMMING = (15, 7)
 #: Rows at one anchor beyond which its comparisons are split over several tasks.
 HOT_ANCHOR = 20_000
 #: Pairs compared at once.
@@ -50,18 +51,25 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """doc_id and fp (64 bits as a signed long) of each row, written to the scratch folder. Null text is as empty."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, second: bool = False) -> DataFrame:
+    """doc_id, fp and more (64 bits each, as signed longs) of each row, written to the scratch folder. Null text is as empty.
+
+    more: a second fingerprint over the shingles' hashes mixed anew, or 0 without `second`.
+    """
 
     def scan(batches):
         import pyarrow as pa
 
         for batch in batches:
-            fps = [simhash(shingle_hashes(t or b"", width)) for t in batch.column("text").cast("binary").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            fps, more = [], []
+            for t in batch.column("text").cast("binary").to_pylist():
+                hashes = shingle_hashes(t or b"", width)
+                fps.append(simhash(hashes))
+                more.append(simhash(mix(hashes)) if second else 0)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, more))], ["doc_id", "fp", "more"])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialise(rows.mapInArrow(scan, "doc_id long, fp long"), "fingerprints")
+    return materialise(rows.mapInArrow(scan, "doc_id long, fp long, more long"), "fingerprints")
 
 
 def block_edges(blocks: int) -> list[tuple[int, int]]:
@@ -70,10 +78,10 @@ def block_edges(blocks: int) -> list[tuple[int, int]]:
     return list(zip(cuts, (b - a for a, b in zip(cuts, cuts[1:]))))
 
 
-def decode(bits: np.ndarray) -> np.ndarray:
-    """Nearest codeword of the Hamming code on the lowest 15 bits: the syndrome is the place of the bit to flip."""
+def decode(bits: np.ndarray, size: int) -> np.ndarray:
+    """Nearest codeword: the syndrome of the code's bits is the place of the bit to flip."""
     syndrome = np.zeros(len(bits), np.uint64)
-    for i in range(HAMMING):
+    for i in range(next(n for n in HAMMING if n <= size)):
         syndrome ^= ((bits >> np.uint64(i)) & np.uint64(1)) * np.uint64(i + 1)
     flip = np.where(syndrome > 0, np.uint64(1) << (np.maximum(syndrome, 1) - np.uint64(1)), np.uint64(0))
     return bits ^ flip
@@ -85,8 +93,8 @@ def anchors(fps: np.ndarray, distance: int, blocks: int) -> tuple[np.ndarray, np
     for k, (first, size) in enumerate(block_edges(blocks)):
         part = (fps >> np.uint64(first)) & np.uint64((1 << size) - 1)
         masks = [sum(1 << i for i in c) for n in range(distance // blocks + 1) for c in combinations(range(size), n)]
-        home = decode(part)
-        near = np.sort(np.stack([decode(part ^ np.uint64(m)) for m in masks]), axis=0)
+        home = decode(part, size)
+        near = np.sort(np.stack([decode(part ^ np.uint64(m), size) for m in masks]), axis=0)
         first_seen = np.vstack([np.ones((1, len(fps)), bool), near[1:] != near[:-1]])
         which, row = np.nonzero(first_seen)
         code = near[which, row]
@@ -113,86 +121,88 @@ def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = after
 
 
-def _compare(keys: np.ndarray, fps: np.ndarray, homes: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def _compare(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among rows that meet at an anchor, reduced to stars; at most PAIRS pairs are held at once."""
     order = np.lexsort((~homes, keys))  # homes first within an anchor
-    keys, fps, homes = keys[order], fps[order], homes[order]
+    keys, ids, fps, more, homes = keys[order], ids[order], fps[order], more[order], homes[order]
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     n_homes = np.add.reduceat(homes.astype(np.int64), starts)
     # one line of work for each home: it meets all rows of its anchor
-    lines = np.concatenate([np.arange(s, s + h) for s, h in zip(starts[n_homes > 0], n_homes[n_homes > 0])]) if n_homes.any() else np.empty(0, np.int64)
     group = np.repeat(np.arange(len(starts)), n_homes)
+    lines = starts[group] + np.arange(len(group)) - np.repeat(np.cumsum(n_homes) - n_homes, n_homes)
     work = np.cumsum(sizes[group])
-    found_a, found_b, held = [], [], 0
-    at = 0
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held = at = 0
     while at < len(lines):
         until = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + PAIRS, "right")))
         n = sizes[group[at:until]]
-        left = np.repeat(fps[lines[at:until]], n)
-        right = fps[np.repeat(starts[group[at:until]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        near = (np.bitwise_count(left ^ right) <= distance) & (left != right)
-        x, y = left[near].view(np.int64), right[near].view(np.int64)
+        left = np.repeat(lines[at:until], n)
+        right = np.repeat(starts[group[at:until]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        near = np.flatnonzero(np.bitwise_count(fps[left] ^ fps[right]) <= distance)
+        left, right = left[near], right[near]
+        near = (np.bitwise_count(fps[left] ^ fps[right]).astype(np.int64) + np.bitwise_count(more[left] ^ more[right]) <= in_all) & (ids[left] != ids[right])
+        x, y = ids[left[near]], ids[right[near]]
         if len(x):
-            x, y = label(np.minimum(x, y), np.maximum(x, y))
-            found_a.append(x)
-            found_b.append(y)
-            held += len(x)
+            found.append(label(np.minimum(x, y), np.maximum(x, y)))
+            held += len(found[-1][0])
             if held > PAIRS:
-                x, y = label(np.concatenate(found_a), np.concatenate(found_b))
-                found_a, found_b, held = [x], [y], len(x)
+                found = [label(*(np.concatenate(z) for z in zip(*found)))]
+                held = len(found[0][0])
         at = until
-    if not found_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return label(np.concatenate(found_a), np.concatenate(found_b))
+    return label(*(np.concatenate(z) for z in zip(*found))) if found else (np.empty(0, np.int64),) * 2
 
 
-def near_links(fps: DataFrame, distance: int, blocks: int) -> DataFrame:
-    """Links a < b that connect distinct fingerprints (column fp) within `distance` bits as all such pairs would."""
-    spark = fps.sparkSession
+def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int) -> DataFrame:
+    """Links a < b of node ids that connect the same nodes as all links would.
+
+    nodes: node, fp, more; one row for each distinct (fp, more). Two are linked if their fp differ in at most `distance`
+    bits and fp and more together in at most `in_all`.
+    """
+    spark = nodes.sparkSession
 
     def keys_of(batch):
         values = batch.column("fp").to_numpy().view(np.uint64)
-        return values, *anchors(values, distance, blocks)
+        return anchors(values, distance, blocks)
 
     def count(batches):
         import pyarrow as pa
 
         for batch in batches:
             for at in range(0, len(batch), 1 << 14):
-                _, _, keys, homes = keys_of(batch.slice(at, 1 << 14))
+                _, keys, homes = keys_of(batch.slice(at, 1 << 14))
                 keys, which = np.unique(keys, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.bincount(which)), pa.array(np.bincount(which, homes).astype(np.int64))], ["key", "n", "homes"])
 
     # an anchor is listed if it has over HOT_ANCHOR rows: at most (rows / HOT_ANCHOR) of them
-    per_key = fps.mapInArrow(count, "key long, n long, homes long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
+    per_key = nodes.mapInArrow(count, "key long, n long, homes long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
     hot = {r["key"]: (-(-r["homes"] // HOT_ANCHOR) or 1, -(-r["n"] // HOT_ANCHOR)) for r in per_key.where(F.col("n") > HOT_ANCHOR).toLocalIterator()}
     hot = spark.sparkContext.broadcast(hot)
 
     def spread(batches):
-        """Rows at their anchors; at a hot one, homes are dealt into s tiles and others into t, and a tile pairs them."""
+        """Nodes at their anchors; at a hot one, homes are dealt into s tile rows and all into t columns, and a tile pairs them."""
         import pyarrow as pa
 
         for batch in batches:
             for at in range(0, len(batch), 1 << 14):
-                values, row, keys, homes = keys_of(batch.slice(at, 1 << 14))
-                tile, fp = np.zeros(len(row), np.int64), values[row]
+                part = batch.slice(at, 1 << 14)
+                row, keys, homes = keys_of(part)
+                tile = np.zeros(len(row), np.int64)
                 if hot.value:
-                    parts = [(tile, fp, keys, homes)]
                     is_hot = np.isin(keys.view(np.int64), np.array(list(hot.value)))
-                    parts = [tuple(x[~is_hot] for x in parts[0])]
+                    parts = [tuple(x[~is_hot] for x in (tile, row, keys, homes))]
+                    salt = part.column("node").to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
                     for key in np.unique(keys[is_hot]):
                         s, t = hot.value[int(key.view(np.int64))]
-                        mine = keys == key
-                        f, h = fp[mine], homes[mine]
-                        own = (f * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                        mine = np.flatnonzero(keys == key)
+                        r, home = row[mine], row[mine[homes[mine]]]
                         for i in range(s):  # as partner of the homes in tile row i
-                            parts.append(((i * t + (own % np.uint64(t)).astype(np.int64)), f, np.full(len(f), key), np.zeros(len(f), bool)))
-                        fh, oh = f[h], own[h]
+                            parts.append((i * t + (salt[r] % np.uint64(t)).astype(np.int64), r, np.full(len(r), key), np.zeros(len(r), bool)))
                         for j in range(t):  # as home in its own tile row
-                            parts.append((((oh % np.uint64(s)).astype(np.int64) * t + j), fh, np.full(len(fh), key), np.ones(len(fh), bool)))
-                    tile, fp, keys, homes = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(tile), pa.array(fp.view(np.int64)), pa.array(homes)], ["key", "tile", "fp", "home"])
+                            parts.append(((salt[home] % np.uint64(s)).astype(np.int64) * t + j, home, np.full(len(home), key), np.ones(len(home), bool)))
+                    tile, row, keys, homes = (np.concatenate(x) for x in zip(*parts))
+                own = [part.column(c).take(pa.array(row)) for c in ("node", "fp", "more")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(tile), *own, pa.array(homes)], ["key", "tile", "node", "fp", "more", "home"])
 
     def compare(batches):
         import pyarrow as pa
@@ -201,28 +211,30 @@ def near_links(fps: DataFrame, distance: int, blocks: int) -> DataFrame:
         if not held:
             return
         table = pa.Table.from_batches(held)
-        key, tile = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "tile"))
-        a, b = _compare(key + tile * np.uint64(0x632BE59BD9B4E019), table.column("fp").to_numpy().view(np.uint64), table.column("home").to_numpy(), distance)
+        del held
+        key, tile, fp, more = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "tile", "fp", "more"))
+        a, b = _compare(key + tile * np.uint64(0x632BE59BD9B4E019), table.column("node").to_numpy(), fp, more, table.column("home").to_numpy(), distance, in_all)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = fps.mapInArrow(spread, "key long, tile long, fp long, home boolean").repartition(n, "key", "tile")
+    met = nodes.mapInArrow(spread, "key long, tile long, node long, fp long, more long, home boolean").repartition(n, "key", "tile")
     return met.mapInArrow(compare, "a long, b long")
 
 
-def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 3) -> DataFrame:
+def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 3, in_all: int | None = None) -> DataFrame:
     """Fingerprint and near-duplicate component of each row: doc_id, fp long, component_id (least id reachable).
 
-    Equal fingerprints are one node, so copies never meet each other. Null, empty and blank texts have fingerprint 0,
-    linked as any other. Rows that repeat an id keep a row each. A null id takes part but never names a component
-    unless it has no other id. Extra columns are ignored, whatever their names. An empty table gives an empty result.
-    A higher `blocks` makes fewer and fuller anchors, a lower one more replicas and emptier anchors (larger corpora).
+    Two rows are linked if their 64-bit fingerprints differ in at most `distance` bits; with in_all, a second fingerprint
+    is taken and the two together may differ in at most that many of 128. Equal fingerprints are one node, so copies
+    never meet each other. Null, empty and blank texts have fingerprint 0, linked as any other. Rows that repeat an id
+    keep a row each. A null id names no component: a row with a null id takes part if a row with an id has its
+    fingerprint, else its component is null. Extra columns are ignored, whatever their names. An empty table gives an
+    empty result. A higher `blocks` makes fewer and fuller anchors (its comparisons grow faster with the corpus), a
+    lower one more replicas and emptier anchors, for larger corpora.
     """
-    docs = fingerprints(df, id_col, text_col, width)
-    nodes = materialise(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    spread = nodes.select("fp").repartition(docs.sparkSession.sparkContext.defaultParallelism)
-    roots = components(near_links(spread, distance, blocks))
-    named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = materialise(named.join(least, "root").select("fp", "component_id"), "components")
-    return docs.join(known, "fp").select("doc_id", "fp", "component_id")
+    docs = fingerprints(df, id_col, text_col, width, in_all is not None)
+    nodes = docs.where("doc_id is not null").groupBy("fp", "more").agg(F.min("doc_id").alias("node"))
+    nodes = materialise(nodes.repartition(docs.sparkSession.sparkContext.defaultParallelism), "nodes")
+    roots = components(near_links(nodes, distance, distance if in_all is None else in_all, blocks)).withColumnRenamed("root", "component_id")
+    known = nodes.join(roots, "node", "left").select("fp", "more", F.coalesce("component_id", "node").alias("component_id"))
+    return docs.join(known, ["fp", "more"], "left").select("doc_id", "fp", "component_id")
