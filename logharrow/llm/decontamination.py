@@ -20,47 +20,47 @@ BROADCAST_WINDOWS = 500_000
 #: Units and number words with placeholders of their own. Fixed values.
 UNITS = "mm cm dm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons lb lbs pound pounds oz ounce ounces ml cl l liter liters litre litres gallon gallons ms s sec second seconds min minute minutes h hour hours day days week weeks month months year years cent cents dollar dollars euro euros usd eur percent degree degrees mph kmh watt watts volt volts joule joules".split()
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
-#: Words of these shapes, punctuation at their ends aside; the sentence's first word is no name by its capital.
-NUMBER_SHAPE = r"(?<![^\s(\[\"'])[€$£+\-]?\d[\d.,:/]*(?:st|nd|rd|th|%)?(?![^\s)\]\"'.,;:!?])"
-NUMBER_WORD = rf"(?<![^\s(\[\"'])(?:{'|'.join(NUMBERS)})(?![^\s)\]\"'.,;:!?])"
-UNIT_WORD = rf"(?<=\u0001 )(?:{'|'.join(UNITS)})(?![^\s)\]\"'.,;:!?])"
-NAME = r"(?<=[\p{L}\p{N},;:\u0001] )\p{Lu}[\p{Ll}'\-]+(?![^\s)\]\"'.,;:!?])"
-#: Placeholders as single control characters, which no text has after cleaning.
+#: A capital inside a sentence makes a name: after a letter, a digit or a comma and one blank.
+NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] .)[\p{Ll}'\-]+(?![^\s)\]\"'.,;:!?])"
+#: Punctuation at the ends of words.
+EDGES = r"[\p{P}\p{S}]+(?=\s|$)|(?<=\s)[\p{P}\p{S}]+|^[\p{P}\p{S}]+"
+#: Placeholders as single control characters, which no text has after cleaning; PERSON also marks names in words().
 NUM, UNIT, PERSON = "\u0001", "\u0002", "\u0003"
 SLOTS = f"[{NUM}{UNIT}{PERSON}]"
 
 
-def template_words(text: Column) -> Column:
-    """Words of the template: lower case, punctuation at the ends removed, placeholders for typed slots."""
+def words(text: Column) -> Column:
+    """Words in lower case without punctuation at their ends; PERSON stands before a name."""
     clean = F.regexp_replace(text, r"[\u0001-\u0003]", " ")
-    clean = F.regexp_replace(F.regexp_replace(clean, NUMBER_SHAPE, NUM), f"(?i){NUMBER_WORD}", NUM)
-    clean = F.regexp_replace(F.regexp_replace(clean, f"(?i){UNIT_WORD}", UNIT), NAME, PERSON)
-    return _cut(F.lower(clean))
+    marked = F.lower(F.regexp_replace(clean, NAME, PERSON + "$0"))
+    return F.filter(F.split(F.regexp_replace(marked, EDGES, ""), r"[\s|]+"), lambda w: w != "")
 
 
-def plain_words(text: Column) -> Column:
-    """The words that template_words() stands for, one for one."""
-    return _cut(F.lower(F.regexp_replace(text, r"[\u0001-\u0003]", " ")))
+def _is_number(word: Column) -> Column:
+    return F.substring(word, 1, 1).between("0", "9") | word.isin(NUMBERS)
 
 
-def _cut(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\s|]+"), lambda w: w != "")
+def _slot(word: Column, i: Column, all_words: Column) -> Column:
+    """A word's place in the template: itself or a placeholder. A unit is one only after a number."""
+    unit = word.isin(UNITS) & F.coalesce(_is_number(F.get(all_words, i - 1)), F.lit(False))
+    return F.when(word.startswith(PERSON), PERSON).when(_is_number(word), NUM).when(unit, UNIT).otherwise(word)
 
 
-def _trim(word: Column) -> Column:
-    return F.regexp_replace(word, r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "")
+def template(of: Column) -> Column:
+    """The template of words()."""
+    return let(of, lambda ws: F.transform(ws, lambda w, i: _slot(w, i, ws)))
 
 
-def window_hashes(words: Column) -> Column:
-    """Hash of each WINDOW words of the template, punctuation at the words' ends aside; an empty array if too short."""
-    hashes = F.transform(words, lambda w: F.xxhash64(_trim(w)))
+def window_hashes(of: Column) -> Column:
+    """Hash of each WINDOW words of the template of words(); there must be that many."""
+    hashes = let(of, lambda ws: F.transform(ws, lambda w, i: F.xxhash64(_slot(w, i, ws))))
     return let(hashes, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)])))
 
 
 def windows(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """key, pos, h: every template window of every row; texts of under WINDOW words have none."""
-    words = df.select(F.col(key), template_words(F.col(text_col)).alias("words")).where(F.size("words") >= WINDOW)
-    return words.select(key, F.posexplode(window_hashes(F.col("words"))).alias("pos", "h"))
+    cut = df.select(F.col(key), words(F.col(text_col)).alias("words")).where(F.size("words") >= WINDOW)
+    return cut.select(key, F.posexplode(window_hashes(F.col("words"))).alias("pos", "h"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -84,13 +84,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     pairs = materialise(pairs.select("doc", "item_id", "share"), "pairs")
 
     # slots: values at the same place of a shared window, only for pairs whose item has slots
-    slotted = items.select("item_id", template_words(F.col("text")).alias("t"), plain_words(F.col("text")).alias("w")).where(F.exists("t", lambda x: x.rlike(SLOTS)))
-    slotted = slotted.where(F.size("t") == F.size("w"))
+    slotted = items.select("item_id", words(F.col("text")).alias("w")).withColumn("t", template(F.col("w"))).where(F.exists("t", lambda x: x.rlike(SLOTS)))
     check = pairs.join(F.broadcast(slotted) if small else slotted, "item_id")
-    texts = keyed.join(check.select("doc").distinct(), "doc", "left_semi").select("doc", template_words(F.col("text")).alias("dt"), plain_words(F.col("text")).alias("dw")).distinct()
+    texts = keyed.join(check.select("doc").distinct(), "doc", "left_semi").select("doc", words(F.col("text")).alias("dw")).distinct()
     places = met.join(check.select("doc", "item_id"), "doc").join(wanted, ["item_id", "h"]).select("doc", "item_id", F.explode(F.array(*[F.struct((F.col("pos") + k).alias("p"), (F.col("q") + k).alias("q")) for k in range(WINDOW)])).alias("at")).distinct()
-    values = places.join(check, ["doc", "item_id"]).join(texts, "doc").where(F.size("dt") == F.size("dw"))
-    values = values.where(F.get("t", F.col("at.q")).rlike(SLOTS)).select("doc", "item_id", _trim(F.get("w", F.col("at.q"))).alias("a"), _trim(F.get("dw", F.col("at.p"))).alias("b"))
+    values = places.join(check, ["doc", "item_id"]).join(texts, "doc")
+    values = values.where(F.get("t", F.col("at.q")).rlike(SLOTS)).select("doc", "item_id", F.get("w", F.col("at.q")).alias("a"), F.get("dw", F.col("at.p")).alias("b"))
     counts = values.groupBy("doc", "item_id", "a", "b").agg(F.count("*").alias("n"))
     by_value = counts.groupBy("doc", "item_id", "a").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
     slots = by_value.groupBy("doc", "item_id").agg((F.sum("most") / F.sum("all")).alias("consistency"), F.sum("all").alias("n_slots"))
