@@ -1,0 +1,59 @@
+"""Surrogates: types, formats, coreference, distinctness."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from logharrow.llm import surrogates as S
+
+KEY = "test key"
+
+
+def run(df):
+    return {r.doc_id: r for r in S.replace_entities(df, KEY).collect()}
+
+
+def test_types_and_formats(docs):
+    rows = [
+        (1, "Mail anna.b-72@mail3.example.com or ANNA.B-72@MAIL3.EXAMPLE.COM now."),
+        (2, "Call +1 (017) 555-7713, or 017-555-7713; card 4952 9352 5900 2530 or 4952935259002530"),
+        (3, "Host 97.51.17.173. token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" and SSN 123-45-6789"),
+        (4, "Mr. Ivan Petrov met Mrs Anna Schmidt; Mr Ivan Petrov left. Frau Müller too. Herr Иванов Петр"),
+        (5, "Version 2.0. of 3 items, 1.2.3 and 999.1.1.1"),
+    ]
+    got = run(docs(rows))
+    assert re.fullmatch(r"Mail [a-z]{4}\.[a-z]-\d\d@[a-z]{4}\d\.[a-z]{7}\.com or [A-Z]{4}\.[A-Z]-\d\d@[A-Z]{4}\d\.[A-Z]{7}\.COM now\.", got[1].text)
+    a, b = re.findall(r"\S+@\S+", got[1].text)
+    assert a.upper() == b and a != "anna.b-72@mail3.example.com"
+    assert re.fullmatch(r"Call \+1 \(\d{3}\) \d{3}-\d{4}, or \d{3}-\d{3}-\d{4}; card \d{4} \d{4} \d{4} \d{4} or \d{16}", got[2].text)
+    c, d = re.search(r"card ([\d ]{19}) or (\d{16})", got[2].text).groups()
+    assert c.replace(" ", "") == d != "4952935259002530"
+    assert re.search(r"^Host \d+(\.\d+){3}\. token = \"[0-9a-f]{40}\" and SSN \d{3}-\d{2}-\d{4}$", got[3].text) and "97.51.17.173" not in got[3].text
+    names = re.fullmatch(r"Mr\. (\w+ \w+) met Mrs (\w+ \w+); Mr (\w+ \w+) left\. Frau (\w+) too\. Herr ([а-яА-Я]+ [а-яА-Я]+)", got[4].text)
+    assert names and names[1] == names[3] and names[1].split()[0] in S.GIVEN["m"] and names[2].split()[0] in S.GIVEN["f"] and names[5] != "Иванов Петр"
+    assert got[5].text == rows[4][1] and got[5].n_entities == 0 and list(got[2].kinds) == ["card", "phone"]
+
+
+def test_coreference_and_distinctness(docs):
+    rows = [(i, f"x {i % 300 // 2}.{i % 7}.0.{i % 250} y") for i in range(2000)]
+    got = run(docs(rows))
+    pairs = {(t, got[i].text) for i, t in rows if got[i].n_entities}
+    assert len(pairs) > 1000 and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+    assert not {a for a, _ in pairs} & {b for _, b in pairs}
+
+
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    entities = spark.createDataFrame([("ip", f"1.1.1.{i}") for i in range(40)], "kind string, value string")
+    first = S.surrogate
+    # the first draws fall into three values, one of which is real
+    monkeypatch.setattr(S, "surrogate", lambda key, kind, value, attempt: F.when(attempt == "0", F.concat(F.lit("1.1.1."), F.pmod(F.xxhash64(value), F.lit(3)).cast("string"))).otherwise(first(key, kind, value, attempt)))
+    got = S.mapping(entities, KEY).collect()
+    assert len({r.stand_in for r in got}) == 40 and not {r.stand_in for r in got} & {r.value for r in got}
+
+
+def test_edges(docs, awkward):
+    df = docs(awkward + [(20, "a@b.com"), (20, "a@b.com"), (None, "c@d.org"), (21, "e@f.net " * 3000)])
+    got = S.replace_entities(df, KEY)
+    assert got.count() == len(awkward) + 4 and got.where("doc_id = 2 and text is null").count() == 1
+    assert got.where("doc_id = 21").first().n_entities == 3000 and got.where("doc_id = 20").select("text", "n_entities").distinct().count() == 1
+    assert S.replace_entities(docs([]), KEY).count() == 0 and S.replace_entities(df, "other").where("doc_id = 20").first().text != got.where("doc_id = 20").first().text
