@@ -50,8 +50,12 @@ def status_hash(triple: Column) -> Column:
 
 
 def floor_window(ts: Column, minutes: int) -> Column:
-    """Start of the tumbling window from midnight on; keeps the kind of timestamp."""
-    return F.window(ts, f"{minutes} minutes").getField("start")
+    """Start of the tumbling window (counted from the epoch); keeps the kind of timestamp, null for null.
+
+    No time-window expression: that one drops rows without a time from the whole plan.
+    """
+    past = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(minutes * 60_000_000)) / 1e6
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), past.cast("decimal(18,6)"))
 
 
 def sliding_windows(start: Column, end: Column, window_minutes: int = 5, step_minutes: int = 1) -> Column:
