@@ -69,6 +69,27 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP4_SQL = """
+WITH cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws FROM documents
+), word AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM cut
+), win AS (
+  SELECT doc_id, word, i, CASE WHEN count(*) OVER w = 50 THEN string_agg(word, ' ') OVER w END AS seq
+  FROM word WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), late AS (
+  SELECT doc_id, word, i, seq IS NOT NULL AND min(doc_id) OVER (PARTITION BY seq) < doc_id AS starts FROM win
+), covered AS (
+  SELECT doc_id, word, i, bool_or(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM late
+), found AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
+"""
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.sharding import shuffle_to_shards
 
@@ -128,4 +149,4 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup)}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL}
