@@ -159,12 +159,9 @@ def inputs(found: list[int], tokens: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([at, at + FEATURES]), np.concatenate([np.ones(len(n)), np.log1p(100 * often / max(tokens, 1))])
 
 
-def _fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, penalty: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty by Adam on sparse rows."""
+def _fit(row: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, float]:
+    """Logistic regression with an L2 penalty by Adam; entry k has value x[k] in row row[k] and column at[k]."""
     n, size = len(y), 2 * FEATURES
-    row = np.repeat(np.arange(n), [len(a) for a, _ in rows])
-    at = np.concatenate([a for a, _ in rows] or [np.zeros(0, np.int64)])
-    x = np.concatenate([v for _, v in rows] or [np.zeros(0)])
     w, b = np.zeros(size), math.log((y.sum() + 1) / (n - y.sum() + 1))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
@@ -232,11 +229,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
         for batch in batches:
             rows = [inputs(*partial.value.hits(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.int64())), pa.array([r[1] for r in rows], pa.list_(pa.float64())), batch.column("y")], ["at", "x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), batch.column("y")], ["at", "x", "y"])
 
-    got = sample.mapInArrow(vectors, "at array<long>, x array<double>, y int").toArrow()  # bounded: TRAINING_ROWS x few hits
-    rows = [(np.array(a, np.int64), np.array(x, np.float64)) for a, x in zip(got.column("at").to_pylist(), got.column("x").to_pylist())]
-    model.weights, model.bias = _fit(rows, (np.array(got.column("y").to_pylist()) > 0).astype(float))
+    got = sample.mapInArrow(vectors, "at array<int>, x array<float>, y int").toArrow()  # bounded: TRAINING_ROWS x few hits
+    at, x = (got.column(c).combine_chunks() for c in ("at", "x"))  # flat arrays, never a Python object an entry
+    row = np.repeat(np.arange(len(got), dtype=np.int32), at.value_lengths().to_numpy())
+    y = (got.column("y").to_numpy() > 0).astype(float)
+    model.weights, model.bias = _fit(row, at.flatten().to_numpy(), x.flatten().to_numpy(), y)
     return model
 
 
