@@ -53,7 +53,8 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
 
 def repeated_runs(ranks: DataFrame, depth: int) -> DataFrame:
     """Maximal runs of lines that are later copies: doc, first and last (pos)."""
-    first = ranks.groupBy("rank").agg(F.min(F.struct("doc", "pos")).alias("first"))
+    # written, so that the join has an exchange of its own on either side and a very common line can be split
+    first = materialise(ranks.groupBy("rank").agg(F.min(F.struct("doc", "pos")).alias("first")), "first-copies")
     later = ranks.join(first, "rank").where(F.struct("doc", "pos") > F.col("first"))
     by = Window.partitionBy("doc").orderBy("pos")
     broken = F.coalesce((F.col("pos") - F.lag("pos").over(by) > depth).cast("int"), F.lit(1))
