@@ -21,8 +21,8 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Sra"],
 }
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}](?:[\p{L}\p{N}\-]*\.)+\p{L}{2,24}",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}](?:[\p{L}\p{N}\-]*\.)+\p{L}{2,24}",
+    "secret": r"(?<![\p{L}\p{N}])(?=[a-fA-F]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?\d)",
     "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
@@ -30,8 +30,9 @@ PATTERNS = {
     "person": r"(?<!\p{L})(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? \p{Lu}[\p{L}'\-]+(?: \p{Lu}[\p{L}'\-]+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these cannot match.
-MAYBE = r"[\d@]|[0-9a-fA-F]{32}|(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? \p{Lu}"
+#: A text without a digit, an @ or a title cannot match; a title's first letter is looked for before its alternatives.
+DIGIT_OR_AT = "[0-9@]"
+TITLE = "(?:" + "|".join(f"{c}(?:" + "|".join(t[1:] for ts in TITLES.values() for t in ts if t[0] == c) + ")" for c in sorted({t[0] for ts in TITLES.values() for t in ts})) + r")\.? \p{Lu}"
 #: Letters of each script that stand for each other, and names by gender. Fixed values.
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя"}
 GIVEN = {"m": ["Adam", "Boris", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Marco", "Nico", "Oscar", "Paul"], "f": ["Anna", "Berta", "Clara", "Diana", "Elena", "Frida", "Greta", "Helena", "Irene", "Julia", "Karin", "Laura", "Maria", "Nina", "Olga", "Paula"]}
@@ -148,7 +149,7 @@ def replace_entities(df: DataFrame, key: str, id_col: str = "doc_id", text_col:
     """
     text = F.col(f"row.`{text_col}`")
     rows = df.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text")).alias("doc"))
-    maybe = text.rlike(MAYBE)
+    maybe = text.rlike(DIGIT_OR_AT) | text.rlike(TITLE)
     found = rows.withColumn("raws", F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
     some = F.coalesce(F.size("raws") > 0, F.lit(False))
     occurrences = found.where(some).select("doc", F.posexplode("raws").alias("i", "raw")).withColumn("kind", kind_of(F.col("raw")))
