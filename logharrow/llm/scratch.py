@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no shared folder (local mode, tests).
 LOCAL_FALLBACK = "file:///tmp/checkpoints/logharrow"
+_made: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -20,7 +22,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the scratch root that no other call gets."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -30,12 +33,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete every scratch table of this driver, once all results that read them are written elsewhere."""
+    while _made:
+        drop_path(spark, _made.pop())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path that nothing reads any more."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps: it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files behind a table that materialise() returned."""
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

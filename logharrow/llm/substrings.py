@@ -15,10 +15,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logharrow.llm.scratch import materialise
+from logharrow.llm.scratch import drop, materialise, release
 from logharrow.llm.words import MIX_1, SECOND_BASE, byte_batches, mix, sliding_min, window_hashes, word_hashes
 
 SHINGLE = 16
+#: Text that is hashed at once; a worker needs about a hundred times this for its arrays.
+BATCH_BYTES = 1 << 20
 
 
 def window_anchors(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -41,7 +43,7 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
 
-        for piece, texts in byte_batches(batches, "text"):
+        for piece, texts in byte_batches(batches, "text", BATCH_BYTES):
             hashes, first = word_hashes(texts)
             starts, doc = inside(first, width)
             anchors = window_anchors(hashes, width)[starts]
@@ -81,12 +83,14 @@ def remove_repeats(df: DataFrame, width: int = 50, id_col: str = "doc_id", text_
     shared = own.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
     wanted = own.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     wanted = materialise(wanted, "shared-anchors")
+    drop(scanned)
+    release(df.sparkSession)
 
     # second scan: hashes of the windows with such an anchor, only in documents that have one
     def windows(batches):
         import pyarrow as pa
 
-        for piece, texts in byte_batches(batches, "text"):
+        for piece, texts in byte_batches(batches, "text", BATCH_BYTES):
             hashes, first = word_hashes(texts)
             starts, doc = inside(first, width)
             anchors = window_anchors(hashes, width)[starts]
@@ -104,8 +108,13 @@ def remove_repeats(df: DataFrame, width: int = 50, id_col: str = "doc_id", text_
 
     some = docs.join(wanted, "doc_id")
     hashed = materialise(some.mapInArrow(windows, "doc_id long, at long, h1 long, h2 int"), "windows")
-    first_seen = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2", "least")
+    release(df.sparkSession)
+    first_seen = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    # written, so that the join below has an exchange of its own on either side and a very common window can be split
+    first_seen = materialise(first_seen.select("h1", "h2", "least"), "repeated-windows")
     late = hashed.join(first_seen, ["h1", "h2"]).where("doc_id > least").groupBy("doc_id").agg(F.sort_array(F.collect_list("at")).alias("starts"))
+    late = materialise(late, "late-windows")
+    release(df.sparkSession)
     late = late.unionByName(copies.select("doc_id", F.array(F.lit(-1).cast("long")).alias("starts")))  # -1: all words
 
     def cut(batches):
