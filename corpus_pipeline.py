@@ -10,14 +10,14 @@ from logharrow.llm.lines import remove_repeated_lines
 from logharrow.llm.packing import pack, tokenise
 from logharrow.llm.queries import vocabulary
 from logharrow.llm.scratch import materialise
-from logharrow.llm.simhash import simhash_components
+from logharrow.llm.simhash import similar_rows
 from logharrow.llm.toxicity import fit, score
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REJECT_FROM = 0.5
 MIN_LINES = 2
-#: Five-word shingles. Of two 64-bit fingerprints, shingle sets of similarity 0.8 differ in 9.7 bits each on average.
-SHINGLE_WORDS, DISTANCE, IN_ALL, BLOCKS = 5, 9, 19, 5
+#: Near-duplicates: Jaccard similarity of the sets of five-word shingles.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +32,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
-    found = simhash_components(docs, width=SHINGLE_WORDS, distance=DISTANCE, blocks=BLOCKS, in_all=IN_ALL)
-    gone = materialise(found.where("doc_id != component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of near-duplicates the row with the least id stays; rows are told apart by id and text."""
+    found = similar_rows(docs, SHINGLE_WORDS, SIMILARITY)
+    gone = materialise(found.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h")), "near-duplicates")
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_h"))
+    return docs.join(gone, same, "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

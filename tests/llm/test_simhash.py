@@ -75,3 +75,24 @@ def test_components(spark):
     got = {x.node: x.root for x in components(spark.createDataFrame([*links, (None, 1)], "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{1000 + i: 1000 for i in range(1, 50)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_exact_similarity(spark, docs, prose):
+    """Links are those of similarity 0.8 or more: above it none is lost, below it none is made, and rows of one id stay apart."""
+    r = random.Random(11)
+    rows, want = [], set()
+    for k in range(120):
+        words = prose(300, 500 + k).split()
+        edits = 5 if k % 2 else 9  # each changes 5 of 296 shingles: similarity 0.844 or 0.736
+        changed = list(words)
+        for at in r.sample(range(10, 290, 6), edits):
+            changed[at] = f"other{k}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
+        if k % 2:
+            want.add(2 * k + 1)
+    rows += [(1000, prose(50, 1)), (1001, prose(50, 1)), (1001, prose(50, 2)), (None, prose(50, 3)), (None, prose(50, 2))]
+    got = [(x.doc_id, x.h) for x in S.similar_rows(docs(rows)).collect()]
+    pairs = {i for i, _ in got if i is not None and i < 1000}
+    assert not pairs - want and len(pairs) >= 0.97 * len(want)
+    assert sorted(str(i) for i, _ in got if i is None or i >= 1000) == ["1001", "None"]
+    assert S.similar_rows(docs([])).count() == 0
