@@ -3,7 +3,8 @@
 A text's template has typed placeholders for its numbers, units and names, so that a question with other parameters has
 the same template. Windows of WINDOW template words are hashed and joined to the benchmark's; a document that holds at
 least SHARE of an item's distinct windows is a candidate. Where the shared windows have slots, the values must go over
-from the item to the document consistently: each value of the item becomes one value of the document.
+from the item to the document consistently: each value of the item becomes one value of the document, within one
+occurrence of the item (one shift between their places). Windows that repeat the item word by word need no such check.
 """
 
 from __future__ import annotations
@@ -81,19 +82,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item_hashes = wanted.select("item_id", "h").distinct()
     pairs = met.select("doc", "h").distinct().join(F.broadcast(item_hashes) if small else item_hashes, "h").groupBy("doc", "item_id").agg(F.count("*").alias("shared"))
     pairs = pairs.join(F.broadcast(total) if small else total, "item_id").withColumn("share", F.col("shared") / F.col("total")).where(F.col("share") >= SHARE)
-    pairs = materialise(pairs.select("doc", "item_id", "share"), "pairs")
+    pairs = materialise(pairs.select("doc", "item_id", "share", "total"), "pairs")
 
     # slots: values at the same place of a shared window, only for pairs whose item has slots
     slotted = items.select("item_id", words(F.col("text")).alias("w")).withColumn("t", template(F.col("w"))).where(F.exists("t", lambda x: x.rlike(SLOTS)))
     check = pairs.join(F.broadcast(slotted) if small else slotted, "item_id")
     texts = keyed.join(check.select("doc").distinct(), "doc", "left_semi").select("doc", words(F.col("text")).alias("dw")).distinct()
-    places = met.join(check.select("doc", "item_id"), "doc").join(wanted, ["item_id", "h"]).select("doc", "item_id", F.explode(F.array(*[F.struct((F.col("pos") + k).alias("p"), (F.col("q") + k).alias("q")) for k in range(WINDOW)])).alias("at")).distinct()
-    values = places.join(check, ["doc", "item_id"]).join(texts, "doc")
-    values = values.where(F.get("t", F.col("at.q")).rlike(SLOTS)).select("doc", "item_id", F.get("w", F.col("at.q")).alias("a"), F.get("dw", F.col("at.p")).alias("b"))
-    counts = values.groupBy("doc", "item_id", "a", "b").agg(F.count("*").alias("n"))
-    by_value = counts.groupBy("doc", "item_id", "a").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-    slots = by_value.groupBy("doc", "item_id").agg((F.sum("most") / F.sum("all")).alias("consistency"), F.sum("all").alias("n_slots"))
-    judged = pairs.join(slots, ["doc", "item_id"], "left").select("doc", "item_id", "share", F.coalesce("consistency", F.lit(1.0)).alias("consistency"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
+    hits = met.join(check.select("doc", "item_id"), "doc").join(wanted, ["item_id", "h"]).join(check, ["doc", "item_id"]).join(texts, "doc")
+    part = lambda of, at: F.slice(of, F.col(at).cast("int") + 1, WINDOW)
+    hits = hits.select("doc", "item_id", "total", "h", "pos", "q", part("w", "q").alias("a"), part("dw", "pos").alias("b"), part("t", "q").alias("t"))
+    hits = materialise(hits.withColumn("shift", F.col("pos") - F.col("q")), "slot-windows")
+    # every shift is an occurrence of its own; null stands for all of them together, for copies with words put in or left out
+    places = hits.select("doc", "item_id", "shift", F.explode(F.array(*[F.struct((F.col("pos") + k).alias("p"), (F.col("q") + k).alias("q"), F.get("a", F.lit(k)).alias("a"), F.get("b", F.lit(k)).alias("b"), F.get("t", F.lit(k)).alias("t")) for k in range(WINDOW)])).alias("at")).distinct()
+    places = places.where(F.col("at.t").rlike(SLOTS)).select("doc", "item_id", F.explode(F.array("shift", F.lit(None).cast("int"))).alias("shift"), "at.a", "at.b")
+    counts = places.groupBy("doc", "item_id", "shift", "a", "b").agg(F.count("*").alias("n"))
+    by_value = counts.groupBy("doc", "item_id", "shift", "a").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+    slots = by_value.groupBy("doc", "item_id", "shift").agg((F.sum("most") / F.sum("all")).alias("consistency"), F.sum("all").alias("n_slots"))
+    # an occurrence counts alone if it holds enough of the item; windows that equal the item's word by word need no check
+    whole = hits.groupBy("doc", "item_id", "shift", "total").agg(F.count_distinct("h").alias("held")).where(F.col("held") / F.col("total") >= SHARE).select("doc", "item_id", "shift")
+    alone = slots.join(whole, ["doc", "item_id", "shift"], "left_semi").unionByName(slots.where("shift is null"))
+    same = hits.where(F.col("a") == F.col("b")).groupBy("doc", "item_id", "total").agg(F.count_distinct("h").alias("held")).where(F.col("held") / F.col("total") >= SHARE)
+    verbatim = same.select("doc", "item_id", F.lit(1.0).alias("verbatim"))
+    best = alone.groupBy("doc", "item_id").agg(F.max("consistency").alias("consistency"), F.max("n_slots").alias("n_slots"))
+    judged = pairs.join(best, ["doc", "item_id"], "left").join(verbatim, ["doc", "item_id"], "left")
+    judged = judged.select("doc", "item_id", "share", F.coalesce("verbatim", "consistency", F.lit(1.0)).alias("consistency"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
     return judged.where(F.col("consistency") >= CONSISTENT)
 
 

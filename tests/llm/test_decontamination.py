@@ -61,3 +61,15 @@ def test_edges(spark, docs, awkward):
     got = D.mark(docs(awkward), items)
     assert got.count() == len(awkward) and got.where("n_items > 0").count() == 0 and set(docs([]).columns) < set(got.columns)
     assert D.mark(docs([]), items).count() == 0 and D.mark(docs(awkward), items.limit(0)).where("n_items > 0").count() == 0
+
+
+def test_aligned_occurrences(spark, docs, prose):
+    """Repeated windows in an item and a second instance in a document don't make a copy inconsistent."""
+    item = "3 red apples and 4 green pears, then Mary buys 5 red apples and 6 green pears, then Mary buys 7 red apples and 8 green pears"
+    swap = item.translate(str.maketrans("345678", "914526"))
+    items = spark.createDataFrame([(1, item), (2, ITEMS[0][1])], "item_id long, text string")
+    other = ITEMS[0][1].replace("120", "95").replace("3 ", "7 ").replace("20 ", "45 ").replace("Anna", "Berta")
+    pad = prose(30, 2)
+    rows = [item, f"{pad} {item} {pad}", f"{pad} {swap}", f"{ITEMS[0][1]} {pad} {other}", f"{other} {pad} {ITEMS[0][1]} {other}", pad]
+    got = {r.doc_id: list(r.item_ids) for r in D.mark(docs(rows), items).collect()}
+    assert got == {0: [1], 1: [1], 2: [1], 3: [2], 4: [2], 5: []}
