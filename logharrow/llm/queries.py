@@ -19,7 +19,7 @@ def vocabulary(name: str) -> str:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logharrow.llm.lines import remove_repeated_lines
 
-    found = remove_repeated_lines(documents(spark, sf_dir), min_lines=2)
+    found = remove_repeated_lines(documents(spark, sf_dir), min_lines=2, min_chars=50)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -34,7 +34,8 @@ WITH lines AS (
 ), ranked AS (
   SELECT doc_id, pos, row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, pos) AS copy FROM pairs WHERE nxt IS NOT NULL
 ), late AS (
-  SELECT doc_id, pos FROM ranked WHERE copy > 1 UNION SELECT doc_id, pos + 1 FROM ranked WHERE copy > 1
+  SELECT doc_id, pos FROM ranked WHERE copy > 1 UNION SELECT doc_id, pos + 1 FROM ranked WHERE copy > 1 UNION
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, line, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS copy FROM seq) WHERE copy > 1 AND length(line) >= 50
 ), flagged AS (
   SELECT l.doc_id, l.k, l.line, t.pos IS NOT NULL AS gone
   FROM lines l LEFT JOIN seq s ON s.doc_id = l.doc_id AND s.k = l.k LEFT JOIN late t ON t.doc_id = s.doc_id AND t.pos = s.pos
