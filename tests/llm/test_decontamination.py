@@ -1,6 +1,9 @@
 """Decontamination against brute force, and re-parameterised questions."""
 
 import random
+from collections import Counter, defaultdict
+
+import regex
 
 from logharrow.llm import decontamination as D
 
@@ -24,11 +27,11 @@ def test_leaks(spark, docs, prose):
         (2, f"{pad} A train covers 95 miles in seven hours while Berta waits for 45 minutes at the old station. How fast was it? {pad}"),
         (3, f"{pad} the QUICK brown fox, jumps over the lazy dog; and then runs home through the dark wood again {pad}"),
         (4, f"{pad} the quick brown fox jumps over a cat {pad}"),
-        (5, pad), (6, ""), (7, None), (8, "too short here"), (9, f"{ITEMS[1][1]} {ITEMS[0][1]}"),
+        (5, pad), (6, ""), (7, None), (8, f"{pad} is Too short, here {pad}"), (9, f"{ITEMS[1][1]} {ITEMS[0][1]}"),
         (10, "A train covers 120 km in 3 hours while Anna waits for 20 minutes at the"),
     ]
     got = found(spark, docs, rows)
-    assert {i for i, x in got.items() if x} == {1, 2, 3, 9} and got[9] == [1, 2] and got[2] == [1] and len(got) == 10
+    assert {i for i, x in got.items() if x} == {1, 2, 3, 8, 9} and got[9] == [1, 2] and got[2] == [1] and got[8] == [3] and len(got) == 10
 
 
 def test_inconsistent_slots(spark, docs):
@@ -40,6 +43,71 @@ def test_inconsistent_slots(spark, docs):
     assert got == {0: 1, 1: 0}
 
 
+def brute_words(text):
+    """(plain word, placeholder or None) by the rules of the operator's docstrings."""
+    text = regex.sub("[\x01-\x03]", " ", text or "")
+    marked = regex.sub(D.NAME, lambda m: D.PERSON + m[0], text).lower()
+    ws = [w for w in regex.split(r"[\s|]+", regex.sub(D.EDGES, "", marked)) if w]
+    number = lambda w: "0" <= w[0] <= "9" or w in D.NUMBERS
+    return [(w.removeprefix(D.PERSON), D.PERSON if w[0] == D.PERSON else D.NUM if number(w) else D.UNIT if w in D.UNITS and k and number(ws[k - 1]) else None) for k, w in enumerate(ws)]
+
+
+def brute_leaks(doc, item):
+    """The whole rule for one document and one item, over all pairs of windows."""
+    d, i = brute_words(doc), brute_words(item)
+    if not i:
+        return False
+    p, q = [w for w, _ in d], [w for w, _ in i]
+    if len(i) < 5:
+        return any(p[k : k + len(q)] == q for k in range(len(p) - len(q) + 1))
+    grams = lambda ws: [tuple(ws[k : k + 5]) for k in range(len(ws) - 4)]
+    tp, tq = grams([s or w for w, s in d]), grams([s or w for w, s in i])
+    enough = lambda found, all_of: len(set(found)) >= 0.8 * len(set(all_of)) - 1e-9
+    if enough(set(grams(p)) & set(grams(q)), grams(q)):
+        return True
+    hits = [(a, b) for a, x in enumerate(tp) for b, y in enumerate(tq) if x == y]
+    if not enough([tq[b] for _, b in hits], tq):
+        return False
+    if not any(s for _, s in i):
+        return True
+    for shift in {None} | {a - b for a, b in hits}:
+        mine = [(a, b) for a, b in hits if shift is None or a - b == shift]
+        if shift is not None and not enough([tq[b] for _, b in mine], tq):
+            continue
+        # a place counts once in each shift, so over all of them together once a shift
+        seen = {(a - b, a + k, b + k) for a, b in mine for k in range(5) if i[b + k][1]}
+        counts = defaultdict(Counter)
+        for _, a, b in seen:
+            counts[q[b]][p[a]] += 1
+        if counts and sum(max(c.values()) for c in counts.values()) >= 0.8 * sum(sum(c.values()) for c in counts.values()):
+            return True
+    return False
+
+
+def test_brute_force_with_slots(spark, docs, prose):
+    """Random re-parameterised, cut, shuffled, upper- and lower-cased copies of items with slots, against the whole rule."""
+    r = random.Random(21)
+    names, pieces = ["Tom", "Mia", "Ravi", "Zoe", "Lee"], ["{n} has {x} marbles", "{n} gives {y} kg to {m}", "then {m} waits {x} minutes", "what is left after {y} days", "a {x} km walk home", "the old station"]
+    make = lambda parts, v: ". ".join(s.format(**v) for s in parts)
+    value = lambda: {"n": r.choice(names), "m": r.choice(names), "x": r.choice([3, 7, "seven", 12]), "y": r.randint(1, 99)}
+    shapes = [r.sample(pieces, r.randint(2, 5)) for _ in range(12)]
+    items = [(k, make(s, value())) for k, s in enumerate(shapes)] + [(50, "Who wrote Hamlet?"), (51, "Yes"), (52, ""), (53, None), (54, "...")]
+    rows = []
+    for k in range(90):
+        shape = list(r.choice(shapes))
+        if k % 5 == 0:
+            r.shuffle(shape)
+        text = make(shape, value()) if k % 3 else dict(items)[r.randrange(12)]
+        if k % 7 == 0:
+            text = " ".join(text.split()[2:])
+        text = text.lower() if k % 11 == 0 else text.upper() if k % 13 == 0 else text
+        rows.append((k, f"{prose(8, k)} {text}, {prose(8, k + 500)}" + (f" {make(shape, value())}" if k % 4 == 0 else "")))
+    rows += [(100, prose(9, 1) + " who WROTE hamlet " + prose(9, 2)), (101, "say yes."), (102, None), (103, "")]
+    got = {x.doc_id: list(x.item_ids) for x in D.mark(docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {i: [k for k, t in items if brute_leaks(d, t)] for i, d in rows}
+    assert got == want and sum(map(bool, want.values())) > 30 and not all(want.values())
+
+
 def test_random_windows(spark, docs):
     """Without slots, contamination is the share of an item's distinct five-word windows."""
     r = random.Random(4)
