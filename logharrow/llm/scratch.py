@@ -14,8 +14,11 @@ _made: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir, with its scheme; a local one only if that is unset."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FALLBACK)
+    """Folder named by spark.checkpoint.dir, with its scheme; where that is unset, a local one in local mode only."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    path = spark._jvm.org.apache.hadoop.fs.Path(named or LOCAL_FALLBACK)
     full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return re.sub("^file:/+", "file:///", full)
 
@@ -33,10 +36,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete every scratch table of this driver, once all results that read them are written elsewhere."""
-    while _made:
-        drop_path(spark, _made.pop())
+def mark() -> int:
+    """How many scratch paths this driver has made: what comes later can be cleared alone."""
+    return len(_made)
+
+
+def clear(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the scratch paths made since mark(), but for the table `keep`, once no result reads them any more."""
+    kept = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
+    for path in _made[since:]:
+        if path not in kept:
+            drop_path(spark, path)
+    _made[since:] = [path for path in _made[since:] if path in kept]
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

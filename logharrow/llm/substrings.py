@@ -38,7 +38,7 @@ def inside(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
-    """First scan: doc_id, whole (hash of the word sequence), anchors (distinct ones of the document)."""
+    """First scan: doc_id, h (hash of the text), whole (hash of the word sequence), anchors (distinct ones of the document)."""
 
     def scan(batches):
         import pyarrow as pa
@@ -53,9 +53,9 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
             at = np.searchsorted(doc, np.arange(len(texts) + 1))
             lists = [np.unique(anchors[a:b]).view(np.int64) for a, b in zip(at, at[1:])]
             whole = [hashlib.sha256(b" ".join(t.split())).digest()[:16] for t in texts]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(whole, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(np.diff(first))], ["doc_id", "whole", "anchors", "n_words"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("h"), pa.array(whole, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(np.diff(first))], ["doc_id", "h", "whole", "anchors", "n_words"])
 
-    return docs.mapInArrow(scan, "doc_id long, whole binary, anchors array<long>, n_words long")
+    return docs.mapInArrow(scan, "doc_id long, h long, whole binary, anchors array<long>, n_words long")
 
 
 def remove_repeats(df: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,24 +64,27 @@ def remove_repeats(df: DataFrame, width: int = 50, id_col: str = "doc_id", text_
     Words are runs without 0x20 and 0x09 to 0x0D. Windows are judged on the input. Returns doc_id, n_words, n_removed,
     kept (the words that stay, joined by one space) and spans (removed word ranges [from, to), merged and maximal).
     Null and empty texts have no words; texts of under `width` words lose nothing, copies of them included. Rows with
-    the same id count as one document with several texts: they never take windows from each other. A null id counts
-    as larger than all others. An empty table gives an empty result. Extra columns are ignored.
+    the same id never take windows from each other, and each loses only what its own text repeats: rows are told apart by
+    id and a hash of their text. A null id counts as larger than all others. An empty table gives an empty result. Extra
+    columns are ignored. Aggregates are written before they are joined back to the rows that they come from, so that a
+    very common text, anchor or window can be split over tasks.
     """
     top = (1 << 63) - 1
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(top)).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(top)).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    row = ["doc_id", "h"]
     scanned = materialise(_anchor_rows(docs, width), "anchors")
 
     # copies of a smaller id's word sequence
-    wholes = scanned.where(F.col("n_words") >= width).select("doc_id", "whole")
-    least = wholes.groupBy("whole").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    copies = wholes.join(least, "whole").where("doc_id > least").select("doc_id").distinct()
+    wholes = scanned.where(F.col("n_words") >= width).select(*row, "whole")
+    least = wholes.groupBy("whole").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    copies = wholes.join(materialise(least, "whole-copies"), "whole").where("doc_id > least").select(*row).distinct()
     copies = materialise(copies, "copies")
 
     # anchors in two documents that are no copies
-    own = scanned.select("doc_id", "anchors").join(copies, "doc_id", "left_anti")
-    own = own.select("doc_id", F.explode("anchors").alias("anchor"))
+    own = scanned.select(*row, "anchors").join(copies, row, "left_anti")
+    own = own.select(*row, F.explode("anchors").alias("anchor"))
     shared = own.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    wanted = own.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    wanted = own.join(materialise(shared, "anchors-of-two"), "anchor").groupBy(*row).agg(F.collect_set("anchor").alias("anchors"))
     wanted = materialise(wanted, "shared-anchors")
     drop(scanned)
     release(df.sparkSession)
@@ -99,23 +102,22 @@ def remove_repeats(df: DataFrame, width: int = 50, id_col: str = "doc_id", text_
             for i, good in enumerate(piece.column("anchors").to_pylist()):
                 keep[at[i] : at[i + 1]] = np.isin(anchors[at[i] : at[i + 1]], np.array(good, np.int64).view(np.uint64))
             starts, doc = starts[keep], doc[keep]
-            ids = piece.column("doc_id").to_numpy()[doc]
+            ids, texts_of = (piece.column(c).to_numpy()[doc] for c in ("doc_id", "h"))
             one, two = window_hashes(hashes, width), window_hashes(mix(hashes + MIX_1), width, SECOND_BASE)
             for i in range(0, len(starts), 100_000):
                 s = starts[i : i + 100_000]
                 d = doc[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 100_000]), pa.array((s - first[d]).astype(np.int64)), pa.array(one[s].view(np.int64)), pa.array((two[s] >> np.uint64(33)).astype(np.int32))], ["doc_id", "at", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 100_000]), pa.array(texts_of[i : i + 100_000]), pa.array((s - first[d]).astype(np.int64)), pa.array(one[s].view(np.int64)), pa.array((two[s] >> np.uint64(33)).astype(np.int32))], ["doc_id", "h", "at", "h1", "h2"])
 
-    some = docs.join(wanted, "doc_id")
-    hashed = materialise(some.mapInArrow(windows, "doc_id long, at long, h1 long, h2 int"), "windows")
+    some = docs.join(wanted, row)
+    hashed = materialise(some.mapInArrow(windows, "doc_id long, h long, at long, h1 long, h2 int"), "windows")
     release(df.sparkSession)
     first_seen = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    # written, so that the join below has an exchange of its own on either side and a very common window can be split
     first_seen = materialise(first_seen.select("h1", "h2", "least"), "repeated-windows")
-    late = hashed.join(first_seen, ["h1", "h2"]).where("doc_id > least").groupBy("doc_id").agg(F.sort_array(F.collect_list("at")).alias("starts"))
+    late = hashed.join(first_seen, ["h1", "h2"]).where("doc_id > least").groupBy(*row).agg(F.sort_array(F.collect_set("at")).alias("starts"))
     late = materialise(late, "late-windows")
     release(df.sparkSession)
-    late = late.unionByName(copies.select("doc_id", F.array(F.lit(-1).cast("long")).alias("starts")))  # -1: all words
+    late = late.unionByName(copies.select(*row, F.array(F.lit(-1).cast("long")).alias("starts")))  # -1: all words
 
     def cut(batches):
         import pyarrow as pa
@@ -130,7 +132,7 @@ def remove_repeats(df: DataFrame, width: int = 50, id_col: str = "doc_id", text_
                 ["doc_id", "n_words", "n_removed", "kept", "spans"],
             )
 
-    return docs.join(late, "doc_id", "left").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string, spans array<array<long>>")
+    return docs.join(late, row, "left").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string, spans array<array<long>>")
 
 
 def removed_from(text: bytes | None, starts: list[int] | None, width: int) -> tuple[int, int, bytes, list[list[int]]]:

@@ -47,3 +47,10 @@ def test_spans(docs, prose):
     shared = prose(60, 9)
     got = remove_repeats(docs([(1, "a b " + shared), (2, "x " + shared + " y " + shared)]), 50).where("doc_id = 2").first()
     assert got.spans == [[1, 61], [62, 122]] and got.kept == "x y"
+
+
+def test_rows_of_one_id(docs, prose):
+    """Rows that share an id (or have none) keep what only another of them repeats."""
+    shared, own = prose(70, 3), [prose(80, 40 + k) for k in range(4)]
+    rows = [(1, shared), (5, shared), (5, own[0]), (5, own[1] + " " + shared), (None, shared), (None, own[2]), (None, own[3]), (None, own[3]), (6, own[3])]
+    assert run(docs(rows), 50) == brute(rows, 50)
