@@ -1,17 +1,18 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
 A character language model (interpolated 4-grams) is counted over the whole corpus. A token that looks obfuscated
-(signs or digits among letters, runs of a letter, letters spaced out) becomes a lattice: each character may stand for
-itself, for a letter that it resembles, or for nothing if it separates or repeats. Viterbi decoding finds the likeliest
-letters under channel costs and the language model. The score is a logistic regression over restored words and their
-beginnings, fitted on labelled rows that are not held out.
+(signs or digits among letters, repeated letters, letters spaced out) becomes a lattice: each character may stand for
+itself, for a letter that it resembles, or for nothing if it separates or repeats; a blank between spaced letters may also
+stay, as the end of a word. Viterbi decoding finds the likeliest letters under channel costs and the language model. The
+score is a logistic regression over restored words and their beginnings, fitted on labelled rows that are not held out.
+All features are hashed into one space of fixed size; the penalty alone decides which of them matter.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,18 +24,21 @@ from logharrow.llm.words import byte_batches
 #: What a sign or digit may stand for. Fixed values.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 SEPARATORS = set(".-_*~^'`/\\:,;#%&=​‌‍\xad ")
-#: Channel costs in nats: a lookalike, a dropped separator, a dropped repeat.
-COST_LOOKALIKE, COST_SEPARATOR, COST_REPEAT = 0.7, 0.3, 0.4
+#: Channel costs in nats: a lookalike, a dropped separator, a dropped repeat, a blank that stays between spaced letters.
+COST_LOOKALIKE, COST_SEPARATOR, COST_REPEAT, COST_BLANK = 0.7, 0.3, 0.4, 1.0
 #: Character classes of the language model: boundary, a-z, any other letter.
 CLASSES = 28
-#: Bounds of the classifier: labelled rows that it is fitted on, features that it keeps.
-TRAINING_ROWS, FEATURES = 20_000, 2_000
+#: Bound of the classifier: labelled rows that it is fitted on. Size of the space that features are hashed into.
+TRAINING_ROWS, SPACE = 8_000, 1 << 17
 BEGINNINGS = (3, 4, 5, 6, 8)
-CACHE_ENTRIES = 500_000
-SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
+CACHE_ENTRIES = 300_000
+#: Of the fit: rounds, step, weight of the squared weights, and the deviation at which a feature is half trusted.
+ROUNDS, STEP, PENALTY, DOUBT = 120, 0.05, 1.0, 6.0
+#: Three or more single characters in a row, and white space that surely ends a word between them.
+SPACED, WIDE = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)"), re.compile(r"\s{2,}|[^\S ]")
 EDGES = "".join(sorted({chr(i) for i in range(33, 127) if not chr(i).isalnum()} - set("@$!|+(")) ) + "¡¿«»“”„‘’…–—"
 PLAIN = re.compile(r"[^\W\d_]+", re.UNICODE)
-RUN = re.compile(r"(.)\1\1")
+RUN, DOUBLE = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
 
 
 def char_class(c: str) -> int:
@@ -77,7 +81,8 @@ def log_model(counts: np.ndarray, mass: float = 5.0) -> np.ndarray:
 def decode(token: str, logp: np.ndarray) -> str:
     """Viterbi: the likeliest letters behind a token. State: the last three classes; ties go to the first found."""
     token = token.lower()
-    best: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
+    # a path is (cost, its last letter and the path before it), so that long tokens cost no copies
+    best: dict[tuple[int, int, int], tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
     for i, c in enumerate(token):
         options: list[tuple[str, float]] = []
         if c.isalpha():
@@ -87,21 +92,27 @@ def decode(token: str, logp: np.ndarray) -> str:
         options += [(x, COST_LOOKALIKE) for x in LOOKALIKES.get(c, "")]
         if c in LOOKALIKES and i and token[i - 1] == c:
             options.append(("", COST_REPEAT))
+        if c == " ":
+            options.append((" ", COST_BLANK))
         if c in SEPARATORS or not options:
             options.append(("", COST_SEPARATOR))
-        after: dict[tuple[int, int, int], tuple[float, str]] = {}
-        for (x, y, z), (cost, text) in best.items():
+        after: dict[tuple[int, int, int], tuple[float, tuple | None]] = {}
+        for (x, y, z), (cost, path) in best.items():
             for letter, price in options:
                 if letter:
                     k = char_class(letter)
-                    state, total = (y, z, k), cost + price - float(logp[((x * CLASSES + y) * CLASSES + z) * CLASSES + k])
+                    state, total, longer = (y, z, k), cost + price - float(logp[((x * CLASSES + y) * CLASSES + z) * CLASSES + k]), (letter, path)
                 else:
-                    state, total = (x, y, z), cost + price
+                    state, total, longer = (x, y, z), cost + price, path
                 if state not in after or total < after[state][0]:
-                    after[state] = (total, text + letter)
+                    after[state] = (total, longer)
         best = after
-    ended = [(cost - float(logp[((x * CLASSES + y) * CLASSES + z) * CLASSES]), text) for (x, y, z), (cost, text) in best.items()]
-    return min(ended, key=lambda e: e[0])[1]
+    ended = [(cost - float(logp[((x * CLASSES + y) * CLASSES + z) * CLASSES]), path) for (x, y, z), (cost, path) in best.items()]
+    path, letters = min(ended, key=lambda e: e[0])[1], []
+    while path is not None:
+        letter, path = path
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def restore(token: str, logp: np.ndarray) -> str:
@@ -116,112 +127,106 @@ def restore(token: str, logp: np.ndarray) -> str:
     return decode(core, logp) if any(c.isalpha() for c in core) or "@" in core or "$" in core else ""
 
 
-def features(word: str) -> list[str]:
-    return [word + "$", *(word[:n] for n in BEGINNINGS if len(word) >= n)] if word else []
+def features(word: str) -> list[int]:
+    """Numbers in the feature space of a word and of its beginnings."""
+    return [zlib.crc32(f.encode()) % SPACE for f in (word + "$", *(word[:n] for n in BEGINNINGS if len(word) >= n))] if word else []
+
+
+def token_features(token: str, logp: np.ndarray) -> tuple[int, ...]:
+    """Features of a token's word; of a word with a doubled letter also those of the likeliest word without."""
+    word = restore(token, logp)
+    out = features(word)
+    if DOUBLE.search(word):
+        single = decode(word, logp)
+        out += features(single) if single != word else []
+    return tuple(out)
+
+
+def spaced_words(text: str, logp: np.ndarray) -> list[str]:
+    """Words behind single characters in a row; a wide gap ends a word, a single blank may."""
+    runs = (part for m in SPACED.finditer(text) for part in WIDE.split(m.group()))
+    return [w for part in runs if len(part) > 1 for w in decode(part, logp).split()]
 
 
 @dataclass
 class ToxicityModel:
     logp: np.ndarray
-    index: dict[str, int]
     weights: np.ndarray
     bias: float
     cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def hits(self, text: str) -> tuple[list[int], int]:
-        """Numbers of the kept features that occur, with repeats, and the text's tokens."""
-        tokens, cache = text.split(), self.cache
-        for t in set(tokens).difference(cache):
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-            cache[t] = tuple(self.index[f] for f in features(restore(t, self.logp)) if f in self.index)
-        get, found = cache.get, []
+        """Numbers of the features that occur, with repeats, and the text's tokens."""
+        tokens, cache, found = text.split(), self.cache, []
         for t in tokens:
-            got = get(t)
-            if got:
-                found += got
-            elif got is None:  # the cache was emptied meanwhile
-                found += [self.index[f] for f in features(restore(t, self.logp)) if f in self.index]
-        for m in SPACED.finditer(text):
-            found += [self.index[f] for f in features(decode(m.group(), self.logp)) if f in self.index]
+            got = cache.get(t)
+            if got is None:
+                if len(cache) > CACHE_ENTRIES:
+                    cache.clear()
+                got = token_features(t, self.logp)
+                if len(t) <= 64:
+                    cache[t] = got
+            found += got
+        for word in spaced_words(text, self.logp):
+            found += features(word)
         return found, len(tokens)
 
     def score(self, text: str) -> float:
-        at, x = inputs(*self.hits(text))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, float(self.weights[at] @ x) + self.bias))))
+        at, often = inputs(*self.hits(text))
+        z = float(self.weights[0, at].sum() + self.weights[1, at] @ often) + self.bias
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def inputs(found: list[int], tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and values: presence, and (offset by FEATURES) how often in a hundred words, damped."""
-    n = Counter(found)
-    at = np.fromiter(n, np.int64, len(n))
-    often = np.fromiter(n.values(), np.float64, len(n))
-    return np.concatenate([at, at + FEATURES]), np.concatenate([np.ones(len(n)), np.log1p(100 * often / max(tokens, 1))])
-
-
-def _fit(row: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty by Adam; entry k has value x[k] in row row[k] and column at[k]."""
-    n, size = len(y), 2 * FEATURES
-    w, b = np.zeros(size), math.log((y.sum() + 1) / (n - y.sum() + 1))
-    m, v = np.zeros(size + 1), np.zeros(size + 1)
-    for t in range(1, rounds + 1):
-        z = np.bincount(row, w[at] * x, n) + b
+    """Distinct feature numbers, and how often each occurs in a hundred words, damped."""
+    at, n = np.unique(np.array(found, np.int32), return_counts=True)
+    return at, np.log1p(100 * n / max(tokens, 1)).astype(np.float32)
+
+
+def _fit(row: np.ndarray, at: np.ndarray, often: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression with an L2 penalty by Adam. Entry k: row[k] has feature at[k], in presence and in often[k].
+
+    Each feature is scaled by how surely it goes with a label, z^2 / (z^2 + DOUBT^2), z being the deviation of its toxic rows
+    from their expected number in standard deviations. So the penalty is the heavier the less a feature has shown.
+    """
+    n, size, share = len(y), SPACE, y.mean()
+    seen, toxic = np.bincount(at, minlength=size), np.bincount(at, y[row], size)
+    z = (toxic - share * seen) ** 2 / np.maximum(seen * share * (1 - share), 1e-9)
+    trust = (z / (z + DOUBT**2)).astype(np.float32)
+    held, often = trust[at], often * trust[at]
+    w, b = np.zeros((2, size)), math.log((y.sum() + 1) / (n - y.sum() + 1))
+    m, v = np.zeros((2, size)), np.zeros((2, size))
+    mb = vb = 0.0
+    for t in range(1, ROUNDS + 1):
+        z = np.bincount(row, w[0][at] * held + w[1][at] * often, n) + b
         miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        g = np.append(np.bincount(at, miss[row] * x, size) + penalty * w, miss.sum()) / max(n, 1)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
-    return w, float(b)
+        far = miss[row]
+        g = (np.stack([np.bincount(at, far * held, size), np.bincount(at, far * often, size)]) + PENALTY * w) / n
+        gb = miss.sum() / n
+        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        scale = lambda m, v: STEP * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w, b = w - scale(m, v), b - scale(mb, vb)
+    return (w * trust).astype(np.float32), float(b)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Count the language model over all docs and fit the classifier on at most TRAINING_ROWS of `labels`.
 
-    labels: id_col and label_col (0 or 1); rows with a null are left out. The sample is the TRAINING_ROWS least ids by
-    hash, so it is the same on each run. Without labels of both kinds, or without any document, scores are the base
-    rate (one half without any label).
+    labels: id_col and label_col (0 or 1); rows with a null are left out, and of a repeated id the greatest label holds. The
+    sample is the TRAINING_ROWS least ids by hash, so it is the same on each run. Without labels of both kinds, or without
+    any document, scores are the base rate (one half without any label).
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     logp = log_model(count_grams(docs))
     picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna()
-    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS)
-    sample = docs.join(F.broadcast(picked), "doc_id").select("text", "y").where("text is not null")  # 16 bytes a row
-    shared = spark.sparkContext.broadcast(logp)
-
-    def tally(batches):
-        """Documents of either label that have a feature, summed within the task."""
-        import pyarrow as pa
-
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-        known: dict[str, list[str]] = {}
-        for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                seen = set()
-                for t in set(text.split()):
-                    if t not in known:
-                        known[t] = features(restore(t, shared.value))
-                    seen.update(known[t])
-                for m in SPACED.finditer(text):
-                    seen.update(features(decode(m.group(), shared.value)))
-                counts[y > 0].update(seen)
-        names = list(counts[0].keys() | counts[1].keys())
-        for i in range(0, len(names), 50_000):
-            part = names[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([counts[0][f] for f in part], pa.int64()), pa.array([counts[1][f] for f in part], pa.int64())], ["feature", "no", "yes"])
-
+    picked = picked.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS)
     size = picked.agg(F.count_if(F.col("y") > 0).alias("yes"), F.count_if(F.col("y") <= 0).alias("no")).first()
     yes, no = size["yes"], size["no"]
-    model = ToxicityModel(logp, {}, np.zeros(2 * FEATURES), math.log((yes + 1) / (no + 1)))
+    model = ToxicityModel(logp, np.zeros((2, SPACE), np.float32), math.log((yes + 1) / (no + 1)))
     if not yes or not no:
         return model
-    # G-squared of a feature against the label, signed by its direction
-    a, b, n = F.col("yes"), F.col("no"), float(yes + no)
-    term = lambda seen, rows: F.when(seen > 0, seen * F.log(seen / ((a + b) * (rows / n)))).otherwise(0.0)
-    away = lambda seen, rows: F.when(rows - seen > 0, (rows - seen) * F.log((rows - seen) / ((n - a - b) * (rows / n)))).otherwise(0.0)
-    sums = sample.mapInArrow(tally, "feature string, no long, yes long").groupBy("feature").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
-    best = sums.where("yes + no >= 3").withColumn("gain", term(a, yes) + term(b, no) + away(a, yes) + away(b, no)).where("gain > 6").orderBy(F.desc("gain"), "feature").limit(FEATURES)
-    model.index = {r["feature"]: i for i, r in enumerate(best.select("feature").collect())}
+    sample = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").where("text is not null")  # 12 bytes a row
     partial = spark.sparkContext.broadcast(model)
 
     def vectors(batches):
@@ -229,18 +234,23 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
         for batch in batches:
             rows = [inputs(*partial.value.hits(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), batch.column("y")], ["at", "x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), batch.column("y")], ["doc_id", "at", "often", "y"])
 
-    got = sample.mapInArrow(vectors, "at array<int>, x array<float>, y int").toArrow()  # bounded: TRAINING_ROWS x few hits
-    at, x = (got.column(c).combine_chunks() for c in ("at", "x"))  # flat arrays, never a Python object an entry
+    # bounded: TRAINING_ROWS x the distinct features of a text, 8 bytes each; in the order of ids, so that sums are the same on each run
+    got = sample.mapInArrow(vectors, "doc_id long, at array<int>, often array<float>, y int").toArrow().sort_by("doc_id")
+    at, often = (got.column(c).combine_chunks() for c in ("at", "often"))  # flat arrays, never a Python object an entry
     row = np.repeat(np.arange(len(got), dtype=np.int32), at.value_lengths().to_numpy())
     y = (got.column("y").to_numpy() > 0).astype(float)
-    model.weights, model.bias = _fit(row, at.flatten().to_numpy(), x.flatten().to_numpy(), y)
+    model.weights, model.bias = _fit(row, at.flatten().to_numpy(), often.flatten().to_numpy(), y)
+    model.cache.clear()
     return model
 
 
 def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """All columns of df and the score of each text (0 to 1). Null and empty texts get the score of no evidence."""
+    """All columns of df and the score of each text (0 to 1), replacing a column of that name.
+
+    Null and empty texts get the score of no evidence.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -1,5 +1,6 @@
 """Toxicity: decoding, held-out accuracy, edges."""
 
+import itertools
 import random
 
 import pytest
@@ -35,8 +36,10 @@ def test_scores_and_decoding(spark, docs, corpus, model, prose):
         word = T.decode(hidden, model.logp) if " " in hidden else T.restore(hidden, model.logp)
         assert word in BAD or hidden == "gr0mpf"
     clean = prose(60, 9999)
-    extra = docs([(1, clean + " 5nark v3xn0l $nark"), (2, clean), (3, clean + " s n a r k and v e x n o l"), (4, None), (5, ""), (6, clean + " 12345 a@b.c !!! ###")])
+    extra = docs([(1, clean + " 5nark v3xn0l $nark"), (2, clean), (3, clean + " s n a r k and v e x n o l and g r u m p f"), (4, None), (5, ""), (6, clean + " 12345 a@b.c !!! ###")])
     again = {r.doc_id: r.score for r in T.score(extra, model).collect()}
+    assert T.decode("a s n a r k", model.logp).endswith("snark") and "vexnol" in T.spaced_words("x  v e x\tn o l", model.logp) + T.spaced_words("b  v e x n o l\nto", model.logp)
+    assert set(T.features("snark")) <= set(T.token_features("snaark", model.logp)) and len(T.decode("a " * 20_000, model.logp)) < 40_000
     assert again[1] > 0.5 > again[2] and again[3] > 0.5 > again[6] and again[4] == again[5] < 0.5
 
 
@@ -52,3 +55,27 @@ def test_edges(spark, docs, awkward):
 def test_counts_cover_the_corpus(docs):
     counts = T.count_grams(docs(["abcd", "abcd", None])).reshape((T.CLASSES,) * 4)
     assert counts[1, 2, 3, 4] == 2 and T.log_model(counts.ravel()).shape == (T.CLASSES**4,)
+
+
+def test_decoding_is_optimal(model):
+    """Against every path of the lattice, by cost."""
+    r = random.Random(9)
+    for _ in range(60):
+        token = "".join(r.choice("aabkno013$!.- l") for _ in range(r.randint(1, 8)))
+        paths, got = list(all_paths(token, model.logp)), T.decode(token, model.logp)
+        assert min(c for text, c in paths if text == got) == pytest.approx(min(c for _, c in paths), abs=1e-4)
+
+
+def all_paths(token, logp):
+    """Every path of the lattice: its letters and its cost."""
+    token = token.lower()
+    columns = []
+    for i, c in enumerate(token):
+        options = [(c, 0.0)] if c.isalpha() else []
+        repeat = i and token[i - 1] == c and (c.isalpha() or c in T.LOOKALIKES)
+        options += [(x, T.COST_LOOKALIKE) for x in T.LOOKALIKES.get(c, "")] + ([("", T.COST_REPEAT)] if repeat else []) + ([(" ", T.COST_BLANK)] if c == " " else [])
+        columns.append(options + ([("", T.COST_SEPARATOR)] if c in T.SEPARATORS or not options else []))
+    for path in itertools.product(*columns):
+        text = "".join(x for x, _ in path)
+        classes = [0, 0, 0, *map(T.char_class, text), 0]
+        yield text, sum(p for _, p in path) - sum(float(logp[((classes[k] * 28 + classes[k + 1]) * 28 + classes[k + 2]) * 28 + classes[k + 3]]) for k in range(len(text) + 1))
