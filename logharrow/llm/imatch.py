@@ -4,6 +4,9 @@ The lexicon holds the terms whose inverse document frequency lies in a band. Of
 lexicon are sorted, and hashed under many random subsets of the lexicon. Subsets come in levels: at level l a subset
 keeps each term with probability 2^-l, so that a text of n terms has some level at which a subset holds about one of
 its terms. There, two texts agree in a subset's signature about as often as their terms overlap.
+
+Every fingerprint ends with a few subsets that are drawn from all terms, so that texts with few or no terms in the lexicon
+have one as well. All texts follow this one rule, and likeness is read over both parts.
 """
 
 from __future__ import annotations
@@ -11,21 +14,22 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logharrow.llm.words import byte_batches, mix, word_hashes
 
 #: Band of the lexicon, in shares of all documents.
 LOWEST_SHARE, HIGHEST_SHARE = 0.001, 0.05
-SUBSETS, LEVELS = 32, 10
-#: A text with fewer terms in the lexicon is fingerprinted over all its terms.
-FEWEST_TERMS = 3
+#: Subsets of the lexicon, subsets of all terms, and levels of either.
+SUBSETS, TAIL, LEVELS = 32, 8, 10
+#: Text that one task compares, and rows of the sample that its range is cut by.
+RANGE_BYTES, PER_RANGE = 16 << 20, 20
 #: Share of the subsets that must hold a term of either text at the level that likeness is read at.
 FILLED = 0.5
 #: Two characters stand for the 12 bits of a signature; 0 is kept for a subset without terms.
 DIGITS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_", np.uint8)
-SEEDS = mix(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+SEEDS = mix(np.arange(1, SUBSETS + TAIL + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def distinct_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,17 +79,15 @@ def lexicon(df: DataFrame, rows: int, text_col: str = "text") -> np.ndarray:
 
 
 def signatures(texts: list[bytes], terms: np.ndarray) -> np.ndarray:
-    """12-bit signatures, texts x LEVELS x SUBSETS; 0 where no term of the text is in the subset."""
-    hashes, doc = distinct_terms(texts)
+    """12-bit signatures, texts x LEVELS x (SUBSETS + TAIL); 0 where no term of the text is in the subset."""
+    all_hashes, all_docs = distinct_terms(texts)
     n = len(texts)
-    if len(terms) and len(hashes):
-        known = terms[np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)] == hashes
-        few = np.bincount(doc[known], minlength=n) < FEWEST_TERMS
-        keep = known | few[doc]
-        hashes, doc = hashes[keep], doc[keep]
-    out = np.zeros((n, LEVELS, SUBSETS), np.uint16)
+    known = terms[np.minimum(np.searchsorted(terms, all_hashes), len(terms) - 1)] == all_hashes if len(terms) else np.zeros(len(all_hashes), bool)
+    banded = all_hashes[known], all_docs[known]
+    out = np.zeros((n, LEVELS, SUBSETS + TAIL), np.uint16)
     size = n * LEVELS
     for j, seed in enumerate(SEEDS):
+        hashes, doc = banded if j < SUBSETS else (all_hashes, all_docs)
         x = mix(hashes ^ seed)
         low = x & (~x + np.uint64(1))
         level = np.minimum(np.bitwise_count(low - np.uint64(1)), LEVELS - 1).astype(np.int64)
@@ -108,17 +110,19 @@ def read(fingerprint: str) -> np.ndarray:
     back = np.zeros(256, np.uint16)
     back[DIGITS] = np.arange(64)
     digits = back[np.frombuffer(fingerprint.encode(), np.uint8)]
-    return (digits[0::2] * 64 + digits[1::2]).reshape(LEVELS, SUBSETS)
+    return (digits[0::2] * 64 + digits[1::2]).reshape(LEVELS, SUBSETS + TAIL)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of agreeing subsets, read at the sparsest level that is filled enough; 1 if neither has any term."""
-    filled = (a > 0) | (b > 0)
-    n = filled.sum(1)
-    if not n[0]:
-        return 1.0
-    level = max((k for k in range(LEVELS) if n[k] >= FILLED * SUBSETS), default=0)
-    return float(((a == b) & filled)[level].sum() / n[level])
+    """Share of agreeing subsets, either part read at its sparsest level that is filled enough; 1 if neither text has any term."""
+    agree = held = 0
+    for part in (slice(0, SUBSETS), slice(SUBSETS, None)):
+        x, y = a[:, part], b[:, part]
+        filled = (x > 0) | (y > 0)
+        n = filled.sum(1)
+        level = max((k for k in range(LEVELS) if n[k] >= FILLED * x.shape[1]), default=0)
+        agree, held = agree + ((x == y) & filled)[level].sum(), held + n[level]
+    return float(agree / held) if held else 1.0
 
 
 def fingerprint_texts(df: DataFrame, terms: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,58 +138,89 @@ def fingerprint_texts(df: DataFrame, terms: np.ndarray, id_col: str = "doc_id",
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(scan, "doc_id long, fingerprint string")
 
 
-def fingerprint_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 5000) -> DataFrame:
+def range_edges(rows: DataFrame, size: Column, range_bytes: int) -> np.ndarray:
+    """Least (doc_id, h) of each range but the first, for ranges of about range_bytes of text; sorted, one pair a range.
+
+    A seeded sample by hash of about PER_RANGE rows a range is sorted in Spark, and each PER_RANGE-th row is an edge.
+    """
+    spark = rows.sparkSession
+    total = rows.agg(F.sum(size.cast("long")).alias("bytes"), F.count("*").alias("n")).first()
+    ranges = max(-(-(total["bytes"] or 0) // range_bytes), spark.sparkContext.defaultParallelism)
+    share = min(1.0, PER_RANGE * ranges / max(total["n"], 1))
+    sample = rows.select("doc_id", "h").where(F.pmod(F.xxhash64(F.lit(11), "doc_id", "h"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    ordered = sample.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+    step = max(1, int(share * total["n"] / ranges)) if total["n"] else 1
+
+    def edges(batches):
+        import pyarrow as pa
+
+        seen = 0
+        for batch in batches:
+            at = np.flatnonzero((seen + np.arange(1, len(batch) + 1)) % step == 0)
+            seen += len(batch)
+            yield batch.take(pa.array(at))
+
+    found = ordered.mapInArrow(edges, "doc_id long, h long").toArrow()  # one row a range
+    return np.unique(_keys(found.column("doc_id").to_numpy(), found.column("h").to_numpy()))
+
+
+def _keys(ids: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Pairs that sort by id and hash."""
+    out = np.empty(len(ids), [("id", "i8"), ("h", "i8")])
+    out["id"], out["h"] = ids, h
+    return out
+
+
+def fingerprint_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprint each text, and its edited text against the next one in ascending id order.
 
     The edited text has its last quarter of code points replaced by the start of the next row's text (of the first
-    row's after the last). Rows are dealt by id range, and the first row of each range goes to the range before as
-    well, so each task has every neighbour that it needs. Texts travel compressed.
+    row's after the last). Rows are dealt by ranges of id and a hash of the text, and the first row of each range goes to the
+    range before as well, so each task has every neighbour that it needs. Texts travel compressed.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Null text is as
-    empty, a null id comes first, rows with the same id follow in order of their text. A single row is its own next.
-    An empty table gives an empty result. Extra columns are ignored.
+    empty, a null id comes first, rows with the same id follow in the order of that hash, so that many of them are spread
+    over ranges; only rows equal in both share a range. A single row is its own next. An empty table gives an empty result.
+    Extra columns are ignored.
     """
     spark = df.sparkSession
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = rows.count()
-    terms = lexicon(rows, total)
-    ranges = max(-(-total // bucket_rows), spark.sparkContext.defaultParallelism)
-    cuts = sorted(set(rows.stat.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if total else []
-    cuts = [int(c) for c in cuts]
-    # first id of each range that has rows: one row a range
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    terms = lexicon(rows, rows.count())
+    cuts = range_edges(rows, F.octet_length("text") + 64, range_bytes)
 
     def lowest(batches):
         import pyarrow as pa
 
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            at = np.searchsorted(cuts, ids, "right") if cuts else np.zeros(len(ids), np.int64)
-            found = np.unique(at)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.array([ids[at == k].min() for k in found], np.int64))], ["part", "least"])
+            keys = np.sort(_keys(batch.column("doc_id").to_numpy(), batch.column("h").to_numpy()))
+            at = np.searchsorted(cuts, keys, "right")
+            found, first = np.unique(at, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(keys["id"][first]), pa.array(keys["h"][first])], ["part", "id", "h"])
 
-    firsts = {r["part"]: r["least"] for r in rows.select("doc_id").mapInArrow(lowest, "part long, least long").groupBy("part").agg(F.min("least").alias("least")).toLocalIterator()}
-    filled = sorted(firsts)
-    before = {k: filled[i - 1] for i, k in enumerate(filled)}
-    shared = spark.sparkContext.broadcast((terms, cuts, firsts, before))
+    # first row of each range that has rows: one row a range
+    least = rows.select("doc_id", "h").mapInArrow(lowest, "part long, id long, h long").groupBy("part").agg(F.min(F.struct("id", "h")).alias("key"))
+    least = least.select("part", "key.id", "key.h").toArrow().sort_by("part")
+    filled, firsts = least.column("part").to_numpy(), _keys(least.column("id").to_numpy(), least.column("h").to_numpy())
+    shared = spark.sparkContext.broadcast((terms, cuts, filled, firsts))
 
     def deal(batches):
-        """To its range; the lowest id of a range also to the range before, marked as a neighbour."""
+        """To its range; the lowest row of a range also to the range before, marked as a neighbour."""
         import pyarrow as pa
         import zstandard
 
-        _, cuts, firsts, before = shared.value
+        _, cuts, filled, firsts = shared.value
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            at = np.searchsorted(cuts, ids, "right").tolist() if cuts else [0] * len(ids)
-            out = []
-            for part, doc_id, text in zip(at, ids.tolist(), batch.column("text").cast("binary").to_pylist()):
-                packed = squeeze(text)
-                out.append((part, doc_id, False, packed))
-                if doc_id == firsts[part]:
-                    out.append((before[part], doc_id, True, packed))
-            parts, doc_ids, marks, packed = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(doc_ids, pa.int64()), pa.array(marks), pa.array(packed, pa.binary())], ["part", "doc_id", "neighbour", "packed"])
+            keys = _keys(batch.column("doc_id").to_numpy(), batch.column("h").to_numpy())
+            parts = np.searchsorted(cuts, keys, "right")
+            place = np.searchsorted(filled, parts)
+            first = np.flatnonzero(firsts[place] == keys)
+            packed = [squeeze(t) for t in batch.column("text").cast("binary").to_pylist()]
+            row = np.concatenate((np.arange(len(keys)), first))
+            part = np.concatenate((parts, filled[place[first] - 1]))  # before the first range comes the last
+            mark = np.arange(len(row)) >= len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(keys["id"][row]), pa.array(keys["h"][row]), pa.array(mark), pa.array([packed[k] for k in row.tolist()], pa.binary())], ["part", "doc_id", "h", "neighbour", "packed"])
 
     def scan(batches):
         import zstandard
@@ -193,18 +228,17 @@ def fingerprint_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str
         unpack = zstandard.ZstdDecompressor().decompress
         held: list[tuple[int, str]] = []
         size, beyond = 0, None
-        for batch in batches:  # the neighbour first, then ascending ids
+        for batch in batches:  # the neighbour first, then the rows in order
             for mark, doc_id, packed in zip(*(batch.column(c).to_pylist() for c in ("neighbour", "doc_id", "packed"))):
                 text = unpack(packed).decode()
                 if mark:
-                    beyond = min(x for x in (beyond, text) if x is not None)  # of rows with the same id the first
+                    beyond = text  # equal rows of the next range are the same text
                     continue
                 held.append((doc_id, text))
                 size += len(text)
-                if size > 1 << 20 and held[-2:-1] and held[-2][0] != doc_id:
-                    ready, held, size = sorted(held), [(doc_id, text)], len(text)
+                if size > 1 << 20 and len(held) > 1:
+                    ready, held, size = held, [(doc_id, text)], len(text)
                     yield result(ready[:-1], ready[1:])
-        held.sort()
         if held:
             yield result(held, [*held[1:], (0, beyond)])
 
@@ -228,6 +262,6 @@ def fingerprint_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
         )
 
-    dealt = rows.mapInArrow(deal, "part int, doc_id long, neighbour boolean, packed binary").repartitionById(len(cuts) + 1, "part")
-    dealt = dealt.sortWithinPartitions(F.desc("neighbour"), "doc_id")
+    dealt = rows.mapInArrow(deal, "part int, doc_id long, h long, neighbour boolean, packed binary").repartitionById(len(cuts) + 1, "part")
+    dealt = dealt.sortWithinPartitions(F.desc("neighbour"), "doc_id", "h")
     return dealt.mapInArrow(scan, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
