@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from logharrow.llm.scratch import materialise
 
 BUCKET_BYTES = 32 << 20
+#: Rows of one key that weigh more than this part of a bucket are dealt over buckets.
+HOT_SHARE = 8
 
 
 def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
@@ -21,17 +23,36 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return order
 
 
+def _spread_hot_keys(rows: DataFrame, seed: int, bucket_bytes: int) -> DataFrame:
+    """Number the rows of very common keys and put the number into their hash; all other rows stay as they are.
+
+    Which of some equal rows gets which number makes no difference, so the layout is the same on any cluster.
+    """
+    heavy = rows.groupBy("_key").agg(F.sum("_weight").alias("bytes"), F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("bytes") > bucket_bytes // HOT_SHARE))
+    heavy = materialise(heavy.select("_key"), "heavy-keys")  # at most HOT_SHARE a bucket
+    if heavy.isEmpty():
+        return rows
+    hot = materialise(rows.join(F.broadcast(heavy), "_key", "left_semi").withColumn("_part", F.spark_partition_id()), "heavy-rows")
+    base = hot.groupBy("_key", "_part").agg(F.count("*").alias("n"))
+    base = base.select("_key", "_part", (F.sum("n").over(Window.partitionBy("_key").orderBy("_part")) - F.col("n")).alias("base"))
+    # a group of one key and one input partition is no larger than that partition
+    within = F.row_number().over(Window.partitionBy("_key", "_part").orderBy("_tie"))
+    numbered = hot.withColumn("_n", within).join(base, ["_key", "_part"]).withColumn("_key", F.xxhash64(F.lit(seed), "_key", F.col("base") + F.col("_n")))
+    return rows.join(F.broadcast(heavy), "_key", "left_anti").unionByName(numbered.select(*rows.columns))
+
+
 def shuffled_buckets(df: DataFrame, keys: list[str], weight: Column, seed: int, bucket_bytes: int) -> DataFrame:
     """Pass one: scatter rows by a seeded hash of `keys` into buckets of about bucket_bytes, permute each, write them.
 
-    Returns the written table: record (struct of all input columns), bucket, position.
+    The number of buckets follows from the rows' weights and bucket_bytes alone. Returns the written table: record (struct
+    of all input columns), bucket, position.
     """
-    spark = df.sparkSession
     total = df.agg(F.sum(weight.cast("long"))).first()[0] or 0
-    n = max(-(-int(total) // bucket_bytes), spark.sparkContext.defaultParallelism)
+    n = max(-(-int(total) // bucket_bytes), 1)
     key = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     # two more hashes fix the order that the permutation starts from; rows that tie in them have equal keys
-    rows = df.select(F.struct("*").alias("record"), key.alias("_key"), F.xxhash64(F.lit(seed + 1), *[F.col(k) for k in keys]).alias("_tie"))
+    rows = df.select(F.struct("*").alias("record"), key.alias("_key"), F.xxhash64(F.lit(seed + 1), *[F.col(k) for k in keys]).alias("_tie"), F.coalesce(weight.cast("long"), F.lit(0)).alias("_weight"))
+    rows = _spread_hot_keys(rows, seed, bucket_bytes)
     rows = rows.repartition(n, "_key").sortWithinPartitions("_key", "_tie").select("record")
     schema = T.StructType([rows.schema["record"], T.StructField("bucket", T.LongType()), T.StructField("position", T.LongType())])
 
@@ -62,9 +83,9 @@ def shuffle_to_shards(df: DataFrame, keys: list[str], weight: Column, shards: in
     rank; rank modulo `shards` is the shard and the quotient the slot, gapless from 0.
 
     Returns record (struct of all input columns, so that no name can clash), shard int, slot long.
-    Null and empty values hash as any value. Rows that are equal in every key column share a bucket, in any order
-    among each other. An empty table gives an empty result. A row larger than bucket_bytes has a bucket that is
-    as large as that row.
+    Null and empty values hash as any value. Rows that are equal in every key column come in any order among each
+    other; many of them are spread over buckets. An empty table gives an empty result. A row larger than bucket_bytes has
+    a bucket that is as large as that row.
     """
     written = shuffled_buckets(df, keys, weight, seed, bucket_bytes)
     counts = written.groupBy("bucket").count()  # one row a bucket of bucket_bytes

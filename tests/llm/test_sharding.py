@@ -29,6 +29,18 @@ def test_repeatable_and_seeded(docs):
     assert abs(np.corrcoef(order, np.arange(500))[0, 1]) < 0.15
 
 
+def test_very_common_rows_are_spread(docs):
+    """A row that makes up most of the table lies in no single bucket, and the layout doesn't depend on the input's partitions."""
+    df = docs([(1, "x" * 100)] * 600 + [(i, f"t{i}") for i in range(2, 50)])
+    place = lambda parts: sorted((r[0], r[1], r[2]) for r in put(df.repartition(parts), bucket_bytes=4000).select("record.doc_id", "shard", "slot").collect())
+    a = place(2)
+    assert a == place(7) and len(a) == 648
+    from logharrow.llm.sharding import shuffled_buckets
+
+    sizes = shuffled_buckets(df, ["doc_id", "text"], F.octet_length("text") + 1, 7, 4000).where("record.doc_id = 1").groupBy("bucket").count().collect()
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 120
+
+
 def test_permutation_is_uniform():
     seen = Counter(tuple(fisher_yates(3, s, 0)) for s in range(3000))
     assert len(seen) == 6 and min(seen.values()) > 400
