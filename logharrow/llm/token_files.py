@@ -11,7 +11,6 @@ A reader fetches the table from the file's end and then only the frames of the d
 from __future__ import annotations
 
 import struct
-import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -46,6 +45,8 @@ class TokenFileWriter:
         self.table.append((len(packed), len(plain), xxhash.xxh64_intdigest(plain) & 0xFFFFFFFF))
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >> (8 * self.id_bytes):
+            raise ValueError(f"id {ids.max()} does not fit into {self.id_bytes} bytes")
         for at in range(0, len(ids), FRAME_IDS):
             self._frame(ids[at : at + FRAME_IDS].astype(f"<u{self.id_bytes}").tobytes())
         self.docs.append((doc_id or 0, doc_id is None, len(ids), -(-len(ids) // FRAME_IDS)))
@@ -102,6 +103,11 @@ class TokenFileReader:
             parts.append(np.frombuffer(plain, f"<u{self.id_bytes}"))
         return np.concatenate(parts) if parts else np.zeros(0, f"<u{self.id_bytes}")
 
+    def find(self, doc_id: int) -> range:
+        """Numbers of the documents of this id; ids ascend in a file, after those without one."""
+        skip = int(self.null.sum())
+        return range(skip + int(np.searchsorted(self.doc_ids[skip:], doc_id, "left")), skip + int(np.searchsorted(self.doc_ids[skip:], doc_id, "right")))
+
     def __iter__(self):
         for k in range(len(self.doc_ids)):
             yield (None if self.null[k] else int(self.doc_ids[k])), self.read(k)
@@ -118,14 +124,17 @@ def _open(path: str, mode: str):
     return store.open_input_file(inner)
 
 
-def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, id_bytes: int = 2, drops_space: bool = False, partitions: int | None = None) -> DataFrame:
+def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, id_bytes: int | None = None, drops_space: bool = False, partitions: int | None = None) -> DataFrame:
     """Encode whole texts, append end_id to each and write token files in ascending id order below `out`.
 
-    Returns the manifest, a written table with one row a file: part, path, n_docs, n_tokens. Files get a name of
-    their own in each attempt of a task and count only if the manifest lists them, so a repeated task does no harm.
-    A null or empty text has the end id alone; a null id comes first; rows with the same id stay apart, ordered by
-    text. Extra columns are ignored. An empty table gives an empty manifest.
+    Returns the manifest, a written table with one row a file: part, path, n_docs, n_tokens, least and most (document ids).
+    Files get a name of their own in each attempt of a task and count only if the manifest lists them, so a repeated task
+    does no harm. An id takes id_bytes, by default two, or four if the vocabulary or end_id needs more; an id that does not
+    fit raises. A null or empty text has the end id alone; a null id comes first; rows with the same id stay apart, ordered
+    by text. Extra columns are ignored. An empty table gives an empty manifest.
     """
+    if id_bytes is None:
+        id_bytes = 2 if max(encoder(tokenizer_path, drops_space).top_id, end_id) < 1 << 16 else 4
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")
     rows = rows.sortWithinPartitions("doc_id", "text")
@@ -136,7 +145,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, n_docs, n_tokens, stream = TaskContext.get().partitionId(), 0, 0, None
+        part, n_docs, n_tokens, stream, known = TaskContext.get().partitionId(), 0, 0, None, []
         path = f"{out}/part-{part:06d}-{uuid.uuid4().hex}.tok.zst"
         enc = encoder(tokenizer_path, drops_space)
         for piece, texts in text_batches(batches, "text"):
@@ -146,13 +155,14 @@ def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str
             for doc_id, raw in zip(piece.column("doc_id").to_pylist(), enc.encode(texts)):
                 ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id))
                 writer.add(doc_id, ids)
+                known = known[:1] + [doc_id] if doc_id is not None else known  # ids ascend
                 n_docs, n_tokens = n_docs + 1, n_tokens + len(ids)
         if stream is not None:
             writer.close()
             stream.close()
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "n_docs": [n_docs], "n_tokens": [n_tokens]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "path": [path], "n_docs": [n_docs], "n_tokens": [n_tokens], "least": pa.array(known[:1] or [None], pa.int64()), "most": pa.array(known[-1:] or [None], pa.int64())})
 
-    return materialise(rows.mapInArrow(write, "part long, path string, n_docs long, n_tokens long"), "manifest")
+    return materialise(rows.mapInArrow(write, "part long, path string, n_docs long, n_tokens long, least long, most long"), "manifest")
 
 
 def read_token_files(manifest: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -186,13 +196,46 @@ def read_token_files(manifest: DataFrame, tasks: int | None = None) -> DataFrame
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def crc_column() -> "F.Column":
-    return F.crc32("ids").alias("ids_crc32")
+def read_documents(manifest: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Documents of the ids in `wanted` (repeats and nulls count for nothing): doc_id, n_tokens, ids.
+
+    Only files whose range of ids holds a wanted one are opened, and only the frames of wanted documents are read and
+    decompressed. The manifest's ranges, one row a file, go to every task; ids that no file has give no row.
+    """
+    spark = manifest.sparkSession
+    files = manifest.where("least is not null").select("least", "most", "path").toArrow().sort_by("least")
+    shared = spark.sparkContext.broadcast((files.column("least").to_numpy(), files.column("most").to_numpy(), files.column("path").to_pylist()))
+
+    def place(batches):
+        """Each id to its files: ranges are disjoint but for a shared end."""
+        import pyarrow as pa
+
+        least, most, _ = shared.value
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            last, first = np.searchsorted(least, ids, "right"), np.searchsorted(most, ids, "left")
+            n = np.maximum(last - first, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)), pa.array(np.repeat(ids, n))], ["file", "doc_id"])
 
+    def read(batches):
+        import pyarrow as pa
 
-def id_digest(ids: np.ndarray) -> int:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids.astype("<u4").tobytes())
+        reader = opened = None
+        for batch in batches:  # sorted by file
+            held = []
+            for file, doc_id in zip(batch.column("file").to_pylist(), batch.column("doc_id").to_pylist()):
+                if file != opened:
+                    opened, reader = file, TokenFileReader(_open(shared.value[2][file], "r"))
+                for k in reader.find(doc_id):
+                    ids = reader.read(k)
+                    held.append((doc_id, len(ids), ids.astype("<u4").tobytes()))
+            if held:
+                ids, n, raw = zip(*held)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(raw, pa.binary())], ["doc_id", "n_tokens", "ids"])
+
+    ids = wanted.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    placed = ids.mapInArrow(place, "file long, doc_id long").repartition("file").sortWithinPartitions("file", "doc_id")
+    return placed.mapInArrow(read, "doc_id long, n_tokens long, ids binary")
 
 
 def token_files_path(spark) -> str:

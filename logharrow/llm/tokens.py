@@ -44,8 +44,9 @@ class PieceEncoder:
         self.drops_space = drops_space
         self.cache: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
+        self.top_id = max(vocabulary.values())
         #: bytes of text that each id stands for: one a character of the byte-level alphabet
-        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.width = np.zeros(self.top_id + 1, np.int64)
         for token, i in vocabulary.items():
             self.width[i] = len(token.removesuffix("</w>") if drops_space else token)
 

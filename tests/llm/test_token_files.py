@@ -51,3 +51,24 @@ def test_damage_is_found():
         T.TokenFileReader(io.BytesIO(bytes(raw))).read(0)
     with pytest.raises(ValueError):
         T.TokenFileReader(io.BytesIO(bytes(raw[:-1])))
+
+
+def test_read_documents(spark, docs, prose):
+    """Only the wanted documents, each as often as it occurs."""
+    rows = [(i // 2 * 3, prose(20, i)) for i in range(200)] + [(None, "x")]
+    manifest = T.write_token_files(docs(rows), PATH, T.token_files_path(spark), partitions=5)
+    wanted = spark.createDataFrame([(0,), (0,), (1,), (297,), (150,), (None,), (-5,), (9999,)], "doc_id long")
+    got = sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in T.read_documents(manifest, wanted).collect())
+    whole = Tokenizer.from_file(PATH)
+    assert got == sorted((i, [*whole.encode(t, add_special_tokens=False).ids, 0]) for i, t in rows if i in (0, 150, 297))
+    assert sum(r.n_docs for r in manifest.collect()) == 201 and T.read_documents(manifest, wanted.limit(0)).count() == 0
+
+
+def test_wide_ids():
+    out = io.BytesIO()
+    with pytest.raises(ValueError):
+        T.TokenFileWriter(out, 2).add(1, np.array([70_000]))
+    writer = T.TokenFileWriter(out, 4)
+    writer.add(1, np.array([70_000, 5]))
+    writer.close()
+    assert T.TokenFileReader(out).read(0).tolist() == [70_000, 5]
