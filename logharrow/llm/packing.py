@@ -13,7 +13,8 @@ from logharrow.llm.tokens import encoder, text_batches
 def tokenise(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, drops_space: bool = True) -> DataFrame:
     """Pass one: ids of each document with end_id after them, and where they start within their partition.
 
-    A written table: doc_id, ids (little-endian unsigned 32-bit, binary), n_tokens, part, local_start.
+    A written table: doc_id, ids (little-endian unsigned 32-bit, binary), n_tokens, part, local_start. A null or empty text
+    has the end id alone; null and repeated ids stay as they are; further columns, whatever their names, are ignored.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -47,12 +48,13 @@ def pack(tokens: DataFrame, width: int = 4096) -> DataFrame:
     base = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
     placed = tokens.join(F.broadcast(base), "part").withColumn("at", F.col("base") + F.col("local_start"))
     first, last = F.expr(f"at div {width}"), F.expr(f"(at + n_tokens - 1) div {width}")
-    cut = placed.select("doc_id", "ids", "n_tokens", "at", F.explode(F.sequence(first, last)).alias("sequence_id"))
-    cut = cut.withColumn("start", F.greatest(F.col("sequence_id") * width - F.col("at"), F.lit(0)))
-    cut = cut.withColumn("length", F.least(F.col("n_tokens"), (F.col("sequence_id") + 1) * width - F.col("at")) - F.col("start"))
+    # slices are cut before rows are made, so that a long document is copied once and not into each of its pieces
+    start = lambda k: F.greatest(k * width - F.col("at"), F.lit(0))
+    length = lambda k: F.least(F.col("n_tokens"), (k + 1) * width - F.col("at")) - start(k)
+    piece = lambda k: F.struct(k.alias("sequence_id"), start(k).alias("start"), length(k).alias("length"), F.substring("ids", (4 * start(k) + 1).cast("int"), (4 * length(k)).cast("int")).alias("ids"))
+    cut = placed.select("doc_id", "n_tokens", "at", F.explode(F.transform(F.sequence(first, last), piece)).alias("p")).select("doc_id", "n_tokens", "at", "p.*")
     return cut.select(
-        "doc_id", "start", "length",
-        F.expr("substring(ids, cast(4 * start + 1 as int), cast(4 * length as int))").alias("ids"),
+        "doc_id", "start", "length", "ids",
         F.col("n_tokens").alias("doc_tokens"), "sequence_id",
         (F.col("at") + F.col("start") - F.col("sequence_id") * width).alias("offset"),
     )
