@@ -1,4 +1,7 @@
-"""Settings: dataclasses with defaults, overlaid by YAML files, an environment variable's file and overrides."""
+"""Settings: dataclasses with defaults, overlaid by YAML files, an environment variable's file and overrides.
+
+The names of sections and settings and their defaults are the settings contract: fixed values.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pathlib import Path
 from typing import Any
 
 CONFIG_VARIABLE = "LOGHARROW_CONFIG"
+DEFAULT_FILE = "configs/default.yaml"
 
 
 @dataclass
@@ -23,7 +27,8 @@ class General:
 
 @dataclass
 class Ingest:
-    datetime_format: str = "yyyy-M-d H:m:s"
+    datetime_format: str = "%Y-%m-%d %H:%M:%S"
+    chunk_size: int = 100_000
     compression: str = "snappy"
 
 
@@ -96,7 +101,6 @@ class Autoencoder:
     learning_rate: float = 0.001
     epochs: int = 50
     batch_size: int = 512
-    max_rows: int = 200_000
 
 
 @dataclass
@@ -145,9 +149,12 @@ class Drift:
 
 
 @dataclass
-class Registry:
-    root: str = "./models/registry"
-    name: str = "logharrow-models"
+class Mlflow:
+    """Where models are registered: a folder in tracking_uri, or general.model_root if that is no folder's path."""
+
+    tracking_uri: str = ""
+    experiment_name: str = "logharrow"
+    registry_name: str = "logharrow-models"
 
 
 @dataclass
@@ -173,9 +180,14 @@ class Settings:
     critical_endpoints: list[str] = field(default_factory=list)
     privacy: Privacy = field(default_factory=Privacy)
     drift: Drift = field(default_factory=Drift)
-    registry: Registry = field(default_factory=Registry)
+    mlflow: Mlflow = field(default_factory=Mlflow)
     api: Api = field(default_factory=Api)
 
+    @property
+    def registry_root(self) -> str:
+        uri = self.mlflow.tracking_uri
+        return f"{self.general.model_root}/registry" if not uri or uri.startswith(("http://", "https://")) else uri
+
 
 def _overlay(target: Any, values: dict[str, Any], where: str = "") -> None:
     for key, value in values.items():
@@ -189,11 +201,11 @@ def _overlay(target: Any, values: dict[str, Any], where: str = "") -> None:
 
 
 def load_settings(path: str | None = None, overrides: dict[str, Any] | None = None) -> Settings:
-    """Defaults, then the given file, then the file named by LOGHARROW_CONFIG, then overrides."""
+    """Defaults, then configs/default.yaml, the given file, the file named by LOGHARROW_CONFIG, and overrides."""
     import yaml
 
     settings = Settings()
-    for file in (path, os.environ.get(CONFIG_VARIABLE)):
+    for file in (DEFAULT_FILE, path, os.environ.get(CONFIG_VARIABLE)):
         if file and Path(file).exists():
             _overlay(settings, yaml.safe_load(Path(file).read_text()) or {})
     _overlay(settings, overrides or {})

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 import math
-from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logharrow.config import Drift
@@ -78,17 +77,48 @@ def score_shift(reference: DataFrame, current: DataFrame, column: str = "final_s
     return both.agg(F.abs(F.avg(side(1)) - F.avg(side(0))).alias("mean_shift"), F.abs(F.stddev_pop(side(1)) - F.stddev_pop(side(0))).alias("std_shift"))
 
 
+def drift_metrics(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], bins: int = 20) -> DataFrame:
+    """feature, type, metric, value of all features at once: psi of numeric ones and jsd of categorical ones; null if a side is empty.
+
+    Two passes, whatever the number of features: one for the ranges (one row), one that counts every feature's bins or values.
+    """
+    pick = lambda df, side: df.select(F.lit(side).alias("side"), *[F.col(f"`{c}`").cast("double").alias(f"n_{i}") for i, c in enumerate(numeric)], *[F.col(f"`{c}`").cast("string").alias(f"c_{i}") for i, c in enumerate(categorical)])
+    both = pick(reference, 0).union(pick(current, 1))
+    span = lambda f: [f(f"n_{i}").alias(f"{f.__name__}_{i}") for i in range(len(numeric))]
+    ends = both.agg(F.lit(1).alias("one"), *span(F.min), *span(F.max))
+
+    def binned(i: int) -> Column:
+        v, lo, hi = F.col(f"n_{i}"), F.col(f"min_{i}"), F.col(f"max_{i}")
+        return F.when(lo == hi, bins // 2 + 1).otherwise(F.least(F.floor((v - lo) / ((hi - lo) / bins)) + 1, F.lit(bins)))
+
+    entry = lambda name, kind, value: F.struct(F.lit(name).alias("feature"), F.lit(kind).alias("type"), value.cast("string").alias("v"))
+    cells = [entry(c, "numeric", F.when(F.col(f"n_{i}").isNotNull(), binned(i))) for i, c in enumerate(numeric)] + [entry(c, "categorical", F.col(f"c_{i}")) for i, c in enumerate(categorical)]
+    if not cells:
+        return reference.sparkSession.createDataFrame([], "feature string, type string, metric string, value double")
+    cut = both.join(F.broadcast(ends), how="cross").select("side", F.explode(F.array(*cells)).alias("x")).where("x.v is not null")
+    counts = cut.groupBy("x.feature", "x.type", "x.v").agg(F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
+    totals = counts.groupBy("feature", "type").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+    # empty bins of a numeric feature add nothing to the index: both shares are the same small number
+    shares = counts.join(F.broadcast(totals), ["feature", "type"]).withColumns({"p": F.col("r") / F.greatest("nr", F.lit(1)), "q": F.col("c") / F.greatest("nc", F.lit(1))})  # one row a feature
+    mid = (F.col("p") + F.col("q")) / 2
+    part = lambda x: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / mid)).otherwise(0.0)
+    psi_part = (F.col("q") - F.col("p")) * F.log((F.col("q") + EPS) / (F.col("p") + EPS))
+    summed = shares.groupBy("feature", "type", "nr", "nc").agg(F.sum(F.when(F.col("type") == "numeric", psi_part).otherwise(part("p") + part("q"))).alias("s"))
+    value = F.when((F.col("nr") > 0) & (F.col("nc") > 0), F.when(F.col("type") == "numeric", F.col("s")).otherwise(F.sqrt(F.greatest(F.col("s") / 2, F.lit(0.0)))))
+    return summed.select("feature", "type", F.when(F.col("type") == "numeric", "psi").otherwise("jsd").alias("metric"), value.alias("value"))
+
+
 def drift_report(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], score: str = "final_score", config: Drift = Drift()) -> dict[str, Any]:
     """Metrics of all features that both tables have, alerts above the thresholds, and whether to retrain."""
     report: dict[str, Any] = {"reference_size": reference.count(), "current_size": current.count(), "features": {}, "alerts": []}
     shared = set(reference.columns) & set(current.columns)
-    for metric, names, fn, limit, kind in (("psi", numeric, psi, config.psi_threshold, "numeric"), ("jsd", categorical, jsd, config.jsd_threshold, "categorical")):
-        for name in names:
-            value = fn(reference, current, name).first()[0] if name in shared else None
-            if value is not None:
-                report["features"][name] = {"type": kind, metric: round(value, 4)}
-                if value > limit:
-                    report["alerts"].append({"feature": name, "metric": metric, "value": round(value, 4), "threshold": limit, "action": "retrain_recommended"})
+    found = {r["feature"]: r for r in drift_metrics(reference, current, [c for c in numeric if c in shared], [c for c in categorical if c in shared]).collect()}  # one row a feature
+    limits = {"psi": config.psi_threshold, "jsd": config.jsd_threshold}
+    for name in (c for c in (*numeric, *categorical) if c in found and found[c]["value"] is not None):
+        metric, value = found[name]["metric"], found[name]["value"]
+        report["features"][name] = {"type": found[name]["type"], metric: round(value, 4)}
+        if value > limits[metric]:
+            report["alerts"].append({"feature": name, "metric": metric, "value": round(value, 4), "threshold": limits[metric], "action": "retrain_recommended"})
     if score in shared:
         shift, ks = score_shift(reference, current, score).first(), ks_statistic(reference, current, score).first()
         if shift["mean_shift"] is not None:
@@ -99,13 +129,19 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric: list[str], c
     return report
 
 
-def save_report(report: dict[str, Any], folder: str) -> Path:
-    """drift_report.json and a Markdown summary."""
-    out = Path(folder)
-    out.mkdir(parents=True, exist_ok=True)
-    (out / "drift_report.json").write_text(json.dumps(report, indent=2))
+def save_report(report: dict[str, Any], folder: str, spark: SparkSession) -> str:
+    """drift_report.json and a Markdown summary, in whichever store the folder's scheme names."""
+    jvm = spark._jvm
+
+    def put(name: str, text: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
+        stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return path.toString()
+
     lines = ["# Drift report", "", f"Reference rows: {report['reference_size']}, current rows: {report['current_size']}. Retrain: {report['needs_retrain']}.", "", "| feature | type | value |", "|---|---|---|"]
     lines += [f"| {name} | {f['type']} | {f.get('psi', f.get('jsd'))} |" for name, f in report["features"].items()]
     lines += ["", *[f"- {a.get('feature', 'score')}: {a['metric']} {a['value']} over {a['threshold']}" for a in report["alerts"]]]
-    (out / "drift_report.md").write_text("\n".join(lines) + "\n")
-    return out / "drift_report.json"
+    put("drift_report.md", "\n".join(lines) + "\n")
+    return put("drift_report.json", json.dumps(report, indent=2))

@@ -82,15 +82,25 @@ def time_features(df: DataFrame) -> DataFrame:
     return df.withColumns({"hour": F.hour("timestamp"), "day_of_week": F.weekday("timestamp")})
 
 
+#: Copies of each aggregate that a join deals its rows over, so that a very common key is spread over as many tasks.
+SALTS = 16
+
+
+def salted_join(df: DataFrame, aggregates: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of rows to a table with one row a key, with each key's rows dealt over SALTS groups."""
+    copies = aggregates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(copies, [*keys, "_salt"], "left").drop("_salt")
+
+
 def ip_stats(df: DataFrame, minutes: int = 5) -> DataFrame:
     """Requests a second and distinct endpoints of a client in its window; null for a null client.
 
-    Aggregated to one row a client and window before the join, so a client that sends very many requests is summed
-    within each task and its rows can be split over several.
+    Aggregated to one row a client and window before a salted join, so a client that sends very many requests is summed
+    within each task and its rows are spread over several.
     """
     keyed = df.withColumn("_start", segments.floor_window(F.col("timestamp"), minutes))
     stats = keyed.where("client_ip is not null").groupBy("client_ip", "_start").agg(F.count("*").alias("_n"), F.count_distinct("endpoint_group").alias("ip_unique_endpoints_last_30m"))
-    joined = keyed.join(stats, ["client_ip", "_start"], "left")
+    joined = salted_join(keyed, stats, ["client_ip", "_start"])
     return joined.withColumns({"ip_rps_last_5m": F.col("_n") / (minutes * 60), "first_seen_ip_in_7d": F.lit(0)}).drop("_start", "_n")
 
 
@@ -100,10 +110,17 @@ def agent_features(df: DataFrame) -> DataFrame:
 
 
 def novelty(df: DataFrame, value_col: str, ts_col: str = "timestamp", days: int = 7) -> DataFrame:
-    """is_novel: 1 if the value didn't occur in the `days` days before the row."""
-    seconds = F.unix_seconds(F.col(ts_col).cast("timestamp"))
-    frame = Window.partitionBy(value_col).orderBy(seconds).rangeBetween(-days * 86400, -1)
-    return df.withColumn("is_novel", (F.count("*").over(frame) == 0).cast("int"))
+    """is_novel: 1 if the value didn't occur in the `days` days before the row's second.
+
+    One row a value and second is compared with the second before it, so a very common value sorts its distinct seconds
+    only, and its rows come back by value and second. Null is a value like others; a row without a time is novel.
+    """
+    rows = df.withColumn("_second", F.unix_seconds(F.col(ts_col).cast("timestamp")))
+    seen = rows.where("_second is not null").select(F.col(value_col).alias("_value"), F.col("_second").alias("_at")).distinct()
+    before = F.lag("_at").over(Window.partitionBy("_value").orderBy("_at"))
+    known = seen.withColumn("_known", before >= F.col("_at") - days * 86400).where("_known").select("_value", "_at", "_known")
+    joined = rows.join(known, F.col(value_col).eqNullSafe(F.col("_value")) & (F.col("_second") == F.col("_at")), "left")
+    return joined.withColumn("is_novel", F.col("_known").isNull().cast("int")).drop("_second", "_value", "_at", "_known")
 
 
 def path_features(df: DataFrame, config: Hashing | None = Hashing()) -> DataFrame:
@@ -129,12 +146,21 @@ def status_features(df: DataFrame, hashed: bool = True) -> DataFrame:
     return out.withColumn("status_triple_hash", segments.status_hash(F.col("status_triple"))) if hashed else out
 
 
-def layer2_features(df: DataFrame, config: Hashing | None = Hashing()) -> DataFrame:
-    """All request features. Without a hashing config the two vectors and the status hash are left out (no Python)."""
+def layer2_features(df: DataFrame, config: Hashing | None = Hashing(), novelty_days: int | None = None) -> DataFrame:
+    """All request features. Without a hashing config the two vectors and the status hash are left out (no Python).
+
+    With novelty_days, ua_novelty and first_seen_ip_in_7d say whether the agent or address is new in so many days;
+    else they are 0.
+    """
     out = df.transform(time_features).transform(ip_stats).transform(agent_features).transform(path_features, config).transform(query_features, config)
-    return out.transform(performance_features).transform(status_features, config is not None)
+    out = out.transform(performance_features).transform(status_features, config is not None)
+    if novelty_days is not None:
+        for value, flag in (("user_agent", "ua_novelty"), ("client_ip", "first_seen_ip_in_7d")):
+            out = novelty(out.drop(flag), value, days=novelty_days).withColumnRenamed("is_novel", flag)
+    return out
 
 
+#: Names of the model's numbers, in the order of the model. Fixed values.
 SCALARS_BEFORE = ["hour", "day_of_week", "ip_rps_last_5m", "ip_unique_endpoints_last_30m", "first_seen_ip_in_7d", "ua_bot_flag", "ua_novelty", "path_depth"]
 SCALARS_BETWEEN = ["query_key_count", "query_special_char_ratio", "query_decoded_len", "query_max_value_len", "query_suspicious_flag"]
 SCALARS_AFTER = ["status_triple_hash", "log_time_taken", "log_sc_bytes", "log_cs_bytes", "bytes_per_ms"]

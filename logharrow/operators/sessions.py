@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logharrow.functions.segments import session_base_id, session_key, sigmoid
@@ -15,7 +15,8 @@ def sessionize(df: DataFrame, timeout_minutes: int = 30, mode: str = "client", t
     """session_id and session_seq (from 0). A new session starts after a gap of more than timeout_minutes.
 
     mode "client": gaps between a client's own requests. mode "global": also at any request of another client in
-    between, in the time order of the whole table; that needs the whole table in one task, so use it on a day's rows.
+    between, in the time order of the whole table; rows are ordered within hours, and each hour's first row is compared with
+    the last row of the hour before it that has any (one row an hour).
     The base of the id is the client's key, hashed or (hashed=False) as text. `tie` orders rows of the same time.
     """
     order = [F.col(ts_col), *([F.col(tie)] if tie else [])]
@@ -23,13 +24,22 @@ def sessionize(df: DataFrame, timeout_minutes: int = 30, mode: str = "client", t
     key = session_key(F.col("client_ip"), F.col("user_agent"), cookie)
     rows = df.withColumn("_base", session_base_id(key) if hashed else key)
     by = Window.partitionBy("_base").orderBy(*order)
-    before = by if mode == "client" else Window.orderBy(*order)
-    seconds = F.unix_micros(F.col(ts_col).cast("timestamp")) / 1e6
-    broken = (F.lag("_base").over(before).isNull()) | (F.lag("_base").over(before) != F.col("_base")) | (seconds - F.lag(seconds).over(before) > timeout_minutes * 60)
+    rows = rows.withColumn("_at", F.unix_micros(F.col(ts_col).cast("timestamp")) / 1e6)
+    if mode == "client":
+        rows = rows.withColumns({"_last": F.lag("_base").over(by), "_last_at": F.lag("_at").over(by)})
+    else:
+        rows = rows.withColumn("_hour", F.coalesce(F.floor(F.col("_at") / 3600), F.lit(-(1 << 62))))
+        within = Window.partitionBy("_hour").orderBy(*order)
+        ends = rows.groupBy("_hour").agg(F.max(F.struct("_at", *([F.col(tie).alias("_tie")] if tie else []), "_base")).alias("_end"))
+        ends = ends.select("_hour", F.lag("_end").over(Window.orderBy("_hour")).alias("_end"))
+        rows = rows.withColumns({"_own": F.lag(F.struct("_base", "_at")).over(within)}).join(ends, "_hour")
+        rows = rows.withColumns({"_last": F.when(F.col("_own").isNull(), F.col("_end._base")).otherwise(F.col("_own._base")), "_last_at": F.when(F.col("_own").isNull(), F.col("_end._at")).otherwise(F.col("_own._at"))})
+        rows = rows.drop("_hour", "_end", "_own")
+    broken = F.col("_last").isNull() | (F.col("_last") != F.col("_base")) | (F.col("_at") - F.col("_last_at") > timeout_minutes * 60)
     rows = rows.withColumn("_break", broken.cast("long"))
     rows = rows.withColumn("_n", F.sum("_break").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("session_id", F.concat_ws("_", "_base", F.col("_n").cast("string")))
-    return rows.withColumn("session_seq", F.row_number().over(Window.partitionBy("_base", "_n").orderBy(*order)) - 1).drop("_base", "_break", "_n")
+    return rows.withColumn("session_seq", F.row_number().over(Window.partitionBy("_base", "_n").orderBy(*order)) - 1).drop("_base", "_break", "_n", "_at", "_last", "_last_at")
 
 
 def critical_sessions(df: DataFrame, critical: list[str]) -> DataFrame:
@@ -63,6 +73,14 @@ def markov_fit(steps: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     return joined.select("from_state", "to_state", "cnt", prob.alias("prob"), "n_states")
 
 
+def save_markov(model: DataFrame, path: str) -> None:
+    model.write.mode("overwrite").parquet(path)
+
+
+def load_markov(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def markov_score(df: DataFrame, model: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     """session_id and layer3_score; an unseen step has probability smoothing / n_states, a session of one row scores 0."""
     steps = transitions(df)

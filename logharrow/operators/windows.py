@@ -60,12 +60,17 @@ def robust_z(df: DataFrame, columns: list[str], rows: int = 36, key: str = "segm
     return scored.drop(*[f"_d_{c}" for c in columns])
 
 
+def ewma_rows(alpha: float) -> int:
+    """Rows of the exponential mean whose weights are at least 1e-16."""
+    return max(2, math.ceil(math.log(1e-16) / math.log(1 - alpha))) if alpha < 1 else 1
+
+
 def ewma_z(df: DataFrame, columns: list[str], alpha: float = 0.3, key: str = "segment_id") -> DataFrame:
     """z_<column>: distance from the exponential mean over the rolling deviation; null in a segment's first window.
 
     Weights below 1e-16 are left out, which bounds the frame; for alpha 0.3 that is 104 rows.
     """
-    rows = max(2, math.ceil(math.log(1e-16) / math.log(1 - alpha))) if alpha < 1 else 1
+    rows = ewma_rows(alpha)
     value = lambda c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0))
     keep = 1 - alpha
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logharrow.config import Hashing, IsolationForest, Layer1, Scoring
+from logharrow.config import Layer1, Scoring
 from logharrow.functions import agents, segments, url
 from logharrow.operators import drift, iforest, requests, scoring, sessions, windows
 
@@ -19,21 +19,39 @@ CRITICAL = ["/APP/Purchase/{num}/Page.aspx", "/App/signup/{num}/data.ashx"]
 #: Hours between rows are many in the events table, so rolling statistics use windows of an hour.
 HOUR = Layer1(window_size_minutes=60, rolling_hours=36)
 
-REQUEST_SQL = """
+#: Agents of the request view, and for each what its families are: browser, version, system, version, device, bot.
+AGENTS: list[tuple[str | None, tuple[str, str, str, str, str, int]]] = [
+    ("Mozilla/5.0+(Windows+NT+10.0;+Win64;+x64)+AppleWebKit/537.36+(KHTML,+like+Gecko)+Chrome/120.0.0.0+Safari/537.36", ("Chrome", "120", "Windows", "10", "Other", 0)),
+    ("Mozilla/5.0+(compatible;+Googlebot/2.1;++http://www.google.com/bot.html)", ("Googlebot", "2", "Other", "", "Spider", 1)),
+    ("curl/7.68", ("curl", "7", "Other", "", "Other", 1)),
+    ("python-requests/2.28.1", ("Python Requests", "2", "Other", "", "Other", 1)),
+    (None, ("Other", "", "Other", "", "Other", 0)),
+    ("Mozilla/5.0+(iPhone;+CPU+iPhone+OS+17_2+like+Mac+OS+X)+AppleWebKit/605.1.15+Version/17.2+Mobile/15E148+Safari/604.1", ("Mobile Safari", "17", "iOS", "17", "iPhone", 0)),
+    ("Mozilla/5.0+(X11;+Linux+x86_64;+rv:121.0)+Gecko/20100101+Firefox/121.0", ("Firefox", "121", "Linux", "", "Other", 0)),
+    ("Mozilla/5.0+(Linux;+Android+14;+Pixel)+AppleWebKit/537.36+Chrome/119.0.0.0+Mobile+Safari/537.36", ("Chrome Mobile", "119", "Android", "14", "Generic Smartphone", 0)),
+    ("-", ("Other", "", "Other", "", "Other", 0)),
+]
+AGENT_SQL = "CASE user_id % 9 " + " ".join(f"WHEN {i} THEN '{a}'" for i, (a, _) in enumerate(AGENTS) if a is not None) + " END"
+BOT_SQL = "CASE WHEN user_id % 9 IN (" + ", ".join(str(i) for i, (_, f) in enumerate(AGENTS) if f[5]) + ") THEN 1 ELSE 0 END"
+PAGE_SQL = "CASE k % 3 WHEN 0 THEN '/Page.aspx' WHEN 1 THEN '/Data.ashx' ELSE '/logo.png' END"
+
+REQUEST_SQL = f"""
 req0 AS (SELECT event_id, ts AS timestamp, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 req AS (
-  SELECT event_id, timestamp, user_id, event_type, k, '10.0.0.' || user_id AS client_ip,
+  SELECT event_id, timestamp, user_id, event_type, k, '10.' || user_id % 7 || '.' || user_id // 251 || '.' || user_id % 251 AS client_ip,
+    CASE WHEN user_id % 11 <> 0 THEN 'session-' || user_id || '-abcdefghijklmnop' END AS cookie,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
-    '/App/' || event_type || '/' || k || CASE k % 3 WHEN 0 THEN '/Page.aspx' WHEN 1 THEN '/Data.ashx' ELSE '/logo.png' END AS uri_stem,
-    CASE WHEN k % 10 <> 0 THEN 'k=' || k || '&type=' || event_type END AS uri_query,
-    CASE WHEN event_type = 'error' THEN 500 WHEN k % 10 = 7 THEN 404 WHEN event_type = 'signup' THEN 302 ELSE 200 END AS status,
-    CASE user_id % 5 WHEN 0 THEN 'Mozilla/5.0' WHEN 1 THEN 'Googlebot/2.1' WHEN 2 THEN 'curl/7.68' WHEN 3 THEN 'python-requests/2.28.1' END AS user_agent,
-    CASE WHEN k <> 13 THEN CAST(floor(value * 10) AS BIGINT) END AS time_taken, CAST(floor(value * 100) AS BIGINT) AS sc_bytes
+    '/App/' || event_type || CASE WHEN k % 4 = 0 THEN '/v2' ELSE '' END || '/' || k || {PAGE_SQL} || CASE WHEN k % 6 = 5 THEN '//' ELSE '' END AS uri_stem,
+    CASE WHEN k % 10 <> 0 THEN CASE WHEN k % 9 = 0 THEN 'a b!' WHEN k % 25 = 3 THEN repeat('z', 501) END END AS q,
+    CASE WHEN k % 10 <> 0 THEN 'k=' || k || '&type=' || event_type || CASE WHEN k % 9 = 0 THEN '&q=a%20b!' WHEN k % 25 = 3 THEN '&q=' || repeat('z', 501) ELSE '' END END AS uri_query,
+    CASE WHEN event_type = 'error' THEN 500 WHEN k % 10 = 7 THEN 404 WHEN event_type = 'signup' THEN 302 ELSE 200 END AS status, k % 4 AS substatus, CASE WHEN k % 5 <> 0 THEN k END AS win32_status,
+    {AGENT_SQL} AS user_agent,
+    CASE WHEN k <> 13 THEN CAST(floor(value * 10) AS BIGINT) END AS time_taken, CAST(floor(value * 100) AS BIGINT) AS sc_bytes, CASE WHEN k % 11 <> 0 THEN CAST(floor(value * 7) AS BIGINT) END AS cs_bytes
   FROM req0
 ),
 enr AS (
-  SELECT *, lower('/App/' || event_type || '/{num}' || CASE k % 3 WHEN 0 THEN '/Page.aspx' WHEN 1 THEN '/Data.ashx' ELSE '/logo.png' END) AS endpoint_group,
-    (status // 100)::VARCHAR || 'xx' AS status_class, CASE WHEN user_id % 5 IN (1, 2, 3) THEN 1 ELSE 0 END AS bot_flag
+  SELECT *, lower('/App/' || event_type || CASE WHEN k % 4 = 0 THEN '/v2' ELSE '' END || '/{{num}}' || {PAGE_SQL}) AS endpoint_group,
+    (status // 100)::VARCHAR || 'xx' AS status_class, {BOT_SQL} AS bot_flag
   FROM req
 ),
 seg AS (SELECT *, endpoint_group || '|' || method || '|' || status_class || '|' || bot_flag AS segment_key FROM enr)
@@ -50,21 +68,28 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def request_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web requests derived from the events table."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    k, kind = F.col("k"), F.col("event_type")
+def requests_of(events: DataFrame) -> DataFrame:
+    """Web requests derived from rows of the events table, stored or streamed."""
+    ev = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k, kind, user = F.col("k"), F.col("event_type"), F.col("user_id")
     page = F.when(k % 3 == 0, "/Page.aspx").when(k % 3 == 1, "/Data.ashx").otherwise("/logo.png")
-    agent = F.when(F.col("user_id") % 5 == 0, "Mozilla/5.0").when(F.col("user_id") % 5 == 1, "Googlebot/2.1").when(F.col("user_id") % 5 == 2, "curl/7.68").when(F.col("user_id") % 5 == 3, "python-requests/2.28.1")
+    stem = F.concat(F.lit("/App/"), kind, F.when(k % 4 == 0, "/v2").otherwise(""), F.lit("/"), k, page, F.when(k % 6 == 5, "//").otherwise(""))
+    more = F.when(k % 9 == 0, "&q=a%20b!").when(k % 25 == 3, F.concat(F.lit("&q="), F.repeat(F.lit("z"), 501))).otherwise("")
+    agent = F.get(F.array(*[F.lit(a) for a, _ in AGENTS]), (user % len(AGENTS)).cast("int"))
     return ev.select(
-        "event_id", F.col("ts").alias("timestamp"), "user_id", "event_type", "k", F.concat(F.lit("10.0.0."), F.col("user_id")).alias("client_ip"),
-        F.when(kind.isin("purchase", "signup"), "POST").otherwise("GET").alias("method"), F.concat(F.lit("/App/"), kind, F.lit("/"), k, page).alias("uri_stem"),
-        F.when(k % 10 != 0, F.concat(F.lit("k="), k, F.lit("&type="), kind)).alias("uri_query"),
-        F.when(kind == "error", 500).when(k % 10 == 7, 404).when(kind == "signup", 302).otherwise(200).alias("status"), agent.alias("user_agent"),
-        F.when(k != 13, F.floor(F.col("value") * 10)).alias("time_taken"), F.floor(F.col("value") * 100).alias("sc_bytes"),
+        "event_id", F.col("ts").alias("timestamp"), "user_id", "event_type", "k", F.concat_ws(".", F.lit("10"), user % 7, F.floor(user / 251), user % 251).alias("client_ip"),
+        F.when(user % 11 != 0, F.concat(F.lit("session-"), user, F.lit("-abcdefghijklmnop"))).alias("cookie"),
+        F.when(kind.isin("purchase", "signup"), "POST").otherwise("GET").alias("method"), stem.alias("uri_stem"),
+        F.when(k % 10 != 0, F.concat(F.lit("k="), k, F.lit("&type="), kind, more)).alias("uri_query"),
+        F.when(kind == "error", 500).when(k % 10 == 7, 404).when(kind == "signup", 302).otherwise(200).alias("status"), (k % 4).alias("substatus"), F.when(k % 5 != 0, k).alias("win32_status"), agent.alias("user_agent"),
+        F.when(k != 13, F.floor(F.col("value") * 10)).alias("time_taken"), F.floor(F.col("value") * 100).alias("sc_bytes"), F.when(k % 11 != 0, F.floor(F.col("value") * 7)).alias("cs_bytes"),
     )
 
 
+def request_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.enrich(request_view(spark, sf_dir), hashed=False)
 
@@ -88,28 +113,39 @@ def endpoint_group(spark, sf_dir):
     return enriched(spark, sf_dir).groupBy("endpoint_group").agg(F.count("*").alias("n"))
 
 
-@query("""WITH REQUESTS SELECT event_id, CASE k % 3 WHEN 0 THEN 'aspx' WHEN 1 THEN 'ashx' ELSE 'png' END AS extension, 4::BIGINT AS path_depth,
+@query("""WITH REQUESTS SELECT event_id, CASE WHEN k % 3 = 0 THEN 'aspx' WHEN k % 3 = 1 THEN 'ashx' WHEN k % 6 <> 5 THEN 'png' END AS extension, CASE WHEN k % 4 = 0 THEN 5 ELSE 4 END::BIGINT AS path_depth,
  lower(array_to_string(list_filter(string_split(uri_stem, '/'), lambda x: x <> ''), ',')) AS path_tokens FROM seg""")
 def path_features(spark, sf_dir):
     stem = F.col("uri_stem")
     return request_view(spark, sf_dir).select("event_id", url.extension(stem).alias("extension"), url.path_depth(stem).cast("long").alias("path_depth"), F.array_join(url.path_tokens(stem), ",").alias("path_tokens"))
 
 
-@query("""WITH REQUESTS SELECT event_id, CASE WHEN uri_query IS NULL THEN '' ELSE 'k,type' END AS key_set, CASE WHEN uri_query IS NULL THEN 0 ELSE 2 END::BIGINT AS key_count,
- CASE WHEN uri_query IS NULL THEN 0 ELSE 2 END::BIGINT AS value_count, coalesce(round((length(k::VARCHAR) + length(event_type)) / 2.0, 6), 0) * (uri_query IS NOT NULL)::INT AS mean_value_len,
- CASE WHEN uri_query IS NULL THEN 0 ELSE greatest(length(k::VARCHAR), length(event_type)) END::BIGINT AS max_value_len, coalesce(length(uri_query), 0)::BIGINT AS decoded_len, 0.0::DOUBLE AS special FROM seg""")
+@query("""WITH REQUESTS, len AS (SELECT *, uri_query IS NOT NULL AS has, coalesce(length(q), 0) AS lq, 2 + (q IS NOT NULL)::INT AS n, length('k=' || k || '&type=' || event_type) + CASE WHEN q IS NULL THEN 0 ELSE 3 + length(q) END AS dl FROM seg)
+ SELECT event_id, CASE WHEN NOT has THEN '' WHEN q IS NULL THEN 'k,type' ELSE 'k,q,type' END AS key_set, CASE WHEN has THEN n ELSE 0 END::BIGINT AS key_count, CASE WHEN has THEN n ELSE 0 END::BIGINT AS value_count,
+ CASE WHEN has THEN round((length(k::VARCHAR) + length(event_type) + lq) / n, 6) ELSE 0.0 END AS mean_value_len, CASE WHEN has THEN greatest(length(k::VARCHAR), length(event_type), lq) ELSE 0 END::BIGINT AS max_value_len,
+ CASE WHEN has THEN dl ELSE 0 END::BIGINT AS decoded_len, CASE WHEN q = 'a b!' THEN round(2 / dl, 4) ELSE 0.0 END::DOUBLE AS special FROM len""")
 def query_features(spark, sf_dir):
     q = request_view(spark, sf_dir).withColumn("q", url.query_stats(F.col("uri_query")))
     longs = [F.col(f"q.{c}").cast("long").alias(c) for c in ("key_count", "value_count", "max_value_len", "decoded_len")]
     return q.select("event_id", F.array_join("q.key_set", ",").alias("key_set"), *longs, r6(F.col("q.mean_value_len"), "mean_value_len"), F.col("q.special_char_ratio").cast("double").alias("special"))
 
 
-@query("""SELECT page_id, lower(url_decode(regexp_replace(url, '^https?://[^/]*', ''))) AS path FROM pages WHERE length(regexp_replace(url, '^https?://[^/]*', '')) <= 1 OR NOT ends_with(url, '/')""")
+@query("""WITH p AS (SELECT page_id, lower(url_decode(regexp_replace(url, '^https?://[^/]*', ''))) AS path FROM pages), t AS (SELECT page_id, CASE WHEN length(path) > 1 THEN regexp_replace(path, '/+$', '') ELSE path END AS path FROM p)
+ SELECT page_id, regexp_replace(regexp_replace(path, '/[0-9]+(/)', '/{num}\\1', 'g'), '/[0-9]+$', '/{num}') AS path FROM t""")
 def url_pages(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("path", F.regexp_replace("url", "^https?://[^/]*", ""))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", url.endpoint_group(F.regexp_replace("url", "^https?://[^/]*", "")).alias("path"))
+
+
+@query("""SELECT page_id, '/' || page_id || '/{guid}/{hex}/' || page_id || 'a' AS path FROM pages""")
+def aggressive_templates(spark, sf_dir):
+    """Ids in paths that are made from each page's number."""
     from logharrow.config import Url
 
-    return pages.where((F.length("path") <= 1) | ~F.col("url").endswith("/")).select("page_id", url.endpoint_group(F.col("path"), Url(numeric_template=False)).alias("path"))
+    n = F.lpad(F.lower(F.hex("page_id")), 8, "0")
+    stem = F.concat(F.lit("/"), F.col("page_id"), F.lit("/"), n, F.lit("-0000-4ABC-8def-0123456789ab/"), n, n, F.lit("F/"), F.col("page_id"), F.lit("A/"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", url.endpoint_group(stem, Url(numeric_template=False, aggressive_template=True)).alias("path"))
 
 
 @query("WITH REQUESTS SELECT status_class, count(*) AS n FROM seg GROUP BY 1")
@@ -225,9 +261,9 @@ def ip_stats(spark, sf_dir):
     return requests.ip_stats(enriched(spark, sf_dir), 1440).select("event_id", F.round("ip_rps_last_5m", 8).alias("ip_rps"), F.col("ip_unique_endpoints_last_30m").alias("ip_endpoints"))
 
 
-@query("WITH REQUESTS SELECT event_id, round(ln(1 + coalesce(time_taken, 0)), 6) AS log_time_taken, round(ln(1 + sc_bytes), 6) AS log_sc_bytes, 0.0::DOUBLE AS log_cs_bytes, round(sc_bytes / greatest(coalesce(time_taken, 1), 1), 6) AS bytes_per_ms FROM seg")
+@query("WITH REQUESTS SELECT event_id, round(ln(1 + coalesce(time_taken, 0)), 6) AS log_time_taken, round(ln(1 + sc_bytes), 6) AS log_sc_bytes, round(ln(1 + coalesce(cs_bytes, 0)), 6) AS log_cs_bytes, round(sc_bytes / greatest(coalesce(time_taken, 1), 1), 6) AS bytes_per_ms FROM seg")
 def perf_features(spark, sf_dir):
-    rows = requests.performance_features(request_view(spark, sf_dir).withColumn("cs_bytes", F.lit(None).cast("long")))
+    rows = requests.performance_features(request_view(spark, sf_dir))
     return rows.select("event_id", *map(r6, ("log_time_taken", "log_sc_bytes", "log_cs_bytes", "bytes_per_ms")))
 
 
@@ -237,10 +273,9 @@ def time_features(spark, sf_dir):
     return rows.select("event_id", F.col("hour").cast("long").alias("hour"), F.col("day_of_week").cast("long").alias("day_of_week"), segments.date_partition(F.col("timestamp")).alias("date"))
 
 
-@query("WITH REQUESTS SELECT event_id, status || '_0_' || k AS status_triple FROM seg")
+@query("WITH REQUESTS SELECT event_id, status || '_' || substatus || '_' || coalesce(win32_status, 0) AS status_triple FROM seg")
 def status_features(spark, sf_dir):
-    rows = request_view(spark, sf_dir).withColumns({"substatus": F.lit(None).cast("long"), "win32_status": F.col("k")})
-    return requests.status_features(rows, hashed=False).select("event_id", "status_triple")
+    return requests.status_features(request_view(spark, sf_dir), hashed=False).select("event_id", "status_triple")
 
 
 @query("WITH REQUESTS SELECT event_id, k + 50 AS status, CASE WHEN time_taken - 500 < 0 THEN 0 ELSE time_taken - 500 END AS time_taken FROM seg WHERE k + 50 BETWEEN 100 AND 599 AND uri_query IS NOT NULL")
@@ -249,7 +284,7 @@ def validate_chain(spark, sf_dir):
     return requests.validate(rows).select("event_id", "status", "time_taken")
 
 
-SESSION_SQL = """ses0 AS (SELECT *, client_ip || '|' || coalesce(user_agent, '') || '|' AS base FROM seg),
+SESSION_SQL = """ses0 AS (SELECT *, client_ip || '|' || coalesce(user_agent, '') || '|' || coalesce(substr(cookie, 1, 20), '') AS base FROM seg),
 brk AS (SELECT *, CASE WHEN {lag_base} IS NULL OR {lag_base} <> base OR epoch_ms(timestamp) - epoch_ms({lag_ts}) > 10800000 THEN 1 ELSE 0 END AS b FROM ses0),
 ses1 AS (SELECT *, sum(b) OVER (PARTITION BY base ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS num FROM brk),
 ses AS (SELECT *, base || '_' || num AS session_id, (row_number() OVER (PARTITION BY base, num ORDER BY timestamp, event_id) - 1)::INTEGER AS session_seq FROM ses1)"""
@@ -343,18 +378,24 @@ def topk_alerts(spark, sf_dir):
 
 
 @query("""WITH REQUESTS SELECT '{"timestamp":"' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '","endpoint_group":"' || endpoint_group || '","method":"' || method || '","status":' || status || ',"status_class":"' || status_class ||
- '","layer1_score":null,"layer2_score":null,"layer3_score":null,"final_score":0.5,"reason_codes":["x"],"context":{},"ua_family":"","bot_flag":' || bot_flag || ',"time_taken":' || coalesce(time_taken::VARCHAR, 'null') || ',"sc_bytes":' || sc_bytes || '}' AS value FROM seg""")
+ '","layer1_score":' || (k / 100)::DOUBLE || ',"layer2_score":' || CASE WHEN k % 7 = 0 THEN 'null' ELSE ((100 - k) / 100)::DOUBLE::VARCHAR END || ',"layer3_score":null,"final_score":' || (k / 200)::DOUBLE || ',"reason_codes":["x","' || event_type || '"],"context":{"request_count":' || user_id::DOUBLE ||
+ CASE WHEN time_taken IS NULL THEN '' ELSE ',"p99_time_taken":' || time_taken::DOUBLE END || ',"burstiness":' || (k / 8)::DOUBLE || '},"ua_family":"' || status_class || '","bot_flag":' || bot_flag || ',"time_taken":' || coalesce(time_taken::VARCHAR, 'null') || ',"sc_bytes":' || sc_bytes || '}' AS value FROM seg""")
 def alert_json(spark, sf_dir):
-    rows = enriched(spark, sf_dir).withColumns({"timestamp": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "final_score": F.lit(0.5), "reason_codes": F.array(F.lit("x"))})
+    k = F.col("k")
+    rows = enriched(spark, sf_dir).withColumns({
+        "timestamp": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "layer1_score": k / 100, "layer2_score": F.when(k % 7 != 0, (100 - k) / 100), "final_score": k / 200, "reason_codes": F.array(F.lit("x"), "event_type"),
+        "request_count": F.col("user_id"), "p99_time_taken": F.col("time_taken"), "burstiness": k / 8, "ua_browser_family": F.col("status_class"),
+    })
     return scoring.alert_payloads(rows)
 
 
 def halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """All rows: those of the mornings, and those of the afternoons."""
     rows = enriched(spark, sf_dir).withColumn("final_score", F.col("k") / 100)
-    return rows.where("event_id % 2 = 0 AND k < 90"), rows.where("event_id % 3 = 0 AND k > 5")
+    return rows.where(F.hour("timestamp") < 12), rows.where(F.hour("timestamp") >= 12)
 
 
-HALF_SQL = "hv AS (SELECT *, k / 100 AS final_score, 0 AS side FROM seg WHERE event_id % 2 = 0 AND k < 90 UNION ALL SELECT *, k / 100, 1 FROM seg WHERE event_id % 3 = 0 AND k > 5)"
+HALF_SQL = "hv AS (SELECT *, k / 100 AS final_score, CASE WHEN hour(timestamp) < 12 THEN 0 ELSE 1 END AS side FROM seg)"
 
 
 @query(f"""WITH REQUESTS, {HALF_SQL}, e AS (SELECT min(sc_bytes)::DOUBLE AS lo, max(sc_bytes)::DOUBLE AS hi FROM hv), b AS (SELECT side, least(floor((sc_bytes - lo) / ((hi - lo) / 20)) + 1, 20) AS bin FROM hv, e),
@@ -408,62 +449,325 @@ def generated_windows(spark, sf_dir):
     return made.select("event_id", wall("w.window_start", "window_start"))
 
 
-@query("""WITH REQUESTS SELECT event_id, '10.0.0.0' AS client_ip, regexp_replace(uri_query, '=[^&]*', '=', 'g') AS uri_query FROM seg""")
+@query("""WITH REQUESTS SELECT event_id, regexp_replace(client_ip, '\\.[0-9]+$', '.0') AS client_ip, sha256(cookie) AS cookie, regexp_replace(uri_query, '=[^&]*', '=', 'g') AS uri_query FROM seg""")
 def privacy_projection(spark, sf_dir):
-    return requests.anonymise(request_view(spark, sf_dir)).select("event_id", "client_ip", "uri_query")
+    return requests.anonymise(request_view(spark, sf_dir)).select("event_id", "client_ip", "cookie", "uri_query")
 
 
-# --- models and hashing: no SQL; tests hold them against brute force and invariants ---
+# --- hashing: MurmurHash3 in SQL, step by step over a list of bytes
 
+M = "4294967295::UBIGINT"
 
-@query()
+
+def _scrambled(x: str) -> str:
+    turned = lambda y: f"((({y} << 15) | ({y} >> 17)) & {M})"
+    first = f"(({x} * 3432918353::UBIGINT) & {M})"
+    return f"(({turned(first)} * 461845907::UBIGINT) & {M})"
+
+
+def murmur_sql(name: str, source: str, seeds: tuple[int, ...] = (42,)) -> str:
+    """Tables that end in `name`(s, h42, ...): the hashes of the distinct texts s of `source`."""
+    out = [
+        f"{name}_b AS (SELECT s, list_transform(generate_series(1, length(hex(s)), 2), lambda i: ('0x' || substr(hex(s), i, 2))::UBIGINT) AS b FROM (SELECT DISTINCT s FROM ({source}))) ",
+        f"{name}_w AS (SELECT s, len(b)::UBIGINT AS n, list_transform(generate_series(0, len(b) // 4 - 1), lambda j: b[4 * j + 1] + b[4 * j + 2] * 256 + b[4 * j + 3] * 65536 + b[4 * j + 4] * 16777216) AS w, "
+        "CASE WHEN len(b) % 4 > 0 THEN b[4 * (len(b) // 4) + 1] + CASE WHEN len(b) % 4 > 1 THEN b[4 * (len(b) // 4) + 2] * 256 ELSE 0 END + CASE WHEN len(b) % 4 > 2 THEN b[4 * (len(b) // 4) + 3] * 65536 ELSE 0 END ELSE 0 END::UBIGINT AS t "
+        f"FROM {name}_b)",
+    ]
+    for seed in seeds:
+        step = f"(((((xor(h, x) << 13) | (xor(h, x) >> 19)) & {M}) * 5 + 3864292196::UBIGINT) & {M})"
+        out.append(f"{name}_{seed}a AS (SELECT s, n, t, list_reduce(list_prepend({seed}::UBIGINT, list_transform(w, lambda x: {_scrambled('x')})), lambda h, x: {step}) AS h FROM {name}_w)")
+        out.append(f"{name}_{seed}b AS (SELECT s, xor(xor(h, {_scrambled('t')}), n) AS h FROM {name}_{seed}a)")
+        out.append(f"{name}_{seed}c AS (SELECT s, (xor(h, h >> 16) * 2246822507::UBIGINT) & {M} AS h FROM {name}_{seed}b)")
+        out.append(f"{name}_{seed}d AS (SELECT s, (xor(h, h >> 13) * 3266489909::UBIGINT) & {M} AS h FROM {name}_{seed}c)")
+        out.append(f"{name}_{seed} AS (SELECT s, xor(h, h >> 16) AS h FROM {name}_{seed}d)")
+    first = seeds[0]
+    joins = " ".join(f"JOIN {name}_{x} USING (s)" for x in seeds[1:])
+    columns = ", ".join(f"{name}_{x}.h AS h{x}" for x in seeds)
+    return ", ".join(out) + f", {name} AS (SELECT {name}_{first}.s, {columns} FROM {name}_{first} {joins})"
+
+
+def id_sql(prefix: str, h: str = "h42") -> str:
+    return f"'{prefix}' || lpad(lower(hex({h}::UBIGINT)), 8, '0')"
+
+
+VECTOR_SQL = ("WITH REQUESTS, tok AS (SELECT event_id, 'path' AS kind, 256 AS dim, unnest(list_filter(string_split(lower(uri_stem), '/'), lambda x: x <> '')) AS s FROM seg"
+ " UNION ALL SELECT event_id, 'query', 128, unnest(['k', 'type']) FROM seg WHERE uri_query IS NOT NULL UNION ALL SELECT event_id, 'query', 128, 'q' FROM seg WHERE q IS NOT NULL), "
+ + murmur_sql("mm", "SELECT s FROM tok", (42, 43)) +
+ ", hit AS (SELECT event_id, kind, h42 % dim AS bucket, sum(CASE WHEN h43 < 2147483648 THEN 1 ELSE -1 END) AS v FROM tok JOIN mm USING (s) GROUP BY ALL),"
+ " lst AS (SELECT event_id, kind, string_agg(bucket || ':' || v::INTEGER, ',' ORDER BY bucket) FILTER (WHERE v <> 0) AS x FROM hit GROUP BY ALL)"
+ " SELECT seg.event_id, coalesce(p.x, '') AS path_hash, coalesce(r.x, '') AS query_hash FROM seg LEFT JOIN lst p ON p.event_id = seg.event_id AND p.kind = 'path' LEFT JOIN lst r ON r.event_id = seg.event_id AND r.kind = 'query'")
+
+
+def nonzero(vector: str) -> Column:
+    entries = F.filter(F.transform(vector, lambda v, i: F.struct(i.alias("i"), v.cast("int").alias("v"))), lambda x: x["v"] != 0)
+    return F.array_join(F.transform(entries, lambda x: F.concat_ws(":", x["i"], x["v"])), ",")
+
+
+@query(VECTOR_SQL)
 def hash_vector(spark, sf_dir):
-    rows = requests.query_features(requests.path_features(request_view(spark, sf_dir), Hashing(16, 8)), Hashing(16, 8))
-    return rows.select("event_id", F.array_join(F.col("path_hash").cast("array<string>"), ",").alias("path_hash"), F.array_join(F.col("query_hash").cast("array<string>"), ",").alias("query_hash"))
+    rows = requests.query_features(requests.path_features(request_view(spark, sf_dir)))
+    return rows.select("event_id", nonzero("path_hash").alias("path_hash"), nonzero("query_hash").alias("query_hash"))
 
 
-@query()
+FAMILIES_SQL = ", ".join(f"({i}, " + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in f) + ")" for i, (_, f) in enumerate(AGENTS))
+
+
+@query(f"""WITH REQUESTS, fam AS (SELECT * FROM (VALUES {FAMILIES_SQL}) AS t(i, browser_family, browser_version, os_family, os_version, device_family, bot_flag))
+ SELECT browser_family, browser_version, os_family, os_version, device_family, fam.bot_flag, count(*) AS n FROM seg JOIN fam ON i = user_id % {len(AGENTS)} GROUP BY ALL""")
 def ua_families(spark, sf_dir):
     ua = request_view(spark, sf_dir).select("user_agent", agents.parse_agent(F.coalesce("user_agent", F.lit(""))).alias("ua"))
-    return ua.groupBy("ua.browser_family", "ua.browser_version", "ua.os_family", "ua.device_family", "ua.bot_flag").agg(F.count("*").alias("n"))
+    return ua.groupBy("ua.browser_family", "ua.browser_version", "ua.os_family", "ua.os_version", "ua.device_family", "ua.bot_flag").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH REQUESTS, {murmur_sql('mm', "SELECT segment_key AS s FROM seg UNION ALL SELECT endpoint_group || '|' || method FROM seg")}
+ SELECT segment_key, {id_sql('seg_', 'a.h42')} AS segment_id, {id_sql('pseg_', 'b.h42')} AS parent_id, count(*) AS n FROM seg JOIN mm a ON a.s = segment_key JOIN mm b ON b.s = endpoint_group || '|' || method GROUP BY ALL""")
+def segment_ids(spark, sf_dir):
+    rows = requests.enrich(request_view(spark, sf_dir))
+    return rows.withColumn("parent_id", segments.parent_segment_id(F.col("endpoint_group"), F.col("method"))).groupBy("segment_key", "segment_id", "parent_id").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH REQUESTS, {BY_CLIENT}, {murmur_sql('mm', "SELECT base AS s FROM ses")} SELECT event_id, {id_sql('sess_')} || '_' || num AS session_id, session_seq FROM ses JOIN mm ON s = base""")
+def session_ids(spark, sf_dir):
+    return sessions.sessionize(enriched(spark, sf_dir), 180, "client", "event_id").select("event_id", "session_id", "session_seq")
+
+
+@query(f"""WITH REQUESTS, st AS (SELECT client_ip, time_bucket(INTERVAL 5 MINUTES, timestamp) AS b, count(*) AS n, count(DISTINCT endpoint_group) AS e FROM seg GROUP BY ALL), tri AS (SELECT *, status || '_' || substatus || '_' || coalesce(win32_status, 0) AS s FROM seg), {murmur_sql('mm', "SELECT s FROM tri")},
+ nov AS (SELECT event_id, count(*) OVER (PARTITION BY user_agent ORDER BY epoch(timestamp)::BIGINT RANGE BETWEEN 604800 PRECEDING AND 1 PRECEDING) = 0 AS a, count(*) OVER (PARTITION BY client_ip ORDER BY epoch(timestamp)::BIGINT RANGE BETWEEN 604800 PRECEDING AND 1 PRECEDING) = 0 AS c FROM seg)
+ SELECT tri.event_id, 402 AS width, (h42 % 1000)::INTEGER AS status_triple_hash, round(n / 300, 8) AS ip_rps, CASE WHEN length(q) > 500 THEN 1 ELSE 0 END AS query_suspicious_flag, a::INTEGER AS ua_novelty, c::INTEGER AS first_seen_ip_in_7d
+ FROM tri JOIN mm USING (s) JOIN st ON st.client_ip = tri.client_ip AND b = time_bucket(INTERVAL 5 MINUTES, timestamp) JOIN nov ON nov.event_id = tri.event_id""")
+def layer2_features(spark, sf_dir):
+    features = requests.layer2_features(enriched(spark, sf_dir), novelty_days=7)
+    return features.select("event_id", F.size(requests.feature_vector(features)).alias("width"), "status_triple_hash", F.round("ip_rps_last_5m", 8).alias("ip_rps"), "query_suspicious_flag", "ua_novelty", "first_seen_ip_in_7d")
+
+
+# --- sources, sinks and stages: written below the shared folder, read again and compared
+
+
+def log_lines(spark, sf_dir) -> DataFrame:
+    """The request view as log lines: file (0 to 3), place, line. Each file has a second header, with the fields in another order."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    values = {"date": F.date_format("timestamp", "yyyy-MM-dd"), "time": F.date_format("timestamp", "HH:mm:ss"), "c-ip": text("client_ip"), "cs-method": text("method"), "cs-uri-stem": text("uri_stem"), "cs-uri-query": text("uri_query"), "sc-status": text("status"), "time-taken": text("time_taken"), "sc-bytes": text("sc_bytes"), "cs(User-Agent)": text("user_agent"), "x-event": text("event_id")}
+    fields = list(values)
+    late = F.col("k") >= 50
+    line = F.when(late, F.concat_ws(" ", *[values[f] for f in reversed(fields)])).otherwise(F.concat_ws("  ", *values.values()))
+    data = request_view(spark, sf_dir).select((F.col("event_id") % 4).cast("int").alias("file"), (F.when(late, 1 << 40).otherwise(0) + F.col("event_id") + 10).alias("place"), line.alias("line"))
+    heads = [(0, "2024-01-01 00:00:00 before any header"), (1, "#Software: test"), (2, "#Fields: " + " ".join(fields)), (3, "a line with another number of tokens"), ((1 << 40) + 1, "#Fields:  " + " ".join(reversed(fields)))]
+    extra = spark.createDataFrame([(f, p, x) for f in range(4) for p, x in heads], "file int, place long, line string")
+    return data.unionByName(extra)
+
+
+@query("""WITH REQUESTS SELECT event_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, client_ip, method, uri_stem, uri_query, status, time_taken, sc_bytes, CASE WHEN user_agent <> '-' THEN user_agent END AS user_agent, (uri_query IS NULL)::INTEGER AS uri_query_missing, (time_taken IS NULL)::INTEGER AS time_taken_missing FROM seg""")
+def log_reader(spark, sf_dir):
+    """Two plain and two compressed log files, written and parsed."""
+    from logharrow.sources.w3c import read_w3c
+    from logharrow.sources.workspace import new_folder
+
+    out, lines = new_folder(spark, "logs"), log_lines(spark, sf_dir)
+    for kind, files in (("none", (0, 1)), ("gzip", (2, 3))):
+        lines.where(F.col("file").isin(*files)).repartition("file").sortWithinPartitions("file", "place").select("file", F.col("line").alias("value")).write.option("compression", kind).partitionBy("file").text(f"{out}/{kind}")
+    found = read_w3c(spark, out)
+    return found.select(F.col("extras")["x_event"].cast("long").alias("event_id"), wall("timestamp"), "client_ip", "method", "uri_stem", "uri_query", F.col("status").cast("int").alias("status"), "time_taken", "sc_bytes", "user_agent", "uri_query_missing", "time_taken_missing")
+
+
+@query("""WITH REQUESTS SELECT strftime(timestamp, '%Y-%m-%d') AS date, 'all' AS scan, count(*) AS n, sum(sc_bytes)::BIGINT AS bytes FROM seg GROUP BY ALL UNION ALL SELECT strftime(timestamp, '%Y-%m-%d'), 'one date', count(*), sum(sc_bytes)::BIGINT FROM seg WHERE strftime(timestamp, '%Y-%m-%d') = '2024-01-02' GROUP BY ALL""")
+def dated_tables(spark, sf_dir):
+    """Rows written by date, scanned whole and for one date."""
+    from logharrow.sources.tables import read_table, write_by_date
+    from logharrow.sources.workspace import new_folder
+
+    out = new_folder(spark, "dated")
+    write_by_date(request_view(spark, sf_dir), out, rows_per_file=50_000)
+    total = lambda df, scan: df.groupBy(F.col("date").cast("string").alias("date"), F.lit(scan).alias("scan")).agg(F.count("*").alias("n"), F.sum("sc_bytes").alias("bytes"))
+    return total(read_table(spark, out), "all").unionByName(total(read_table(spark, out, "2024-01-02"), "one date"))
+
+
+def staged(spark, sf_dir, name: str) -> tuple[str, str]:
+    """The request view as a dated table, and a folder for what stages write."""
+    from logharrow.sources.tables import write_by_date
+    from logharrow.sources.workspace import new_folder
+
+    out = new_folder(spark, name)
+    write_by_date(request_view(spark, sf_dir), f"{out}/parsed")
+    return f"{out}/parsed", out
+
+
+@query(f"""WITH REQUESTS, {SCORED_SQL} SELECT endpoint_group, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, sum(request_count)::BIGINT AS n, sum(sum_sc_bytes)::BIGINT AS bytes, round(max(layer1_score), 4) AS top_score, bool_or(window_is_hot) AS hot
+ FROM sco WHERE endpoint_group NOT LIKE '%logo.png' GROUP BY ALL""")
+def stage_layer1(spark, sf_dir):
+    """filter-dynamic, featurize-layer1 and infer-layer1, table by table."""
+    from logharrow.config import Settings
+    from logharrow.plans import stages
+    from logharrow.sources.tables import read_table
+
+    parsed, out = staged(spark, sf_dir, "layer1")
+    cfg = Settings(layer1=HOUR)
+    stages.filter_dynamic(spark, parsed, f"{out}/filtered", cfg)
+    stages.featurize_layer1(spark, f"{out}/filtered", f"{out}/windows", cfg)
+    stages.infer_layer1(spark, f"{out}/windows", f"{out}/scored", cfg)
+    found = read_table(spark, f"{out}/scored").groupBy("endpoint_group", "window_start").agg(F.sum("request_count").alias("n"), F.sum("sum_sc_bytes").alias("bytes"), F.round(F.max("layer1_score"), 4).alias("top_score"), F.bool_or("window_is_hot").alias("hot"))
+    return found.select("endpoint_group", wall("window_start"), "n", "bytes", "top_score", "hot")
+
+
+@query(f"""WITH REQUESTS, {SCORED_SQL}, jn AS (SELECT s.*, coalesce(o.window_is_hot, false) AS window_is_hot FROM seg s LEFT JOIN sco o ON o.segment_key = s.segment_key AND o.window_start = time_bucket(INTERVAL 60 MINUTES, s.timestamp))
+ SELECT event_id, regexp_replace(client_ip, '\\.[0-9]+$', '.0') AS client_ip, regexp_replace(uri_query, '=[^&]*', '=', 'g') AS uri_query, CASE WHEN k % 4 = 0 THEN 5 ELSE 4 END AS path_depth, CASE WHEN uri_query IS NULL THEN 0 WHEN q IS NULL THEN 2 ELSE 3 END AS query_key_count FROM jn WHERE window_is_hot OR {CRIT_SQL}""")
+def stage_layer2(spark, sf_dir):
+    """featurize-layer2 behind the gate of layer 1, with the privacy settings applied."""
+    from logharrow.config import Settings
+    from logharrow.plans import stages
+    from logharrow.sources.tables import read_table
+
+    parsed, out = staged(spark, sf_dir, "layer2")
+    cfg = Settings(layer1=HOUR, critical_endpoints=CRITICAL)
+    stages.featurize_layer1(spark, parsed, f"{out}/windows", cfg)
+    stages.infer_layer1(spark, f"{out}/windows", f"{out}/scored", cfg)
+    stages.featurize_layer2(spark, parsed, f"{out}/features", cfg, f"{out}/scored")
+    return read_table(spark, f"{out}/features").select("event_id", "client_ip", "uri_query", "path_depth", "query_key_count")
+
+
+@query(f"""WITH REQUESTS, {BY_CLIENT}, crit AS (SELECT * FROM ses WHERE session_id IN (SELECT session_id FROM ses WHERE {CRIT_SQL})), stp AS (SELECT session_id, endpoint_group AS from_state, lead(endpoint_group) OVER (PARTITION BY session_id ORDER BY session_seq) AS to_state FROM crit),
+ cnt AS (SELECT from_state, to_state, count(*) AS cnt FROM stp WHERE to_state IS NOT NULL GROUP BY ALL), ns AS (SELECT count(*) AS n FROM (SELECT from_state FROM cnt UNION SELECT to_state FROM cnt)), mkv AS (SELECT from_state, to_state, (cnt + 1e-6) / (sum(cnt) OVER (PARTITION BY from_state) + 1e-6 * n) AS prob FROM cnt, ns),
+ lp AS (SELECT session_id, avg(-ln(prob)) AS m FROM stp JOIN mkv USING (from_state, to_state) GROUP BY 1)
+ SELECT ses.event_id, CASE WHEN crit.event_id IS NOT NULL THEN round(coalesce(1 / (1 + exp(-m + 3)), 0), 6) END AS layer3_score FROM ses LEFT JOIN crit ON crit.event_id = ses.event_id LEFT JOIN lp ON lp.session_id = crit.session_id""")
+def layer3_scores(spark, sf_dir):
+    """All requests with the Markov score of their session; null outside critical sessions."""
+    from logharrow.config import Layer3, Settings
+    from logharrow.plans import stages
+
+    rows = client_sessions(spark, sf_dir)
+    found = stages.layer3(rows, Settings(layer3=Layer3(True, 180, CRITICAL)))
+    return found.select("event_id", r6("layer3_score"))
+
+
+@query(f"WITH REQUESTS, {MARKOV_SQL} SELECT from_state, to_state, cnt, round(prob, 8) AS prob, 2 AS version FROM mkv")
+def model_registry(spark, sf_dir):
+    """A transition model saved, registered twice, and the latest version loaded."""
+    from logharrow.registry import ModelRegistry
+    from logharrow.sources.workspace import new_folder
+
+    out = new_folder(spark, "models")
+    model = sessions.markov_fit(sessions.transitions(client_sessions(spark, sf_dir)))
+    sessions.save_markov(model, f"{out}/markov")
+    registry = ModelRegistry(spark, f"{out}/registry")
+    registry.log("markov", sessions.load_markov(spark, f"{out}/markov").limit(0))
+    version = registry.log("markov", sessions.load_markov(spark, f"{out}/markov"), {"smoothing": sessions.SMOOTHING})
+    return registry.load("markov").select("from_state", "to_state", "cnt", F.round("prob", 8).alias("prob"), F.lit(version).alias("version"))
+
+
+@query("""WITH REQUESTS, a AS (SELECT *, k / 100 AS final_score, endpoint_group IN ('/app/purchase/{num}/page.aspx', '/app/signup/{num}/data.ashx') AS crit FROM seg WHERE k > 20 AND strftime(timestamp, '%Y-%m-%d') = '2024-01-01'),
+ r AS (SELECT *, row_number() OVER (PARTITION BY crit ORDER BY final_score DESC, event_id) AS i, least(count(*) FILTER (WHERE crit) OVER (), 5) AS taken FROM a)
+ SELECT endpoint_group, method, status::BIGINT AS status, final_score, client_ip AS stored_ip FROM r WHERE CASE WHEN crit THEN i <= 5 ELSE i <= 20 - taken END""")
+def alert_sink(spark, sf_dir):
+    """A day's alerts as JSON lines and as rows, read back and put side by side."""
+    from logharrow.sources.tables import write_alerts
+    from logharrow.sources.workspace import new_folder
 
+    out = new_folder(spark, "alerts")
+    day = enriched(spark, sf_dir).where(F.to_date("timestamp") == F.lit("2024-01-01").cast("date")).withColumns({"final_score": F.col("k") / 100, "is_anomaly": F.when(F.col("k") > 20, True)})
+    alerts = scoring.select_alerts(day, Scoring(topk_daily=20, topk_critical=5), CRITICAL, tie="event_id")
+    if not write_alerts(alerts, scoring.alert_payloads, out, "2024-01-01"):
+        return spark.createDataFrame([], "endpoint_group string, method string, status long, final_score double, stored_ip string")
+    lines = spark.read.schema("timestamp string, endpoint_group string, method string, status long, final_score double").json(f"{out}/json")
+    rows = spark.read.parquet(f"{out}/parquet").select(F.col("timestamp").cast("string").alias("timestamp"), "endpoint_group", F.col("client_ip").alias("stored_ip"))
+    return lines.join(rows, ["timestamp", "endpoint_group"]).select("endpoint_group", "method", "status", "final_score", "stored_ip")
 
-def numeric_rows(spark, sf_dir) -> DataFrame:
-    rows = requests.performance_features(enriched(spark, sf_dir).withColumn("cs_bytes", F.lit(0)))
-    rows = requests.time_features(rows).withColumn("segment_id", F.col("method"))
-    return rows.withColumn("features", F.array(*[F.col(c).cast("float") for c in ("hour", "day_of_week", "log_time_taken", "log_sc_bytes", "bytes_per_ms")]))
+
+DRIFT_SQL = " UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, 'psi' AS metric, round(sum((c - r) * ln((c + 1e-8) / (r + 1e-8))), 6) AS value FROM (SELECT count(*) FILTER (WHERE side = 0) / any_value(nr) AS r, count(*) FILTER (WHERE side = 1) / any_value(nc) AS c FROM "
+     f"(SELECT side, least(floor(({c} - lo) / ((hi - lo) / 20)) + 1, 20) AS bin, nr, nc FROM hv, (SELECT min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi, count({c}) FILTER (WHERE side = 0) AS nr, count({c}) FILTER (WHERE side = 1) AS nc FROM hv) WHERE {c} IS NOT NULL) GROUP BY bin)" for c in ("sc_bytes", "time_taken", "final_score")]
+    + [f"SELECT '{c}', 'jsd', round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)), 6) FROM (SELECT count(*) FILTER (WHERE side = 0) / any_value(nr) AS p, count(*) FILTER (WHERE side = 1) / any_value(nc) AS q FROM hv, (SELECT count({c}) FILTER (WHERE side = 0) AS nr, count({c}) FILTER (WHERE side = 1) AS nc FROM hv) WHERE {c} IS NOT NULL GROUP BY {c})" for c in ("endpoint_group", "user_agent")]
+)
+
+
+@query(f"WITH REQUESTS, {HALF_SQL} {DRIFT_SQL}")
+def drift_report(spark, sf_dir):
+    """All features in two passes."""
+    return drift.drift_metrics(*halves(spark, sf_dir), ["sc_bytes", "time_taken", "final_score"], ["endpoint_group", "user_agent"]).select("feature", "metric", r6("value"))
+
+
+@query("""WITH REQUESTS SELECT event_id, endpoint_group, segment_key, 0.0::DOUBLE AS final_score, false AS is_anomaly, 0 AS reasons FROM seg""")
+def score_records(spark, sf_dir):
+    """The service's scoring of a batch without a model."""
+    from logharrow.service import score_batch
+
+    rows = request_view(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("string"))
+    return score_batch(rows).select("event_id", "endpoint_group", "segment_key", "final_score", "is_anomaly", F.size("reason_codes").alias("reasons"))
+
+
+# --- streams over the same rows, run until all of them are read
+
+
+def streamed(spark, sf_dir) -> DataFrame:
+    from logharrow.sources.workspace import new_folder
+
+    out = new_folder(spark, "stream-input")
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stored.repartitionByRange(4, "ts").write.parquet(out)
+    return requests_of(spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 2).parquet(out)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def drained(spark, stream: DataFrame, mode: str) -> DataFrame:
+    """What a stream gives once its input is read: the last whole result ("complete"), or all rows ("append")."""
+    from logharrow.sources.workspace import new_folder
+
+    out = new_folder(spark, "stream-output")
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows" if mode == "complete" else f"{out}/rows/batch={number}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).foreachBatch(put).start().awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("""WITH REQUESTS SELECT segment_key, endpoint_group, strftime(time_bucket(INTERVAL 60 MINUTES, timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS request_count, sum(sc_bytes)::BIGINT AS sum_sc_bytes,
+ round(count(*) FILTER (WHERE status_class = '4xx') / count(*), 6) AS "4xx_rate", round(count(*) FILTER (WHERE status_class = '5xx') / count(*), 6) AS "5xx_rate" FROM seg GROUP BY ALL""")
+def stream_windows(spark, sf_dir):
+    from logharrow.streaming.windows import window_stream
+
+    stream = window_stream(requests.enrich(streamed(spark, sf_dir), hashed=False), 60, key="segment_key")
+    return drained(spark, stream, "complete").select("segment_key", "endpoint_group", wall("window_start"), "request_count", "sum_sc_bytes", r6("4xx_rate"), r6("5xx_rate"))
+
+
+@query("""WITH REQUESTS, o AS (SELECT *, coalesce(client_ip, '') || '|' || coalesce(user_agent, '') || '|' || coalesce(substr(cookie, 1, 20), '') AS client FROM seg),
+ b AS (SELECT *, CASE WHEN lag(timestamp) OVER w IS NULL OR timestamp >= lag(timestamp) OVER w + INTERVAL 180 MINUTES THEN 1 ELSE 0 END AS new FROM o WINDOW w AS (PARTITION BY client ORDER BY timestamp)),
+ n AS (SELECT *, sum(new) OVER (PARTITION BY client ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS s FROM b)
+ SELECT client, strftime(min(timestamp), '%Y-%m-%d %H:%M:%S') AS session_start, strftime(max(timestamp) + INTERVAL 180 MINUTES, '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS requests FROM n GROUP BY client, s""")
+def stream_sessions(spark, sf_dir):
+    from logharrow.streaming.windows import session_stream
+
+    return drained(spark, session_stream(streamed(spark, sf_dir), 180), "complete").select("client", wall("session_start"), wall("session_end"), "requests")
+
+
+@query("""WITH REQUESTS SELECT client_ip AS value, strftime(min(timestamp), '%Y-%m-%d %H:%M:%S') AS first_seen FROM seg GROUP BY 1""")
+def stream_first_seen(spark, sf_dir):
+    from logharrow.streaming.windows import first_seen_stream
+
+    return drained(spark, first_seen_stream(streamed(spark, sf_dir), "client_ip"), "append").select("value", wall("first_seen"))
+
+
+# --- fitted models: no SQL; tests hold them against brute force and invariants
+
+
+def vectors(spark, sf_dir) -> DataFrame:
+    """The model's 402 numbers of every request; segments are methods and parents all requests of a page kind."""
+    rows = requests.layer2_features(enriched(spark, sf_dir)).withColumns({"segment_id": F.col("method"), "parent_id": F.col("endpoint_group")})
+    return rows.withColumn("features", requests.feature_vector(rows))
 
 
 @query()
 def iforest_score(spark, sf_dir):
-    rows = numeric_rows(spark, sf_dir)
-    trees = iforest.fit(rows, config=IsolationForest(n_estimators=50), min_rows=1000)
-    return iforest.predict(rows, trees).select("event_id", "layer2_score")
+    rows = vectors(spark, sf_dir)
+    return iforest.predict(rows, iforest.fit(rows, parent="parent_id"), parent="parent_id").select("event_id", "layer2_score")
 
 
 @query()
 def ae_score(spark, sf_dir):
-    from logharrow.config import Autoencoder
     from logharrow.operators import autoencoder
 
-    rows = numeric_rows(spark, sf_dir)
-    model = autoencoder.fit(rows, config=Autoencoder(epochs=3, hidden_dims=[8, 4], latent_dim=2, max_rows=20_000), forest=IsolationForest(n_estimators=20))
-    return autoencoder.predict(rows, model).select("event_id", "layer2_score")
+    rows = vectors(spark, sf_dir)
+    return autoencoder.predict(rows, autoencoder.fit(rows)).select("event_id", "layer2_score")
 
 
 @query()
 def evt_threshold(spark, sf_dir):
     rows = enriched(spark, sf_dir).withColumn("final_score", F.least(F.col("sc_bytes") / 100_000, F.lit(1.0)))
     return scoring.evt_thresholds(rows, key="event_type")
-
-
-@query()
-def layer2_features(spark, sf_dir):
-    rows = enriched(spark, sf_dir).withColumns({c: F.lit(None).cast("long") for c in ("cs_bytes", "substatus", "win32_status")})
-    features = requests.layer2_features(rows)
-    return features.select("event_id", F.size(requests.feature_vector(features)).alias("width"), "status_triple_hash", "ip_rps_last_5m", "query_suspicious_flag")
-
-
-@query()
-def segment_ids(spark, sf_dir):
-    return requests.enrich(request_view(spark, sf_dir)).groupBy("segment_key", "segment_id").agg(F.count("*").alias("n"))

@@ -2,24 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from logharrow.config import Settings
+from logharrow.functions.segments import parent_segment_id
 from logharrow.operators import autoencoder, iforest
-from logharrow.operators.requests import dynamic_only, enrich, feature_vector, join_window_scores, layer2_features, layer2_gate
+from logharrow.operators.drift import drift_report, save_report
+from logharrow.operators.requests import anonymise, dynamic_only, enrich, feature_vector, join_window_scores, layer2_features, layer2_gate, salted_join
 from logharrow.operators.scoring import add_reason_codes, alert_payloads, apply_thresholds, combine_scores, evt_thresholds, segment_thresholds, select_alerts
-from logharrow.operators.sessions import critical_sessions, markov_fit, markov_score, sessionize, transitions
+from logharrow.operators.sessions import critical_sessions, markov_fit, markov_score, save_markov, sessionize, transitions
 from logharrow.operators.windows import layer1_features, score_windows
+from logharrow.registry import ModelRegistry
 from logharrow.sources.tables import read_table, write_alerts, write_by_date
 from logharrow.sources.w3c import read_w3c
 
+LOG = logging.getLogger("logharrow.stages")
+#: Columns that a drift report looks at, where both tables have them.
+NUMERIC_DRIFT = ["time_taken", "sc_bytes", "cs_bytes", "layer1_score", "layer2_score", "query_special_char_ratio", "query_decoded_len", "ip_rps_last_5m"]
+CATEGORICAL_DRIFT = ["endpoint_group", "method", "status_class", "ua_browser_family"]
+
+
+def _privacy(df: DataFrame, cfg: Settings) -> DataFrame:
+    return anonymise(df, cfg.privacy.anonymize_ip, cfg.privacy.hash_cookie, cfg.privacy.redact_query_values)
+
 
 def parse(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
-    write_by_date(read_w3c(spark, source), out, compression=cfg.ingest.compression)
+    rows = read_w3c(spark, source, cfg.ingest.datetime_format)
+    write_by_date(rows, out, compression=cfg.ingest.compression, rows_per_file=cfg.ingest.chunk_size)
 
 
 def filter_dynamic(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
-    write_by_date(dynamic_only(read_table(spark, source).drop("date"), cfg.filter), out)
+    write_by_date(dynamic_only(read_table(spark, source).drop("date"), cfg.filter), out, compression=cfg.ingest.compression)
 
 
 def featurize_layer1(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
@@ -27,46 +43,100 @@ def featurize_layer1(spark: SparkSession, source: str, out: str, cfg: Settings)
     write_by_date(layer1_features(enriched, cfg.layer1), out, "window_start")
 
 
-def infer_layer1(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
-    """Scores go to another path: a table can't be overwritten while it is read."""
-    write_by_date(score_windows(read_table(spark, source).drop("date"), cfg.layer1), out, "window_start")
+def infer_layer1(spark: SparkSession, source: str, out: str, cfg: Settings) -> dict[str, int]:
+    """Scores go to another path: a table can't be overwritten while it is read. Returns run totals."""
+    totals = Observation("layer1")
+    scored = score_windows(read_table(spark, source).drop("date"), cfg.layer1)
+    scored = scored.observe(totals, F.count("*").alias("windows"), F.count_if("window_is_hot").alias("hot_windows"))
+    write_by_date(scored, out, "window_start")
+    return _log("infer-layer1", totals)
+
 
+def _log(stage: str, totals: Observation) -> dict[str, int]:
+    """Totals that were counted while the rows were written."""
+    found = dict(totals.get)
+    LOG.info("stage done", extra={"stage": stage, **found})
+    return found
 
-def featurize_layer2(spark: SparkSession, source: str, out: str, cfg: Settings, windows: str | None = None) -> None:
+
+def featurize_layer2(spark: SparkSession, source: str, out: str, cfg: Settings, windows: str | None = None, novelty: bool = False) -> None:
+    """Features, with the parents' segment ids beside the segments'. Addresses and query values are masked after they were used."""
     rows = enrich(read_table(spark, source).drop("date"), cfg.url, cfg.segmentation, cfg.ua)
+    rows = rows.withColumn("parent_id", parent_segment_id(F.col("endpoint_group"), F.col("method")))
     if windows:
         scores = read_table(spark, windows).drop("date")
         rows = layer2_gate(join_window_scores(rows, scores, cfg.layer1.window_size_minutes), cfg.critical_endpoints)
-    write_by_date(layer2_features(rows, cfg.hashing), out)
+    features = layer2_features(rows, cfg.hashing, cfg.ua.novelty_window_days if novelty else None)
+    if cfg.layer3.enabled:  # the session's key is taken before cookies and addresses are masked
+        features = sessionize(features, cfg.layer3.session_timeout_minutes)
+    write_by_date(_privacy(features, cfg), out)
 
 
 def _with_vector(df: DataFrame) -> DataFrame:
     return df.withColumn("features", feature_vector(df))
 
 
+def _parent(df: DataFrame) -> str | None:
+    return "parent_id" if "parent_id" in df.columns else None
+
+
 def train_layer2(spark: SparkSession, source: str, out: str, cfg: Settings, mode: str | None = None) -> None:
-    rows = _with_vector(read_table(spark, source))
-    if (mode or cfg.layer2.mode) == "iforest":
-        iforest.fit(rows, config=cfg.layer2.iforest, min_rows=cfg.segmentation.min_segment_count).write.mode("overwrite").parquet(out)
+    """Fit on a feature table, write the model to out and register it under the settings' name."""
+    rows, mode = _with_vector(read_table(spark, source)), mode or cfg.layer2.mode
+    if mode == "iforest":
+        iforest.fit(rows, parent=_parent(rows), config=cfg.layer2.iforest, min_rows=cfg.segmentation.min_segment_count).write.mode("overwrite").parquet(out)
     else:
         autoencoder.fit(rows, config=cfg.layer2.autoencoder, forest=cfg.layer2.iforest).save(spark, out)
+    _register(spark, cfg, f"layer2-{mode}", out)
+
 
+def _register(spark: SparkSession, cfg: Settings, kind: str, path: str) -> int:
+    version = ModelRegistry.of(spark, cfg).log(f"{cfg.mlflow.registry_name}-{kind}", spark.read.parquet(path), {"experiment": cfg.mlflow.experiment_name, "kind": kind})
+    LOG.info("model registered", extra={"kind": kind, "version": version})
+    return version
 
-def infer_layer2(spark: SparkSession, source: str, model: str, out: str, cfg: Settings, mode: str | None = None) -> None:
-    rows = _with_vector(read_table(spark, source).drop("date"))
-    if (mode or cfg.layer2.mode) == "iforest":
-        scored = iforest.predict(rows, spark.read.parquet(model))
+
+def model_table(spark: SparkSession, cfg: Settings, kind: str, path: str | None = None) -> DataFrame | None:
+    """A model by its path, or the latest of its kind in the registry."""
+    return spark.read.parquet(path) if path else ModelRegistry.of(spark, cfg).load(f"{cfg.mlflow.registry_name}-{kind}")
+
+
+def infer_layer2(spark: SparkSession, source: str, model: str | None, out: str, cfg: Settings, mode: str | None = None) -> None:
+    rows, mode = _with_vector(read_table(spark, source).drop("date")), mode or cfg.layer2.mode
+    table = model_table(spark, cfg, f"layer2-{mode}", model)
+    if table is None:
+        raise ValueError(f"no model of kind layer2-{mode} is registered and no path is given")
+    if mode == "iforest":
+        scored = iforest.predict(rows, table, parent=_parent(rows))
     else:
-        scored = autoencoder.predict(rows, autoencoder.LatentForest.load(spark, model))
+        scored = autoencoder.predict(rows, autoencoder.LatentForest.from_table(table))
     write_by_date(scored.drop("features"), out)
 
 
-def layer3(df: DataFrame, cfg: Settings) -> DataFrame:
-    """Sessions of the rows and their Markov scores, fitted on the same rows; nothing if the layer is off."""
+def layer3(df: DataFrame, cfg: Settings, model: DataFrame | None = None) -> DataFrame:
+    """All rows with session_id, session_seq and layer3_score; without the layer's setting the rows as they are.
+
+    Sessions that touch no critical endpoint (if there is a list of them) have a null score, which counts as 0 in the fusion.
+    The model is fitted on the scored sessions if none is given.
+    """
     if not cfg.layer3.enabled:
         return df
-    sessions = critical_sessions(sessionize(df, cfg.layer3.session_timeout_minutes), cfg.layer3.critical_endpoints)
-    return df.join(sessions.select("session_id").distinct(), "session_id", "left_semi") if "session_id" in df.columns else sessions.join(markov_score(sessions, markov_fit(transitions(sessions))), "session_id")
+    rows = df if {"session_id", "session_seq"} <= set(df.columns) else sessionize(df.drop("session_id", "session_seq"), cfg.layer3.session_timeout_minutes)
+    looked_at = critical_sessions(rows, cfg.layer3.critical_endpoints)
+    scores = markov_score(looked_at, markov_fit(transitions(looked_at)) if model is None else model)
+    return salted_join(rows.drop("layer3_score"), scores, ["session_id"])
+
+
+def train_layer3(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
+    rows = read_table(spark, source)
+    rows = rows if "session_seq" in rows.columns else sessionize(rows, cfg.layer3.session_timeout_minutes)
+    save_markov(markov_fit(transitions(critical_sessions(rows, cfg.layer3.critical_endpoints))), out)
+    _register(spark, cfg, "layer3-markov", out)
+
+
+def infer_layer3(spark: SparkSession, source: str, model: str | None, out: str, cfg: Settings) -> None:
+    """Scores by a stored model, by the latest registered one, or by one of the rows themselves."""
+    write_by_date(layer3(read_table(spark, source).drop("date"), cfg, model_table(spark, cfg, "layer3-markov", model)), out)
 
 
 def score_day(df: DataFrame, cfg: Settings) -> DataFrame:
@@ -77,6 +147,20 @@ def score_day(df: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def score(spark: SparkSession, source: str, out: str, cfg: Settings, date: str) -> bool:
-    scored = score_day(read_table(spark, source, date).drop("date"), cfg)
-    alerts = select_alerts(scored, cfg.scoring, cfg.critical_endpoints)
-    return write_alerts(alerts, alert_payloads(alerts), out, date)
+    """Alerts of a date; the rows get layer 3 scores on the way if that layer is on and they have none."""
+    rows = read_table(spark, source, date).drop("date")
+    if cfg.layer3.enabled and "layer3_score" not in rows.columns:
+        rows = layer3(rows, cfg, model_table(spark, cfg, "layer3-markov"))
+    totals = Observation("score")
+    scored = score_day(rows, cfg).observe(totals, F.count("*").alias("requests"), F.count_if("is_anomaly").alias("anomalies"))
+    made = write_alerts(_privacy(select_alerts(scored, cfg.scoring, cfg.critical_endpoints), cfg), alert_payloads, out, date)
+    _log("score", totals)
+    return made
+
+
+def drift(spark: SparkSession, reference: str, current: str, out: str, cfg: Settings) -> dict:
+    """Report of two scored tables as JSON and Markdown."""
+    report = drift_report(read_table(spark, reference), read_table(spark, current), NUMERIC_DRIFT, CATEGORICAL_DRIFT, config=cfg.drift)
+    save_report(report, out, spark)
+    LOG.info("drift report", extra={"alerts": len(report["alerts"]), "needs_retrain": report["needs_retrain"], "schedule": cfg.drift.retrain_schedule})
+    return report

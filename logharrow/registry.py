@@ -13,6 +13,11 @@ class ModelRegistry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    @classmethod
+    def of(cls, spark: SparkSession, settings) -> "ModelRegistry":
+        """The registry that the settings name."""
+        return cls(spark, settings.registry_root)
+
     def versions(self, name: str) -> list[int]:
         """Complete versions, ascending: those whose metadata was written last."""
         jvm = self.spark._jvm

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logharrow.functions.segments import date_partition
 
 
-def write_by_date(df: DataFrame, path: str, ts_col: str = "timestamp", compression: str = "snappy") -> None:
+def write_by_date(df: DataFrame, path: str, ts_col: str = "timestamp", compression: str = "snappy", rows_per_file: int = 0) -> None:
     """Replace the dates that df has. Rows without a time have no date and are left out (dates_missing() counts them)."""
     dated = df.where(F.col(ts_col).isNotNull()).withColumn("date", date_partition(F.col(ts_col)))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy("date").parquet(path)
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).option("maxRecordsPerFile", rows_per_file).partitionBy("date").parquet(path)
 
 
 def dates_missing(df: DataFrame, ts_col: str = "timestamp") -> int:
@@ -24,13 +26,20 @@ def read_table(spark: SparkSession, path: str, date: str | None = None) -> DataF
     return table.where(F.col("date") == F.lit(date).cast("date")) if date else table
 
 
-def write_alerts(alerts: DataFrame, payloads: DataFrame, path: str, date: str | None = None) -> bool:
-    """JSON lines below path/json and rows below path/parquet, both under date=...; nothing if there are no alerts."""
-    if alerts.isEmpty():
+def write_alerts(alerts: DataFrame, payloads: Callable[[DataFrame], DataFrame], path: str, date: str | None = None) -> bool:
+    """JSON lines below path/json and rows below path/parquet, both under date=...; nothing if there are no alerts.
+
+    payloads: a function of the alerts. The rows are written first and read again for the rest, so the plan runs once.
+    """
+    part, spark = f"date={date or 'unknown'}", alerts.sparkSession
+    written = f"{path}/parquet/{part}"
+    alerts.write.mode("overwrite").parquet(written)
+    stored = spark.read.schema(alerts.schema).parquet(written)
+    if stored.isEmpty():
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(written)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
         return False
-    part = f"date={date or 'unknown'}"
-    payloads.write.mode("overwrite").text(f"{path}/json/{part}")
-    alerts.write.mode("overwrite").parquet(f"{path}/parquet/{part}")
+    payloads(stored).write.mode("overwrite").text(f"{path}/json/{part}")
     return True
 
 

@@ -64,7 +64,14 @@ def _value(field: str) -> Column:
     return F.when(~raw.isin("-", ""), raw)
 
 
-def parse(lines: DataFrame) -> DataFrame:
+def spark_pattern(strftime: str) -> str:
+    """Spark's pattern for a strftime format; single letters, since unpadded fields are accepted."""
+    for code, letters in (("%Y", "yyyy"), ("%m", "M"), ("%d", "d"), ("%H", "H"), ("%M", "m"), ("%S", "s"), ("%y", "yy"), ("%f", "SSSSSS")):
+        strftime = strftime.replace(code, letters)
+    return strftime
+
+
+def parse(lines: DataFrame, datetime_format: str = "%Y-%m-%d %H:%M:%S") -> DataFrame:
     """Typed columns from data lines with `fields`. Lines with another number of tokens than fields drop out.
 
     Adds `<name>_missing` (1 or 0; null where the header lacks the field), `timestamp` (null if it can't be parsed) and
@@ -72,7 +79,7 @@ def parse(lines: DataFrame) -> DataFrame:
     """
     rows = lines.withColumn("tokens", F.split(F.trim(F.regexp_replace("raw", r"\s+", " ")), " ")).where(F.size("tokens") == F.size("fields"))
     date, time = _value("date"), _value("time")
-    stamp = F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit("yyyy-M-d H:m:s"))
+    stamp = F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit(spark_pattern(datetime_format)))
     out = [F.when(date.isNotNull() & time.isNotNull(), stamp).alias("timestamp")]
     for field, (name, kind) in FIELDS.items():
         value = _value(field)
@@ -89,6 +96,6 @@ def parse(lines: DataFrame) -> DataFrame:
     return parsed.withColumns(flags | {"timestamp_missing": F.col("timestamp").isNull().cast("int")})
 
 
-def read_w3c(spark: SparkSession, path: str) -> DataFrame:
+def read_w3c(spark: SparkSession, path: str, datetime_format: str = "%Y-%m-%d %H:%M:%S") -> DataFrame:
     """Parsed requests of a file or of all log files below a directory. No line is read twice but the headers."""
-    return parse(with_headers(read_lines(spark, path)))
+    return parse(with_headers(read_lines(spark, path)), datetime_format)

@@ -71,6 +71,15 @@ def test_murmur_vectors():
         assert murmur3(data, seed) == want
 
 
+def test_murmur3_of_many():
+    from logharrow.functions.hashing import murmur3_many, token_vectors
+
+    texts = [b"", b"a", b"ab", b"abc", b"abcd", b"abcde", "größe".encode(), b"x" * 37, b"a"]
+    assert [murmur3_many(texts, seed).tolist() for seed in (42, 43)] == [[murmur3(t, seed) for t in texts] for seed in (42, 43)]
+    many = token_vectors([["a", None, "b"], None, [], ["b", "b"]], 16)
+    assert (many[0] == token_vector(["a", "b"], 16)).all() and not many[1].any() and not many[2].any() and (many[3] == 2 * token_vector(["b"], 16)).all()
+
+
 def test_token_vector():
     v = token_vector(["a", "b", "a"], 16)
     assert v.shape == (16,) and abs(v).sum() in (1, 3) and (token_vector([], 8) == 0).all()

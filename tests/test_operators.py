@@ -132,6 +132,30 @@ def test_thresholds(spark):
     assert [r.is_anomaly for r in scoring.apply_thresholds(probe, limits).orderBy("segment_id", "final_score").collect()] == [False, False, True, False, True]
 
 
+def evt_level(scores, tail=0.05, p=0.005):
+    """The rule for one segment held in memory."""
+    if len(scores) < 100:
+        return float(np.quantile(scores, 0.995)) if len(scores) else 1.0
+    u = float(np.quantile(scores, 1 - tail))
+    excess = scores[scores > u] - u
+    if len(excess) < 10:
+        return u
+    shape, scale = scoring.fit_gpd(excess)
+    ratio = len(excess) / (len(scores) * p)
+    return float(np.clip(u + scale * np.log(ratio) if shape == 0 else u + scale / shape * (ratio**shape - 1), 0, 1))
+
+
+def test_exact_quantiles(spark):
+    """Like numpy, with ties, values outside [0, 1], nulls and segments of one value."""
+    rng = np.random.default_rng(4)
+    data = {"a": rng.random(999), "b": np.round(rng.beta(1, 9, 500), 2), "c": rng.normal(0, 5, 301), "d": np.full(70, 0.25), "e": np.array([0.7])}
+    rows = [(k, float(x)) for k, v in data.items() for x in v] + [("a", None), ("f", None), (None, 0.1)]
+    got = {r.s: r for r in scoring.exact_quantiles(spark.createDataFrame(rows, "s string, v double"), "s", "v", {"q0": 0.0, "q5": 0.5, "q9": 0.995, "q1": 1.0}).collect()}
+    for k, v in data.items():
+        assert got[k].n == len(v) and [got[k].q0, got[k].q5, got[k].q9, got[k].q1] == pytest.approx(np.quantile(v, [0, 0.5, 0.995, 1]).tolist())
+    assert got["f"].n == 0 and got["f"].q5 is None and len(got) == 6
+
+
 def test_evt(spark):
     rng = np.random.default_rng(3)
     shape, scale = scoring.fit_gpd(rng.pareto(4, 20000))
@@ -141,7 +165,7 @@ def test_evt(spark):
     df = spark.createDataFrame([("big", float(x)) for x in big] + [("few", float(x)) for x in few] + [("flat", float(x)) for x in flat] + [("none", None)], "segment_id string, final_score double")
     got = {r.segment_id: r.threshold for r in scoring.evt_thresholds(df).collect()}
     for name, values in (("big", big), ("few", few), ("flat", flat), ("none", np.empty(0))):
-        assert got[name] == pytest.approx(scoring.evt_threshold(values))
+        assert got[name] == pytest.approx(evt_level(values))
     assert got["big"] == pytest.approx(np.quantile(big, 0.995), abs=0.03) and got["flat"] == 0.5 and got["none"] == 1.0
 
 
@@ -177,8 +201,8 @@ def test_drift(spark):
 
 def test_drift_files(spark, tmp_path):
     df = spark.createDataFrame([(1.0,), (2.0,)], "v double")
-    path = drift.save_report(drift.drift_report(df, df, ["v"], []), str(tmp_path))
-    assert json.loads(path.read_text())["needs_retrain"] is False and "| v |" in (tmp_path / "drift_report.md").read_text()
+    drift.save_report(drift.drift_report(df, df, ["v"], []), str(tmp_path), spark)
+    assert json.loads((tmp_path / "drift_report.json").read_text())["needs_retrain"] is False and "| v |" in (tmp_path / "drift_report.md").read_text()
 
 
 def test_isolation_forest(spark):
@@ -191,6 +215,24 @@ def test_isolation_forest(spark):
     assert got.idxmax() == 600 and ((got > 0) & (got < 1)).all() and got[600] > 0.5 and (got > 0.5).mean() < 0.05
     assert (iforest.predict(df, trees).toPandas().set_index("i").layer2_score == got).all()
     assert iforest.predict(df, trees.limit(0)).first().layer2_score == 0.5
+    # the offset is the contamination quantile over all rows of the model
+    own = iforest.Forest([r.asDict() for r in trees.where("model_key = 'GLOBAL'").orderBy("tree").collect()])
+    assert own.raw_offset == pytest.approx(np.quantile(-own.anomaly(x), 0.01))
+
+
+def test_model_cascade(spark, monkeypatch):
+    """Segment, parent, global; many groups of rows for one model give what one group gives."""
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, "big" if i < 300 else f"s{i % 9}", "p" if i < 450 else "q" if i < 590 else None, rng.random(3).tolist()) for i in range(600)], "i int, segment_id string, parent_id string, features array<double>").repartition(3)
+    trees = iforest.fit(df, parent="parent_id", config=IsolationForest(n_estimators=10), min_rows=140)
+    assert {r[0] for r in trees.select("model_key").distinct().collect()} == {"GLOBAL", "s:big", "p:p", "p:q"}
+    got = {r.i: r.layer2_score for r in iforest.predict(df, trees, parent="parent_id").collect()}
+    monkeypatch.setattr(iforest, "GROUP_ROWS", 40)
+    assert got == {r.i: r.layer2_score for r in iforest.predict(df, trees, parent="parent_id").collect()} and len(got) == 600
+    data = {r.i: np.array(r.features, np.float32) for r in df.collect()}
+    forest = lambda key: iforest.Forest([r.asDict() for r in trees.where(F.col("model_key") == key).orderBy("tree").collect()])
+    for i, key in ((5, "s:big"), (400, "p:p"), (500, "p:q"), (595, "GLOBAL")):
+        assert got[i] == pytest.approx(forest(key).score(data[i][None])[0])
 
 
 def test_autoencoder(spark, tmp_path):
@@ -209,6 +251,45 @@ def test_autoencoder(spark, tmp_path):
 def test_novelty(spark, rows):
     df = spark.createDataFrame([("u", T0), ("u", at(3600)), ("u", at(8 * 86400)), ("v", T0)], "ua string, timestamp timestamp")
     assert sorted(r.is_novel for r in requests.novelty(df, "ua").collect()) == [0, 1, 1, 1]
+    more = df.unionByName(spark.createDataFrame([(None, T0), (None, at(60)), ("v", None), ("u", T0)], "ua string, timestamp timestamp"))
+    assert sorted(r.is_novel for r in requests.novelty(more, "ua").collect()) == [0, 0, 1, 1, 1, 1, 1, 1]
+
+
+def test_global_sessions_by_brute_force(spark):
+    """Over hours with and without rows, ties broken by a number, rows without a time first."""
+    rng = np.random.default_rng(2)
+    seconds = sorted(int(x) for x in rng.integers(0, 40 * 3600, 120))
+    data = [(k, str(rng.integers(0, 3)), "u", at(s) if k % 40 else None) for k, s in enumerate(seconds)]
+    got = sessions.sessionize(spark.createDataFrame(data, "k int, client_ip string, user_agent string, timestamp timestamp"), 30, "global", "k", hashed=False)
+    want, last, numbers = {}, None, {}
+    for k, ip, _, ts in sorted(data, key=lambda r: (r[3] is not None, r[3] or 0, r[0])):
+        gap = last and last[1] and ts and (ts - last[1]).total_seconds() > 1800
+        if last is None or last[0] != ip or gap:
+            numbers[ip] = numbers.get(ip, 0) + 1
+        want[k] = f"{ip}|u|_{numbers[ip]}"
+        last = (ip, ts)
+    assert {r.k: r.session_id for r in got.collect()} == want
+
+
+def test_layer3_stage(spark):
+    from logharrow.config import Layer3, Settings
+    from logharrow.plans import stages
+
+    df = spark.createDataFrame([(i, "ab"[i % 2], "u", at(10 * i), "/crit" if i == 3 else f"/p{i % 3}") for i in range(12)], "i int, client_ip string, user_agent string, timestamp timestamp, endpoint_group string")
+    got = {r.i: r.layer3_score for r in stages.layer3(df, Settings(layer3=Layer3(True, 30, ["/Crit"]))).collect()}
+    assert len(got) == 12 and all((got[i] is not None) == (i % 2 == 1) for i in got) and max(x or 0 for x in got.values()) < 1
+    assert stages.layer3(df, Settings()) is df
+    again = stages.layer3(stages.layer3(df, Settings(layer3=Layer3(True))), Settings(layer3=Layer3(True)))
+    assert again.where("layer3_score is null").count() == 0 and again.count() == 12
+
+
+def test_drift_metrics_like_single_ones(spark):
+    rng = np.random.default_rng(6)
+    ref = spark.createDataFrame([(float(x), float(x) ** 2, str(int(x * 5))) for x in rng.random(400)], "a double, b double, c string")
+    cur = spark.createDataFrame([(float(x), 1.0, str(int(x * 4))) for x in rng.random(300)], "a double, b double, c string")
+    got = {(r.feature, r.metric): r.value for r in drift.drift_metrics(ref, cur, ["a", "b"], ["c"]).collect()}
+    assert got == {("a", "psi"): pytest.approx(drift.psi(ref, cur, "a").first()[0]), ("b", "psi"): pytest.approx(drift.psi(ref, cur, "b").first()[0]), ("c", "jsd"): pytest.approx(drift.jsd(ref, cur, "c").first()[0])}
+    assert drift.drift_metrics(ref, cur.limit(0), ["a"], []).first().value is None and drift.drift_metrics(ref, cur, [], []).count() == 0
 
 
 def test_settings(tmp_path, monkeypatch):
@@ -219,3 +300,36 @@ def test_settings(tmp_path, monkeypatch):
     assert (cfg.layer1.rolling_hours, cfg.layer1.rolling_rows, cfg.layer1.hot_threshold, cfg.scoring.weights.layer1, cfg.scoring.weights.layer2) == (6, 72, 0.5, 0.9, 0.5)
     with pytest.raises(KeyError):
         load_settings(overrides={"nope": 1})
+
+
+def test_default_file_layer(tmp_path, monkeypatch):
+    """configs/default.yaml below the working folder comes before a given file; all sections of such a file are known."""
+    from logharrow.sources.w3c import spark_pattern
+
+    (tmp_path / "configs").mkdir()
+    (tmp_path / "configs/default.yaml").write_text("ingest:\n  datetime_format: '%d/%m/%y %H:%M:%S'\n  chunk_size: 7\n  compression: zstd\nmlflow:\n  tracking_uri: http://localhost:5000\n  experiment_name: e\n  registry_name: r\ndrift:\n  retrain_schedule: daily\n")
+    (tmp_path / "own.yaml").write_text("ingest:\n  chunk_size: 9\n")
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.delenv("LOGHARROW_CONFIG", raising=False)
+    cfg = load_settings("own.yaml")
+    assert (cfg.ingest.chunk_size, cfg.ingest.compression, cfg.mlflow.registry_name, cfg.registry_root) == (9, "zstd", "r", "./models/registry")
+    assert spark_pattern(cfg.ingest.datetime_format) == "d/M/yy H:m:s"
+    assert load_settings(overrides={"mlflow": {"tracking_uri": "/tmp/x"}}).registry_root == "/tmp/x"
+
+
+def test_log_records():
+    import io
+    import logging
+
+    from logharrow.logs import configure
+
+    out = io.StringIO()
+    configure("info", "json", out)
+    logging.getLogger("logharrow.stages").info("done", extra={"rows": 3})
+    logging.getLogger("logharrow.stages").debug("not shown")
+    record = json.loads(out.getvalue())
+    assert record["event"] == "done" and record["rows"] == 3 and record["level"] == "info" and record["logger"] == "logharrow.stages"
+    text = io.StringIO()
+    configure("INFO", "console", text)
+    logging.getLogger("logharrow.x").warning("hm", extra={"a": 1})
+    assert text.getvalue().strip().endswith("logharrow.x: hm a=1")

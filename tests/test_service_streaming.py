@@ -1,6 +1,9 @@
 """The scoring service and the streaming operators."""
 
 import datetime as dt
+import json
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -69,5 +72,51 @@ def test_scored_stream(spark, tmp_path):
     out = []
     query = streaming.score_stream(streaming.window_stream(stream), str(tmp_path / "hist"), lambda df, n: out.extend(df.collect()), str(tmp_path / "ck"))
     drain(query)
-    best = max(out, key=lambda r: r.layer1_score)
+    best = max(out, key=lambda r: r.layer1_score or 0)
     assert best.window_start == T0 + dt.timedelta(seconds=3300) and best.window_is_hot
+
+
+def test_stream_scores_equal_batch_scores(spark, tmp_path):
+    """Windows that come in many batches, far apart in time, are scored as in one table."""
+    import random
+
+    from logharrow.config import Layer1
+    from logharrow.operators.windows import add_burstiness, score_windows
+
+    r, config = random.Random(4), Layer1(window_size_minutes=60, rolling_hours=5)
+    rows = [(s, "/x", T0 + dt.timedelta(hours=2 * i), r.randint(1, 60), r.random(), r.random()) for i in range(28) for s in ("a", "b")]
+    schema = "segment_id string, endpoint_group string, window_start timestamp, request_count long, `5xx_rate` double, p95_time_taken double"
+    source = str(tmp_path / "in")
+    for k in range(0, 56, 14):
+        spark.createDataFrame(rows[k : k + 14], schema).coalesce(1).write.mode("append").parquet(source)
+        import time
+
+        time.sleep(1.1)  # files are read in the order of their times
+    stream, out = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source), []
+    drain(streaming.score_stream(stream, str(tmp_path / "hist"), lambda df, n: out.extend(df.collect()), str(tmp_path / "ck"), config))
+    batch = score_windows(add_burstiness(spark.createDataFrame(rows, schema), config.rolling_rows), config).collect()
+    key = lambda rs: {(x.segment_id, x.window_start): round(x.layer1_score, 9) for x in rs}
+    assert key(out) == key(batch) and len(out) == 56
+
+
+def test_http(spark):
+    """The three endpoints over a socket."""
+    import threading
+    import urllib.error
+    import urllib.request
+
+    from logharrow.service import Scorer, http_server
+
+    server = http_server(Scorer(spark), "127.0.0.1", 0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_address[1]}"
+    call = lambda path, body=None: urllib.request.urlopen(urllib.request.Request(base + path, body and json.dumps(body).encode())).read().decode()
+    assert json.loads(call("/health")) == {"status": "ok", "version": __import__("logharrow").__version__, "models_loaded": False}
+    got = json.loads(call("/score", {"records": [{"uri_stem": "/A/12"}, {"uri_stem": "/b", "status": 404}]}))
+    assert got["total"] == 2 and [x["endpoint_group"] for x in got["results"]] == ["/a/{num}", "/b"]
+    assert "requests_scored_total 2" in call("/metrics") and 'inference_latency_seconds_count{layer="api"} 1' in call("/metrics")
+    for path, body, status in (("/score", [{"x": 1}], 422), ("/nope", None, 404)):
+        with pytest.raises(urllib.error.HTTPError) as error:
+            call(path, body)
+        assert error.value.code == status
+    server.shutdown()

@@ -3,6 +3,8 @@
 import gzip
 import json
 
+import pytest
+
 from logharrow import cli
 from logharrow.registry import ModelRegistry
 from logharrow.sources.tables import dates_missing, read_table, write_by_date
@@ -71,7 +73,7 @@ def test_command_line(spark, tmp_path):
     lines = "".join(f"2024-01-01 {h:02d}:{m:02d}:00 10.0.0.{m % 5} GET /p{m % 3}.aspx a={m} {500 if m == 7 else 200} 0 0 {m * 10} {m * 100} 5 Mozilla/5.0\n" for h in range(6) for m in range(0, 60, 3))
     lines += "2024-01-01 01:00:00 1.1.1.1 GET /logo.png - 200 0 0 1 1 1 -\n"
     write(tmp_path / "x.log", fields + lines)
-    (tmp_path / "c.yaml").write_text("layer2:\n  iforest:\n    n_estimators: 5\nlayer1:\n  hot_threshold: 0.0\nscoring:\n  segment_quantile: 0.9\n")
+    (tmp_path / "c.yaml").write_text("layer2:\n  iforest:\n    n_estimators: 5\nlayer1:\n  hot_threshold: 0.0\nscoring:\n  segment_quantile: 0.9\nlayer3:\n  enabled: true\nmlflow:\n  tracking_uri: " + str(tmp_path / "registry") + "\n")
     d = lambda n: str(tmp_path / n)
     run = lambda *a: cli.main(["--config", d("c.yaml"), *a])
     assert run("parse", "--input", d("x.log"), "--output", d("parsed")) == 0
@@ -82,7 +84,14 @@ def test_command_line(spark, tmp_path):
     run("featurize-layer2", "--input", d("dynamic"), "--windows", d("l1s"), "--output", d("l2"))
     run("train-layer2", "--input", d("l2"), "--output", d("model"))
     run("infer-layer2", "--input", d("l2"), "--model", d("model"), "--output", d("l2s"))
-    run("score", "--input", d("l2s"), "--output", d("alerts"), "--date", "2024-01-01")
+    run("infer-layer2", "--input", d("l2"), "--output", d("l2r"))  # the registered model
+    assert read_table(spark, d("l2r")).agg({"layer2_score": "sum"}).first()[0] == pytest.approx(read_table(spark, d("l2s")).agg({"layer2_score": "sum"}).first()[0])
+    run("train-layer3", "--input", d("l2"), "--output", d("markov"))
+    run("infer-layer3", "--input", d("l2s"), "--output", d("l3s"))
+    assert read_table(spark, d("l3s")).where("layer3_score is null").count() == 0 and read_table(spark, d("l3s")).where("client_ip not like '%.0'").count() == 0
+    run("drift", "--input", d("l3s"), "--reference", d("l2s"), "--output", d("drift"))
+    assert json.loads((tmp_path / "drift/drift_report.json").read_text())["features"]["layer2_score"]["psi"] == 0
+    run("score", "--input", d("l3s"), "--output", d("alerts"), "--date", "2024-01-01")
     alerts = [json.loads(r.value) for r in spark.read.text(d("alerts/json")).select("value").collect()]
     assert alerts and all(len(a["reason_codes"]) == 3 and 0 <= a["final_score"] <= 1 and "client_ip" not in a for a in alerts)
     assert cli.main(["train-layer1"]) == 0
