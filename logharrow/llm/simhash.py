@@ -25,8 +25,10 @@ from logharrow.llm.words import mix
 HAMMING = (15, 7)
 #: Rows at one anchor beyond which its comparisons are split over several tasks.
 HOT_ANCHOR = 20_000
+#: Rows at anchors that a task compares, about 50 bytes each.
+TASK_ROWS = 2_000_000
 #: Pairs compared at once.
-PAIRS = 1 << 21
+PAIRS = 1 << 19
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -125,10 +127,13 @@ def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = after
 
 
-def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int):
-    """Pairs (lesser, greater) of near rows that meet at an anchor, some at a time; at most PAIRS pairs are held at once."""
+def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int, parts: np.ndarray, nearest: int | None = None):
+    """Pairs (lesser, greater) of near rows of different parts that meet at an anchor; at most PAIRS pairs are held at once.
+
+    With nearest, each home row gives only its so many nearest partners.
+    """
     order = np.lexsort((~homes, keys))  # homes first within an anchor
-    keys, ids, fps, more, homes = keys[order], ids[order], fps[order], more[order], homes[order]
+    keys, ids, fps, more, homes, parts = keys[order], ids[order], fps[order], more[order], homes[order], parts[order]
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     n_homes = np.add.reduceat(homes.astype(np.int64), starts)
@@ -144,7 +149,14 @@ def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray,
         right = np.repeat(starts[group[at:until]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         near = np.flatnonzero(np.bitwise_count(fps[left] ^ fps[right]) <= distance)
         left, right = left[near], right[near]
-        near = (np.bitwise_count(fps[left] ^ fps[right]).astype(np.int64) + np.bitwise_count(more[left] ^ more[right]) <= in_all) & (ids[left] != ids[right])
+        far = np.bitwise_count(fps[left] ^ fps[right]).astype(np.int64) + np.bitwise_count(more[left] ^ more[right])
+        near = np.flatnonzero((far <= in_all) & (parts[left] != parts[right]))
+        if nearest is not None and len(near):
+            near = near[np.lexsort((ids[right[near]], far[near], left[near]))]
+            mine = left[near]
+            first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
+            turn = np.arange(len(mine)) - np.repeat(first, np.diff(np.append(first, len(mine))))
+            near = near[turn < nearest]
         x, y = ids[left[near]], ids[right[near]]
         if len(x):
             yield np.minimum(x, y), np.maximum(x, y)
@@ -164,14 +176,17 @@ def _compare(pairs) -> tuple[np.ndarray, np.ndarray]:
     return label(*(np.concatenate(z) for z in zip(*found))) if found else (np.empty(0, np.int64),) * 2
 
 
-def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach: int | None = None) -> DataFrame:
+def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach: int | None = None, nearest: int | None = None) -> DataFrame:
     """Links a < b of node ids that connect the same nodes as all links would.
 
     nodes: node, fp, more; one row for each distinct (fp, more). Two are linked if their fp differ in at most `distance`
     bits and fp and more together in at most `in_all`. With reach, all links are given, some repeatedly, of the pairs
     that meet: fp and more both have anchors, built for `reach` bits of each. Two surely meet if fp and more together
-    differ in at most 2 * blocks * (reach // blocks + 1) - 1 bits, and beyond that if any block still is near enough.
+    differ in at most 2 * blocks * (reach // blocks + 1) - 1 bits, and beyond that if any block still is near enough. Then
+    nodes may have a column `part`: nodes of one part make no pair. With nearest, a node gives only so many partners at
+    each of its own anchors, the nearest ones.
     """
+    carried = ["node", "fp", "more", *(["part"] if "part" in nodes.columns else [])]
     spark = nodes.sparkSession
 
     def keys_of(batch):
@@ -192,8 +207,10 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
 
     # an anchor is listed if it has over HOT_ANCHOR rows: at most (rows / HOT_ANCHOR) of them
     per_key = nodes.mapInArrow(count, "key long, n long, homes long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
-    hot = {r["key"]: (-(-r["homes"] // HOT_ANCHOR) or 1, -(-r["n"] // HOT_ANCHOR)) for r in per_key.where(F.col("n") > HOT_ANCHOR).toLocalIterator()}
-    hot = spark.sparkContext.broadcast(hot)
+    listed = F.array_sort(F.collect_list(F.when(F.col("n") > HOT_ANCHOR, F.struct("key", "homes", "n"))))
+    sizes = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), listed.alias("hot")).first()
+    tiles = [np.array([max(-(-r[c] // HOT_ANCHOR), 1) for r in sizes["hot"]], np.int64) for c in ("homes", "n")]
+    hot = spark.sparkContext.broadcast((np.array([r["key"] for r in sizes["hot"]], np.int64), *tiles))
 
     def spread(batches):
         """Nodes at their anchors; at a hot one, homes are dealt into s tile rows and all into t columns, and a tile pairs them."""
@@ -204,21 +221,23 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
                 part = batch.slice(at, 1 << 14)
                 row, keys, homes = keys_of(part)
                 tile = np.zeros(len(row), np.int64)
-                if hot.value:
-                    is_hot = np.isin(keys.view(np.int64), np.array(list(hot.value)))
-                    parts = [tuple(x[~is_hot] for x in (tile, row, keys, homes))]
-                    salt = part.column("node").to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
-                    for key in np.unique(keys[is_hot]):
-                        s, t = hot.value[int(key.view(np.int64))]
-                        mine = np.flatnonzero(keys == key)
-                        r, home = row[mine], row[mine[homes[mine]]]
-                        for i in range(s):  # as partner of the homes in tile row i
-                            parts.append((i * t + (salt[r] % np.uint64(t)).astype(np.int64), r, np.full(len(r), key), np.zeros(len(r), bool)))
-                        for j in range(t):  # as home in its own tile row
-                            parts.append(((salt[home] % np.uint64(s)).astype(np.int64) * t + j, home, np.full(len(home), key), np.ones(len(home), bool)))
-                    tile, row, keys, homes = (np.concatenate(x) for x in zip(*parts))
-                own = [part.column(c).take(pa.array(row)) for c in ("node", "fp", "more")]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(tile), *own, pa.array(homes)], ["key", "tile", "node", "fp", "more", "home"])
+                hot_keys, tile_rows, tile_columns = hot.value
+                if len(hot_keys):
+                    which = np.minimum(np.searchsorted(hot_keys, keys.view(np.int64)), len(hot_keys) - 1)
+                    full = hot_keys[which] == keys.view(np.int64)
+                    salt = part.column("node").to_numpy().view(np.uint64)[row] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+                    s, t = tile_rows[which], tile_columns[which]
+                    in_row, in_column = (salt % s.astype(np.uint64)).astype(np.int64), (salt % t.astype(np.uint64)).astype(np.int64)
+                    # as partner of the homes in each tile row, and as home in its own tile row
+                    as_partner, as_home = np.flatnonzero(full), np.flatnonzero(full & homes)
+                    i, mine = _counted(s[as_partner]), np.repeat(as_partner, s[as_partner])
+                    j, own = _counted(t[as_home]), np.repeat(as_home, t[as_home])
+                    rest = np.flatnonzero(~full)
+                    tile = np.concatenate((tile[rest], i * t[mine] + in_column[mine], in_row[own] * t[own] + j))
+                    homes = np.concatenate((homes[rest], np.zeros(len(mine), bool), np.ones(len(own), bool)))
+                    row, keys = (np.concatenate((x[rest], x[mine], x[own])) for x in (row, keys))
+                own = [part.column(c).take(pa.array(row)) for c in carried]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(tile), *own, pa.array(homes)], ["key", "tile", *carried, "home"])
 
     def compare(batches):
         import pyarrow as pa
@@ -229,15 +248,21 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
         table = pa.Table.from_batches(held)
         del held
         key, tile, fp, more = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "tile", "fp", "more"))
-        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), table.column("node").to_numpy(), fp, more, table.column("home").to_numpy(), distance, in_all)
+        node = table.column("node").to_numpy()
+        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, table.column("home").to_numpy(), distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest)
         for a, b in [_compare(pairs)] if reach is None else pairs:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = nodes.mapInArrow(spread, "key long, tile long, node long, fp long, more long, home boolean").repartition(n, "key", "tile")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sizes["rows"] // TASK_ROWS))
+    met = nodes.mapInArrow(spread, "key long, tile long, " + "".join(f"{c} long, " for c in carried) + "home boolean").repartition(n, "key", "tile")
     return met.mapInArrow(compare, "a long, b long")
 
 
+def _counted(n: np.ndarray) -> np.ndarray:
+    """0 .. n[k] - 1 for each k, one after the other."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 3, in_all: int | None = None) -> DataFrame:
     """Fingerprint and near-duplicate component of each row: doc_id, fp long, component_id (least id reachable).
 
@@ -261,6 +286,9 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 #: similarity 0.8 differ in 9.7 of 64 bits on average (deviation 2.9) and in 19.4 of 128 (4.1): the bounds are four
 #: deviations away. Of two sets that differ in 15 % of the bits some block of the ten is within one bit in 99 %.
 CANDIDATE, CANDIDATE_IN_ALL, REACH, CANDIDATE_BLOCKS = 22, 36, 9, 5
+#: Partners of a class at each anchor that are looked at first. Most groups are one class after that, and then only
+#: pairs of different classes are looked at, all of them: a group of n near copies makes about n pairs, not n squared.
+NEAREST = 2
 
 
 def shingle_sets(rows: DataFrame, width: int) -> DataFrame:
@@ -288,22 +316,35 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
     nodes = docs.groupBy("fp", "more").agg(F.min(row).alias("first")).withColumn("node", F.xxhash64("fp", "more"))
     nodes = materialise(nodes.repartition(docs.sparkSession.sparkContext.defaultParallelism), "nodes")
-    pairs = near_links(nodes.select("node", "fp", "more"), CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH)
-    pairs = materialise(pairs.distinct(), "candidates")
-
-    # the shingles of the classes' first rows, only for classes that have a candidate
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "first.doc_id", "first.h")
     texts = df.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("j"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("j") == F.col("h")))
-    sets = materialise(shingle_sets(texts.select("node", "text").dropDuplicates(["node"]), width), "shingle-sets")
+    sets, links, roots = None, None, None
+    for nearest in (NEAREST, None):
+        here = nodes.select("node", "fp", "more")
+        if roots is not None:
+            here = here.join(roots.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, nearest).distinct(), "candidates")
+        # the shingles of the classes' first rows, only for classes that have a candidate
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = wanted if sets is None else wanted.join(sets, "node", "left_anti")
+        wanted = materialise(wanted.join(nodes, "node").select("node", "first.doc_id", "first.h"), "wanted")
+        those = texts.join(wanted, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("j") == F.col("h")))
+        new = materialise(shingle_sets(those.select("node", "text").dropDuplicates(["node"]), width), "shingle-sets")
+        sets = new if sets is None else sets.unionByName(new)
+        found = materialise(similar_pairs(pairs, sets, similarity), "similar-pairs")
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+
+    known = materialise(nodes.join(roots, "node", "left").select("fp", "more", "first", F.coalesce("root", "node").alias("root")), "classes")
+    firsts = materialise(known.groupBy("root").agg(F.min("first").alias("least")), "class-firsts")
+    known = known.join(firsts, "root").select("fp", "more", "least")
+    return docs.join(known, ["fp", "more"]).where(row != F.col("least")).select("doc_id", "h").distinct()
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have at least this Jaccard similarity."""
     sizes = sets.select("node", F.size("shingles").alias("n"))
     left, right = (sizes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
     may = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     judged = may.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    links = judged.where(F.col("both") >= similarity * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
-
-    roots = components(links)
-    known = nodes.join(roots, "node", "left").select("fp", "more", "first", F.coalesce("root", "node").alias("root"))
-    known = known.withColumn("first", F.min("first").over(Window.partitionBy("root")))
-    return docs.join(known, ["fp", "more"]).where(row != F.col("first")).select("doc_id", "h").distinct()
+    return judged.where(F.col("both") >= similarity * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
