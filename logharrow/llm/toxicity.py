@@ -26,14 +26,18 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 SEPARATORS = set(".-_*~^'`/\\:,;#%&=​‌‍\xad ")
 #: Channel costs in nats: a lookalike, a dropped separator, a dropped repeat, a blank that stays between spaced letters.
 COST_LOOKALIKE, COST_SEPARATOR, COST_REPEAT, COST_BLANK = 0.7, 0.3, 0.4, 1.0
+#: Nats by which a doubled letter must surprise the language model to be taken for an obfuscation: an unknown letter has some four.
+DOUBLED = 3.0
 #: Character classes of the language model: boundary, a-z, any other letter.
 CLASSES = 28
 #: Bound of the classifier: labelled rows that it is fitted on. Size of the space that features are hashed into.
-TRAINING_ROWS, SPACE = 8_000, 1 << 17
+TRAINING_ROWS, SPACE = 6_000, 1 << 17
 BEGINNINGS = (3, 4, 5, 6, 8)
 CACHE_ENTRIES = 300_000
 #: Of the fit: rounds, step, weight of the squared weights, and the deviation at which a feature is half trusted.
-ROUNDS, STEP, PENALTY, DOUBT = 120, 0.05, 1.0, 6.0
+ROUNDS, STEP, PENALTY, DOUBT = 80, 0.08, 1.0, 6.0
+#: Entries that the fit looks at together.
+ENTRIES = 1 << 19
 #: Three or more single characters in a row, and white space that surely ends a word between them.
 SPACED, WIDE = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)"), re.compile(r"\s{2,}|[^\S ]")
 EDGES = "".join(sorted({chr(i) for i in range(33, 127) if not chr(i).isalnum()} - set("@$!|+(")) ) + "¡¿«»“”„‘’…–—"
@@ -132,11 +136,18 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(f.encode()) % SPACE for f in (word + "$", *(word[:n] for n in BEGINNINGS if len(word) >= n))] if word else []
 
 
+def surprise(word: str, logp: np.ndarray) -> float:
+    """-log P of a word's letters under the language model."""
+    k = [0, 0, 0, *map(char_class, word), 0]
+    return -sum(float(logp[((k[i] * CLASSES + k[i + 1]) * CLASSES + k[i + 2]) * CLASSES + k[i + 3]]) for i in range(len(word) + 1))
+
+
 def token_features(token: str, logp: np.ndarray) -> tuple[int, ...]:
-    """Features of a token's word; of a word with a doubled letter also those of the likeliest word without."""
+    """Features of a token's word; where doubled letters surprise by more than DOUBLED each, also those of the likeliest word."""
     word = restore(token, logp)
     out = features(word)
-    if DOUBLE.search(word):
+    bare = DOUBLE.sub(r"\1", word)
+    if len(bare) < len(word) and surprise(word, logp) - surprise(bare, logp) > DOUBLED * (len(word) - len(bare)):
         single = decode(word, logp)
         out += features(single) if single != word else []
     return tuple(out)
@@ -190,18 +201,27 @@ def _fit(row: np.ndarray, at: np.ndarray, often: np.ndarray, y: np.ndarray) -> t
     from their expected number in standard deviations. So the penalty is the heavier the less a feature has shown.
     """
     n, size, share = len(y), SPACE, y.mean()
-    seen, toxic = np.bincount(at, minlength=size), np.bincount(at, y[row], size)
+    parts = [slice(i, i + ENTRIES) for i in range(0, len(at), ENTRIES)]  # so that no array of the size of all entries is made
+    seen, toxic = np.zeros(size), np.zeros(size)
+    for p in parts:
+        seen += np.bincount(at[p], minlength=size)
+        toxic += np.bincount(at[p], y[row[p]], size)
     z = (toxic - share * seen) ** 2 / np.maximum(seen * share * (1 - share), 1e-9)
-    trust = (z / (z + DOUBT**2)).astype(np.float32)
-    held, often = trust[at], often * trust[at]
+    trust = z / (z + DOUBT**2)
     w, b = np.zeros((2, size)), math.log((y.sum() + 1) / (n - y.sum() + 1))
     m, v = np.zeros((2, size)), np.zeros((2, size))
     mb = vb = 0.0
     for t in range(1, ROUNDS + 1):
-        z = np.bincount(row, w[0][at] * held + w[1][at] * often, n) + b
+        z, (present, rate) = np.full(n, b), w * trust
+        for p in parts:
+            z += np.bincount(row[p], present[at[p]] + rate[at[p]] * often[p], n)
         miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        far = miss[row]
-        g = (np.stack([np.bincount(at, far * held, size), np.bincount(at, far * often, size)]) + PENALTY * w) / n
+        g = PENALTY * w
+        for p in parts:
+            far = miss[row[p]]
+            g[0] += np.bincount(at[p], far, size) * trust
+            g[1] += np.bincount(at[p], far * often[p], size) * trust
+        g /= n
         gb = miss.sum() / n
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         scale = lambda m, v: STEP * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
