@@ -20,7 +20,7 @@ from logharrow.llm.words import MIX_1, SECOND_BASE, byte_batches, mix, sliding_m
 
 SHINGLE = 16
 #: Text that is hashed at once; a worker needs about a hundred times this for its arrays.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 
 def window_anchors(hashes: np.ndarray, width: int) -> np.ndarray:
