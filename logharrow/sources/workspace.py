@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Used in local mode where the session names no shared folder.
 LOCAL_FALLBACK = "file:///tmp/checkpoints/logharrow"
@@ -17,3 +17,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{(root or LOCAL_FALLBACK).rstrip('/')}/{name}-{uuid.uuid4().hex}")
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that is read several times, and read it back: what comes before is computed once and survives lost executors."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
