@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
     if not root and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{(root or LOCAL_FALLBACK).rstrip('/')}/{name}-{uuid.uuid4().hex}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
