@@ -3,29 +3,17 @@
 from __future__ import annotations
 
 import gc
-import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder (local mode, tests).
-LOCAL_FALLBACK = "file:///tmp/checkpoints/logharrow"
-_made: list[str] = []
-
+from logharrow.sources.workspace import new_folder
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir, with its scheme; where that is unset, a local one in local mode only."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    path = spark._jvm.org.apache.hadoop.fs.Path(named or LOCAL_FALLBACK)
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return re.sub("^file:/+", "file:///", full)
+_made: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the scratch root that no other call gets."""
-    _made.append(f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    """A path in the shared folder that no other call gets."""
+    _made.append(new_folder(spark, name))
     return _made[-1]
 
 
