@@ -40,10 +40,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the row with the least id stays. Rows equal in id and text stay or go together; texts without words are one group."""
-    found = similar_rows(docs, SHINGLE_WORDS, SIMILARITY)
+    found = similar_rows(docs.select(*COLUMNS), SHINGLE_WORDS, SIMILARITY)
     gone = materialise(found.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h")), "near-duplicates")
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_h"))  # a null text has a hash as well
-    return docs.join(gone, same, "left_anti").select(*COLUMNS)
+    return docs.select(*COLUMNS).join(gone, same, "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
