@@ -149,5 +149,47 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup)}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import hashlib
+
+    from logharrow.llm.clusters import kmeans
+
+    found = kmeans(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), clusters=8, rounds=10, seed=3)
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+    of = lambda values, kind: F.get(F.lit(values).cast(f"array<{kind}>"), F.col("cluster"))
+    return found.assigned.select(
+        "vec_id", "cluster", "distance", of(found.inertia, "bigint").alias("cluster_inertia"), F.lit(sum(found.inertia)).cast("bigint").alias("inertia"), of(names, "string").alias("centroid_sha256"),
+    )
+
+
+def _op11_sql(rounds: int = 10) -> str:
+    """The rounds one after the other: a<r> has the vectors' clusters under the centroids c<r>."""
+    parts = ["""kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda v: floor(1024 * v::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS k, x FROM kept ORDER BY sha256('3:' || vec_id), x LIMIT 8
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, min({{'d': d, 'k': k}}) AS near FROM (
+    SELECT v.r, c.k, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept v, c{i} c
+  ) GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+  SELECT near.k AS k, p, sum(x[p])::BIGINT AS s, count(*) AS n FROM a{i} JOIN kept USING (r), range(1, 65) t(p) GROUP BY near.k, p
+), c{i + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY p) AS x FROM s{i} GROUP BY k) m ON m.k = c.k
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT v.vec_id, near.k::INT AS cluster, near.d AS distance, sum(near.d) OVER (PARTITION BY near.k)::BIGINT AS cluster_inertia, sum(near.d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept v USING (r) JOIN c{rounds} c ON c.k = near.k"""
+
+
+OP11_SQL = _op11_sql()
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup, op11_centroid_clustering)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op11_centroid_clustering": OP11_SQL}
