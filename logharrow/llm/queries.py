@@ -191,5 +191,74 @@ FROM a{rounds} a JOIN kept v USING (r) JOIN c{rounds} c ON c.k = near.k"""
 OP11_SQL = _op11_sql()
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup, op11_centroid_clustering)}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op11_centroid_clustering": OP11_SQL}
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with the damage that crc32 of `conv_id:turn` deals out; times says how often a row is left there."""
+    spelt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(spelt("conv_id"), F.lit(":"), spelt("turn")).cast("binary")) % 20
+    text, role = spelt("text"), spelt("role")
+    return rows.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"), F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.conversations import repair
+
+    found = repair(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")), times_col="times", texts=False)
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+#: CRC-32 of a short ASCII string, its polynomial reversed, bit by bit: DuckDB has no function for it.
+CRC32_SQL = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({s}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))"""
+
+
+def _op13_sql() -> str:
+    """The Viterbi backward, row by row: v0 to v3 hold (cost, audit, lines) to the end from each state."""
+    least = lambda *options: f"list_min([{', '.join(options)}])"
+    edit = lambda to, cost, letter, line: f"{{'c': {to}.c + {cost}, 'a': '{letter}' || {to}.a, 't': {line} || {to}.t}}"
+    follow, role = (2, 2, 3, 2), {2: "user", 3: "assistant"}
+    far = "{'c': 1000000000, 'a': '', 't': []::VARCHAR[]}"
+    base = []
+    for s in range(4):
+        options = [edit(f"p.v{s}", 3, "D", "[]::VARCHAR[]"), f"CASE WHEN need THEN {far} ELSE {edit(f'p.v{follow[s]}', '2 + late', 'R', f'''['{role[follow[s]]}:' || r.text]''')} END"]
+        for initial, to in {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[s].items():
+            options.append(f"CASE WHEN need OR left(r.role, 1) <> '{initial}' THEN {far} ELSE {edit(f'p.v{to}', 'late', 'K', '''[r.role || ':' || r.text]''')} END")
+        base.append(f"{least(*options)} AS b{s}")
+    insert = lambda of, to: f"{{'c': {of}.c + 2, 'a': 'I' || {of}.a, 't': ['{role[to]}:'] || {of}.t}}"
+    return f"""WITH RECURSIVE spelt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), dealt AS (
+  SELECT conv_id, turn, role, text, xor({CRC32_SQL.format(s="name")}, 4294967295) % 20 AS fault FROM spelt
+), after AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM dealt, range(2) t(k) WHERE fault <> 0 AND (k = 0 OR fault = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending FROM after
+), judged AS (
+  SELECT *, ending = '' AS blank, ending <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier FROM placed
+), faulty AS MATERIALIZED (
+  SELECT *, blank OR duplicate AS need, (NOT blank AND NOT duplicate AND ending NOT IN ('.', '!', '?'))::BIGINT AS late FROM judged
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, sum(late)::BIGINT AS truncated,
+    count(*) FILTER (WHERE earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM faulty GROUP BY conv_id
+), path AS (
+  SELECT conv_id, n + 1 AS i, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS v0, {{'c': 4::BIGINT, 'a': 'II', 't': ['user:', 'assistant:']}} AS v1,
+    {{'c': 2::BIGINT, 'a': 'I', 't': ['assistant:']}} AS v2, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS v3 FROM sums
+  UNION ALL
+  SELECT conv_id, i, {least("b0", insert("w2", 2))}, {least("b1", insert("w2", 2))}, w2, w3 FROM (
+    SELECT *, {least("b2", insert("b3", 3))} AS w2, {least("b3", insert("b2", 2))} AS w3 FROM (
+      SELECT r.conv_id, r.i, {", ".join(base)} FROM path p JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i - 1))
+)
+SELECT o.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIGINT AS blank, coalesce(s.duplicate, 0)::BIGINT AS duplicate, coalesce(s.truncated, 0)::BIGINT AS truncated,
+  coalesce(s.illegal, 0)::BIGINT AS illegal, coalesce(p.v0.c, 0)::BIGINT AS cost, coalesce(p.v0.a, '') AS audit, sha256(coalesce(array_to_string(p.v0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN path p ON p.i = 1 AND p.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
+OP13_SQL = _op13_sql()
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup, op11_centroid_clustering, op13_conversation_repair)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op11_centroid_clustering": OP11_SQL, "op13_conversation_repair": OP13_SQL}
