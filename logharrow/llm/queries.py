@@ -191,6 +191,16 @@ FROM a{rounds} a JOIN kept v USING (r) JOIN c{rounds} c ON c.k = near.k"""
 OP11_SQL = _op11_sql()
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logharrow.llm.quality import document_statistics, fit, with_score
+    from logharrow.llm.scratch import materialise
+
+    stats = materialise(document_statistics(documents(spark, sf_dir)), "document-statistics")
+    model = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out()))
+    found = with_score(stats, model)
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """Conversation rows with the damage that crc32 of `conv_id:turn` deals out; times says how often a row is left there."""
     spelt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -260,5 +270,5 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON s.conv_i
 OP13_SQL = _op13_sql()
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup, op11_centroid_clustering, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_imatch_fingerprints, op4_substring_dedup, op5_sharding, op6_token_files, op7_toxicity, op8_benchmark_decontamination, op9_pii_surrogates, op10_simhash_near_dedup, op11_centroid_clustering, op12_quality_classifier, op13_conversation_repair)}
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op11_centroid_clustering": OP11_SQL, "op13_conversation_repair": OP13_SQL}
