@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -696,13 +697,21 @@ def score_records(spark, sf_dir):
 # --- streams over the same rows, run until all of them are read
 
 
-def streamed(spark, sf_dir) -> DataFrame:
+def streamed_events(spark, parts: list[DataFrame]) -> DataFrame:
+    """Rows of the events table as a stream of files, two in each micro-batch, the parts one after the other."""
     from logharrow.sources.workspace import new_folder
 
     out = new_folder(spark, "stream-input")
+    for k, part in enumerate(parts):
+        if k:
+            time.sleep(1.1)  # files are read in the order of their times
+        part.write.mode("append").parquet(out)
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 2).parquet(out)
+
+
+def streamed(spark, sf_dir) -> DataFrame:
     stored = spark.read.parquet(f"{sf_dir}/events.parquet")
-    stored.repartitionByRange(4, "ts").write.parquet(out)
-    return requests_of(spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 2).parquet(out)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return requests_of(streamed_events(spark, [stored.repartitionByRange(4, "ts")])).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
 def drained(spark, stream: DataFrame, mode: str) -> DataFrame:
@@ -737,11 +746,18 @@ def stream_sessions(spark, sf_dir):
     return drained(spark, session_stream(streamed(spark, sf_dir), 180), "complete").select("client", wall("session_start"), wall("session_end"), "requests")
 
 
-@query("""WITH REQUESTS SELECT client_ip AS value, strftime(min(timestamp), '%Y-%m-%d %H:%M:%S') AS first_seen FROM seg GROUP BY 1""")
+@query("""WITH REQUESTS, b AS (SELECT client_ip, timestamp, lag(timestamp) OVER (PARTITION BY client_ip ORDER BY timestamp) AS before FROM seg)
+ SELECT client_ip AS value, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS first_seen FROM b WHERE before IS NULL OR timestamp >= before + INTERVAL 720 MINUTES""")
 def stream_first_seen(spark, sf_dir):
-    from logharrow.streaming.windows import first_seen_stream
+    """Files hold rows of all times, so each micro-batch goes back and forth over the month; a heartbeat file ends the stream."""
+    from logharrow.streaming.novelty import first_seen_stream
 
-    return drained(spark, first_seen_stream(streamed(spark, sf_dir), "client_ip"), "append").select("value", wall("first_seen"))
+    month = 31 * 24 * 60
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    last = stored.agg(F.max("ts").alias("ts"))
+    beat = last.select((F.col("ts") + F.expr(f"INTERVAL {2 * month} MINUTES")).alias("ts"), *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns if c != "ts"]).select(stored.columns)
+    rows = requests_of(streamed_events(spark, [stored.repartition(4, "event_id"), beat])).withColumn("client_ip", F.when(F.col("event_id").isNotNull(), F.col("client_ip")))
+    return drained(spark, first_seen_stream(rows, "client_ip", late_minutes=month, window_minutes=720), "append").select("value", wall("first_seen"))
 
 
 # --- fitted models: no SQL; tests hold them against brute force and invariants

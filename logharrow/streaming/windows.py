@@ -1,10 +1,9 @@
-"""Streams of requests: windowed aggregates with late data, sessions, first-seen values, and scoring by micro-batch."""
+"""Streams of requests: windowed aggregates with late data, sessions, and scoring by micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,18 +40,6 @@ def session_stream(stream: DataFrame, timeout_minutes: int = 30, late_minutes: i
     return grouped.agg(F.count("*").alias("requests"), F.first("client_ip").alias("client_ip"), F.first("user_agent").alias("user_agent")).select("client", "client_ip", "user_agent", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "requests")
 
 
-def first_seen_stream(stream: DataFrame, value: str) -> DataFrame:
-    """Each value of a column once, when it first occurs: state is one row a value."""
-
-    def first(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        when = min(b["timestamp"].min() for b in batches)
-        if not state.exists:
-            state.update((1,))
-            yield pd.DataFrame({"value": [key[0]], "first_seen": [when]})
-
-    return stream.select(F.col(value).alias("value"), "timestamp").where("value is not null").groupBy("value").applyInPandasWithState(first, "value string, first_seen timestamp", "seen int", "append", "NoTimeout")
-
-
 def frame_rows(config: Layer1) -> int:
     """Earlier windows of a segment that a score depends on: the baseline's frames, over burstiness."""
     own = ewma_rows(config.ewma_alpha) - 1 if config.use_ewma else 2 * (config.rolling_rows - 1)

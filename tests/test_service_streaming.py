@@ -11,6 +11,7 @@ from logharrow.operators import iforest
 from logharrow.operators.requests import enrich, feature_vector, layer2_features
 from logharrow.config import IsolationForest
 from logharrow.service import Scorer
+from logharrow.streaming import novelty
 from logharrow.streaming import windows as streaming
 
 T0 = dt.datetime(2024, 1, 1, 10, 0, 0)
@@ -61,10 +62,55 @@ def test_sessions_stream(spark, tmp_path):
     assert sorted(r.requests for r in spark.table("ses").where("client_ip = '1'").collect()) == [1, 2]
 
 
-def test_first_seen(spark, tmp_path):
-    stream = stream_of(spark, str(tmp_path / "in"), [[(0, "1"), (5, "2")], [(10, "1"), (20, "3")]])
-    drain(streaming.first_seen_stream(stream, "client_ip").writeStream.format("memory").queryName("seen").outputMode("append").start())
-    assert sorted(r.value for r in spark.table("seen").collect()) == ["1", "2", "3"]
+def first_seen_plain(times, window):
+    """Times of each value without another within the window before."""
+    out = []
+    for v in {v for _, v in times}:
+        own = sorted(t for t, x in times if x == v)
+        out += [(v, b) for a, b in zip([None, *own], own) if a is None or b - a >= window]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_first_seen_in_any_order(spark, tmp_path, seed):
+    """Files in a random order within the late bound; values come back after the window, and late rows fill gaps."""
+    import random
+
+    r, window, late = random.Random(seed), 3600, 7200
+    times = [(r.randint(0, 40_000), str(r.randint(1, 6))) for _ in range(70)] + [(0, "edge"), (3600, "edge"), (20_000, "edge"), (23_599, "edge")]
+    files, rest = [], sorted(set(times))
+    while rest:  # a file takes any rows that lie less than the late bound behind what was read
+        near = [x for x in rest if x[0] < rest[0][0] + late // 2]
+        files.append(r.sample(near, min(len(near), 12)))
+        rest = [x for x in rest if x not in files[-1]]
+    stream = stream_of(spark, str(tmp_path / "in"), [*files, [(10**6, None)], [(10**6 + 1, None)]])
+    query = novelty.first_seen_stream(stream, "client_ip", late_minutes=late // 60, window_minutes=window // 60).writeStream.format("memory").queryName(f"seen{seed}").outputMode("append").start()
+    query.processAllAvailable()
+    state = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    query.stop()
+    got = sorted((x.value, int((x.first_seen - T0).total_seconds())) for x in spark.table(f"seen{seed}").collect())
+    assert got == first_seen_plain(set(times), window) and state == 0  # all state has expired
+
+
+def test_runs_of_times_in_any_order():
+    """Runs against sorted times, with the watermark moving on between."""
+    import random
+
+    r = random.Random(9)
+    for _ in range(300):
+        window, late = r.choice([1, 5, 20]), r.choice([0, 8, 50])
+        runs, out, kept_times, top, watermark = [], [], [], 0, -1
+        for _ in range(r.randint(1, 40)):
+            t = max(0, top + r.randint(-late - 3, 15))
+            if t > watermark:
+                runs, kept_times = novelty.add_time(runs, t, window), [*kept_times, (t, "v")]
+            top = max(top, t)
+            if r.random() < 0.4:
+                watermark = max(watermark, top - late)
+                more, runs, _ = novelty.settle(runs, watermark, window)
+                out += more
+        more, runs, again = novelty.settle(runs, 10**6, window)
+        assert sorted(out + more) == [t for _, t in first_seen_plain(set(kept_times), window)] and runs == [] and again is None
 
 
 def test_scored_stream(spark, tmp_path):
