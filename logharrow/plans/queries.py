@@ -783,7 +783,26 @@ def ae_score(spark, sf_dir):
     return autoencoder.predict(rows, autoencoder.fit(rows)).select("event_id", "layer2_score")
 
 
+def tail_scores(spark, sf_dir) -> DataFrame:
+    return enriched(spark, sf_dir).withColumn("final_score", F.least(F.col("sc_bytes") / 100_000, F.lit(1.0)))
+
+
+@query("""WITH REQUESTS, s AS (SELECT event_type, least(sc_bytes / 100000, 1.0)::DOUBLE AS s FROM seg), u AS (SELECT event_type, count(*) AS n, quantile_cont(s, 0.95) AS u, quantile_cont(s, 0.995) AS q FROM s GROUP BY 1),
+ x AS (SELECT event_type, s - u AS x, floor(log2(s - u)) AS e FROM s JOIN u USING (event_type) WHERE s > u),
+ b AS (SELECT event_type, count(*) AS m, sum(x) AS total, min(x) AS least, max(x) AS most FROM x GROUP BY event_type, e, floor((x / pow(2, e) - 1) * 1024))
+ SELECT event_type, u.n, round(u.u, 6) AS u, round(u.q, 6) AS q, sum(b.m)::BIGINT AS exceedances, count(*) AS bins, round(sum(total) / sum(m), 6) AS mean_excess, round(sum(total * total / m) / sum(m), 6) AS second_moment, round(min(least), 6) AS least, round(max(most), 6) AS most
+ FROM b JOIN u USING (event_type) GROUP BY ALL""")
+def evt_tail(spark, sf_dir):
+    """What the tail fit sees: its bins' moments."""
+    found = scoring.tail_bins(tail_scores(spark, sf_dir), key="event_type")
+    total = lambda f: F.aggregate("bins", F.lit(0.0), lambda a, b: a + f(b))
+    m = total(lambda b: b["m"])
+    return found.select(
+        "event_type", "n", r6("u"), r6("q"), m.cast("long").alias("exceedances"), F.size("bins").cast("long").alias("bins"), r6(total(lambda b: b["total"]) / m, "mean_excess"),
+        r6(total(lambda b: b["total"] * b["total"] / b["m"]) / m, "second_moment"), r6(F.array_min("bins.least"), "least"), r6(F.array_max("bins.most"), "most"),
+    )
+
+
 @query()
 def evt_threshold(spark, sf_dir):
-    rows = enriched(spark, sf_dir).withColumn("final_score", F.least(F.col("sc_bytes") / 100_000, F.lit(1.0)))
-    return scoring.evt_thresholds(rows, key="event_type")
+    return scoring.evt_thresholds(tail_scores(spark, sf_dir), key="event_type")

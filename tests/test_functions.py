@@ -103,3 +103,25 @@ def test_agents(spark):
     ua = one(spark, "Mozilla/5.0+(Windows+NT+10.0;+Win64)+AppleWebKit/537.36+Chrome/120.0.0.0+Safari/537.36", agents.parse_agent)
     assert (ua.browser_family, ua.browser_version, ua.os_family, ua.os_version, ua.bot_flag) == ("Chrome", "120", "Windows", "10", 0)
     assert one(spark, "-", agents.parse_agent).browser_family == "Other"
+
+
+def test_ordered_bits(spark):
+    """The stored bits for numbers above 0, the same order for all, and the way back; all powers of two and their neighbours."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from logharrow.functions.bits import from_ordered_bits, ordered_bits
+
+    powers = 2.0 ** np.arange(-1074, 1024)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers[:-1], np.inf), rng.random(500), np.exp(rng.normal(0, 200, 500)), [np.inf, 1.7976931348623157e308, 0.0]])
+    x = np.concatenate([x, -x])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
+    rows = df.select("x", ordered_bits(F.col("x")).alias("b")).select("x", "b", from_ordered_bits(F.col("b")).alias("y")).collect()
+    for r in rows:
+        if r.x is None:
+            assert r.b is None and r.y is None
+        elif r.x != r.x:
+            assert r.y != r.y and r.b > max(q.b for q in rows if q.x == q.x and q.x is not None)
+        else:
+            assert r.y == r.x and r.b == (int(np.float64(r.x).view(np.int64)) if r.x > 0 else 0 if r.x == 0 else -1 - int(np.float64(-r.x).view(np.int64)))

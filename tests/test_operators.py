@@ -156,6 +156,41 @@ def test_exact_quantiles(spark):
     assert got["f"].n == 0 and got["f"].q5 is None and len(got) == 6
 
 
+def test_quantiles_of_any_distribution(spark):
+    """Exactly numpy's, for crowded, outlying, tiny, huge, negative and infinite values."""
+    rng = np.random.default_rng(14)
+    data = {
+        "crowded": 0.5 + 1e-6 * rng.random(700), "next": np.nextafter(0.7, 1) + np.spacing(0.7) * rng.integers(0, 9, 300), "outlier": np.append(rng.random(400) * 1e-9, 1e300), "outside": rng.normal(0, 1e6, 500),
+        "tiny": rng.random(200) * 1e-310, "powers": 2.0 ** rng.integers(-1074, 1023, 900), "zeros": np.array([0.0, -0.0, 0.0, 5e-324, -5e-324]), "ends": np.array([np.inf, -np.inf, 1.0, 2.0, 3.0, 4.0, 5.0, 1.7976931348623157e308, -1.7976931348623157e308]),
+    }
+    rows = [(k, float(x)) for k, v in data.items() for x in v]
+    qs = {"a": 0.0, "b": 0.1, "c": 0.37, "d": 0.5, "e": 0.995, "f": 1.0}
+    got = {r.s: r for r in scoring.exact_quantiles(spark.createDataFrame(rows, "s string, v double").repartition(5), "s", "v", qs).collect()}
+    with np.errstate(invalid="ignore", over="ignore"):
+        for k, v in data.items():
+            want = {name: np.quantile(v, q) for name, q in qs.items()}
+            for name in qs:
+                if np.isfinite(want[name]):
+                    assert got[k][name] == want[name], (k, name)
+    assert got["ends"].a == -np.inf and got["ends"].f == np.inf
+    assert np.isnan(scoring.exact_quantiles(spark.createDataFrame([("k", 1.0), ("k", float("nan"))], "s string, v double"), "s", "v", {"q": 1.0}).first().q)
+
+
+def test_tail_bins(spark):
+    """The fit over bins lies within 1e-6 of that over all rows; a tail's bins are bounded."""
+    rng = np.random.default_rng(8)
+    data = {"heavy": np.minimum(rng.pareto(3, 60_000) / 50, 1), "beta": rng.beta(1, 30, 60_000), "crowded": 0.3 + 1e-9 * rng.random(40_000)}
+    df = spark.createDataFrame([(k, float(x)) for k, v in data.items() for x in v], "segment_id string, final_score double")
+    got = {r.segment_id: r.threshold for r in scoring.evt_thresholds(df).collect()}
+    for k, v in data.items():
+        assert got[k] == pytest.approx(evt_level(v), rel=1e-6)
+    bins = {r.segment_id: r for r in scoring.tail_bins(df).collect()}
+    for k, v in data.items():
+        u = np.quantile(v, 0.95)
+        assert bins[k].u == u and sum(b.m for b in bins[k].bins) == (v > u).sum() and sum(b.total for b in bins[k].bins) == pytest.approx((v[v > u] - u).sum())
+        assert all(b.least <= b.total / b.m * (1 + 1e-12) and b.most * (1 + 1e-12) >= b.total / b.m and b.most <= b.least * (1 + 1 / 1024) for b in bins[k].bins if b.least > scoring.TAIL_FLOOR)
+
+
 def test_evt(spark):
     rng = np.random.default_rng(3)
     shape, scale = scoring.fit_gpd(rng.pareto(4, 20000))
