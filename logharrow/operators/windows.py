@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logharrow.config import Layer1
 from logharrow.functions.segments import floor_window, sigmoid
+from logharrow.operators.rolling import robust_z_blocks
 
 SCORE_FEATURES = ["request_count", "unique_ip_count", "unique_ua_count", "4xx_rate", "5xx_rate", "p95_time_taken", "p99_time_taken", "sum_sc_bytes", "burstiness", "error_burstiness"]
 #: Rows of the deviation in the exponential score.
@@ -52,7 +53,10 @@ def add_burstiness(windows: DataFrame, rows: int = 36, key: str = "segment_id")
 
 
 def robust_z(df: DataFrame, columns: list[str], rows: int = 36, key: str = "segment_id") -> DataFrame:
-    """z_<column>: distance from the rolling median over the rolling median of such distances. One exchange for all."""
+    """z_<column>: distance from the rolling median over the rolling median of such distances. One exchange for all.
+
+    Frames are sorted anew for each row; robust_z_blocks() gives the same for large tables.
+    """
     frame = _by(key, rows)
     value = lambda c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0))
     far = df.withColumns({f"_d_{c}": F.abs(value(c) - F.percentile(value(c), 0.5).over(frame)) for c in columns})
@@ -84,12 +88,16 @@ def ewma_z(df: DataFrame, columns: list[str], alpha: float = 0.3, key: str = "se
     return spread.withColumns({f"z_{c}": F.abs(value(c) - F.col(f"_m_{c}")) / floor(c) for c in columns}).drop(*[f"_{k}_{c}" for c in columns for k in "sm"])
 
 
-def score_windows(windows: DataFrame, config: Layer1 = Layer1(), key: str = "segment_id") -> DataFrame:
-    """layer1_score and window_is_hot from the largest z of the score features that the table has."""
+def score_windows(windows: DataFrame, config: Layer1 = Layer1(), key: str = "segment_id", blocks: bool = True) -> DataFrame:
+    """layer1_score and window_is_hot from the largest z of the score features that the table has.
+
+    Robust scores go by blocks of rows (see rolling.py); without `blocks`, as window expressions, for a few rows in memory.
+    """
     columns = [c for c in SCORE_FEATURES if c in windows.columns]
     if not columns:
         return windows.withColumns({"layer1_score": F.lit(0.0), "window_is_hot": F.lit(False)})
-    z = ewma_z(windows, columns, config.ewma_alpha, key) if config.use_ewma else robust_z(windows, columns, config.rolling_rows, key)
+    robust = robust_z_blocks if blocks else robust_z
+    z = ewma_z(windows, columns, config.ewma_alpha, key) if config.use_ewma else robust(windows, columns, config.rolling_rows, key)
     names = [F.col(f"`z_{c}`") for c in columns]
     top = F.greatest(*names) if len(names) > 1 else names[0]
     scored = z.withColumn("layer1_score", sigmoid(0.5 * (top - 3))).withColumn("window_is_hot", F.coalesce(F.col("layer1_score") >= config.hot_threshold, F.lit(False)))

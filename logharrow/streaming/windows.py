@@ -60,7 +60,7 @@ def score_stream(windows: DataFrame, history_path: str, sink: Callable[[DataFram
         now = batch.withColumn("_new", F.lit(True))
         if known:
             now = now.unionByName(spark.read.parquet(f"{history_path}/batch={known[-1]}").withColumn("_new", F.lit(False)))
-        scored = score_windows(add_burstiness(now, config.rolling_rows, key), config, key)
+        scored = score_windows(add_burstiness(now, config.rolling_rows, key), config, key, blocks=False)
         sink(scored.where("_new").drop("_new"), number)
         latest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("window_start"), F.desc("endpoint_group")))
         state = now.withColumn("_turn", latest).where(F.col("_turn") <= rows).select(*batch.columns)

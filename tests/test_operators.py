@@ -156,6 +156,23 @@ def test_exact_quantiles(spark):
     assert got["f"].n == 0 and got["f"].q5 is None and len(got) == 6
 
 
+@pytest.mark.parametrize("block", [7, 64, 4096])
+def test_rolling_medians_by_blocks(spark, monkeypatch, block):
+    """Equal to the window expressions, for segments shorter and longer than a block, ties, nulls and null keys."""
+    from logharrow.operators import rolling
+
+    monkeypatch.setattr(rolling, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(s, f"/{e}", t0 + dt.timedelta(minutes=5 * int(t)), None if rng.random() < 0.1 else int(rng.integers(0, 4)), float(rng.random())) for s, n in (("a", 150), ("b", 1), ("c", 30), (None, 25), ("d", 5)) for e in "xy" for t in range(n)]
+    df = spark.createDataFrame(rows, "segment_id string, endpoint_group string, window_start timestamp, request_count long, `5xx_rate` double").repartition(4)
+    columns = ["request_count", "5xx_rate"]
+    key = lambda out: {(r.segment_id, r.endpoint_group, r.window_start): (r.request_count, round(r.z_request_count, 9), round(r["z_5xx_rate"], 9)) for r in out.collect()}
+    got = rolling.robust_z_blocks(df, columns, rows=6)
+    assert got.columns == [*df.columns, "z_request_count", "z_5xx_rate"] and key(got) == key(windows.robust_z(df, columns, rows=6)) and got.count() == len(rows)
+    assert rolling.robust_z_blocks(df.limit(0), columns).count() == 0
+
+
 def test_quantiles_of_any_distribution(spark):
     """Exactly numpy's, for crowded, outlying, tiny, huge, negative and infinite values."""
     rng = np.random.default_rng(14)
