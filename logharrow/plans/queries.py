@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logharrow.config import Layer1, Scoring
 from logharrow.functions import agents, segments, url
 from logharrow.operators import drift, iforest, requests, scoring, sessions, windows
+from logharrow.sources.workspace import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -685,13 +686,79 @@ def drift_report(spark, sf_dir):
     return drift.drift_metrics(*halves(spark, sf_dir), ["sc_bytes", "time_taken", "final_score"], ["endpoint_group", "user_agent"]).select("feature", "metric", r6("value"))
 
 
-@query("""WITH REQUESTS SELECT event_id, endpoint_group, segment_key, 0.0::DOUBLE AS final_score, false AS is_anomaly, 0 AS reasons FROM seg""")
+#: Stored forests of two trees a model, as (feature, threshold, below, above) or a leaf's path length. The features of the
+#: first are time, bytes, status and hour; those of the service's are places in its vector: hour, bot, path depth, log of bytes.
+TREES = {
+    "GLOBAL": [(1, 20_000.0, (0, 2_000.0, 7.0, (3, 11.5, 5.0, 4.0)), (2, 404.0, 3.0, 1.0)), (0, 500.0, (2, 300.0, 8.0, (1, 5_000.0, 4.0, 2.0)), (3, 6.5, 6.0, 3.0))],
+    "s:POST": [(3, 12.5, (2, 499.0, 9.0, 2.0), (0, 1_000.0, 6.0, 3.0)), (1, 10_000.0, 8.0, 4.0)],
+    "p:/app/view/{num}/page.aspx": [(0, 4_000.0, 10.0, 2.0), (3, 3.5, 2.0, (1, 60_000.0, 9.0, 5.0))],
+}
+SERVICE_TREES = {"GLOBAL": [(399, 8.5, (0, 11.5, 9.0, 6.0), (5, 0.5, 5.0, (7, 4.5, 2.0, 1.0))), (0, 6.5, (399, 7.25, 7.0, 4.0), (7, 4.5, 10.0, 3.0))]}
+OFFSET = -0.5
+
+
+def tree_rows(models: dict[str, list]) -> list[tuple]:
+    """Rows of a table of trees."""
+    rows = []
+    for key, trees in models.items():
+        for number, tree in enumerate(trees):
+            feature, threshold, below, above, path = [], [], [], [], []
+
+            def put(node, feature=feature, threshold=threshold, below=below, above=above, path=path):
+                at, inner = len(feature), isinstance(node, tuple)
+                for values, v in ((feature, node[0] if inner else -1), (threshold, node[1] if inner else 0.0), (below, -1), (above, -1), (path, 0.0 if inner else node)):
+                    values.append(v)
+                if inner:
+                    below[at], above[at] = put(node[2]), put(node[3])
+                return at
+
+            put(tree)
+            rows.append((key, number, feature, threshold, below, above, path, 256, OFFSET))
+    return rows
+
+
+def forest_sql(trees: list, names: dict[int, str]) -> str:
+    case = lambda n: f"CASE WHEN {names[n[0]]}::FLOAT <= {n[1]}::DOUBLE THEN {case(n[2])} ELSE {case(n[3])} END" if isinstance(n, tuple) else f"{n}::DOUBLE"
+    return f"1 / (1 + exp(-pow(2, -(({' + '.join(map(case, trees))}) / {len(trees)}) / {iforest.mean_path(256)!r}) - ({OFFSET})))"
+
+
+NAMED = {0: "coalesce(time_taken, 0)", 1: "sc_bytes", 2: "status", 3: "hour(timestamp)"}
+CASCADE_SQL = "CASE WHEN method = 'POST' THEN {0} WHEN endpoint_group = '/app/view/{{num}}/page.aspx' THEN {1} ELSE {2} END".format(*[forest_sql(TREES[k], NAMED) for k in ("s:POST", "p:/app/view/{num}/page.aspx", "GLOBAL")])
+
+
+def stored_trees(spark, models: dict[str, list]) -> DataFrame:
+    return spark.createDataFrame(tree_rows(models), iforest.TREE_SCHEMA)
+
+
+def stored_cascade(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    rows = enriched(spark, sf_dir).withColumns({"segment_id": F.col("method"), "parent_id": F.col("endpoint_group"), "features": F.array(*[F.coalesce(c, F.lit(0)).cast("float") for c in ("time_taken", "sc_bytes", "status", F.hour("timestamp"))])})
+    return rows, stored_trees(spark, TREES)
+
+
+@query(f"WITH REQUESTS SELECT event_id, round({CASCADE_SQL}, 6) AS layer2_score FROM seg")
+def iforest_stored(spark, sf_dir):
+    """Segment, parent and global model of a stored table of trees, broadcast."""
+    rows, trees = stored_cascade(spark, sf_dir)
+    return iforest.predict(rows, trees, parent="parent_id").select("event_id", r6("layer2_score"))
+
+
+@query(f"WITH REQUESTS SELECT event_id, round({CASCADE_SQL}, 6) AS layer2_score FROM seg")
+def iforest_stored_shuffle(spark, sf_dir):
+    """The same in the form for trees that are too many to broadcast."""
+    rows, trees = stored_cascade(spark, sf_dir)
+    return iforest.predict_by_shuffle(rows, trees, parent="parent_id").select("event_id", r6("layer2_score"))
+
+
+SERVICE_SQL = forest_sql(SERVICE_TREES["GLOBAL"], {0: "hour(timestamp)", 5: "bot_flag", 7: "(CASE WHEN k % 4 = 0 THEN 5 ELSE 4 END)", 399: "ln(1 + sc_bytes)"})
+
+
+@query(f"WITH REQUESTS, sc AS (SELECT *, {SERVICE_SQL} AS s FROM seg) SELECT event_id, endpoint_group, segment_key, round(s, 6) AS final_score, s > 0.5 AS is_anomaly, 0 AS reasons FROM sc")
 def score_records(spark, sf_dir):
-    """The service's scoring of a batch without a model."""
+    """The service's scoring of a batch by a stored forest over its whole vector."""
     from logharrow.service import score_batch
 
     rows = request_view(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("string"))
-    return score_batch(rows).select("event_id", "endpoint_group", "segment_key", "final_score", "is_anomaly", F.size("reason_codes").alias("reasons"))
+    return score_batch(rows, stored_trees(spark, SERVICE_TREES)).select("event_id", "endpoint_group", "segment_key", r6("final_score"), "is_anomaly", F.size("reason_codes").alias("reasons"))
 
 
 # --- streams over the same rows, run until all of them are read
@@ -771,7 +838,7 @@ def vectors(spark, sf_dir) -> DataFrame:
 
 @query()
 def iforest_score(spark, sf_dir):
-    rows = vectors(spark, sf_dir)
+    rows = materialise(vectors(spark, sf_dir).select("event_id", "segment_id", "parent_id", "features"), "request-vectors")  # fitted and scored
     return iforest.predict(rows, iforest.fit(rows, parent="parent_id"), parent="parent_id").select("event_id", "layer2_score")
 
 

@@ -49,11 +49,11 @@ class Metrics:
             return "\n".join(lines) + "\n"
 
 
-def score_batch(df: DataFrame, trees: DataFrame | None = None, cfg: Settings | None = None) -> DataFrame:
+def score_batch(df: DataFrame, trees: DataFrame | None = None, cfg: Settings | None = None, forests: dict | None = None) -> DataFrame:
     """Enriched requests with scores: layer 2 by the forests if given, else 0; the final score is layer 2's alone.
 
     Layers 1 and 3 need history and are 0; a request is anomalous above 0.5; reason codes are empty. Works on a batch
-    and inside foreachBatch alike.
+    and inside foreachBatch alike. forests: iforest.packed(trees), for callers that score many batches.
     """
     cfg = cfg or Settings()
     rows = df.na.fill({k: v for k, v in DEFAULTS.items() if k in df.columns}).withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
@@ -63,7 +63,7 @@ def score_batch(df: DataFrame, trees: DataFrame | None = None, cfg: Settings | N
         scored = rows.withColumn("layer2_score", F.lit(0.0))
     else:
         with_features = layer2_features(rows, cfg.hashing)
-        scored = iforest.predict(with_features.withColumn("features", feature_vector(with_features)), trees, parent="parent_id")
+        scored = iforest.predict(with_features.withColumn("features", feature_vector(with_features)), trees, parent="parent_id", forests=forests)
     return scored.withColumns({"layer1_score": F.lit(0.0), "layer3_score": F.lit(0.0), "final_score": F.col("layer2_score"), "is_anomaly": F.col("layer2_score") > 0.5, "reason_codes": F.array().cast("array<string>")})
 
 
@@ -75,6 +75,7 @@ class Scorer:
 
     def __init__(self, spark: SparkSession, trees: DataFrame | None = None, cfg: Settings | None = None):
         self.spark, self.trees, self.cfg, self.metrics = spark, trees, cfg or Settings(), Metrics()
+        self.forests = iforest.packed(trees) if trees is not None else None  # once, not for each request
 
     def health(self) -> dict[str, Any]:
         return {"status": "ok", "version": __version__, "models_loaded": self.trees is not None}
@@ -86,7 +87,7 @@ class Scorer:
         began, names = time.time(), [f.split()[0] for f in SCORE_SCHEMA.split(", ")]
         rows = [(i, *(r.get(n, DEFAULTS.get(n)) for n in names)) for i, r in enumerate(records)]
         df = self.spark.createDataFrame(rows, "record long, " + SCORE_SCHEMA)
-        results = [r.asDict() for r in score_batch(df, self.trees, self.cfg).orderBy("record").select(*RESULT).collect()]
+        results = [r.asDict() for r in score_batch(df, self.trees, self.cfg, self.forests).orderBy("record").select(*RESULT).collect()]
         anomalies = sum(r["is_anomaly"] for r in results)
         self.metrics.observe(time.time() - began)
         self.metrics.count("alerts_generated_total", anomalies)
