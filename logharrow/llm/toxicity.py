@@ -233,8 +233,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     """Count the language model over all docs and fit the classifier on at most TRAINING_ROWS of `labels`.
 
     labels: id_col and label_col (0 or 1); rows with a null are left out, and of a repeated id the greatest label holds. The
-    sample is the TRAINING_ROWS least ids by hash, so it is the same on each run. Without labels of both kinds, or without
-    any document, scores are the base rate (one half without any label).
+    sample is the TRAINING_ROWS least ids by hash, so it is the same on each run. Without labelled texts of both kinds, scores
+    are the labels' base rate (one half without any).
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -242,10 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna()
     picked = picked.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS)
     size = picked.agg(F.count_if(F.col("y") > 0).alias("yes"), F.count_if(F.col("y") <= 0).alias("no")).first()
-    yes, no = size["yes"], size["no"]
-    model = ToxicityModel(logp, np.zeros((2, SPACE), np.float32), math.log((yes + 1) / (no + 1)))
-    if not yes or not no:
-        return model
+    model = ToxicityModel(logp, np.zeros((2, SPACE), np.float32), math.log((size["yes"] + 1) / (size["no"] + 1)))
     sample = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").where("text is not null")  # 12 bytes a row
     partial = spark.sparkContext.broadcast(model)
 
@@ -261,7 +258,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     at, often = (got.column(c).combine_chunks() for c in ("at", "often"))  # flat arrays, never a Python object an entry
     row = np.repeat(np.arange(len(got), dtype=np.int32), at.value_lengths().to_numpy())
     y = (got.column("y").to_numpy() > 0).astype(float)
-    model.weights, model.bias = _fit(row, at.flatten().to_numpy(), often.flatten().to_numpy(), y)
+    if 0 < y.sum() < len(y):  # of the labels that have a text
+        model.weights, model.bias = _fit(row, at.flatten().to_numpy(), often.flatten().to_numpy(), y)
     model.cache.clear()
     return model
 

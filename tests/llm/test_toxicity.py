@@ -43,6 +43,16 @@ def test_scores_and_decoding(spark, docs, corpus, model, prose):
     assert again[1] > 0.5 > again[2] and again[3] > 0.5 > again[6] and again[4] == again[5] < 0.5
 
 
+@pytest.mark.filterwarnings("error::RuntimeWarning")
+def test_labels_without_texts(spark, docs):
+    """Labels of both kinds, none of a document, or of one kind only: the labels' base rate."""
+    label = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
+    for labels in ([(900, 1), (901, 0), (902, 0)], [(0, 1), (901, 0), (902, 0)], [(2, 1), (901, 0), (902, 0)]):
+        got = T.score(docs(["a text", "", None]), T.fit(docs(["a text", "", None]), label(labels)))
+        assert [r.score for r in got.collect()] == pytest.approx([2 / 5] * 3)
+
+
+@pytest.mark.filterwarnings("error::RuntimeWarning")
 def test_edges(spark, docs, awkward):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = T.fit(docs(awkward), none)
