@@ -29,6 +29,10 @@ HOT_ANCHOR = 20_000
 TASK_ROWS = 2_000_000
 #: Pairs compared at once.
 PAIRS = 1 << 19
+#: Partners of one row at an anchor beyond which it and they are compared by their sketches.
+CROWD = 8
+#: 64-bit words of a sketch, and bits in which two may differ: at similarity 0.8 it is 310 on average (deviation 16).
+SKETCH_WORDS, SKETCH_DISTANCE = 32, 375
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -127,13 +131,15 @@ def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = after
 
 
-def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int, parts: np.ndarray, nearest: int | None = None):
+def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int, parts: np.ndarray, nearest: int | None = None, crowd: int | None = None, sketches: np.ndarray | None = None):
     """Pairs (lesser, greater) of near rows of different parts that meet at an anchor; at most PAIRS pairs are held at once.
 
-    With nearest, each home row gives only its so many nearest partners.
+    With nearest, each home row gives only its so many nearest partners. With crowd, a home row that has more partners gives
+    no pair; it and they are given as pairs with themselves. With sketches, pairs whose sketches are too far go.
     """
     order = np.lexsort((~homes, keys))  # homes first within an anchor
     keys, ids, fps, more, homes, parts = keys[order], ids[order], fps[order], more[order], homes[order], parts[order]
+    sketches = sketches if sketches is None else sketches[order]
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     n_homes = np.add.reduceat(homes.astype(np.int64), starts)
@@ -157,6 +163,16 @@ def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray,
             first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
             turn = np.arange(len(mine)) - np.repeat(first, np.diff(np.append(first, len(mine))))
             near = near[turn < nearest]
+        if sketches is not None and len(near):
+            cuts = np.array_split(near, -(-len(near) // (PAIRS // len(sketches[0]))))
+            near = np.concatenate([c[np.bitwise_count(sketches[left[c]] ^ sketches[right[c]]).sum(1, dtype=np.int64) <= SKETCH_DISTANCE] for c in cuts])
+        if crowd is not None and len(near):
+            _, line, n = np.unique(left[near], return_inverse=True, return_counts=True)
+            many = n[line] > crowd
+            marked = np.unique(ids[np.concatenate((left[near[many]], right[near[many]]))])
+            near = near[~many]
+            if len(marked):
+                yield marked, marked
         x, y = ids[left[near]], ids[right[near]]
         if len(x):
             yield np.minimum(x, y), np.maximum(x, y)
@@ -176,7 +192,7 @@ def _compare(pairs) -> tuple[np.ndarray, np.ndarray]:
     return label(*(np.concatenate(z) for z in zip(*found))) if found else (np.empty(0, np.int64),) * 2
 
 
-def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach: int | None = None, nearest: int | None = None) -> DataFrame:
+def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach: int | None = None, nearest: int | None = None, crowd: int | None = None) -> DataFrame:
     """Links a < b of node ids that connect the same nodes as all links would.
 
     nodes: node, fp, more; one row for each distinct (fp, more). Two are linked if their fp differ in at most `distance`
@@ -184,9 +200,10 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
     that meet: fp and more both have anchors, built for `reach` bits of each. Two surely meet if fp and more together
     differ in at most 2 * blocks * (reach // blocks + 1) - 1 bits, and beyond that if any block still is near enough. Then
     nodes may have a column `part`: nodes of one part make no pair. With nearest, a node gives only so many partners at
-    each of its own anchors, the nearest ones.
+    each of its own anchors, the nearest ones. With crowd, a node with more partners at one of its own anchors makes no pair
+    there; it and these partners are given as a = b. Where nodes have a column `sketch`, pairs need near sketches as well.
     """
-    carried = ["node", "fp", "more", *(["part"] if "part" in nodes.columns else [])]
+    carried = ["node", "fp", "more", *(c for c in ("part", "sketch") if c in nodes.columns)]
     spark = nodes.sparkSession
 
     def keys_of(batch):
@@ -249,12 +266,14 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
         del held
         key, tile, fp, more = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "tile", "fp", "more"))
         node = table.column("node").to_numpy()
-        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, table.column("home").to_numpy(), distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest)
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1) if "sketch" in carried else None
+        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, table.column("home").to_numpy(), distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest, crowd, sketches)
         for a, b in [_compare(pairs)] if reach is None else pairs:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sizes["rows"] // TASK_ROWS))
-    met = nodes.mapInArrow(spread, "key long, tile long, " + "".join(f"{c} long, " for c in carried) + "home boolean").repartition(n, "key", "tile")
+    in_task = TASK_ROWS // (8 if "sketch" in carried else 1)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sizes["rows"] // in_task))
+    met = nodes.mapInArrow(spread, "key long, tile long, " + "".join(f"{c} {'binary' if c == 'sketch' else 'long'}, " for c in carried) + "home boolean").repartition(n, "key", "tile")
     return met.mapInArrow(compare, "a long, b long")
 
 
@@ -304,12 +323,28 @@ def shingle_sets(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(scan, "node long, shingles array<long>")
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """node and sketch: SKETCH_WORDS further fingerprints of the shingle sets."""
+
+    def scan(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = []
+            for shingles in batch.column("shingles"):
+                h = shingles.values.to_numpy().view(np.uint64)
+                found.append(np.array([simhash(mix(h ^ mix(np.full(1, k + 1, np.uint64)))) for k in range(SKETCH_WORDS)], np.uint64).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "sketch"])
+
+    return sets.mapInArrow(scan, "node long, sketch binary")
+
+
 def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows that repeat another: doc_id and h (hash of the text) of all but the first row of each component.
 
     Rows of equal fingerprints (128 bits over the distinct shingles of `width` words) are one class. Classes are linked
     if the exact Jaccard similarity of the shingle sets of their first rows is at least `similarity`; the fingerprints
-    only find the pairs that are looked at. The bounds above are for 0.8 or more. Rows are ordered by id and h, a null id
+    only find the pairs that are looked at, where many meet helped by sketches. The bounds above are for 0.8 or more. Rows are ordered by id and h, a null id
     comes last. Rows that are equal in both are one. All texts without words are copies of each other.
     """
     docs = fingerprints(df, id_col, text_col, width, second=True, sets=True)
@@ -318,18 +353,31 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
     nodes = materialise(nodes.repartition(docs.sparkSession.sparkContext.defaultParallelism), "nodes")
     texts = df.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("j"), F.col(text_col).alias("text"))
     sets, links, roots = None, None, None
+
+    def sets_of(wanted: DataFrame, known: DataFrame | None) -> DataFrame:
+        """known, and the shingles of these nodes' first rows."""
+        wanted = wanted if known is None else wanted.join(known, "node", "left_anti")
+        wanted = materialise(wanted.join(nodes, "node").select("node", "first.doc_id", "first.h"), "wanted")
+        those = texts.join(wanted, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("j") == F.col("h")))
+        new = materialise(shingle_sets(those.select("node", "text").dropDuplicates(["node"]), width), "shingle-sets")
+        return new if known is None else known.unionByName(new)
+
     for nearest in (NEAREST, None):
         here = nodes.select("node", "fp", "more")
         if roots is not None:
             here = here.join(roots.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
-        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, nearest).distinct(), "candidates")
+        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, nearest, None if nearest else CROWD).distinct(), "candidates")
+        if not nearest:
+            crowded = materialise(pairs.where("a = b").select(F.col("a").alias("node")), "crowded")
+            pairs = pairs.where("a < b")
+            if not crowded.isEmpty():
+                # crowds of texts that 128 bits can't tell from similar ones: only what passes their sketches is a candidate
+                sets = sets_of(crowded, sets)
+                there = materialise(here.join(crowded, "node").join(sketches(sets.join(crowded, "node", "left_semi")), "node"), "sketched")
+                among = near_links(there, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH)
+                pairs = materialise(pairs.unionByName(among).distinct(), "candidates")
         # the shingles of the classes' first rows, only for classes that have a candidate
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = wanted if sets is None else wanted.join(sets, "node", "left_anti")
-        wanted = materialise(wanted.join(nodes, "node").select("node", "first.doc_id", "first.h"), "wanted")
-        those = texts.join(wanted, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("j") == F.col("h")))
-        new = materialise(shingle_sets(those.select("node", "text").dropDuplicates(["node"]), width), "shingle-sets")
-        sets = new if sets is None else sets.unionByName(new)
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), sets)
         found = materialise(similar_pairs(pairs, sets, similarity), "similar-pairs")
         links = found if links is None else links.unionByName(found)
         roots = components(links)

@@ -77,8 +77,14 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_exact_similarity(spark, docs, prose):
-    """Links are those of similarity 0.8 or more: above it none is lost, below it none is made, and rows of one id stay apart."""
+@pytest.mark.parametrize("crowd", [S.CROWD, 0])
+def test_exact_similarity(spark, docs, prose, monkeypatch, crowd):
+    """Links are those of similarity 0.8 or more: above it none is lost, below it none is made, and rows of one id stay apart.
+
+    With crowd 0, all that the nearest partners don't settle goes by sketches.
+    """
+    monkeypatch.setattr(S, "CROWD", crowd)
+    monkeypatch.setattr(S, "NEAREST", 1)
     r = random.Random(11)
     rows, want = [], set()
     for k in range(120):
@@ -96,3 +102,32 @@ def test_exact_similarity(spark, docs, prose):
     assert not pairs - want and len(pairs) >= 0.97 * len(want)
     assert sorted(str(i) for i, _ in got if i is None or i >= 1000) == ["1001", "None"]
     assert S.similar_rows(docs([])).count() == 0
+
+
+def test_crowds(spark, docs, prose):
+    """A crowd of texts that are not quite similar gives few candidates; pairs that are similar among them are found."""
+    r, base, rows = random.Random(3), prose(200, 77).split(), []
+    for k in range(260):
+        words = list(base)
+        for at in r.sample(range(len(words)), 16):
+            words[at] = f"w{k}x{at}"
+        rows.append((k, " ".join(words)))
+        if k % 20 == 0:
+            rows.append((1000 + k, " ".join([*words[:-1], "end"])))
+    got = {x.doc_id for x in S.similar_rows(docs(rows)).collect()}
+    sets = {i: set(S.shingle_hashes(t.encode(), 5).tolist()) for i, t in rows}
+    root = {i: i for i in sets}
+    ids = sorted(sets)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                a_, b_ = find(a), find(b)
+                root[max(a_, b_)] = min(a_, b_)
+    assert got == {i for i in ids if find(i) != i} and len(got) >= 13
