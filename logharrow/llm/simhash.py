@@ -26,7 +26,7 @@ HAMMING = (15, 7)
 #: Rows at one anchor beyond which its comparisons are split over several tasks.
 HOT_ANCHOR = 20_000
 #: Rows at anchors that a task compares, about 50 bytes each.
-TASK_ROWS = 2_000_000
+TASK_ROWS = 1_000_000
 #: Pairs compared at once.
 PAIRS = 1 << 19
 #: Partners of one row at an anchor beyond which it and they are compared by their sketches.

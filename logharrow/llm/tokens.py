@@ -13,7 +13,7 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: For vocabularies that drop white space: split at plain blanks and line ends only.
 PLAIN_SPACE = re.compile(r"[ \n]+")
 ANY_SPACE = re.compile(r"\s")
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 LONGEST_CACHED = 64
 #: Pieces that are encoded in one call, joined.
 JOINED = 4000

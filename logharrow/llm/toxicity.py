@@ -33,7 +33,7 @@ CLASSES = 28
 #: Bound of the classifier: labelled rows that it is fitted on. Size of the space that features are hashed into.
 TRAINING_ROWS, SPACE = 6_000, 1 << 17
 BEGINNINGS = (3, 4, 5, 6, 8)
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: Of the fit: rounds, step, weight of the squared weights, and the deviation at which a feature is half trusted.
 ROUNDS, STEP, PENALTY, DOUBT = 80, 0.08, 1.0, 6.0
 #: Entries that the fit looks at together.
