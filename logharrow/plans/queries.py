@@ -749,6 +749,43 @@ def iforest_stored_shuffle(spark, sf_dir):
     return iforest.predict_by_shuffle(rows, trees, parent="parent_id").select("event_id", r6("layer2_score"))
 
 
+#: A stored autoencoder 4-3-2-3-4 over scaled time, bytes, status and hour, and a stored forest over its two latent numbers.
+AE_MEAN, AE_SCALE, AE_MEDIAN = [3_000.0, 20_000.0, 250.0, 12.0], [2_500.0, 15_000.0, 100.0, 7.0], 0.5
+AE_SIZES = [4, 3, 2, 3, 4]
+AE_WEIGHTS = [[[((3 * i + 5 * j + k) % 7 - 3) / 4 for j in range(b)] for i in range(a)] for k, (a, b) in enumerate(zip(AE_SIZES, AE_SIZES[1:]))]
+AE_BIASES = [[((j + 2 * k) % 5 - 2) / 10 for j in range(b)] for k, b in enumerate(AE_SIZES[1:])]
+AE_TREES = {"GLOBAL": [(0, 0.3, (1, -0.4, 8.0, 3.0), (1, 0.9, 5.0, 2.0)), (1, 0.1, 4.0, (0, 1.2, 7.0, 1.0))]}
+
+
+def _ae_sql() -> str:
+    """The layers one after the other: x<k>_<j> is number j of layer k."""
+    layers = ["x0 AS (SELECT event_id, " + ", ".join(f"({NAMED[i]}::FLOAT::DOUBLE - {m}) / {s} AS x0_{i}" for i, (m, s) in enumerate(zip(AE_MEAN, AE_SCALE))) + " FROM seg)"]
+    for k, (w, b) in enumerate(zip(AE_WEIGHTS, AE_BIASES)):
+        sums = [" + ".join([f"{b[j]!r}", *(f"({w[i][j]!r}) * x{k}_{i}" for i in range(len(w)))]) for j in range(len(b))]
+        layers.append(f"x{k + 1} AS (SELECT *, " + ", ".join((f"greatest({s}, 0)" if k % 2 == 0 else s) + f" AS x{k + 1}_{j}" for j, s in enumerate(sums)) + f" FROM x{k})")
+    error = "(" + " + ".join(f"pow(x4_{i} - x0_{i}, 2)" for i in range(4)) + ") / 4"
+    forest = forest_sql(AE_TREES["GLOBAL"], {0: "x2_0", 1: "x2_1"}).replace("::FLOAT", "")
+    return f"WITH REQUESTS, {', '.join(layers)} SELECT event_id, round(0.3 / (1 + exp({AE_MEDIAN} - {error})) + 0.7 * ({forest}), 6) AS layer2_score FROM x4"
+
+
+@query(_ae_sql())
+def ae_stored(spark, sf_dir):
+    """Scores of a stored network and forest, written as a model table and read back."""
+    import numpy as np
+
+    from logharrow.config import Autoencoder
+    from logharrow.operators import autoencoder
+    from logharrow.sources.workspace import new_folder
+
+    network = autoencoder.Network(4, Autoencoder(hidden_dims=[3], latent_dim=2))
+    network.weights, network.biases = [np.array(w) for w in AE_WEIGHTS], [np.array(b) for b in AE_BIASES]
+    names = [c.split()[0] for c in iforest.TREE_SCHEMA.split(", ")]
+    model, out = autoencoder.LatentForest(np.array(AE_MEAN), np.array(AE_SCALE), network, [dict(zip(names, r)) for r in tree_rows(AE_TREES)]), new_folder(spark, "autoencoder")
+    model.save(spark, out)
+    rows, _ = stored_cascade(spark, sf_dir)
+    return autoencoder.predict(rows, autoencoder.LatentForest.load(spark, out), median_error=AE_MEDIAN).select("event_id", r6("layer2_score"))
+
+
 SERVICE_SQL = forest_sql(SERVICE_TREES["GLOBAL"], {0: "hour(timestamp)", 5: "bot_flag", 7: "(CASE WHEN k % 4 = 0 THEN 5 ELSE 4 END)", 399: "ln(1 + sc_bytes)"})
 
 
@@ -846,7 +883,7 @@ def iforest_score(spark, sf_dir):
 def ae_score(spark, sf_dir):
     from logharrow.operators import autoencoder
 
-    rows = vectors(spark, sf_dir)
+    rows = materialise(vectors(spark, sf_dir).select("event_id", "segment_id", "features"), "request-vectors")
     return autoencoder.predict(rows, autoencoder.fit(rows)).select("event_id", "layer2_score")
 
 

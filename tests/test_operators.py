@@ -173,6 +173,15 @@ def test_rolling_medians_by_blocks(spark, monkeypatch, block):
     assert rolling.robust_z_blocks(df.limit(0), columns).count() == 0
 
 
+def test_standardisation_keeps_digits(spark):
+    """Means a million times the deviation, over many partitions, some of them empty; an empty table."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(0, 1, (400, 3)) * [1, 1e-3, 0] + [1e6, 1e3, 5]
+    mean, scale = autoencoder.standardisation(spark.createDataFrame([(v.tolist(),) for v in x], "features array<double>").repartition(11))
+    assert mean == pytest.approx(x.mean(0), rel=1e-12) and scale == pytest.approx([*x[:, :2].std(0), 1.0], rel=1e-6)
+    assert [len(a) for a in autoencoder.standardisation(spark.createDataFrame([], "features array<double>"))] == [0, 0]
+
+
 def test_quantiles_of_any_distribution(spark):
     """Exactly numpy's, for crowded, outlying, tiny, huge, negative and infinite values."""
     rng = np.random.default_rng(14)
