@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logharrow.functions.segments import session_base_id, session_key, sigmoid
 from logharrow.operators.requests import is_critical
+from logharrow.sources.workspace import materialise
 
 SMOOTHING = 1e-6
 
@@ -15,8 +16,9 @@ def sessionize(df: DataFrame, timeout_minutes: int = 30, mode: str = "client", t
     """session_id and session_seq (from 0). A new session starts after a gap of more than timeout_minutes.
 
     mode "client": gaps between a client's own requests. mode "global": also at any request of another client in
-    between, in the time order of the whole table; rows are ordered within hours, and each hour's first row is compared with
-    the last row of the hour before it that has any (one row an hour).
+    between, in the time order of the whole table. For that the rows are written once in ranges of time and tie, of about
+    equal size however the rows crowd; each row is compared with the one before it in its range, a range's first row with the
+    last row of the range before it (one row a range is carried over).
     The base of the id is the client's key, hashed or (hashed=False) as text. `tie` orders rows of the same time.
     """
     order = [F.col(ts_col), *([F.col(tie)] if tie else [])]
@@ -28,13 +30,13 @@ def sessionize(df: DataFrame, timeout_minutes: int = 30, mode: str = "client", t
     if mode == "client":
         rows = rows.withColumns({"_last": F.lag("_base").over(by), "_last_at": F.lag("_at").over(by)})
     else:
-        rows = rows.withColumn("_hour", F.coalesce(F.floor(F.col("_at") / 3600), F.lit(-(1 << 62))))
-        within = Window.partitionBy("_hour").orderBy(*order)
-        ends = rows.groupBy("_hour").agg(F.max(F.struct("_at", *([F.col(tie).alias("_tie")] if tie else []), "_base")).alias("_end"))
-        ends = ends.select("_hour", F.lag("_end").over(Window.orderBy("_hour")).alias("_end"))
-        rows = rows.withColumns({"_own": F.lag(F.struct("_base", "_at")).over(within)}).join(ends, "_hour")
-        rows = rows.withColumns({"_last": F.when(F.col("_own").isNull(), F.col("_end._base")).otherwise(F.col("_own._base")), "_last_at": F.when(F.col("_own").isNull(), F.col("_end._at")).otherwise(F.col("_own._at"))})
-        rows = rows.drop("_hour", "_end", "_own")
+        rows = materialise(rows.repartitionByRange(*order, "_base").withColumn("_range", F.spark_partition_id()), "time-ranges")
+        within = Window.partitionBy("_range").orderBy(*order, "_base")
+        last = F.max_by(F.struct("_base", "_at"), F.struct(F.col(ts_col), *([F.col(tie)] if tie else []), "_base"))
+        ends = rows.groupBy("_range").agg(last.alias("_end")).select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_end"))
+        rows = rows.withColumn("_own", F.lag(F.struct("_base", "_at")).over(within)).join(F.broadcast(ends), "_range")  # one row a range
+        before = F.coalesce("_own", "_end")
+        rows = rows.withColumns({"_last": before["_base"], "_last_at": before["_at"]}).drop("_range", "_end", "_own")
     broken = F.col("_last").isNull() | (F.col("_last") != F.col("_base")) | (F.col("_at") - F.col("_last_at") > timeout_minutes * 60)
     rows = rows.withColumn("_break", broken.cast("long"))
     rows = rows.withColumn("_n", F.sum("_break").over(by.rowsBetween(Window.unboundedPreceding, 0)))

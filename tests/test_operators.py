@@ -316,10 +316,11 @@ def test_novelty(spark, rows):
     assert sorted(r.is_novel for r in requests.novelty(more, "ua").collect()) == [0, 0, 1, 1, 1, 1, 1, 1]
 
 
-def test_global_sessions_by_brute_force(spark):
-    """Over hours with and without rows, ties broken by a number, rows without a time first."""
+@pytest.mark.parametrize("moments", [None, 3])
+def test_global_sessions_by_brute_force(spark, moments):
+    """Over hours with and without rows, ties broken by a number, rows without a time first; also with most rows in a few moments, whose ties lie over the edges of ranges."""
     rng = np.random.default_rng(2)
-    seconds = sorted(int(x) for x in rng.integers(0, 40 * 3600, 120))
+    seconds = sorted(int(x) for x in (rng.integers(0, 40 * 3600, 120) if moments is None else rng.integers(0, moments, 200) * 1500))
     data = [(k, str(rng.integers(0, 3)), "u", at(s) if k % 40 else None) for k, s in enumerate(seconds)]
     got = sessions.sessionize(spark.createDataFrame(data, "k int, client_ip string, user_agent string, timestamp timestamp"), 30, "global", "k", hashed=False)
     want, last, numbers = {}, None, {}
