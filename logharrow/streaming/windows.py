@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from logharrow.config import Layer1
 from logharrow.functions.segments import session_key
+from logharrow.operators.panes import DISTINCT, LOG_REGISTERS
 from logharrow.operators.windows import EWMA_STD_ROWS, add_burstiness, ewma_rows, score_windows
 
 
@@ -25,7 +26,7 @@ def window_stream(stream: DataFrame, minutes: int = 5, late_minutes: int = 10, k
     rate = lambda klass: F.count_if(F.col("status_class") == klass) / F.count("*")
     grouped = stream.withWatermark("timestamp", f"{late_minutes} minutes").groupBy(F.window("timestamp", f"{minutes} minutes").alias("w"), key, "endpoint_group")
     aggregated = grouped.agg(
-        F.count("*").alias("request_count"), F.approx_count_distinct("client_ip").alias("unique_ip_count"), F.approx_count_distinct("user_agent").alias("unique_ua_count"),
+        F.count("*").alias("request_count"), *[F.hll_sketch_estimate(F.hll_sketch_agg(c, LOG_REGISTERS)).alias(n) for c, n in DISTINCT.items()],
         *[F.coalesce(F.percentile_approx("time_taken", q, 10_000).cast("double"), F.lit(0.0)).alias(f"p{n}_time_taken") for n, q in ((50, 0.5), (95, 0.95), (99, 0.99))],
         F.coalesce(F.sum("sc_bytes"), F.lit(0)).alias("sum_sc_bytes"), F.coalesce(F.percentile_approx("sc_bytes", 0.95, 10_000).cast("double"), F.lit(0.0)).alias("p95_sc_bytes"), rate("4xx").alias("4xx_rate"), rate("5xx").alias("5xx_rate"),
     )

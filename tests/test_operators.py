@@ -182,6 +182,31 @@ def test_standardisation_keeps_digits(spark):
     assert [len(a) for a in autoencoder.standardisation(spark.createDataFrame([], "features array<double>"))] == [0, 0]
 
 
+def test_panes_roll_up_within_bounds(spark):
+    """Counts and sums equal those of the rows; distinct counts lie within four standard errors, quantiles within 2 % of their rank, over many panes."""
+    from logharrow.operators import panes
+
+    rng = np.random.default_rng(31)
+    n = 12_000
+    rows = pd.DataFrame({"segment_id": np.where(rng.random(n) < 0.7, "hot", "cold"), "endpoint_group": "/a", "timestamp": [T0 + dt.timedelta(seconds=int(x)) for x in rng.integers(0, 3600, n)], "client_ip": [f"i{x}" for x in rng.integers(0, 4000, n)], "user_agent": [f"u{x}" for x in rng.integers(0, 7, n)], "status_class": rng.choice(["2xx", "4xx", "5xx"], n), "time_taken": np.floor(rng.lognormal(5, 2, n)).astype("int64"), "sc_bytes": rng.integers(0, 10**6, n)})
+    df = spark.createDataFrame(rows).union(spark.createDataFrame([(None, "/a", T0, "i", "u", "2xx", 1, 1), ("hot", "/a", None, "i", "u", "2xx", 1, 1)], "segment_id string, endpoint_group string, timestamp timestamp, client_ip string, user_agent string, status_class string, time_taken long, sc_bytes long"))
+    stored = panes.panes(df, 1)
+    for minutes, step in ((60, 60), (30, 10), (5, 1)):
+        got = {(r.segment_id, r.window_start): r for r in panes.roll_up(stored, minutes, step).collect()}
+        seen = 0
+        for start in [T0 + dt.timedelta(minutes=m) for m in range(-minutes + step, 60, step)]:
+            for segment, part in rows[(rows.timestamp >= start) & (rows.timestamp < start + dt.timedelta(minutes=minutes))].groupby("segment_id"):
+                r, seen = got[segment, start], seen + 1
+                assert r.request_count == len(part) and r.sum_sc_bytes == part.sc_bytes.sum() and r["4xx_rate"] == pytest.approx((part.status_class == "4xx").mean())
+                assert abs(r.unique_ip_count - part.client_ip.nunique()) <= max(0.5, 0.065 * part.client_ip.nunique()) and r.unique_ua_count == part.user_agent.nunique()
+                for name, q in (("p50_time_taken", 0.5), ("p95_time_taken", 0.95), ("p99_time_taken", 0.99)):
+                    assert (part.time_taken < r[name]).mean() - 0.02 <= q <= (part.time_taken <= r[name]).mean() + 0.02
+        assert seen == len(got)
+    with pytest.raises(ValueError, match="whole number"):
+        panes.roll_up(stored, 5, 2)
+    assert panes.roll_up(panes.panes(df.limit(0)), 60).count() == 0
+
+
 def test_quantiles_of_any_distribution(spark):
     """Exactly numpy's, for crowded, outlying, tiny, huge, negative and infinite values."""
     rng = np.random.default_rng(14)
