@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logharrow.config import Settings
 from logharrow.functions.segments import parent_segment_id
+from logharrow.metrics import METRICS, SCORE_BOUNDS
 from logharrow.operators import autoencoder, iforest
 from logharrow.operators.drift import drift_report, save_report
-from logharrow.operators.requests import anonymise, dynamic_only, enrich, feature_vector, join_window_scores, layer2_features, layer2_gate, salted_join
+from logharrow.operators.requests import anonymise, dynamic_only, enrich, feature_vector, is_critical, join_window_scores, layer2_features, layer2_gate, salted_join
 from logharrow.operators.scoring import add_reason_codes, alert_payloads, apply_thresholds, combine_scores, evt_thresholds, segment_thresholds, select_alerts
 from logharrow.operators.sessions import critical_sessions, markov_fit, markov_score, save_markov, sessionize, transitions
 from logharrow.operators.windows import layer1_features, score_windows
@@ -31,31 +32,39 @@ def _privacy(df: DataFrame, cfg: Settings) -> DataFrame:
 
 def parse(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
     rows = read_w3c(spark, source, cfg.ingest.datetime_format)
-    write_by_date(rows, out, compression=cfg.ingest.compression, rows_per_file=cfg.ingest.chunk_size)
+    _store("parse", rows, out, None, compression=cfg.ingest.compression, rows_per_file=cfg.ingest.chunk_size)
 
 
 def filter_dynamic(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
-    write_by_date(dynamic_only(read_table(spark, source).drop("date"), cfg.filter), out, compression=cfg.ingest.compression)
+    seen = Observation("filter-input")
+    rows = read_table(spark, source).drop("date").observe(seen, F.count(F.lit(1)).alias("rows"))
+    kept = _store("filter-dynamic", dynamic_only(rows, cfg.filter), out, source, compression=cfg.ingest.compression)
+    METRICS.stage("filter-dynamic", {"static": seen.get["rows"] - kept["rows"]})
 
 
 def featurize_layer1(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:
     enriched = enrich(read_table(spark, source).drop("date"), cfg.url, cfg.segmentation, cfg.ua)
-    write_by_date(layer1_features(enriched, cfg.layer1), out, "window_start")
+    _store("featurize-layer1", layer1_features(enriched, cfg.layer1), out, source, "window_start")
 
 
 def infer_layer1(spark: SparkSession, source: str, out: str, cfg: Settings) -> dict[str, int]:
-    """Scores go to another path: a table can't be overwritten while it is read. Returns run totals."""
-    totals = Observation("layer1")
+    """Scores of windows; out may be the source itself. Returns run totals."""
     scored = score_windows(read_table(spark, source).drop("date"), cfg.layer1)
-    scored = scored.observe(totals, F.count("*").alias("windows"), F.count_if("window_is_hot").alias("hot_windows"))
-    write_by_date(scored, out, "window_start")
-    return _log("infer-layer1", totals)
+    totals = _store("infer-layer1", scored, out, source, "window_start", hot_windows=F.count_if("window_is_hot"))
+    return {"windows": totals["rows"], "hot_windows": totals["hot_windows"]}
 
 
-def _log(stage: str, totals: Observation) -> dict[str, int]:
-    """Totals that were counted while the rows were written."""
-    found = dict(totals.get)
+def _store(stage: str, df: DataFrame, out: str, source: str | None, ts_col: str = "timestamp", compression: str = "snappy", rows_per_file: int = 0, **more: Column) -> dict[str, int]:
+    """Write a stage's rows by date. Its totals are counted while they are written, and go to the log and the metrics."""
+    totals = Observation(stage)
+    counts = {"rows": F.count(F.lit(1)), "rows_without_time": F.count_if(F.col(ts_col).isNull()), **more}
+    write_by_date(df.observe(totals, *[c.alias(n) for n, c in counts.items()]), out, ts_col, compression, rows_per_file, source)
+    return _log(stage, dict(totals.get))
+
+
+def _log(stage: str, found: dict[str, int]) -> dict[str, int]:
     LOG.info("stage done", extra={"stage": stage, **found})
+    METRICS.stage(stage, found)
     return found
 
 
@@ -69,7 +78,7 @@ def featurize_layer2(spark: SparkSession, source: str, out: str, cfg: Settings,
     features = layer2_features(rows, cfg.hashing, cfg.ua.novelty_window_days if novelty else None)
     if cfg.layer3.enabled:  # the session's key is taken before cookies and addresses are masked
         features = sessionize(features, cfg.layer3.session_timeout_minutes)
-    write_by_date(_privacy(features, cfg), out)
+    _store("featurize-layer2", _privacy(features, cfg), out, source)
 
 
 def _with_vector(df: DataFrame) -> DataFrame:
@@ -93,6 +102,7 @@ def train_layer2(spark: SparkSession, source: str, out: str, cfg: Settings, mode
 def _register(spark: SparkSession, cfg: Settings, kind: str, path: str) -> int:
     version = ModelRegistry.of(spark, cfg).log(f"{cfg.mlflow.registry_name}-{kind}", spark.read.parquet(path), {"experiment": cfg.mlflow.experiment_name, "kind": kind})
     LOG.info("model registered", extra={"kind": kind, "version": version})
+    METRICS.gauge("model_info", 1, name=f"{cfg.mlflow.registry_name}-{kind}", version=str(version))
     return version
 
 
@@ -110,7 +120,7 @@ def infer_layer2(spark: SparkSession, source: str, model: str | None, out: str,
         scored = iforest.predict(rows, table, parent=_parent(rows))
     else:
         scored = autoencoder.predict(rows, autoencoder.LatentForest.from_table(table))
-    write_by_date(scored.drop("features"), out)
+    _store("infer-layer2", scored.drop("features"), out, source)
 
 
 def layer3(df: DataFrame, cfg: Settings, model: DataFrame | None = None) -> DataFrame:
@@ -136,7 +146,7 @@ def train_layer3(spark: SparkSession, source: str, out: str, cfg: Settings) -> N
 
 def infer_layer3(spark: SparkSession, source: str, model: str | None, out: str, cfg: Settings) -> None:
     """Scores by a stored model, by the latest registered one, or by one of the rows themselves."""
-    write_by_date(layer3(read_table(spark, source).drop("date"), cfg, model_table(spark, cfg, "layer3-markov", model)), out)
+    _store("infer-layer3", layer3(read_table(spark, source).drop("date"), cfg, model_table(spark, cfg, "layer3-markov", model)), out, source)
 
 
 def score_day(df: DataFrame, cfg: Settings) -> DataFrame:
@@ -151,10 +161,16 @@ def score(spark: SparkSession, source: str, out: str, cfg: Settings, date: str)
     rows = read_table(spark, source, date).drop("date")
     if cfg.layer3.enabled and "layer3_score" not in rows.columns:
         rows = layer3(rows, cfg, model_table(spark, cfg, "layer3-markov"))
-    totals = Observation("score")
-    scored = score_day(rows, cfg).observe(totals, F.count("*").alias("requests"), F.count_if("is_anomaly").alias("anomalies"))
-    made = write_alerts(_privacy(select_alerts(scored, cfg.scoring, cfg.critical_endpoints), cfg), alert_payloads, out, date)
-    _log("score", totals)
+    totals, alerts_seen = Observation("score"), Observation("alerts")
+    upto = {b: F.count_if(F.col("final_score") <= b) for b in SCORE_BOUNDS}
+    counts = {"requests": F.count(F.lit(1)), "anomalies": F.count_if("is_anomaly"), "score_sum": F.coalesce(F.sum("final_score"), F.lit(0.0)), **{f"upto_{b}": c for b, c in upto.items()}}
+    scored = score_day(rows, cfg).observe(totals, *[c.alias(n) for n, c in counts.items()])
+    critical = is_critical(F.col("endpoint_group"), cfg.critical_endpoints or [])
+    alerts = _privacy(select_alerts(scored, cfg.scoring, cfg.critical_endpoints), cfg).observe(alerts_seen, F.count_if(critical).alias("alerts_critical"), F.count_if(~critical).alias("alerts_other"))
+    made = write_alerts(alerts, alert_payloads, out, date)
+    found = dict(totals.get)
+    METRICS.buckets("score_distribution", {b: found.pop(f"upto_{b}") for b in upto}, found["requests"], found.pop("score_sum"))
+    _log("score", found | dict(alerts_seen.get))
     return made
 
 
@@ -162,5 +178,8 @@ def drift(spark: SparkSession, reference: str, current: str, out: str, cfg: Sett
     """Report of two scored tables as JSON and Markdown."""
     report = drift_report(read_table(spark, reference), read_table(spark, current), NUMERIC_DRIFT, CATEGORICAL_DRIFT, config=cfg.drift)
     save_report(report, out, spark)
+    for name, found in report["features"].items():
+        if "psi" in found:
+            METRICS.gauge("drift_psi", found["psi"], feature=name)
     LOG.info("drift report", extra={"alerts": len(report["alerts"]), "needs_retrain": report["needs_retrain"], "schedule": cfg.drift.retrain_schedule})
     return report

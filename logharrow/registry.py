@@ -8,6 +8,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logharrow.sources.versions import Folder
+
 
 class ModelRegistry:
     def __init__(self, spark: SparkSession, root: str):
@@ -20,21 +22,26 @@ class ModelRegistry:
 
     def versions(self, name: str) -> list[int]:
         """Complete versions, ascending: those whose metadata was written last."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
-        return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "metadata/_SUCCESS")))
+        folder = Folder(self.spark, f"{self.root}/{name}")
+        found = [int(n.split("=")[1]) for n in folder.names() if n.startswith("version=")]
+        return sorted(n for n in found if folder.exists(f"version={n}/metadata/_SUCCESS"))
+
+    def _claim(self, name: str) -> int:
+        """The next number, taken by a file that only one writer can create."""
+        folder = Folder(self.spark, f"{self.root}/{name}")
+        taken = [int(n) for n in folder.names("_numbers") if n.isdigit()]
+        version = max([*self.versions(name), *taken], default=0) + 1
+        while not folder.create(f"_numbers/{version}", str(time.time())):
+            version += 1
+        return version
 
     def log(self, name: str, table: DataFrame, params: dict[str, Any] | None = None, metrics: dict[str, float] | None = None) -> int:
-        """Write a new version; returns its number."""
-        version = max(self.versions(name), default=0) + 1
+        """Write a new version; returns its number, which no other writer gets."""
+        version = self._claim(name)
         base = f"{self.root}/{name}/version={version}"
-        table.write.mode("overwrite").parquet(f"{base}/table")
+        table.write.parquet(f"{base}/table")
         meta = json.dumps({"name": name, "version": version, "created": time.time(), "params": params or {}, "metrics": metrics or {}})
-        self.spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/metadata")
+        self.spark.createDataFrame([(meta,)], "value string").coalesce(1).write.text(f"{base}/metadata")
         return version
 
     def metadata(self, name: str, version: int | None = None) -> dict[str, Any] | None:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-import threading
 import time
-from collections import Counter
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from typing import Any
 
@@ -16,37 +14,12 @@ from pyspark.sql import functions as F
 from logharrow import __version__
 from logharrow.config import Settings
 from logharrow.functions.segments import parent_segment_id
+from logharrow.metrics import METRICS, Metrics
 from logharrow.operators import iforest
 from logharrow.operators.requests import enrich, feature_vector, layer2_features
 
 SCORE_SCHEMA = "uri_stem string, method string, status long, substatus long, win32_status long, time_taken long, sc_bytes long, cs_bytes long, client_ip string, user_agent string, uri_query string, host string, referer string, timestamp string"
 DEFAULTS: dict[str, Any] = {"method": "GET", "status": 200, "substatus": 0, "win32_status": 0, "time_taken": 0, "sc_bytes": 0, "cs_bytes": 0, "client_ip": "0.0.0.0", "user_agent": ""}
-LATENCY_BOUNDS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0)
-
-
-class Metrics:
-    """Counters and one latency histogram in the Prometheus text format."""
-
-    def __init__(self) -> None:
-        self.lock, self.counters, self.buckets, self.total, self.seconds = threading.Lock(), Counter(), Counter(), 0, 0.0
-
-    def count(self, name: str, n: int = 1) -> None:
-        with self.lock:
-            self.counters[name] += n
-
-    def observe(self, seconds: float) -> None:
-        with self.lock:
-            self.total, self.seconds = self.total + 1, self.seconds + seconds
-            self.buckets.update(b for b in LATENCY_BOUNDS if seconds <= b)
-
-    def text(self) -> str:
-        with self.lock:
-            lines = ["# TYPE inference_latency_seconds histogram"]
-            lines += [f'inference_latency_seconds_bucket{{layer="api",le="{b}"}} {self.buckets[b]}' for b in LATENCY_BOUNDS]
-            lines += [f'inference_latency_seconds_bucket{{layer="api",le="+Inf"}} {self.total}', f'inference_latency_seconds_sum{{layer="api"}} {self.seconds}', f'inference_latency_seconds_count{{layer="api"}} {self.total}']
-            for name, n in sorted(self.counters.items()):
-                lines += [f"# TYPE {name} counter", f"{name} {n}"]
-            return "\n".join(lines) + "\n"
 
 
 def score_batch(df: DataFrame, trees: DataFrame | None = None, cfg: Settings | None = None, forests: dict | None = None) -> DataFrame:
@@ -111,7 +84,7 @@ def http_server(scorer: Scorer, host: str, port: int) -> ThreadingHTTPServer:
             if self.path == "/health":
                 self._send(200, json.dumps(scorer.health()))
             elif self.path == "/metrics":
-                self._send(200, scorer.metrics.text(), "text/plain; version=0.0.4")
+                self._send(200, scorer.metrics.text() + METRICS.text(), "text/plain; version=0.0.4")
             else:
                 self._send(404, json.dumps({"detail": "not found"}))
 

@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logharrow.functions.segments import date_partition
+from logharrow.sources.versions import DatedVersions
 
 
-def write_by_date(df: DataFrame, path: str, ts_col: str = "timestamp", compression: str = "snappy", rows_per_file: int = 0) -> None:
-    """Replace the dates that df has. Rows without a time have no date and are left out (dates_missing() counts them)."""
+def write_by_date(df: DataFrame, path: str, ts_col: str = "timestamp", compression: str = "snappy", rows_per_file: int = 0, source: str | None = None) -> None:
+    """Replace the dates that df has. Rows without a time have no date and are left out (dates_missing() counts them).
+
+    If source, the path that df reads, is the same, or the table has been replaced so before, the dates change by a commit
+    (see DatedVersions); else their folders are overwritten.
+    """
     dated = df.where(F.col(ts_col).isNotNull()).withColumn("date", date_partition(F.col(ts_col)))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).option("maxRecordsPerFile", rows_per_file).partitionBy("date").parquet(path)
+    options = {"compression": compression, "maxRecordsPerFile": rows_per_file}
+    versions = DatedVersions(df.sparkSession, path)
+    if (source and source.rstrip("/") == path.rstrip("/")) or versions.commits():
+        versions.replace(dated, **options)
+    else:
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy("date").parquet(path)
 
 
 def dates_missing(df: DataFrame, ts_col: str = "timestamp") -> int:
@@ -21,7 +31,10 @@ def dates_missing(df: DataFrame, ts_col: str = "timestamp") -> int:
 
 
 def read_table(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """All dates, or one by partition pruning; files of different schema are merged by name."""
+    """All dates, or one by partition pruning; files of different schema are merged by name. Of a table with commits, the last one."""
+    versions = DatedVersions(spark, path)
+    if versions.commits():
+        return versions.read(date)
     table = spark.read.option("mergeSchema", "true").parquet(path)
     return table.where(F.col("date") == F.lit(date).cast("date")) if date else table
 

@@ -1,5 +1,6 @@
 """Log reader, tables, registry and the command line."""
 
+import datetime as dt
 import gzip
 import json
 
@@ -95,3 +96,81 @@ def test_command_line(spark, tmp_path):
     alerts = [json.loads(r.value) for r in spark.read.text(d("alerts/json")).select("value").collect()]
     assert alerts and all(len(a["reason_codes"]) == 3 and 0 <= a["final_score"] <= 1 and "client_ip" not in a for a in alerts)
     assert cli.main(["train-layer1"]) == 0
+
+
+def dated(spark, rows):
+    return spark.createDataFrame([(dt.datetime(2024, 1, day, 12), x) for day, x in rows], "timestamp timestamp, x long")
+
+
+def test_table_replaces_itself(spark, tmp_path):
+    """A table is read and replaced in one job; a job that dies leaves it as it was; plain writes go on by commits."""
+    from pyspark.sql import functions as F
+
+    from logharrow.sources.versions import DatedVersions
+
+    path = str(tmp_path / "t")
+    read = lambda: sorted((r.date.day, r.x) for r in read_table(spark, path).collect())
+    write_by_date(dated(spark, [(1, 10), (1, 11), (2, 20), (3, 30)]), path)
+    own = read_table(spark, path).drop("date")
+    write_by_date(own.where("x < 30").withColumn("x", F.col("x") + 1), path, source=path + "/")
+    assert read() == [(1, 11), (1, 12), (2, 21), (3, 30)] and DatedVersions(spark, path).commits() == [1]
+    with pytest.raises(Exception, match="stop here"):
+        write_by_date(read_table(spark, path).drop("date").withColumn("x", F.raise_error(F.lit("stop here")).cast("long")), path, source=path)
+    assert read() == [(1, 11), (1, 12), (2, 21), (3, 30)]
+    write_by_date(dated(spark, [(2, 99), (4, 40)]), path)  # not its own source, but a table with commits
+    assert read() == [(1, 11), (1, 12), (2, 99), (3, 30), (4, 40)]
+    assert [r.x for r in read_table(spark, path, "2024-01-02").collect()] == [99] and read_table(spark, path, "2024-05-05").count() == 0
+    assert len(DatedVersions(spark, path).vacuum(keep=1)) == 1 and read() == [(1, 11), (1, 12), (2, 99), (3, 30), (4, 40)]
+
+
+def test_two_writers_of_one_table(spark, tmp_path, monkeypatch):
+    """A commit that another writer makes meanwhile is kept: the later one takes the next number and both writers' dates stand."""
+    from logharrow.sources.versions import DatedVersions, Folder
+
+    path, create, raced = str(tmp_path / "t"), Folder.create, []
+
+    def late(self, below, text):
+        if not raced:
+            raced.append(below)
+            DatedVersions(spark, path).replace(dated(spark, [(2, 2)]).withColumn("date", F.to_date("timestamp")))
+        return create(self, below, text)
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(Folder, "create", late)
+    number = DatedVersions(spark, path).replace(dated(spark, [(1, 1)]).withColumn("date", F.to_date("timestamp")))
+    assert raced == ["_commits/1"] and number == 2 and sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]
+
+
+def test_registry_numbers_are_taken_once(spark, tmp_path):
+    """Writers at the same time get versions of their own; a version without metadata is no version."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from logharrow.registry import ModelRegistry
+
+    registry = ModelRegistry(spark, str(tmp_path))
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: registry.log("m", spark.range(k + 1)), range(4)))
+    assert sorted(got) == [1, 2, 3, 4] == registry.versions("m")
+    assert sorted(registry.load("m", v).count() for v in got) == [1, 2, 3, 4]
+    number = registry._claim("m")  # a writer that dies after this
+    assert number == 5 and registry.versions("m") == [1, 2, 3, 4] and registry.log("m", spark.range(9)) == 6
+
+
+def test_stage_totals_reach_the_metrics(spark, tmp_path, monkeypatch):
+    from logharrow.config import Settings
+    from logharrow.metrics import Metrics
+    from logharrow.plans import stages
+
+    metrics = Metrics()
+    monkeypatch.setattr(stages, "METRICS", metrics)
+    rows = [(dt.datetime(2024, 1, 1, 10, i), f"/a{i % 2}.{'aspx' if i % 3 else 'png'}", "GET", 200, 5, 10, 1, "u", "1.1.1.1") for i in range(30)]
+    write_by_date(spark.createDataFrame(rows, "timestamp timestamp, uri_stem string, method string, status long, time_taken long, sc_bytes long, cs_bytes long, user_agent string, client_ip string"), str(tmp_path / "p"))
+    d = lambda n: str(tmp_path / n)
+    stages.filter_dynamic(spark, d("p"), d("p"), Settings())
+    stages.featurize_layer1(spark, d("p"), d("w"), Settings())
+    totals = stages.infer_layer1(spark, d("w"), d("w"), Settings())  # onto its own input
+    assert read_table(spark, d("p")).count() == 20 and read_table(spark, d("w")).count() == totals["windows"] and "layer1_score" in read_table(spark, d("w")).columns
+    text = metrics.text()
+    for line in ('requests_filtered_total{filter_result="dynamic"} 20', 'requests_filtered_total{filter_result="static"} 10', f'stage_rows_total{{stage="infer-layer1"}} {totals["windows"]}', f"hot_windows_current {totals['hot_windows']}", "# TYPE hot_windows_current gauge"):
+        assert line in text
