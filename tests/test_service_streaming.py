@@ -145,6 +145,35 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     assert key(out) == key(batch) and len(out) == 56
 
 
+@pytest.mark.parametrize("order", [[0, 1, 2, 3, 4], [3, 1, 4, 2, 0]])
+def test_log_stream(spark, tmp_path, order):
+    """Rotated chunks without headers of their own, compressed ones, a header that changes midway, in and out of order: as one file read at once."""
+    import gzip
+    import time
+
+    from logharrow.sources.w3c import read_w3c
+    from logharrow.streaming.logs import read_w3c_stream
+
+    line = lambda k, width: " ".join(["2024-01-01", f"10:00:{k:02d}", "GET", f"/p{k}", "200"] + ([str(k)] if width == 6 else []))
+    five, six = "#Fields: date time cs-method cs-uri-stem sc-status", "#Fields: date time cs-method cs-uri-stem sc-status time-taken"
+    chunks = [["2024-01-01 09:00:00 GET /early 200", "#Software: x", five, line(1, 5), line(2, 5)], [line(3, 5), six, line(4, 6)], [line(5, 6), "", line(6, 6)], ["#Date: y"], [line(7, 6), five, line(8, 5)]]
+    names = ["a.log", "a.log.1", "a.log.2.gz", "a.log.3", "a.log.4"]
+    whole, source = tmp_path / "whole", tmp_path / "in"
+    whole.mkdir()
+    source.mkdir()
+    (whole / "a.log").write_text("".join(x + "\n" for c in chunks for x in c))
+    (source / "b.log").write_text(f"{five}\n{line(9, 5)}\n")
+    for k in order:
+        text = "".join(x + "\n" for x in chunks[k]).encode()
+        (source / names[k]).write_bytes(gzip.compress(text) if names[k].endswith(".gz") else text)
+        time.sleep(0.05)  # files are read in the order of their times
+    stream = read_w3c_stream(spark, str(source), files_per_trigger=1)
+    drain(stream.select("timestamp", "uri_stem", "time_taken").writeStream.format("memory").queryName(f"logs{order[0]}").outputMode("append").start())
+    got = sorted((r.uri_stem, str(r.timestamp), r.time_taken) for r in spark.table(f"logs{order[0]}").collect())
+    want = [(r.uri_stem, str(r.timestamp), r.time_taken) for r in read_w3c(spark, str(whole)).collect()] + [("/p9", "2024-01-01 10:00:09", None)]
+    assert got == sorted(want) and len(got) == 9
+
+
 def test_http(spark):
     """The three endpoints over a socket."""
     import threading
