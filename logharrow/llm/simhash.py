@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logharrow.llm.components import components
-from logharrow.llm.scratch import materialise
+from logharrow.llm.scratch import materialise, release
 from logharrow.llm.words import mix
 
 HAMMING = (15, 7)
@@ -381,6 +381,7 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
         found = materialise(similar_pairs(pairs, sets, similarity), "similar-pairs")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
+        release(df.sparkSession)
 
     known = materialise(nodes.join(roots, "node", "left").select("fp", "more", "first", F.coalesce("root", "node").alias("root")), "classes")
     firsts = materialise(known.groupBy("root").agg(F.min("first").alias("least")), "class-firsts")

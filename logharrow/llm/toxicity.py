@@ -236,6 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     sample is the TRAINING_ROWS least ids by hash, so it is the same on each run. Without labelled texts of both kinds, scores
     are the labels' base rate (one half without any).
     """
+    import pyarrow as pa
+
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     logp = log_model(count_grams(docs))
@@ -260,6 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     y = (got.column("y").to_numpy() > 0).astype(float)
     if 0 < y.sum() < len(y):  # of the labels that have a text
         model.weights, model.bias = _fit(row, at.flatten().to_numpy(), often.flatten().to_numpy(), y)
+    del got, at, often
+    pa.default_memory_pool().release_unused()  # some hundred MB of the driver that no later step needs
     model.cache.clear()
     return model
 
