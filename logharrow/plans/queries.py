@@ -558,7 +558,10 @@ def log_lines(spark, sf_dir) -> DataFrame:
     return data.unionByName(extra)
 
 
-@query("""WITH REQUESTS SELECT event_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, client_ip, method, uri_stem, uri_query, status, time_taken, sc_bytes, CASE WHEN user_agent <> '-' THEN user_agent END AS user_agent, (uri_query IS NULL)::INTEGER AS uri_query_missing, (time_taken IS NULL)::INTEGER AS time_taken_missing FROM seg""")
+LOG_READER_SQL = """WITH REQUESTS SELECT event_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, client_ip, method, uri_stem, uri_query, status, time_taken, sc_bytes, CASE WHEN user_agent <> '-' THEN user_agent END AS user_agent, (uri_query IS NULL)::INTEGER AS uri_query_missing, (time_taken IS NULL)::INTEGER AS time_taken_missing FROM seg"""
+
+
+@query(LOG_READER_SQL)
 def log_reader(spark, sf_dir):
     """Two plain and two compressed log files, written and parsed."""
     from logharrow.sources.w3c import read_w3c
@@ -567,10 +570,28 @@ def log_reader(spark, sf_dir):
     out, lines = new_folder(spark, "logs"), log_lines(spark, sf_dir)
     for kind, files in (("none", (0, 1)), ("gzip", (2, 3))):
         lines.where(F.col("file").isin(*files)).repartition("file").sortWithinPartitions("file", "place").select("file", F.col("line").alias("value")).write.option("compression", kind).partitionBy("file").text(f"{out}/{kind}")
-    found = read_w3c(spark, out)
+    return read_back(read_w3c(spark, out))
+
+
+def read_back(found: DataFrame) -> DataFrame:
     return found.select(F.col("extras")["x_event"].cast("long").alias("event_id"), wall("timestamp"), "client_ip", "method", "uri_stem", "uri_query", F.col("status").cast("int").alias("status"), "time_taken", "sc_bytes", "user_agent", "uri_query_missing", "time_taken_missing")
 
 
+@query(LOG_READER_SQL)
+def stream_log_reader(spark, sf_dir):
+    """The same logs, each cut into eight chunks of which two have headers, as a stream of files in no order."""
+    from logharrow.sources.workspace import new_folder
+    from logharrow.streaming.logs import read_w3c_stream
+
+    out, lines = new_folder(spark, "log-chunks"), log_lines(spark, sf_dir)
+    end = spark.read.parquet(f"{sf_dir}/events.parquet").agg((F.max("event_id") + 11).alias("end"))  # one row
+    within = F.floor(4 * (F.col("place") % (1 << 40)) / F.col("end"))
+    chunk = F.when(F.col("place") >= 1 << 40, within + 4).otherwise(within)
+    cut = lines.join(F.broadcast(end), how="cross").withColumn("chunk", chunk).repartition("file", "chunk").sortWithinPartitions("file", "chunk", "place")
+    cut.select("file", "chunk", F.col("line").alias("value")).write.partitionBy("file", "chunk").text(out)
+    return read_back(drained(spark, read_w3c_stream(spark, out, files_per_trigger=12, chunks=r"^(.*/file=\d+)/chunk=(\d+)/")))
+
+
 @query("""WITH REQUESTS SELECT strftime(timestamp, '%Y-%m-%d') AS date, 'all' AS scan, count(*) AS n, sum(sc_bytes)::BIGINT AS bytes FROM seg GROUP BY ALL UNION ALL SELECT strftime(timestamp, '%Y-%m-%d'), 'one date', count(*), sum(sc_bytes)::BIGINT FROM seg WHERE strftime(timestamp, '%Y-%m-%d') = '2024-01-02' GROUP BY ALL""")
 def dated_tables(spark, sf_dir):
     """Rows written by date, scanned whole and for one date."""

@@ -20,13 +20,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from logharrow.sources.w3c import header_tokens, parse
 from logharrow.streaming.novelty import PROVIDER
 
-#: A chunk's number at the end of a file's name, before what compression adds; the first chunk has none.
+#: A log's name and a chunk's number, at the end of a file's name before what compression adds; the first chunk has none.
 CHUNK = r"^(.*?)(?:\.(\d+))?(?:\.gz)?$"
 HEADER = "#Fields:"
 LINE = "log string, chunk long, start long, kind string, header string, raw string"
 
 
-def _split(batches):
+def _split(batches, chunks: str):
     """Lines of splits, resolved where the split's own header is known. kind: line; early (before the split's first header); end (the split's last header, or null)."""
     import pyarrow as pa
 
@@ -34,7 +34,7 @@ def _split(batches):
     at, header = None, None
 
     def row(kind, raw=None):
-        name, chunk = re.match(CHUNK, at[0], re.S).groups()
+        name, chunk = re.match(chunks, at[0], re.S).groups()
         return {"log": name, "chunk": int(chunk or 0), "start": at[1], "kind": kind, "header": header, "raw": raw}
 
     for batch in batches:
@@ -103,9 +103,11 @@ class LastHeaders(StatefulProcessor):
         pass
 
 
-def read_w3c_stream(spark: SparkSession, path: str, datetime_format: str = "%Y-%m-%d %H:%M:%S", files_per_trigger: int | None = None) -> DataFrame:
+def read_w3c_stream(spark: SparkSession, path: str, datetime_format: str = "%Y-%m-%d %H:%M:%S", files_per_trigger: int | None = None, chunks: str = CHUNK) -> DataFrame:
     """Parsed requests of log files as they arrive below path, as read_w3c() parses them.
 
+    chunks: a pattern of whole paths, whose two groups are a log's name and a chunk's number, from 0 (or absent) without gaps.
+
     Lines before a log's first header drop out; lines of a chunk whose predecessor has not come wait for it. A file is read
     once, in whole: rotated chunks are files of their own. Sets the session's state store, as keyed processors need that one.
     """
@@ -113,7 +115,7 @@ def read_w3c_stream(spark: SparkSession, path: str, datetime_format: str = "%Y-%
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
     lines = reader.load(path).select(F.make_valid_utf8("value").alias("raw"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    found = lines.mapInArrow(_split, LINE)
+    found = lines.mapInArrow(lambda batches: _split(batches, chunks), LINE)
     rest = found.where("kind <> 'line'").groupBy("log").transformWithStateInPandas(LastHeaders(), "log string, header string, raw string", "Append", "None")
     whole = found.where("kind = 'line'").select("log", "header", "raw").unionByName(rest)
     return parse(whole.select("raw", header_tokens(F.col("header")).alias("fields")), datetime_format)
