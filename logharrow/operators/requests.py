@@ -57,14 +57,17 @@ def enrich(df: DataFrame, urls: Url = Url(), seg: Segmentation = Segmentation(),
     return out.withColumn("segment_id", segments.segment_id(F.col("segment_key"))) if hashed else out
 
 
-def join_window_scores(requests: DataFrame, windows: DataFrame, minutes: int = 5, key: str = "segment_id", carry: tuple[str, ...] = (), small: bool = False) -> DataFrame:
+def join_window_scores(requests: DataFrame, windows: DataFrame, minutes: int = 5, key: str = "segment_id", carry: tuple[str, ...] = (), small: bool = False, start: str | None = None) -> DataFrame:
     """Score and hot flag of the window that holds a request; 0.0 and false without one. `carry` names more columns.
 
+    start: a column of the requests that holds their window's start. If both tables are bucketed by key and start (see
+    sources/buckets.py), neither is shuffled.
+
     The window table is aggregated by segment and time, but grows with both, so it is broadcast only if the caller says
     that it is small; otherwise the planner chooses by its size, and a skewed segment is split by adaptive execution.
     """
     scores = windows.select(F.col(key), F.col("window_start").alias("_start"), "layer1_score", "window_is_hot", *carry)
-    left = requests.withColumn("_start", segments.floor_window(F.col("timestamp"), minutes))
+    left = requests.withColumn("_start", F.col(start) if start else segments.floor_window(F.col("timestamp"), minutes))
     joined = left.join(F.broadcast(scores) if small else scores, [key, "_start"], "left").drop("_start")
     return joined.withColumns({"layer1_score": F.coalesce("layer1_score", F.lit(0.0)), "window_is_hot": F.coalesce("window_is_hot", F.lit(False))})
 

@@ -252,6 +252,24 @@ def join_window_scores(spark, sf_dir):
     return joined(spark, sf_dir).select("event_id", F.round("layer1_score", 4).alias("layer1_score"), "window_is_hot")
 
 
+@query(f"WITH REQUESTS, {JOIN_SQL} SELECT event_id, round(layer1_score, 4) AS layer1_score, window_is_hot FROM jn")
+def join_colocated(spark, sf_dir):
+    """The same from two tables bucketed by segment and window, joined where they lie."""
+    found = colocated(spark, sf_dir)
+    return found.select("event_id", F.round("layer1_score", 4).alias("layer1_score"), "window_is_hot")
+
+
+def colocated(spark, sf_dir) -> DataFrame:
+    from logharrow.sources.buckets import read_bucketed, write_bucketed
+    from logharrow.sources.workspace import new_folder
+
+    requests_at, windows_at = new_folder(spark, "bucketed-requests"), new_folder(spark, "bucketed-windows")
+    rows = enriched(spark, sf_dir).withColumn("window_start", segments.floor_window(F.col("timestamp"), 60))
+    write_bucketed(rows.select("event_id", "segment_key", "window_start"), requests_at, ["segment_key", "window_start"], 8)
+    write_bucketed(scored_windows(spark, sf_dir).where(F.col("request_count") > 1), windows_at, ["segment_key", "window_start"], 8)
+    return requests.join_window_scores(read_bucketed(spark, requests_at), read_bucketed(spark, windows_at), 60, "segment_key", start="window_start")
+
+
 @query(f"WITH REQUESTS, {JOIN_SQL} SELECT event_id, endpoint_group FROM jn WHERE window_is_hot OR {CRIT_SQL}")
 def layer2_gate(spark, sf_dir):
     return requests.layer2_gate(joined(spark, sf_dir), CRITICAL).select("event_id", "endpoint_group")

@@ -52,7 +52,11 @@ class Folder:
             raise
 
     def read(self, below: str) -> str:
-        return "\n".join(r[0] for r in self.spark.read.text(f"{self.path}/{below}").collect())
+        stream = self._fs.open(self._type(f"{self.path}/{below}"))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
 
 class DatedVersions:

@@ -174,3 +174,31 @@ def test_stage_totals_reach_the_metrics(spark, tmp_path, monkeypatch):
     text = metrics.text()
     for line in ('requests_filtered_total{filter_result="dynamic"} 20', 'requests_filtered_total{filter_result="static"} 10', f'stage_rows_total{{stage="infer-layer1"}} {totals["windows"]}', f"hot_windows_current {totals['hot_windows']}", "# TYPE hot_windows_current gauge"):
         assert line in text
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    """Read back by another name, joined on the buckets' keys: no exchange in the plan; nulls, replaced tables and names with quotes."""
+    from pyspark.sql import functions as F
+
+    from logharrow.operators.requests import join_window_scores
+    from logharrow.sources.buckets import read_bucketed, write_bucketed
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(k, f"s{k % 5}" if k % 7 else None, t0 + dt.timedelta(hours=k % 3)) for k in range(60)], "k int, segment_id string, window_start timestamp")
+    windows = spark.createDataFrame([(f"s{i}", t0 + dt.timedelta(hours=h), 0.1 * i + h, h == 2, "/a") for i in range(4) for h in range(3)], "segment_id string, window_start timestamp, layer1_score double, window_is_hot boolean, `odd name` string")
+    left, right = str(tmp_path / "it's left"), str(tmp_path / "right")
+    keys = ["segment_id", "window_start"]
+    write_bucketed(rows.limit(3), left, keys, 4)
+    write_bucketed(rows, left, keys, 4)
+    write_bucketed(windows, right, keys, 4)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = join_window_scores(read_bucketed(spark, left), read_bucketed(spark, right), start="window_start")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = join_window_scores(rows, windows, start="window_start")
+        key = lambda df: sorted((r.k, r.layer1_score, r.window_is_hot) for r in df.collect())
+        assert key(got) == key(want) and got.count() == 60 and got.where(F.col("layer1_score") > 0).count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
