@@ -4,7 +4,9 @@ A text's template has typed placeholders for its numbers, units and names, so th
 the same template. Windows of WINDOW template words are hashed and joined to the benchmark's; a document that holds at
 least SHARE of an item's distinct windows holds the item, if the values in the slots go over from the item consistently:
 each value of the item becomes one value of the document, within one occurrence of the item (one shift between their
-places) or over all together. Windows of the plain words, in lower case, are joined beside them: a document that holds
+places) or over all together. Only values that the item has twice or more can go over inconsistently. A template window
+needs OWN_WORDS words of its own, and an item is looked for by its template only if half of its windows have them: a title or
+a row of numbers is found word by word only. Windows of the plain words, in lower case, are joined beside them: a document that holds
 SHARE of those repeats the item word by word and needs no such check.
 
 A document with SHARE of an item's n windows holds at least one of any n - ceil(SHARE * n) + 1 of them, so only the
@@ -21,14 +23,16 @@ from pyspark.sql import functions as F
 from logharrow.llm.columns import let
 from logharrow.llm.scratch import materialise
 
-WINDOW, SHARE, CONSISTENT = 5, 0.8, 0.8
+WINDOW, SHARE, CONSISTENT, OWN_WORDS = 5, 0.8, 0.8, 2
 #: Benchmark windows up to this number are broadcast (16 bytes a row); more are joined by a shuffle.
 BROADCAST_WINDOWS = 500_000
 #: Units and number words with placeholders of their own. Fixed values.
 UNITS = "mm cm dm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons lb lbs pound pounds oz ounce ounces ml cl l liter liters litre litres gallon gallons ms s sec second seconds min minute minutes h hour hours day days week weeks month months year years cent cents dollar dollars euro euros usd eur percent degree degrees mph kmh watt watts volt volts joule joules".split()
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
-#: A capital and a small letter at the start of a word make a name, wherever it stands in a sentence.
-NAME = r"\p{Lu}(?<![\p{L}\p{N}'\-].)\p{Ll}"
+#: Words that are no names, whether a sentence or a title gives them a capital. Fixed values.
+NO_NAMES = "The An And Or But If Of In On At To From For With By As Is Are Was Were Be Been Do Does Did Has Have Had How What When Where Who Whom Whose Which Why Can Could Will Would Shall Should May Might Must Not No Yes This That These Those There Here It Its He She They We You His Her Their Our Your My Then Than So After Before While During Because Since Until Each Every All Both Some Any Many Much More Most Let Find Give Given Write Choose About Into Over Under Between".split()
+#: A capital and a small letter at the start of another word make a name, wherever it stands in a sentence.
+NAME = r"(?=\p{Lu})(?!(?:" + "|".join(NO_NAMES) + r")(?![\p{L}\p{N}'\-]))\p{Lu}(?<![\p{L}\p{N}'\-].)\p{Ll}"
 #: Punctuation at the ends of words.
 EDGES = r"[\p{P}\p{S}]+(?=\s|$)|(?<=\s)[\p{P}\p{S}]+|^[\p{P}\p{S}]+"
 #: Placeholders as single control characters, which no text has after cleaning; PERSON also marks names in words().
@@ -87,11 +91,16 @@ def windows(df: DataFrame, key: str, text_col: str = "text", short: tuple[int, .
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, pos, h, variant, n_words. Variant 0: template windows; 1: plain windows, of items with slots; 2: all words of an item of under WINDOW words."""
+    """item_id, pos, h, variant, n_words. Variant 0: template windows with words of their own, of items where half of them have these; 1: plain windows, of items with slots; 2: all words of an item of under WINDOW words."""
     cut = items.select("item_id", words(F.col("text")).alias("words")).select("item_id", F.size("words").alias("n_words"), word_hashes(F.col("words")).alias("hs"))
     part = lambda kind: F.transform(_starts(F.col("hs.p"), WINDOW), lambda i: F.struct(i.alias("pos"), window_hash(F.col(f"hs.{kind}"), i, WINDOW).alias("h")))
-    out = []
-    for variant, kind, rows in ((0, "t", cut), (1, "p", cut.where(F.col("hs.t") != F.col("hs.p")))):
+    own = lambda i: F.aggregate(F.array(*[(F.get("hs.t", i + k) == F.get("hs.p", i + k)).cast("int") for k in range(WINDOW)]), F.lit(0), lambda a, b: a + b) >= OWN_WORDS
+    worded = F.transform(_starts(F.col("hs.p"), WINDOW), own)
+    by_template = cut.withColumn("worded", worded).where(2 * F.size(F.filter("worded", lambda w: w)) >= F.size("worded"))
+    kept = lambda: F.filter(part("t"), lambda w: F.get("worded", w["pos"]))
+    template_rows = by_template.select("item_id", "n_words", F.explode(kept()).alias("w"))
+    out = [template_rows.select("item_id", "w.pos", "w.h", F.lit(0).alias("variant"), "n_words")]
+    for variant, kind, rows in ( (1, "p", cut.where(F.col("hs.t") != F.col("hs.p"))),):
         out.append(rows.select("item_id", "n_words", F.explode(part(kind)).alias("w")).select("item_id", "w.pos", "w.h", F.lit(variant).alias("variant"), "n_words"))
     for n in range(1, WINDOW):
         out.append(cut.where(F.col("n_words") == n).select("item_id", F.lit(0).alias("pos"), window_hash(F.col("hs.p"), F.lit(0), n).alias("h"), F.lit(2).alias("variant"), "n_words"))
@@ -131,18 +140,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     pairs = shared.groupBy("doc", "item_id").agg(F.max("share").alias("share"), F.max(F.when(F.col("variant") > 0, 1.0)).alias("verbatim"))
 
     # slots: values at the same place of a shared window, only for pairs that aren't word by word and whose item has slots
-    slotted = items.select("item_id", words(F.col("text")).alias("w")).withColumn("t", template(F.col("w"))).where(F.exists("t", lambda x: x.isNotNull()))
+    slotted = items.select("item_id", words(F.col("text")).alias("w")).withColumn("t", template(F.col("w"))).withColumn("again", repeated(F.col("w"), F.col("t"))).where(F.size("again") > 0)
     check = shared.where("variant = 0").join(pairs.where("verbatim is null").select("doc", "item_id"), ["doc", "item_id"]).select("doc", "item_id", "total").join(fit(slotted), "item_id")
     check = materialise(check, "slot-pairs")
     texts = keyed.join(check.select("doc").distinct(), "doc", "left_semi").select("doc", words(F.col("text")).alias("dw")).distinct()
     places = wanted.where("variant = 0").select("item_id", "h", F.col("pos").alias("q"))
     hits = met.join(check.select("doc", "item_id"), "doc").join(fit(places), ["item_id", "h"]).join(check, ["doc", "item_id"]).join(texts, "doc")
     part = lambda of, at: F.slice(of, F.col(at).cast("int") + 1, WINDOW)
-    hits = hits.select("doc", "item_id", "total", "h", "pos", "q", part("w", "q").alias("a"), part("dw", "pos").alias("b"), part("t", "q").alias("t"))
+    hits = hits.select("doc", "item_id", "total", "h", "pos", "q", part("w", "q").alias("a"), part("dw", "pos").alias("b"), part("t", "q").alias("t"), "again")
     hits = materialise(hits.withColumn("shift", F.col("pos") - F.col("q")), "slot-windows")
     # every shift is an occurrence of its own; null stands for all of them together, for copies with words put in or left out
     at = F.explode(F.array(*[F.struct((F.col("pos") + k).alias("p"), (F.col("q") + k).alias("q"), plain(F.get("a", F.lit(k))).alias("a"), plain(F.get("b", F.lit(k))).alias("b"), F.get("t", F.lit(k)).alias("t")) for k in range(WINDOW)]))
-    values = hits.select("doc", "item_id", "shift", at.alias("at")).distinct().where("at.t is not null")
+    values = hits.select("doc", "item_id", "shift", "again", at.alias("at")).where("at.t is not null").where(F.array_contains("again", F.col("at.a"))).select("doc", "item_id", "shift", "at").distinct()
     values = values.select("doc", "item_id", F.explode(F.array("shift", F.lit(None).cast("int"))).alias("shift"), "at.a", "at.b")
     counts = values.groupBy("doc", "item_id", "shift", "a", "b").agg(F.count("*").alias("n"))
     by_value = counts.groupBy("doc", "item_id", "shift", "a").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
@@ -156,6 +165,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return judged.where(F.col("consistency") >= CONSISTENT)
 
 
+def repeated(of: Column, placeholders: Column) -> Column:
+    """The values in the slots of words() that stand there twice or more."""
+    values = F.transform(F.filter(F.arrays_zip(of.alias("w"), placeholders.alias("t")), lambda x: x["t"].isNotNull()), lambda x: plain(x["w"]))
+    return let(values, lambda vs: F.filter(F.array_distinct(vs), lambda v: F.size(F.filter(vs, lambda x: x == v)) > 1))
+
+
 def template(of: Column) -> Column:
     """The placeholders of words(); null where a word stays itself."""
     return let(of, lambda ws: F.transform(ws, lambda w, i: slot(w, i, ws)))

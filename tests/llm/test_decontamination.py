@@ -65,23 +65,48 @@ def brute_leaks(doc, item):
     enough = lambda found, all_of: len(set(found)) >= 0.8 * len(set(all_of)) - 1e-9
     if enough(set(grams(p)) & set(grams(q)), grams(q)):
         return True
-    hits = [(a, b) for a, x in enumerate(tp) for b, y in enumerate(tq) if x == y]
-    if not enough([tq[b] for _, b in hits], tq):
+    worded = [sum(s is None for _, s in i[k : k + 5]) >= 2 for k in range(len(tq))]
+    if 2 * sum(worded) < len(worded):
         return False
-    if not any(s for _, s in i):
-        return True
+    hits = [(a, b) for a, x in enumerate(tp) for b, y in enumerate(tq) if x == y and worded[b]]
+    if not enough([tq[b] for _, b in hits], [w for w, good in zip(tq, worded) if good]):
+        return False
+    slots = Counter(w for w, s in i if s)
+    judged = False
     for shift in {None} | {a - b for a, b in hits}:
         mine = [(a, b) for a, b in hits if shift is None or a - b == shift]
-        if shift is not None and not enough([tq[b] for _, b in mine], tq):
+        if shift is not None and not enough([tq[b] for _, b in mine], [w for w, good in zip(tq, worded) if good]):
             continue
         # a place counts once in each shift, so over all of them together once a shift
-        seen = {(a - b, a + k, b + k) for a, b in mine for k in range(5) if i[b + k][1]}
+        seen = {(a - b, a + k, b + k) for a, b in mine for k in range(5) if i[b + k][1] and slots[q[b + k]] > 1}
         counts = defaultdict(Counter)
         for _, a, b in seen:
             counts[q[b]][p[a]] += 1
+        judged = judged or bool(counts)
         if counts and sum(max(c.values()) for c in counts.values()) >= 0.8 * sum(sum(c.values()) for c in counts.values()):
             return True
-    return False
+    return not judged
+
+
+#: Items whose template says nothing, and one with a name twice.
+BARE = [
+    (1, "The Rise And Fall Of The Roman Empire In Europe"), (2, "1 2 3 4 5 6 7 8"), (3, "If Tom has 3 apples and buys 4 more at the shop, how many apples does Tom have now?"),
+    (4, "Paris London Berlin Madrid Rome Vienna Lisbon"), (5, "Anna met Paul and Rita saw Carl with Olga"),
+]
+
+
+def test_templates_need_words_and_consistent_names(spark, docs, prose):
+    """Titles, tables of numbers and lists of names match word by word only; a name that becomes two names is another question."""
+    pad = prose(20, 3)
+    rows = [
+        (1, f"{pad} Breaking News From New York City Today About The Local Football Team In Town"), (2, f"{pad} 9 8 7 6 5 4 3 2 1 14 15 16 17"), (3, f"{pad} If Ann has 7 apples and buys 9 more at the shop, how many apples does Bob have now?"),
+        (4, f"{pad} Moscow Tokyo Oslo Athens Dublin Prague Warsaw Sofia"), (5, f"{pad} When Will The Long Road To The Far Country Of The North End"),
+        (11, f"{pad} the rise and fall of the Roman empire in Europe"), (12, f"{pad} 0 1 2 3 4 5 6 7 8 9"), (13, f"{pad} If Ann has 7 apples and buys 9 more at the shop, how many apples does Ann have now?"), (14, BARE[3][1]), (15, BARE[4][1]),
+    ]
+    items = spark.createDataFrame(BARE, "item_id long, text string")
+    got = {x.doc_id: list(x.item_ids) for x in D.mark(docs(rows), items).collect()}
+    assert got == {1: [], 2: [], 3: [], 4: [], 5: [], 11: [1], 12: [2], 13: [3], 14: [4], 15: [5]}
+    assert got == {i: [k for k, t in BARE if brute_leaks(d, t)] for i, d in rows}
 
 
 def test_brute_force_with_slots(spark, docs, prose):
