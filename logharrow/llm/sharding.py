@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from logharrow.llm.scratch import materialise
 
 BUCKET_BYTES = 32 << 20
+#: Shuffle partitions at most; each has buckets one after the other beyond that.
+PARTITIONS = 10_000
 #: Rows of one key that weigh more than this part of a bucket are dealt over buckets.
 HOT_SHARE = 8
 
@@ -17,9 +19,7 @@ HOT_SHARE = 8
 def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     """A uniform permutation of range(n), drawn from the seed and the bucket's number."""
     order = np.arange(n)
-    picks = np.random.default_rng([seed, bucket]).integers(0, np.arange(n, 0, -1)) if n else ()
-    for i, pick in zip(range(n - 1, 0, -1), picks):
-        order[i], order[pick] = order[pick], order[i]
+    np.random.default_rng([seed, bucket]).shuffle(order)  # swaps each place, from the last, with one up to it
     return order
 
 
@@ -53,24 +53,37 @@ def shuffled_buckets(df: DataFrame, keys: list[str], weight: Column, seed: int,
     # two more hashes fix the order that the permutation starts from; rows that tie in them have equal keys
     rows = df.select(F.struct("*").alias("record"), key.alias("_key"), F.xxhash64(F.lit(seed + 1), *[F.col(k) for k in keys]).alias("_tie"), F.coalesce(weight.cast("long"), F.lit(0)).alias("_weight"))
     rows = _spread_hot_keys(rows, seed, bucket_bytes)
-    rows = rows.repartition(n, "_key").sortWithinPartitions("_key", "_tie").select("record")
+    parts = min(n, PARTITIONS)
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(n))).repartitionById(parts, F.pmod("_bucket", F.lit(parts)).cast("int"))
+    rows = rows.sortWithinPartitions("_bucket", "_key", "_tie").select("record", "_bucket")
     schema = T.StructType([rows.schema["record"], T.StructField("bucket", T.LongType()), T.StructField("position", T.LongType())])
 
     def permute(batches):
+        """One bucket of the partition after the other; only that one is held."""
         import pyarrow as pa
-        from pyspark import TaskContext
-
-        held = list(batches)
-        if not held:
-            return
-        table, bucket = pa.Table.from_batches(held), TaskContext.get().partitionId()
-        del held
-        order = fisher_yates(len(table), seed, bucket)
-        for at in range(0, len(order), 2000):
-            part = order[at : at + 2000]
-            cut = table.take(pa.array(part))
-            cut = cut.append_column("bucket", pa.array(np.full(len(part), bucket))).append_column("position", pa.array(np.arange(at, at + len(part))))
-            yield from cut.combine_chunks().to_batches()
+
+        def done(held, bucket):
+            table = pa.Table.from_batches(held)
+            order = fisher_yates(len(table), seed, bucket)
+            for at in range(0, len(order), 2000):
+                part = order[at : at + 2000]
+                cut = table.take(pa.array(part))
+                cut = cut.append_column("bucket", pa.array(np.full(len(part), bucket))).append_column("position", pa.array(np.arange(at, at + len(part))))
+                yield from cut.combine_chunks().to_batches()
+
+        held, now = [], None
+        for batch in batches:
+            buckets = batch.column("_bucket").to_numpy()
+            cuts = [0, *(np.flatnonzero(buckets[1:] != buckets[:-1]) + 1).tolist(), len(buckets)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    if held and buckets[a] != now:
+                        yield from done(held, now)
+                        held = []
+                    now = int(buckets[a])
+                    held.append(batch.slice(a, b - a).select(["record"]))
+        if held:
+            yield from done(held, now)
 
     return materialise(rows.mapInArrow(permute, schema), "shards")
 

@@ -24,6 +24,10 @@ SKIPPABLE_TABLE, SKIPPABLE_INDEX, SEEKABLE_END = 0x184D2A5E, 0x184D2A50, 0x8F92E
 HAS_CHECKSUMS = 0x80
 FRAME_IDS = 1 << 20
 INDEX_MAGIC = b"LHTI"
+#: A task starts a new file beyond so many ids or documents: what a writer holds in memory, and a reader's index, are bounded.
+FILE_IDS, FILE_DOCS = 1 << 27, 1 << 19
+#: Bytes that a reader of whole files fetches at once.
+AHEAD = 4 << 20
 
 
 class TokenFileWriter:
@@ -64,13 +68,13 @@ class TokenFileWriter:
 
 
 class TokenFileReader:
-    """Reads single documents, or all in file order, from a seekable binary stream."""
+    """Reads single documents, or all in file order, from a seekable binary stream; `ahead` bytes at once at least."""
 
-    def __init__(self, stream):
+    def __init__(self, stream, ahead: int = 0):
         import xxhash
         import zstandard
 
-        self.stream, self.plain = stream, zstandard.ZstdDecompressor()
+        self.stream, self.plain, self.ahead, self.block = stream, zstandard.ZstdDecompressor(), ahead, (0, b"")
         stream.seek(0, 2)
         end = stream.tell()
         n, flags, magic = struct.unpack("<IBI", self._at(end - 9, 9))
@@ -88,8 +92,11 @@ class TokenFileReader:
         self.first = np.concatenate(([0], np.cumsum(self.n_frames))).astype(np.int64)
 
     def _at(self, start: int, n: int) -> bytes:
-        self.stream.seek(start)
-        return self.stream.read(n)
+        first, held = self.block
+        if not first <= start <= start + n <= first + len(held):
+            self.stream.seek(start)
+            first, held = self.block = start, self.stream.read(max(n, self.ahead))
+        return held[start - first : start - first + n]
 
     def read(self, k: int) -> np.ndarray:
         """Ids of the file's k-th document; only its frames are decompressed and checked."""
@@ -124,10 +131,11 @@ def _open(path: str, mode: str):
     return store.open_input_file(inner)
 
 
-def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, id_bytes: int | None = None, drops_space: bool = False, partitions: int | None = None) -> DataFrame:
+def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, id_bytes: int | None = None, drops_space: bool = False, partitions: int | None = None, file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS) -> DataFrame:
     """Encode whole texts, append end_id to each and write token files in ascending id order below `out`.
 
-    Returns the manifest, a written table with one row a file: part, path, n_docs, n_tokens, least and most (document ids).
+    Returns the manifest, a written table with one row a file: part, number (in its part), path, n_docs, n_tokens, least and
+    most (document ids). A file ends with the document that takes it to file_ids ids or file_docs documents.
     Files get a name of their own in each attempt of a task and count only if the manifest lists them, so a repeated task
     does no harm. An id takes id_bytes, by default two, or four if the vocabulary or end_id needs more; an id that does not
     fit raises. A null or empty text has the end id alone; a null id comes first; rows with the same id stay apart, ordered
@@ -145,30 +153,37 @@ def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, n_docs, n_tokens, stream, known = TaskContext.get().partitionId(), 0, 0, None, []
-        path = f"{out}/part-{part:06d}-{uuid.uuid4().hex}.tok.zst"
+        part, number, writer = TaskContext.get().partitionId(), 0, None
         enc = encoder(tokenizer_path, drops_space)
+
+        def row():
+            ids = [d for d, null, _, _ in writer.docs if not null]  # ascending
+            n_tokens = sum(n for _, _, n, _ in writer.docs)
+            writer.close()
+            writer.stream.close()
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "number": pa.array([number], pa.int64()), "path": [path], "n_docs": [len(writer.docs)], "n_tokens": [n_tokens], "least": pa.array(ids[:1] or [None], pa.int64()), "most": pa.array(ids[-1:] or [None], pa.int64())})
+
         for piece, texts in text_batches(batches, "text"):
-            if stream is None:
-                stream = _open(path, "w")
-                writer = TokenFileWriter(stream, id_bytes)
             for doc_id, raw in zip(piece.column("doc_id").to_pylist(), enc.encode(texts)):
+                if writer is None:
+                    path, held = f"{out}/part-{part:06d}-{number:06d}-{uuid.uuid4().hex}.tok.zst", 0
+                    writer = TokenFileWriter(_open(path, "w"), id_bytes)
                 ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id))
                 writer.add(doc_id, ids)
-                known = known[:1] + [doc_id] if doc_id is not None else known  # ids ascend
-                n_docs, n_tokens = n_docs + 1, n_tokens + len(ids)
-        if stream is not None:
-            writer.close()
-            stream.close()
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "path": [path], "n_docs": [n_docs], "n_tokens": [n_tokens], "least": pa.array(known[:1] or [None], pa.int64()), "most": pa.array(known[-1:] or [None], pa.int64())})
+                held += len(ids)
+                if held >= file_ids or len(writer.docs) >= file_docs:
+                    yield row()
+                    writer, number = None, number + 1
+        if writer is not None:
+            yield row()
 
-    return materialise(rows.mapInArrow(write, "part long, path string, n_docs long, n_tokens long, least long, most long"), "manifest")
+    return materialise(rows.mapInArrow(write, "part long, number long, path string, n_docs long, n_tokens long, least long, most long"), "manifest")
 
 
 def read_token_files(manifest: DataFrame, tasks: int | None = None) -> DataFrame:
     """Read listed files back: doc_id, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit, binary)."""
     spark = manifest.sparkSession
-    before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
+    before = F.sum("n_tokens").over(Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
     files = manifest.withColumn("base", F.coalesce(before, F.lit(0))).select("path", "base")
     files = files.repartition(tasks or 4 * spark.sparkContext.defaultParallelism)
 
@@ -179,7 +194,7 @@ def read_token_files(manifest: DataFrame, tasks: int | None = None) -> DataFrame
             for path, start in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist()):
                 held, size = [], 0
                 with _open(path, "r") as stream:
-                    for doc_id, ids in TokenFileReader(stream):
+                    for doc_id, ids in TokenFileReader(stream, AHEAD):
                         raw = ids.astype("<u4").tobytes()
                         held.append((doc_id, start, len(ids), raw))
                         start, size = start + len(ids), size + len(raw)

@@ -41,6 +41,19 @@ def test_very_common_rows_are_spread(docs):
     assert len(sizes) > 10 and max(r["count"] for r in sizes) < 120
 
 
+def test_few_partitions_give_the_same_layout(docs, monkeypatch):
+    """Buckets are what they are however many of them a shuffle partition takes."""
+    from logharrow.llm import sharding
+
+    df = docs([(i, f"text {i}" * (i % 7)) for i in range(400)])
+    place = lambda: sorted((r[0], r[1], r[2]) for r in put(df, bucket_bytes=600).select("record.doc_id", "shard", "slot").collect())
+    many = place()
+    monkeypatch.setattr(sharding, "PARTITIONS", 3)
+    assert place() == many and len(many) == 400
+    held = sharding.shuffled_buckets(df, ["doc_id", "text"], F.octet_length("text") + 1, 7, 600)
+    assert held.select("bucket").distinct().count() > 10 and held.groupBy("bucket").agg((F.max("position") + 1 == F.count("*")).alias("gapless")).where("NOT gapless").count() == 0
+
+
 def test_permutation_is_uniform():
     seen = Counter(tuple(fisher_yates(3, s, 0)) for s in range(3000))
     assert len(seen) == 6 and min(seen.values()) > 400

@@ -72,3 +72,19 @@ def test_wide_ids():
     writer.add(1, np.array([70_000, 5]))
     writer.close()
     assert T.TokenFileReader(out).read(0).tolist() == [70_000, 5]
+
+
+def test_files_roll_over(spark, docs, prose, awkward):
+    """Small limits make many files; all is read back in order, and single documents are found in theirs."""
+    rows = [(i // 2 * 3, prose(20, i)) for i in range(120)] + awkward
+    one = T.write_token_files(docs(rows), PATH, T.token_files_path(spark), partitions=2)
+    many = T.write_token_files(docs(rows), PATH, T.token_files_path(spark), partitions=2, file_ids=400, file_docs=7)
+    files = many.orderBy("part", "number").collect()
+    assert len(files) > 20 and all(f.n_docs <= 7 for f in files) and sum(f.n_docs for f in files) == len(rows) and {f.number for f in files if f.part == 0} == set(range(sum(f.part == 0 for f in files)))
+    last = {f.part: f.number for f in files}
+    assert all(f.n_docs == 7 or f.n_tokens >= 400 or f.number == last[f.part] for f in files)
+    read = lambda m: [(r.doc_id, r.start, bytes(r.ids)) for r in T.read_token_files(m).orderBy("start").collect()]
+    assert read(one) == read(many)
+    wanted = spark.createDataFrame([(0,), (6,), (177,)], "doc_id long")
+    found = lambda m: sorted((r.doc_id, bytes(r.ids)) for r in T.read_documents(m, wanted).collect())
+    assert found(one) == found(many) and len(found(many)) >= 6
