@@ -9,6 +9,7 @@ from logharrow.config import load_settings
 from logharrow.logs import configure
 from logharrow.plans import stages
 from logharrow.session import get_session
+from logharrow.sources import workspace
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.verb == "train-layer1":
         print("The window baseline has no fitted model; run infer-layer1.")
         return 0
-    spark = get_session(args.master)
+    spark, before = get_session(args.master, f"{cfg.general.project_name}-{cfg.general.env}"), workspace.mark()
     if args.verb == "serve":
         from logharrow.service import Scorer, serve
 
@@ -66,7 +67,10 @@ def main(argv: list[str] | None = None) -> int:
         "drift": lambda: stages.drift(spark, args.reference, args.input, args.output, cfg),
         "score": lambda: stages.score(spark, args.input, args.output, cfg, args.date),
     }
-    calls[args.verb]()
+    try:
+        calls[args.verb]()
+    finally:
+        workspace.clear(spark, before)  # what the verb's plans read has been written
     return 0
 
 

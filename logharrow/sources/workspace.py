@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used in local mode where the session names no shared folder.
 LOCAL_FALLBACK = "file:///tmp/checkpoints/logharrow"
+_made: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -23,5 +24,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table that is read several times, and read it back: what comes before is computed once and survives lost executors."""
     path = new_folder(df.sparkSession, name)
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """How many tables materialise() has made in this driver: what comes later can be cleared alone."""
+    return len(_made)
+
+
+def clear(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables that materialise() made since mark(), once no result reads them any more; their number."""
+    gone = _made[since:]
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _made[since:]
+    return len(gone)

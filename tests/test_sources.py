@@ -202,3 +202,15 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
         assert key(got) == key(want) and got.count() == 60 and got.where(F.col("layer1_score") > 0).count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_workspace_is_cleared(spark):
+    """Only what was written since a mark goes, and what is older can still be read."""
+    from logharrow.sources import workspace
+
+    kept = workspace.materialise(spark.range(3), "kept")
+    before = workspace.mark()
+    gone = workspace.materialise(spark.range(5), "gone")
+    assert gone.count() == 5 and workspace.clear(spark, before) == 1 and kept.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(gone.inputFiles()[0]).count()
