@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logharrow.llm.scratch import materialise
+from logharrow.llm.scratch import lean, materialise
 from logharrow.llm.tokens import encoder, text_batches
 
 
@@ -31,7 +31,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(ids, pa.binary()), pa.array(sizes), pa.array(np.full(len(ids), part)), pa.array(stops - sizes)], ["doc_id", "ids", "n_tokens", "part", "local_start"])
             start = int(stops[-1])
 
-    return materialise(rows.mapInArrow(encode, "doc_id long, ids binary, n_tokens long, part long, local_start long"), "tokens")
+    return materialise(rows.mapInArrow(lean(encode), "doc_id long, ids binary, n_tokens long, part long, local_start long"), "tokens")
 
 
 def pack(tokens: DataFrame, width: int = 4096) -> DataFrame:

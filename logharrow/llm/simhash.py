@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logharrow.llm.components import components
-from logharrow.llm.scratch import materialise, release
+from logharrow.llm.scratch import lean, materialise, release
 from logharrow.llm.words import mix
 
 HAMMING = (15, 7)
@@ -79,7 +79,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, more))], ["doc_id", "h", "fp", "more"])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    return materialise(rows.mapInArrow(scan, "doc_id long, h long, fp long, more long"), "fingerprints")
+    return materialise(rows.mapInArrow(lean(scan), "doc_id long, h long, fp long, more long"), "fingerprints")
 
 
 def block_edges(blocks: int) -> list[tuple[int, int]]:
@@ -273,8 +273,8 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
 
     in_task = TASK_ROWS // (8 if "sketch" in carried else 1)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sizes["rows"] // in_task))
-    met = nodes.mapInArrow(spread, "key long, tile long, " + "".join(f"{c} {'binary' if c == 'sketch' else 'long'}, " for c in carried) + "home boolean").repartition(n, "key", "tile")
-    return met.mapInArrow(compare, "a long, b long")
+    met = nodes.mapInArrow(lean(spread), "key long, tile long, " + "".join(f"{c} {'binary' if c == 'sketch' else 'long'}, " for c in carried) + "home boolean").repartition(n, "key", "tile")
+    return met.mapInArrow(lean(compare), "a long, b long")
 
 
 def _counted(n: np.ndarray) -> np.ndarray:
@@ -320,7 +320,7 @@ def shingle_sets(rows: DataFrame, width: int) -> DataFrame:
             sets = [np.unique(shingle_hashes(t or b"", width)).view(np.int64) for t in batch.column("text").cast("binary").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return rows.mapInArrow(scan, "node long, shingles array<long>")
+    return rows.mapInArrow(lean(scan), "node long, shingles array<long>")
 
 
 def sketches(sets: DataFrame) -> DataFrame:
@@ -336,7 +336,7 @@ def sketches(sets: DataFrame) -> DataFrame:
                 found.append(np.array([simhash(mix(h ^ mix(np.full(1, k + 1, np.uint64)))) for k in range(SKETCH_WORDS)], np.uint64).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "sketch"])
 
-    return sets.mapInArrow(scan, "node long, sketch binary")
+    return sets.mapInArrow(lean(scan), "node long, sketch binary")
 
 
 def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

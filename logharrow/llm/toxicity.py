@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logharrow.llm.scratch import give_back, lean
 from logharrow.llm.words import byte_batches
 
 #: What a sign or digit may stand for. Fixed values.
@@ -67,7 +68,7 @@ def count_grams(df: DataFrame, text_col: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
-    summed = df.select(F.col(text_col).alias("text")).mapInArrow(scan, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    summed = df.select(F.col(text_col).alias("text")).mapInArrow(lean(scan), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(CLASSES**4)
     out[summed.column("gram").to_numpy()] = summed.column("n").to_numpy()
     return out
@@ -236,8 +237,6 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     sample is the TRAINING_ROWS least ids by hash, so it is the same on each run. Without labelled texts of both kinds, scores
     are the labels' base rate (one half without any).
     """
-    import pyarrow as pa
-
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     logp = log_model(count_grams(docs))
@@ -256,14 +255,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), batch.column("y")], ["doc_id", "at", "often", "y"])
 
     # bounded: TRAINING_ROWS x the distinct features of a text, 8 bytes each; in the order of ids, so that sums are the same on each run
-    got = sample.mapInArrow(vectors, "doc_id long, at array<int>, often array<float>, y int").toArrow().sort_by("doc_id")
+    got = sample.mapInArrow(lean(vectors), "doc_id long, at array<int>, often array<float>, y int").toArrow().sort_by("doc_id")
     at, often = (got.column(c).combine_chunks() for c in ("at", "often"))  # flat arrays, never a Python object an entry
     row = np.repeat(np.arange(len(got), dtype=np.int32), at.value_lengths().to_numpy())
     y = (got.column("y").to_numpy() > 0).astype(float)
     if 0 < y.sum() < len(y):  # of the labels that have a text
         model.weights, model.bias = _fit(row, at.flatten().to_numpy(), often.flatten().to_numpy(), y)
     del got, at, often
-    pa.default_memory_pool().release_unused()  # some hundred MB of the driver that no later step needs
+    give_back()  # some hundred MB of the driver that no later step needs
     model.cache.clear()
     return model
 
@@ -280,6 +279,8 @@ def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", score_col
         import pandas as pd
 
         own = shared.value
-        return pd.Series([own.score(t or "") for t in texts], dtype="float64")
+        out = pd.Series([own.score(t or "") for t in texts], dtype="float64")
+        give_back()  # once a batch: a text's arrays are many and short-lived
+        return out
 
     return df.withColumn(score_col, scores(F.col(text_col)))
