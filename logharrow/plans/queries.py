@@ -725,6 +725,20 @@ def drift_report(spark, sf_dir):
     return drift.drift_metrics(*halves(spark, sf_dir), ["sc_bytes", "time_taken", "final_score"], ["endpoint_group", "user_agent"]).select("feature", "metric", r6("value"))
 
 
+@query(f"WITH REQUESTS, {HALF_SQL} SELECT feature, metric, round(value, 4) AS value FROM ({DRIFT_SQL})")
+def drift_files(spark, sf_dir):
+    """The report as it is written, read back from its JSON file."""
+    import json
+
+    from logharrow.sources.versions import Folder
+    from logharrow.sources.workspace import new_folder
+
+    out = new_folder(spark, "drift")
+    drift.save_report(drift.drift_report(*halves(spark, sf_dir), ["sc_bytes", "time_taken", "final_score"], ["endpoint_group", "user_agent"], score="none"), out, spark)
+    found = json.loads(Folder(spark, out).read("drift_report.json"))["features"]  # one entry a feature
+    return spark.createDataFrame([(name, metric, float(f[metric])) for name, f in found.items() for metric in ("psi", "jsd") if metric in f], "feature string, metric string, value double")
+
+
 #: Stored forests of two trees a model, as (feature, threshold, below, above) or a leaf's path length. The features of the
 #: first are time, bytes, status and hour; those of the service's are places in its vector: hour, bot, path depth, log of bytes.
 TREES = {
