@@ -131,15 +131,35 @@ def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = after
 
 
-def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int, parts: np.ndarray, nearest: int | None = None, crowd: int | None = None, sketches: np.ndarray | None = None):
+def met_before(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], lesser: np.ndarray, block: np.ndarray, reach: int, blocks: int) -> np.ndarray:
+    """Whether pairs that meet in a block, where the left one is at home, also meet earlier: in a lower block, or in this one at
+    the home of the right one if that has the lesser id. left, right: fp and more; their blocks count from 0 on. So each pair
+    has one meeting of all that is the first, and every task knows it from the two fingerprints."""
+    found = np.zeros(len(block), bool)
+    for k, (first, size) in enumerate(block_edges(blocks) * 2):
+        x, y = ((side[k // blocks] >> np.uint64(first)) & np.uint64((1 << size) - 1) for side in (left, right))
+        home = decode(np.arange(1 << size, dtype=np.uint64), size)
+        open_ = np.flatnonzero(~found & (block >= k))
+        for a, b, at in ((x, y, open_[block[open_] > k]), (y, x, open_[(block[open_] > k) | ~lesser[open_]])):
+            for n in range(reach // blocks + 1):
+                for flips in combinations(range(size), n):
+                    found[at] |= home[b[at] ^ np.uint64(sum(1 << i for i in flips))] == home[a[at]]
+    return found
+
+
+def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray, homes: np.ndarray, distance: int, in_all: int, parts: np.ndarray, nearest: int | None = None, crowd: int | None = None, dense: np.ndarray | None = None, sketches: np.ndarray | None = None, once=None):
     """Pairs (lesser, greater) of near rows of different parts that meet at an anchor; at most PAIRS pairs are held at once.
 
-    With nearest, each home row gives only its so many nearest partners. With crowd, a home row that has more partners gives
-    no pair; it and they are given as pairs with themselves. With sketches, pairs whose sketches are too far go.
+    With nearest, each home row gives only its so many nearest partners. With crowd, a home row that has more partners is
+    given as a pair with itself; without nearest it gives no other pair then, and partners that are not dense are given like
+    it. With sketches, pairs whose sketches are too far go. once(order) makes a function that tells which pairs go, by left and right.
     """
     order = np.lexsort((~homes, keys))  # homes first within an anchor
     keys, ids, fps, more, homes, parts = keys[order], ids[order], fps[order], more[order], homes[order], parts[order]
     sketches = sketches if sketches is None else sketches[order]
+    dense = dense if dense is None else dense[order]
+    again = once(order) if once is not None else None
+    marked: list[np.ndarray] = []
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     n_homes = np.add.reduceat(homes.astype(np.int64), starts)
@@ -161,22 +181,29 @@ def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray,
             near = near[np.lexsort((ids[right[near]], far[near], left[near]))]
             mine = left[near]
             first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
-            turn = np.arange(len(mine)) - np.repeat(first, np.diff(np.append(first, len(mine))))
+            n = np.diff(np.append(first, len(mine)))
+            turn = np.arange(len(mine)) - np.repeat(first, n)
             near = near[turn < nearest]
+            if crowd is not None:
+                marked.append(ids[mine[first[n > crowd]]])
         if sketches is not None and len(near):
             cuts = np.array_split(near, -(-len(near) // (PAIRS // len(sketches[0]))))
             near = np.concatenate([c[np.bitwise_count(sketches[left[c]] ^ sketches[right[c]]).sum(1, dtype=np.int64) <= SKETCH_DISTANCE] for c in cuts])
-        if crowd is not None and len(near):
+        if again is not None and len(near):
+            near = near[~again(left[near], right[near])]
+        if crowd is not None and nearest is None and len(near):
             _, line, n = np.unique(left[near], return_inverse=True, return_counts=True)
             many = n[line] > crowd
-            marked = np.unique(ids[np.concatenate((left[near[many]], right[near[many]]))])
+            partners = right[near[many]]
+            marked.append(np.unique(ids[np.concatenate((left[near[many]], partners if dense is None else partners[~dense[partners]]))]))
             near = near[~many]
-            if len(marked):
-                yield marked, marked
         x, y = ids[left[near]], ids[right[near]]
         if len(x):
             yield np.minimum(x, y), np.maximum(x, y)
         at = until
+    if any(map(len, marked)):
+        marks = np.unique(np.concatenate(marked))
+        yield marks, marks
 
 
 def _compare(pairs) -> tuple[np.ndarray, np.ndarray]:
@@ -200,10 +227,12 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
     that meet: fp and more both have anchors, built for `reach` bits of each. Two surely meet if fp and more together
     differ in at most 2 * blocks * (reach // blocks + 1) - 1 bits, and beyond that if any block still is near enough. Then
     nodes may have a column `part`: nodes of one part make no pair. With nearest, a node gives only so many partners at
-    each of its own anchors, the nearest ones. With crowd, a node with more partners at one of its own anchors makes no pair
-    there; it and these partners are given as a = b. Where nodes have a column `sketch`, pairs need near sketches as well.
+    each of its own anchors, the nearest ones. With crowd, a node with more partners at one of its own anchors is given as
+    a = b; without nearest it makes no pair there, and these partners are given as a = b as well, but for those that a column
+    `dense` (long, not 0) says are known: such a node would be given again at each of its some hundred anchors. Where nodes
+    have a column `sketch`, pairs need near sketches as well, and each is given once, where it meets first.
     """
-    carried = ["node", "fp", "more", *(c for c in ("part", "sketch") if c in nodes.columns)]
+    carried = ["node", "fp", "more", *(c for c in ("part", "dense", "sketch") if c in nodes.columns)]
     spark = nodes.sparkSession
 
     def keys_of(batch):
@@ -267,7 +296,13 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
         key, tile, fp, more = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "tile", "fp", "more"))
         node = table.column("node").to_numpy()
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1) if "sketch" in carried else None
-        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, table.column("home").to_numpy(), distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest, crowd, sketches)
+        dense = table.column("dense").to_numpy() != 0 if "dense" in carried else None
+
+        def once(order):
+            one, two, ids, block = fp[order], more[order], node[order], (key[order] >> np.uint64(58)).astype(np.int64)
+            return lambda x, y: met_before((one[x], two[x]), (one[y], two[y]), ids[x] < ids[y], block[x], reach, blocks)
+
+        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, table.column("home").to_numpy(), distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest, crowd, dense, sketches, once if "sketch" in carried else None)
         for a, b in [_compare(pairs)] if reach is None else pairs:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -362,15 +397,20 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
         new = materialise(shingle_sets(those.select("node", "text").dropDuplicates(["node"]), width), "shingle-sets")
         return new if known is None else known.unionByName(new)
 
+    dense = None
     for nearest in (NEAREST, None):
         here = nodes.select("node", "fp", "more")
         if roots is not None:
             here = here.join(roots.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
-        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, nearest, None if nearest else CROWD).distinct(), "candidates")
-        if not nearest:
-            crowded = materialise(pairs.where("a = b").select(F.col("a").alias("node")), "crowded")
-            pairs = pairs.where("a < b")
-            if not crowded.isEmpty():
+            here = here.join(dense.withColumn("dense", F.lit(1).cast("long")), "node", "left").withColumn("dense", F.coalesce("dense", F.lit(0).cast("long")))
+        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, nearest, CROWD).distinct(), "candidates")
+        marks, pairs = pairs.where("a = b").select(F.col("a").alias("node")), pairs.where("a < b")
+        if nearest:
+            dense = marks  # partners are fewer once parts are known: who is in a crowd then is among these, or a partner of one
+        else:
+            if not marks.isEmpty():
+                crowded = materialise(marks.unionByName(dense).distinct(), "crowded")
+                here = here.drop("dense")
                 # crowds of texts that 128 bits can't tell from similar ones: only what passes their sketches is a candidate
                 sets = sets_of(crowded, sets)
                 there = materialise(here.join(crowded, "node").join(sketches(sets.join(crowded, "node", "left_semi")), "node"), "sketched")

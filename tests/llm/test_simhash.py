@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logharrow.llm import simhash as S
 from logharrow.llm.components import components
@@ -131,3 +132,34 @@ def test_crowds(spark, docs, prose):
                 a_, b_ = find(a), find(b)
                 root[max(a_, b_)] = min(a_, b_)
     assert got == {i for i in ids if find(i) != i} and len(got) >= 13
+
+
+def _crowd(spark, n=300):
+    """Nodes whose two fingerprints lie 9 random bits of 64 from one centre, and their near pairs that surely meet."""
+    rng = np.random.default_rng(5)
+    codes = [rng.integers(0, 2**63, dtype=np.uint64) ^ np.array([sum(1 << int(b) for b in rng.choice(64, 9, False)) for _ in range(n)], np.uint64) for _ in range(2)]
+    nodes = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(*(c.view(np.int64) for c in codes)))], "node long, fp long, more long")
+    bits = [np.bitwise_count(c[:, None] ^ c[None]).astype(int) for c in codes]
+    near = (bits[0] <= 22) & (sum(bits) <= 36) & (sum(bits) <= 2 * 5 * 2 - 1)
+    return nodes.repartition(4), {(a, b) for a, b in np.argwhere(near).tolist() if a < b}, {(a, b) for a, b in np.argwhere((bits[0] <= 22) & (sum(bits) <= 36)).tolist() if a < b}
+
+
+def test_a_pair_among_sketches_is_given_once(spark):
+    nodes, sure, near = _crowd(spark)
+    given = S.near_links(nodes, 22, 36, 5, 9).collect()
+    once = S.near_links(nodes.withColumn("sketch", F.expr("cast(repeat('x', 256) as binary)")), 22, 36, 5, 9).collect()
+    assert len(given) > 2 * len(once) and {tuple(r) for r in given} == {tuple(r) for r in once}
+    assert len(once) == len(set(once)) and sure <= {tuple(r) for r in once} <= near
+
+
+def test_marks_of_a_crowd_grow_with_it_and_lose_no_pair(spark):
+    nodes, _, _ = _crowd(spark)
+    met = {tuple(r) for r in S.near_links(nodes, 22, 36, 5, 9).collect()}
+    first = S.near_links(nodes, 22, 36, 5, 9, 2, 8).where("a = b").collect()
+    dense = {r.a for r in first}
+    flagged = nodes.withColumn("dense", F.col("node").isin(list(dense)).cast("long"))
+    found = S.near_links(flagged, 22, 36, 5, 9, None, 8).collect()
+    marks, pairs = [r for r in found if r.a == r.b], {tuple(r) for r in found if r.a < r.b}
+    crowded = dense | {r.a for r in marks}
+    assert len(first) <= 10 * nodes.count() and sum(r.a in dense for r in marks) <= 10 * len(dense)
+    assert all(p in pairs or set(p) <= crowded for p in met)
