@@ -153,7 +153,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, number, writer = TaskContext.get().partitionId(), 0, None
+        part, number, writer, end = TaskContext.get().partitionId(), 0, None, np.array([end_id], "<u4").tobytes()
         enc = encoder(tokenizer_path, drops_space)
 
         def row():
@@ -168,7 +168,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, out: str, id_col: str
                 if writer is None:
                     path, held = f"{out}/part-{part:06d}-{number:06d}-{uuid.uuid4().hex}.tok.zst", 0
                     writer = TokenFileWriter(_open(path, "w"), id_bytes)
-                ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id))
+                ids = np.frombuffer(raw + end, "<u4")
                 writer.add(doc_id, ids)
                 held += len(ids)
                 if held >= file_ids or len(writer.docs) >= file_docs:

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
-#: A run without white space with at most one space before it, or white space as byte-level patterns cut it.
-CHUNKS = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
+#: Letters whose lower case is Python's and that every pattern takes for letters, and punctuation but for the apostrophe.
+LETTERS, MARKS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", r"!-&(-/:-@\[-`{-~"
+#: Such letters, with at most one space before them, up to white space or such punctuation; such punctuation up to white space
+#: or such letters; else a run without white space with at most one space before it, or white space as byte-level patterns cut it.
+CHUNKS = re.compile(rf" ?[{LETTERS}]++(?![^\s{MARKS}])|[{MARKS}]++(?![^\s{LETTERS}])| ?[^\s]+|\s+(?!\S)|\s+")
+#: For vocabularies that drop white space: cut at plain blanks and line ends only.
+PLAIN_CHUNKS = re.compile(rf"[{LETTERS}]++(?![^ \n{MARKS}])|[{MARKS}]++(?![^ \n{LETTERS}])|[^ \n]+")
+#: What is one piece to the vocabularies' patterns.
+SIMPLE = re.compile(rf" ?[{LETTERS}]+|[{MARKS}]+")
 #: Control characters that Python counts as white space and the tokenizers' patterns don't: such a text is encoded whole.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: For vocabularies that drop white space: split at plain blanks and line ends only.
-PLAIN_SPACE = re.compile(r"[ \n]+")
-ANY_SPACE = re.compile(r"\s")
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
 LONGEST_CACHED = 64
-#: Pieces that are encoded in one call, joined.
-JOINED = 4000
 
 _encoders: dict[tuple[str, bool], "PieceEncoder"] = {}
 
@@ -29,75 +32,67 @@ def _latin(text: str) -> bool:
     return True
 
 
+class Pieces(dict):
+    """Ids of pieces; one that is missing is encoded. When half of the bound is full, the older half goes, but for what is looked up again."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        raw = self.older.get(piece)
+        if raw is None:
+            raw = self.encode(piece)
+        if len(piece) <= LONGEST_CACHED:
+            if len(self) >= CACHE_ENTRIES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = raw
+        return raw
+
+
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; equal to encoding each text whole.
 
     The tokenizers' own pre-tokenisation never joins characters across the cuts made here, so a piece has the
-    same ids alone as inside its text. The cache is emptied when it is full.
+    same ids alone as inside its text. A piece that it would leave whole goes to the library's model at once.
     """
 
     def __init__(self, path: str, drops_space: bool):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.drops_space = drops_space
-        self.cache: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.top_id = max(vocabulary.values())
-        #: bytes of text that each id stands for: one a character of the byte-level alphabet
-        self.width = np.zeros(self.top_id + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.width[i] = len(token.removesuffix("</w>") if drops_space else token)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _joined(self, pieces: list[str], glue: str) -> list[bytes]:
-        """Ids of each piece from one call over all, cut where the ids' byte widths add up to a piece's."""
-        text = glue.join(pieces)
-        ids, plain = self._ids(text), pieces
-        if self.drops_space:
-            plain, glue = self.tokenizer.normalizer.normalize_str(text).split(" "), ""
-        sizes = np.array([len(x.encode()) for x in plain])
-        ends = np.cumsum(sizes + len(glue)) - len(glue)
-        stops = np.cumsum(self.width[ids])
-        last = np.searchsorted(stops, ends)
-        if len(plain) != len(pieces) or not len(stops) or last[-1] != len(stops) - 1 or (stops[last] != ends).any():
-            return [self._ids(p).tobytes() for p in pieces]
-        first = np.concatenate(([0], last[:-1] + 1 + len(glue)))
-        return [ids[a : b + 1].tobytes() for a, b in zip(first, last)]
-
-    def _raw(self, pieces: list[str]) -> dict[str, bytes]:
-        kinds: dict[str, list[str]] = {"": [], "\n": [], "alone": []}
-        for p in pieces:
-            body = p[1:] if p[:1] == " " and not self.drops_space else p
-            simple = body and not ANY_SPACE.search(body)
-            kinds["alone" if not simple else "" if body is not p else "\n"].append(p)
-        out = {p: self._ids(p).tobytes() for p in kinds["alone"]}
-        for glue in ("", "\n"):
-            for at in range(0, len(kinds[glue]), JOINED):
-                part = kinds[glue][at : at + JOINED]
-                out.update(zip(part, self._joined(part, " " if self.drops_space else glue)))
-        return out
+        self.model, self.cache = self.tokenizer.model, Pieces(self._piece)
+        self.top_id = max(self.tokenizer.get_vocab().values())
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        #: what the library's byte-level alphabet has for a letter beyond ASCII, in lower case if that comes first, and for the space
+        self.alphabet = str.maketrans({c: spelt(c.lower() if drops_space else c)[0][0] for c in " " + "".join(map(chr, range(0xC0, 0x100)))} | ({chr(c): chr(c + 32) for c in range(65, 91)} if drops_space else {}))
+        self.blank = spelt(" ")[0][0]
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        body = piece[1:] if piece[:1] == " " else piece
+        if body.isascii() and body.isalpha():
+            text = piece.lower() if self.drops_space else piece if body is piece else self.blank + body
+        elif SIMPLE.fullmatch(piece):
+            text = piece.translate(self.alphabet)
+        else:
+            return self._ids(piece)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.drops_space:  # lower case comes first in such a vocabulary; for these letters it is Python's
-            texts = [t.lower() if _latin(t) else t for t in texts]
-        cut = [None if ODD_SPACE.search(t) else PLAIN_SPACE.split(t) if self.drops_space else CHUNKS.findall(t) for t in texts]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache = {}
-        new = self._raw(list({p for pieces in cut if pieces for p in pieces}.difference(self.cache)))
-        once = {p: raw for p, raw in new.items() if len(p) > LONGEST_CACHED}
-        self.cache.update((p, raw) for p, raw in new.items() if len(p) <= LONGEST_CACHED)
-        known, out = self.cache, []
-        for t, pieces in zip(texts, cut):
-            if pieces is None:
-                out.append(self._ids(t).tobytes())
-            elif once:
-                out.append(b"".join([known[p] if p in known else once[p] for p in pieces]))
+        cut, known, out = (PLAIN_CHUNKS if self.drops_space else CHUNKS).findall, self.cache.__getitem__, []
+        for t in texts:
+            if ODD_SPACE.search(t):
+                out.append(self._ids(t))
             else:
-                out.append(b"".join(map(known.__getitem__, pieces)))
+                # lower case comes first in a vocabulary that drops space; for these letters it is Python's
+                out.append(b"".join(map(known, cut(t.lower() if self.drops_space and _latin(t) else t))))
         return out
 
 

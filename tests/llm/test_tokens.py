@@ -28,3 +28,17 @@ def test_odd_texts(name):
 def test_random_texts(name, texts):
     pieces, whole = ENCODERS[name]
     assert [list(np.frombuffer(x, "<u4")) for x in pieces.encode(texts)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name", ENCODERS)
+def test_frequent_pieces_are_encoded_once(name, monkeypatch):
+    """Words that come back stay known while one-off words pass, and are one piece whatever punctuation follows."""
+    monkeypatch.setattr("logharrow.llm.tokens.CACHE_ENTRIES", 200)
+    pieces = PieceEncoder(P.path(name), name.startswith("word"))
+    whole, asked = ENCODERS[name][1], []
+    encode = pieces.cache.encode
+    pieces.cache.encode = lambda piece: asked.append(piece.strip()) or encode(piece)
+    for k in range(100):
+        text = " " + "".join(f" come{end}" for end in ".,;:!?") + "".join(f" once{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i)}" for i in range(20))
+        assert list(np.frombuffer(pieces.encode([text])[0], "<u4")) == whole.encode(text, add_special_tokens=False).ids
+    assert asked.count("come") == 1 and len(asked) < 2100 and len(pieces.cache) + len(pieces.cache.older) <= 200
