@@ -33,6 +33,10 @@ PAIRS = 1 << 19
 CROWD = 8
 #: 64-bit words of a sketch, and bits in which two may differ: at similarity 0.8 it is 310 on average (deviation 16).
 SKETCH_WORDS, SKETCH_DISTANCE = 32, 375
+#: Bytes of a sketch by which crowds meet. Texts of similarity 0.8 agree in a byte in 27 %, so all of these differ in 0.05 %.
+BANDS = 24
+#: Words of 64 bits of the filter that texts pass before they are joined: a broadcast of some MB for any input.
+FILTER_WORDS = 1 << 18
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -114,6 +118,12 @@ def anchors(fps: np.ndarray, distance: int, blocks: int) -> tuple[np.ndarray, np
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(homes)
 
 
+def bands_of(sketches: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each of the first bytes of the sketches as an anchor, as anchors() gives them; every row is at home at all of its own."""
+    first = sketches.view(np.uint8)[:, :bands].astype(np.uint64) | (np.arange(bands, dtype=np.uint64) << np.uint64(58))
+    return np.repeat(np.arange(len(first)), bands), first.ravel(), np.ones(first.size, bool)
+
+
 def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Reduce links to stars: (root, node) pairs with root < node that connect the same nodes."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -152,7 +162,7 @@ def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray,
 
     With nearest, each home row gives only its so many nearest partners. With crowd, a home row that has more partners is
     given as a pair with itself; without nearest it gives no other pair then, and partners that are not dense are given like
-    it. With sketches, pairs whose sketches are too far go. once(order) makes a function that tells which pairs go, by left and right.
+    it. once(order) makes a function that tells which pairs go, by left and right. With sketches, pairs whose sketches are too far go.
     """
     order = np.lexsort((~homes, keys))  # homes first within an anchor
     keys, ids, fps, more, homes, parts = keys[order], ids[order], fps[order], more[order], homes[order], parts[order]
@@ -186,11 +196,11 @@ def _near(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray, more: np.ndarray,
             near = near[turn < nearest]
             if crowd is not None:
                 marked.append(ids[mine[first[n > crowd]]])
+        if again is not None and len(near):
+            near = near[~again(left[near], right[near])]
         if sketches is not None and len(near):
             cuts = np.array_split(near, -(-len(near) // (PAIRS // len(sketches[0]))))
             near = np.concatenate([c[np.bitwise_count(sketches[left[c]] ^ sketches[right[c]]).sum(1, dtype=np.int64) <= SKETCH_DISTANCE] for c in cuts])
-        if again is not None and len(near):
-            near = near[~again(left[near], right[near])]
         if crowd is not None and nearest is None and len(near):
             _, line, n = np.unique(left[near], return_inverse=True, return_counts=True)
             many = n[line] > crowd
@@ -219,7 +229,7 @@ def _compare(pairs) -> tuple[np.ndarray, np.ndarray]:
     return label(*(np.concatenate(z) for z in zip(*found))) if found else (np.empty(0, np.int64),) * 2
 
 
-def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach: int | None = None, nearest: int | None = None, crowd: int | None = None) -> DataFrame:
+def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach: int | None = None, nearest: int | None = None, crowd: int | None = None, bands: int = 0) -> DataFrame:
     """Links a < b of node ids that connect the same nodes as all links would.
 
     nodes: node, fp, more; one row for each distinct (fp, more). Two are linked if their fp differ in at most `distance`
@@ -230,12 +240,18 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
     each of its own anchors, the nearest ones. With crowd, a node with more partners at one of its own anchors is given as
     a = b; without nearest it makes no pair there, and these partners are given as a = b as well, but for those that a column
     `dense` (long, not 0) says are known: such a node would be given again at each of its some hundred anchors. Where nodes
-    have a column `sketch`, pairs need near sketches as well, and each is given once, where it meets first.
+    have a column `sketch`, pairs need near sketches as well, and each is given once, where it meets first. With bands, they
+    meet where one of so many first bytes of their sketches is equal instead: as many rows a node, and no others.
     """
     carried = ["node", "fp", "more", *(c for c in ("part", "dense", "sketch") if c in nodes.columns)]
     spark = nodes.sparkSession
 
+    def sketches_in(table):
+        return np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(table), -1)
+
     def keys_of(batch):
+        if bands:
+            return bands_of(sketches_in(batch), bands)
         one, two = (batch.column(c).to_numpy().view(np.uint64) for c in ("fp", "more"))
         if reach is None:
             return anchors(one, distance, blocks)
@@ -259,7 +275,7 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
     hot = spark.sparkContext.broadcast((np.array([r["key"] for r in sizes["hot"]], np.int64), *tiles))
 
     def spread(batches):
-        """Nodes at their anchors; at a hot one, homes are dealt into s tile rows and all into t columns, and a tile pairs them."""
+        """Nodes at their anchors; at a hot one, homes are dealt into s tile rows and all into t columns, and a tile (from 1 on) pairs them."""
         import pyarrow as pa
 
         for batch in batches:
@@ -279,7 +295,7 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
                     i, mine = _counted(s[as_partner]), np.repeat(as_partner, s[as_partner])
                     j, own = _counted(t[as_home]), np.repeat(as_home, t[as_home])
                     rest = np.flatnonzero(~full)
-                    tile = np.concatenate((tile[rest], i * t[mine] + in_column[mine], in_row[own] * t[own] + j))
+                    tile = np.concatenate((tile[rest], i * t[mine] + in_column[mine] + 1, in_row[own] * t[own] + j + 1))
                     homes = np.concatenate((homes[rest], np.zeros(len(mine), bool), np.ones(len(own), bool)))
                     row, keys = (np.concatenate((x[rest], x[mine], x[own])) for x in (row, keys))
                 own = [part.column(c).take(pa.array(row)) for c in carried]
@@ -295,14 +311,18 @@ def near_links(nodes: DataFrame, distance: int, in_all: int, blocks: int, reach:
         del held
         key, tile, fp, more = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "tile", "fp", "more"))
         node = table.column("node").to_numpy()
-        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1) if "sketch" in carried else None
+        home = table.column("home").to_numpy()
+        sketches = sketches_in(table) if "sketch" in carried else None
         dense = table.column("dense").to_numpy() != 0 if "dense" in carried else None
 
         def once(order):
             one, two, ids, block = fp[order], more[order], node[order], (key[order] >> np.uint64(58)).astype(np.int64)
+            if bands:  # both are at home here: the lesser one's line gives the pair, and of a tile its homes with its partners
+                first, own = np.ascontiguousarray(sketches.view(np.uint8)[:, :bands])[order], (home & (tile > 0))[order]
+                return lambda x, y: (ids[x] > ids[y]) | own[y] | ((first[x] == first[y]).argmax(1) < block[x])
             return lambda x, y: met_before((one[x], two[x]), (one[y], two[y]), ids[x] < ids[y], block[x], reach, blocks)
 
-        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, table.column("home").to_numpy(), distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest, crowd, dense, sketches, once if "sketch" in carried else None)
+        pairs = _near(key + tile * np.uint64(0x632BE59BD9B4E019), node, fp, more, home, distance, in_all, table.column("part").to_numpy() if "part" in carried else node, nearest, crowd, dense, sketches, once if "sketch" in carried else None)
         for a, b in [_compare(pairs)] if reach is None else pairs:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -340,8 +360,9 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 #: similarity 0.8 differ in 9.7 of 64 bits on average (deviation 2.9) and in 19.4 of 128 (4.1): the bounds are four
 #: deviations away. Of two sets that differ in 15 % of the bits some block of the ten is within one bit in 99 %.
 CANDIDATE, CANDIDATE_IN_ALL, REACH, CANDIDATE_BLOCKS = 22, 36, 9, 5
-#: Partners of a class at each anchor that are looked at first. Most groups are one class after that, and then only
-#: pairs of different classes are looked at, all of them: a group of n near copies makes about n pairs, not n squared.
+#: Partners of a class at each of its own anchors that are looked at first, of classes at home there. Most groups are one class
+#: after that, and then only pairs of different classes are looked at, all of them and at all anchors: a group of n near
+#: copies makes about n pairs, not n squared.
 NEAREST = 2
 
 
@@ -374,6 +395,23 @@ def sketches(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(lean(scan), "node long, sketch binary")
 
 
+def may_be_among(rows: DataFrame, keys: list[str], wanted: DataFrame, named: list[str]) -> DataFrame:
+    """The rows whose keys may be among those of wanted, and few others: what a join with it needs not shuffle stays behind.
+
+    A hash of the keys takes one of 64 * FILTER_WORDS bits. The more bits are set, the more other rows pass; none is lost.
+    """
+
+    def place(columns: list[str]) -> tuple:
+        bit = F.pmod(F.xxhash64(*columns), F.lit(64 * FILTER_WORDS))
+        return F.shiftright(bit, 6), F.pmod(bit, F.lit(64)).cast("int")
+
+    word, bit = place(named)
+    bits = wanted.select(word.alias("filter_word"), F.expr("1L").alias("one"), bit.alias("bit")).groupBy("filter_word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("filter_bits"))
+    word, bit = place(keys)
+    found = rows.withColumn("filter_word", word).join(F.broadcast(bits), "filter_word")
+    return found.where(F.getbit("filter_bits", bit) == 1).select(rows.columns)
+
+
 def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows that repeat another: doc_id and h (hash of the text) of all but the first row of each component.
 
@@ -393,7 +431,7 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
         """known, and the shingles of these nodes' first rows."""
         wanted = wanted if known is None else wanted.join(known, "node", "left_anti")
         wanted = materialise(wanted.join(nodes, "node").select("node", "first.doc_id", "first.h"), "wanted")
-        those = texts.join(wanted, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("j") == F.col("h")))
+        those = may_be_among(texts, ["i", "j"], wanted, ["doc_id", "h"]).join(wanted, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("j") == F.col("h")))
         new = materialise(shingle_sets(those.select("node", "text").dropDuplicates(["node"]), width), "shingle-sets")
         return new if known is None else known.unionByName(new)
 
@@ -403,7 +441,7 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
         if roots is not None:
             here = here.join(roots.withColumnRenamed("root", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
             here = here.join(dense.withColumn("dense", F.lit(1).cast("long")), "node", "left").withColumn("dense", F.coalesce("dense", F.lit(0).cast("long")))
-        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, nearest, CROWD).distinct(), "candidates")
+        pairs = materialise(near_links(here, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, 0 if nearest else REACH, nearest, CROWD).distinct(), "candidates")
         marks, pairs = pairs.where("a = b").select(F.col("a").alias("node")), pairs.where("a < b")
         if nearest:
             dense = marks  # partners are fewer once parts are known: who is in a crowd then is among these, or a partner of one
@@ -414,7 +452,7 @@ def similar_rows(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col:
                 # crowds of texts that 128 bits can't tell from similar ones: only what passes their sketches is a candidate
                 sets = sets_of(crowded, sets)
                 there = materialise(here.join(crowded, "node").join(sketches(sets.join(crowded, "node", "left_semi")), "node"), "sketched")
-                among = near_links(there, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH)
+                among = near_links(there, CANDIDATE, CANDIDATE_IN_ALL, CANDIDATE_BLOCKS, REACH, bands=BANDS)
                 pairs = materialise(pairs.unionByName(among).distinct(), "candidates")
         # the shingles of the classes' first rows, only for classes that have a candidate
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), sets)

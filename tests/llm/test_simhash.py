@@ -163,3 +163,49 @@ def test_marks_of_a_crowd_grow_with_it_and_lose_no_pair(spark):
     crowded = dense | {r.a for r in marks}
     assert len(first) <= 10 * nodes.count() and sum(r.a in dense for r in marks) <= 10 * len(dense)
     assert all(p in pairs or set(p) <= crowded for p in met)
+
+
+def test_a_crowd_meets_by_its_sketches_on_few_rows(spark, monkeypatch):
+    """24 rows a node, where anchors take over 80; every pair of near sketches that agrees in a byte is given, once, with tiles or without."""
+    nodes, _, near = _crowd(spark)
+    rng = np.random.default_rng(6)
+    centre = rng.integers(0, 256, 256, dtype=np.uint8)
+    sketches = [np.bitwise_xor(centre, np.packbits(rng.random(2048) < 0.08)).tobytes() for _ in range(nodes.count())]
+    there = nodes.join(spark.createDataFrame(list(enumerate(map(bytearray, sketches))), "node long, sketch binary"), "node")
+    codes = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, 256)
+    apart = [int(np.bitwise_count(codes[a] ^ codes[b]).sum()) for a, b in near]
+    meet = [bool((codes[a, : S.BANDS] == codes[b, : S.BANDS]).any()) for a, b in near]
+    want = sorted(p for p, d, m in zip(near, apart, meet) if d <= S.SKETCH_DISTANCE and m)
+    alike = [m for d, m in zip(apart, meet) if d <= 310]
+    assert len(want) > 100 and sum(alike) >= 0.998 * len(alike)
+    _, _, homes = S.bands_of(codes.copy().view(np.uint64), S.BANDS)
+    anchors = sum(len(S.anchors(np.array([r[c] for r in nodes.collect()], np.int64).view(np.uint64), 9, 5)[0]) for c in ("fp", "more"))
+    assert len(homes) == S.BANDS * len(codes) and 3 * len(homes) < anchors
+    for hot in (20_000, 40):
+        monkeypatch.setattr(S, "HOT_ANCHOR", hot)
+        assert sorted(tuple(r) for r in S.near_links(there, 22, 36, 5, 9, bands=S.BANDS).collect()) == want
+
+
+@pytest.mark.parametrize("words", [1, 1 << 18])
+def test_filter_of_texts_loses_none(spark, words, monkeypatch):
+    """Rows with null keys and repeated rows pass as others do; a full filter lets all pass."""
+    monkeypatch.setattr(S, "FILTER_WORDS", words)
+    rows = spark.createDataFrame([(i if i % 7 else None, i * i, "x") for i in [*range(2000), 14]], "i long, j long, text string")
+    wanted = rows.where("j % 10 = 6").select(F.col("i").alias("doc_id"), F.col("j").alias("h"))
+    got = S.may_be_among(rows, ["i", "j"], wanted, ["doc_id", "h"])
+    assert got.columns == ["i", "j", "text"]
+    passed = sorted(((r.i, r.j) for r in got.collect()), key=str)
+    needed = sorted(((r.i, r.j) for r in rows.where("j % 10 = 6").collect()), key=str)
+    assert not set(needed) - set(passed) and passed.count((None, 196)) == needed.count((None, 196)) == 2
+    assert len(passed) == 2001 if words == 1 else len(passed) <= len(needed) + 5
+    assert S.may_be_among(rows, ["i", "j"], wanted.limit(0), ["doc_id", "h"]).count() == 0
+
+
+def test_first_look_sends_each_class_to_its_own_anchors_only(spark, docs, prose, monkeypatch):
+    """The first of the two comparisons takes ten rows a class, the second all anchors."""
+    reaches, links = [], S.near_links
+    monkeypatch.setattr(S, "near_links", lambda nodes, *args, **more: (reaches.append(args[3]), links(nodes, *args, **more))[1])
+    assert S.similar_rows(docs([prose(60, k) for k in range(20)])).count() == 0
+    assert reaches == [0, S.REACH]
+    fps = np.arange(100, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert len(S.anchors(fps, 0, 5)[0]) == 500 and len(S.anchors(fps, S.REACH, 5)[0]) > 4000
