@@ -25,6 +25,8 @@ from logharrow.llm.words import byte_batches
 #: What a sign or digit may stand for. Fixed values.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 SEPARATORS = set(".-_*~^'`/\\:,;#%&=​‌‍\xad ")
+#: Grams of a batch of texts that are numbered at once.
+GRAMS_AT_ONCE = 1 << 18
 #: Channel costs in nats: a lookalike, a dropped separator, a dropped repeat, a blank that stays between spaced letters.
 COST_LOOKALIKE, COST_SEPARATOR, COST_REPEAT, COST_BLANK = 0.7, 0.3, 0.4, 1.0
 #: Nats by which a doubled letter must surprise the language model to be taken for an obfuscation: an unknown letter has some four.
@@ -50,21 +52,27 @@ def char_class(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
 
 
+def add_grams(total: np.ndarray, texts: list[bytes]) -> None:
+    """Count the 4-grams of these texts; GRAMS_AT_ONCE at a time, as a gram's number takes eight bytes and more on the way."""
+    fold = np.zeros(256, np.uint8)
+    fold[97:123] = fold[65:91] = np.arange(1, 27)
+    fold[192:256] = 27  # a letter's first byte above ASCII stands for it; bytes that follow are left out
+    raw = np.frombuffer(b"   ".join(texts) + b"   ", np.uint8)
+    letters = fold[raw[(raw < 128) | (raw >= 192)]]
+    for at in range(0, len(letters) - 3, GRAMS_AT_ONCE):
+        c = letters[at : at + GRAMS_AT_ONCE + 3].astype(np.int64)
+        np.add.at(total, ((c[:-3] * CLASSES + c[1:-2]) * CLASSES + c[2:-1]) * CLASSES + c[3:], 1)
+
+
 def count_grams(df: DataFrame, text_col: str = "text") -> np.ndarray:
     """Counts of character 4-grams over all rows; CLASSES^4 numbers, whatever the size of the input."""
 
     def scan(batches):
         import pyarrow as pa
 
-        fold = np.zeros(256, np.int64)
-        fold[97:123] = fold[65:91] = np.arange(1, 27)
-        fold[192:256] = 27  # a letter's first byte above ASCII stands for it; bytes that follow are left out
         total = np.zeros(CLASSES**4, np.int64)
         for _, texts in byte_batches(batches, "text"):
-            raw = np.frombuffer(b"   ".join(texts) + b"   ", np.uint8)
-            c = fold[raw[(raw < 128) | (raw >= 192)]]
-            if len(c) > 3:
-                total += np.bincount(((c[:-3] * CLASSES + c[1:-2]) * CLASSES + c[2:-1]) * CLASSES + c[3:], minlength=CLASSES**4)
+            add_grams(total, texts)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 

@@ -89,3 +89,30 @@ def all_paths(token, logp):
         text = "".join(x for x, _ in path)
         classes = [0, 0, 0, *map(T.char_class, text), 0]
         yield text, sum(p for _, p in path) - sum(float(logp[((classes[k] * 28 + classes[k + 1]) * 28 + classes[k + 2]) * 28 + classes[k + 3]]) for k in range(len(text) + 1))
+
+
+def test_grams_are_counted_in_little_memory(monkeypatch):
+    """Counts don't depend on how many grams are taken at once, and a batch takes a few bytes for each of its own."""
+    import tracemalloc
+
+    import numpy as np
+
+    from logharrow.llm import toxicity as T
+
+    texts = ["Plain words, ünd Ärger 12\n".encode() * 40_000, b"", b"x"] * 2
+    want = np.zeros(T.CLASSES**4, np.int64)
+    fold = [ord(chr(b).lower()) - 96 if chr(b).isascii() and chr(b).isalpha() else 27 if b >= 192 else 0 for b in range(256)]
+    short = [texts[0][:540], b"", b"x"]
+    letters = [fold[b] for b in b"   ".join(short) + b"   " if b < 128 or b >= 192]
+    for a, b, c, d in zip(letters, letters[1:], letters[2:], letters[3:]):
+        want[((a * T.CLASSES + b) * T.CLASSES + c) * T.CLASSES + d] += 1
+    for n in (1, 7, 1 << 18):
+        monkeypatch.setattr(T, "GRAMS_AT_ONCE", n)
+        total = np.zeros(T.CLASSES**4, np.int64)
+        T.add_grams(total, short)
+        assert (total == want).all()
+    tracemalloc.start()
+    T.add_grams(total, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * sum(map(len, texts))
