@@ -134,7 +134,8 @@ def layer3(df: DataFrame, cfg: Settings, model: DataFrame | None = None) -> Data
     rows = df if {"session_id", "session_seq"} <= set(df.columns) else sessionize(df.drop("session_id", "session_seq"), cfg.layer3.session_timeout_minutes)
     looked_at = critical_sessions(rows, cfg.layer3.critical_endpoints)
     scores = markov_score(looked_at, markov_fit(transitions(looked_at)) if model is None else model)
-    return salted_join(rows.drop("layer3_score"), scores, ["session_id"])
+    counted = scores.join(looked_at.groupBy("session_id").agg(F.count("*").alias("_n")), "session_id")
+    return salted_join(rows.drop("layer3_score"), counted, ["session_id"], "_n").drop("_n")
 
 
 def train_layer3(spark: SparkSession, source: str, out: str, cfg: Settings) -> None:

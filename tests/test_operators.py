@@ -87,6 +87,20 @@ def test_rows_without_a_time_stay(spark):
     assert requests.join_window_scores(req, win).first().layer1_score == 0.0 and requests.ip_stats(req).count() == 1
 
 
+def test_salted_join_copies_only_common_keys(spark, monkeypatch):
+    """Sixteen copies of every aggregate were broadcast by a size that was guessed before they were made."""
+    monkeypatch.setattr(requests, "GROUP_ROWS", 4)
+    df = spark.createDataFrame([(i, "a" if i < 9 else f"b{i}") for i in range(20)] + [(20, None)], "i int, k string")
+    sums = df.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.sum("i").alias("s"))
+    joined = requests.salted_join(df, sums, ["k"], "n")
+    assert sorted((r.i, r.n, r.s) for r in joined.collect() if r.k is not None) == [(i, 9, 36) if i < 9 else (i, 1, i) for i in range(20)]
+    assert joined.where("k is null and n is null").count() == 1 and joined.columns == ["k", "i", "n", "s"]
+    made = []
+    monkeypatch.setattr(type(df), "join", lambda self, other, *a, join=type(df).join, **b: made.append(other) or join(self, other, *a, **b))
+    requests.salted_join(df, sums, ["k"], "n")
+    assert made[-1].count() == 3 + 11 and made[0].count() == 1
+
+
 def test_request_features(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 14, 5), "/a/b.aspx", "k=1&j=2", 500, 2048, None, 200, None, 0, None, "curl/7", "/a")], "timestamp timestamp, uri_stem string, uri_query string, time_taken long, sc_bytes long, cs_bytes long, status int, substatus int, win32_status int, client_ip string, user_agent string, endpoint_group string")
     out = requests.layer2_features(df)
