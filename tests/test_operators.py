@@ -355,6 +355,14 @@ def test_novelty(spark, rows):
     assert sorted(r.is_novel for r in requests.novelty(more, "ua").collect()) == [0, 0, 1, 1, 1, 1, 1, 1]
 
 
+def test_novelty_by_the_nearest_second(spark):
+    """The window is of rounded seconds: 10.3 and 10.6 are two, 10.5 and 10.3 are one, and 10.6 ends its seven days later than 10.3."""
+    week = 7 * 86400
+    times = [("a", 10.3), ("a", 10.6), ("b", 10.3), ("b", 10.5), ("c", 10.6), ("c", week + 11.4), ("d", 10.3), ("d", week + 10.7), ("e", 11.5), ("e", 12.4)]
+    df = spark.createDataFrame([(i, v, at(s)) for i, (v, s) in enumerate(times)], "i int, ua string, timestamp timestamp")
+    assert [r.is_novel for r in requests.novelty(df, "ua").orderBy("i").collect()] == [1, 0, 1, 1, 1, 0, 1, 1, 1, 1]
+
+
 @pytest.mark.parametrize("moments", [None, 3])
 def test_global_sessions_by_brute_force(spark, moments):
     """Over hours with and without rows, ties broken by a number, rows without a time first; also with most rows in a few moments, whose ties lie over the edges of ranges."""
