@@ -348,6 +348,28 @@ def test_autoencoder(spark, tmp_path):
     np.testing.assert_allclose(got, again)
 
 
+def test_latent_numbers_on_a_split():
+    """A tree for each row splits just at the row's number as plain sums give it: the score must take that side, for any batch."""
+    rng = np.random.default_rng(3)
+    network = autoencoder.Network(6, Autoencoder(hidden_dims=[5], latent_dim=2))
+    network.biases = [rng.normal(0, 1, len(b)) for b in network.biases]
+    x, want = rng.normal(0, 3, (60, 6)), []
+    for row in x:
+        for k in range(2):
+            sums = []
+            for b, column in zip(network.biases[k], network.weights[k].T):
+                for w, v in zip(column, row):
+                    b = b + v * w
+                sums.append(b)
+            row = sums if k else [max(v, 0.0) for v in sums]
+        want.append(row)
+    trees = [{"feature": [0, -1, -1], "threshold": [row[0], 0.0, 0.0], "below": [1, -1, -1], "above": [2, -1, -1], "path": [0.0, 1.0, 9.0], "sub_sample": 256, "raw_offset": -0.5} for row in want]
+    model = autoencoder.LatentForest(np.zeros(6), np.ones(6), network, trees)
+    scores = iforest.Forest(trees).score(np.array(want))
+    assert model.measure(x)[1].tolist() == scores.tolist() == [s for row in x for s in model.measure(row[None])[1]]
+    assert len(iforest.Forest(trees).near_splits(np.array(want) + 1e-3, network.rounding(x))) < 5
+
+
 def test_novelty(spark, rows):
     df = spark.createDataFrame([("u", T0), ("u", at(3600)), ("u", at(8 * 86400)), ("v", T0)], "ua string, timestamp timestamp")
     assert sorted(r.is_novel for r in requests.novelty(df, "ua").collect()) == [0, 1, 1, 1]
